@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import substring_dedup, suffix_dedup
+from tessella.llm import decontamination, exact_topk, simhash_dedup, substring_dedup, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
+        "op5_exact_topk": exact_topk.op5_exact_topk,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
         "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
+        "op9_simhash_near_dedup": simhash_dedup.op9_simhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_exact_topk": exact_topk.SQL}

@@ -32,10 +32,14 @@ def extent(docs: DataFrame, text_col: str) -> tuple[int, int]:
 
 
 def sizes(docs: DataFrame, text_col: str, group_bytes: int) -> tuple[int, int]:
-    """Number of groups and of shards; both grow with the bytes of text."""
+    """Number of groups and of shards; both grow with the bytes of text.
+
+    A group and a shard exchange at most one row, and no more rows than the group has keys. Groups and shards are smaller
+    than they may be only so far as the session's partitions need them.
+    """
     size, _ = extent(docs, text_col)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2 * partitions, -(-size // group_bytes)), max(2 * partitions, -(-size // (16 << 20)))
+    return tuple(max(1, -(-size // most), min(2 * partitions, -(-size // least))) for most, least in ((group_bytes, 1 << 20), (16 << 20, 2 << 20)))
 
 
 def by_hash(docs: DataFrame, id_col: str, text_col: str, groups: int) -> DataFrame:
