@@ -6,18 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import decontamination, exact_topk, simhash_dedup, substring_dedup, suffix_dedup
+from tessella.llm import decontamination, exact_topk, line_dedup, quality, simhash_dedup, source_mix, substring_dedup, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_line_dedup": line_dedup.op2_line_dedup,
         "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
         "op5_exact_topk": exact_topk.op5_exact_topk,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+        "op7_quality_classifier": quality.op7_quality_classifier,
         "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
         "op9_simhash_near_dedup": simhash_dedup.op9_simhash_near_dedup,
+        "op10_source_mix": source_mix.op10_source_mix,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_topk": exact_topk.SQL}
+    return {"op5_exact_topk": exact_topk.SQL, "op10_source_mix": source_mix.SQL}

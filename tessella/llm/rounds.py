@@ -15,10 +15,10 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 ASK = pa.schema([("g", pa.int32()), ("kind", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary())])
 ASK_DDL = "g int, kind int, shard int, keys binary"
 ANSWER = pa.schema([("g", pa.int32()), ("kind", pa.int32()), ("shard", pa.int32()), ("bits", pa.binary())])
@@ -48,8 +48,8 @@ def by_hash(docs: DataFrame, id_col: str, text_col: str, groups: int) -> DataFra
     return docs.select(g.alias("g"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def by_range(docs: DataFrame, id_col: str, text_col: str, groups: int) -> DataFrame:
-    """(g, doc_id, text) with groups in the order of doc_id, nulls first, of about equal numbers of rows.
+def by_range(docs: DataFrame, id_col: str, text_col: str, groups: int, row: Column | None = None) -> DataFrame:
+    """(g, doc_id, text, and row if it is given) with groups in the order of doc_id, nulls first, of about equal numbers of rows.
 
     The bounds are approximate quantiles; any bounds give the same results. They are searched in two steps, so that a row
     costs about two square roots of the number of groups.
@@ -67,7 +67,7 @@ def by_range(docs: DataFrame, id_col: str, text_col: str, groups: int) -> DataFr
         g = F.when(i.isNull() | (before < 0), 0).otherwise(before * step + F.size(F.filter(inner, lambda b: b <= i)))
     else:
         g = F.lit(0)
-    return docs.select(g.cast("int").alias("g"), i.alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return docs.select(g.cast("int").alias("g"), i.alias("doc_id"), F.col(text_col).cast("string").alias("text"), *([row.alias("row")] if row is not None else []))
 
 
 def ordered(table: pa.Table) -> pa.Table:
