@@ -3,16 +3,28 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts lineage by a reliable checkpoint in the folder the session names; sets one only where there is none."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder, which all executors share."""
+    return f"{_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder; sets one only where there is none."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts lineage by a reliable checkpoint in the session's folder."""
+    _checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
