@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import decontamination, exact_topk, line_dedup, quality, simhash_dedup, source_mix, substring_dedup, suffix_dedup
+import corpus_pipeline
+from tessella.llm import decontamination, exact_topk, html_extract, line_dedup, quality, simhash_dedup, source_mix, substring_dedup, suffix_dedup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": url_filter.op1_url_filter,
+        "op3_html_extract": html_extract.op3_html_extract,
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
         "op5_exact_topk": exact_topk.op5_exact_topk,
@@ -19,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
         "op9_simhash_near_dedup": simhash_dedup.op9_simhash_near_dedup,
         "op10_source_mix": source_mix.op10_source_mix,
+        "pipeline": corpus_pipeline.run,
     }
 
 

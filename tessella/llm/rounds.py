@@ -42,10 +42,10 @@ def sizes(docs: DataFrame, text_col: str, group_bytes: int) -> tuple[int, int]:
     return tuple(max(1, -(-size // most), min(2 * partitions, -(-size // least))) for most, least in ((group_bytes, 1 << 20), (16 << 20, 2 << 20)))
 
 
-def by_hash(docs: DataFrame, id_col: str, text_col: str, groups: int) -> DataFrame:
-    """(g, doc_id, text); a row's group depends on the row alone."""
+def by_hash(docs: DataFrame, id_col: str, text_col: str, groups: int, row: Column | None = None) -> DataFrame:
+    """(g, doc_id, text, and row if it is given); a row's group depends on the row alone."""
     g = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(groups)).cast("int")
-    return docs.select(g.alias("g"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return docs.select(g.alias("g"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *([row.alias("row")] if row is not None else []))
 
 
 def by_range(docs: DataFrame, id_col: str, text_col: str, groups: int, row: Column | None = None) -> DataFrame:
