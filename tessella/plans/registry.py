@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tessella.plans import catalog, decode_queries, space_queries  # noqa: F401
+
 
 def queries() -> dict:
-    return {}
+    return dict(catalog.QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(catalog.SQL)
