@@ -127,7 +127,7 @@ def count_close_pairs(spots: DataFrame, distance: float) -> DataFrame:
     step = F.array(*map(F.lit, (-1, 0, 1)))
     near = at.select("fov", F.col("spot_id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("z").alias("oz"), "bx", "by", "bz")
     for c in ("bx", "by", "bz"):
-        near = near.withColumn(c, F.explode(F.transform(step, lambda s, c=c: F.col(c) + s)))
+        near = near.withColumn("step", F.explode(step)).withColumn(c, F.col(c) + F.col("step")).drop("step")
     d2 = (F.col("x") - F.col("ox")) ** 2 + (F.col("y") - F.col("oy")) ** 2 + (F.col("z") - F.col("oz")) ** 2
     return at.join(near, ["fov", "bx", "by", "bz"]).filter((F.col("spot_id") < F.col("other")) & (d2 > 0) & (d2 < distance**2)).groupBy("fov").agg(F.count(F.lit(1)).alias("n"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessella.plans import catalog, decode_queries, space_queries  # noqa: F401
+from tessella.plans import catalog, decode_queries, log_queries, space_queries, voxel_queries  # noqa: F401
 
 
 def queries() -> dict:

@@ -49,11 +49,27 @@ VIEWS = {
         SELECT cast(l_suppkey % 6 + 1 as int) AS fov, cast(l_partkey % 4 + 1 as int) AS z, cast(l_partkey % 64 + 1 as int) AS y, cast(l_orderkey % 64 + 1 as int) AS x,
           cast(max(floor(l_orderkey % 64 / 8) * 8 + floor(l_partkey % 64 / 8) + 1) as int) AS label
         FROM lineitem WHERE l_linenumber <> 3 GROUP BY 1, 2, 3, 4""",
+    "logs": """
+        SELECT 'S' || cast(o_custkey % 3 as varchar(20)) AS submit, o_orderkey AS task_id,
+          CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE '选中的 Position 文件夹名称: Position' || cast(o_orderkey % 40 + 1 as varchar(20)) || chr(10) END
+          || '0.25 [' || cast(o_orderkey % 97 as varchar(20)) || ' / ' || cast(o_orderkey % 5 * 100 as varchar(20)) || '] percent of reads are below score thresh 0.5' || chr(10)
+          || '0.5 [' || cast(o_custkey % 89 as varchar(20)) || ' / ' || cast(o_custkey % 4 * 90 as varchar(20)) || '] percent of reads are below score thresh 0.5 of all valid spots' || chr(10)
+          || '0.125 [' || cast(o_custkey % 61 as varchar(20)) || ' / 400] percent of reads have intensity above 2.7e2 in Reference Round (Round 1)' || chr(10)
+          || 'Geting max color...' || chr(10) || cast(o_orderkey % 13 as varchar(20)) || chr(10) || 'Decoding...' || chr(10)
+          || '0.75 [' || cast(o_orderkey % 53 as varchar(20)) || ' / 90] percent of reads match seqD barcode pattern' || chr(10)
+          || '0.5 [' || cast(o_orderkey % 41 as varchar(20)) || ' / 90] percent of good reads match barcode pattern' || chr(10)
+          || '0.375 [' || cast(o_custkey % 37 as varchar(20)) || ' / 90] percent of good reads are in codebook' || chr(10)
+          || 'Method: max3d' || chr(10) || 'Reference round: 1' || chr(10) || 'Intensity threshold: 0.2' || chr(10)
+          || 'Number of spots found by max3d: ' || cast(o_orderkey * 7 % 1000 as varchar(20)) || chr(10)
+          || 'Loading 3D DAPI stack: /data/Position' || cast(o_orderkey % 40 + 1 as varchar(20)) || '/stack.tif' || chr(10)
+          || 'Raw detected cells: ' || cast(o_orderkey % 300 as varchar(20)) || chr(10) || 'Overall area of raw dapi: ' || cast(o_orderkey % 9 + 1 as varchar(20)) || ',234,567' || chr(10)
+          || 'Overall area of filtered dapi: ' || cast(o_orderkey % 9 + 1 as varchar(20)) || ',000,000' || chr(10) || 'Area reduction ratio: 12.5%' || chr(10)
+          || 'Filtered detected cells: ' || cast(o_orderkey % 280 as varchar(20)) || ' (Removed ' || cast(o_orderkey % 20 as varchar(20)) || ')' || chr(10)
+          || 'Round 2 vs. Round 1 finished [time=1.5]' || chr(10) || 'Shifted by ' || cast(o_orderkey % 7 - 3 as varchar(20)) || ' 2 -1' || chr(10)
+          || 'Round 3 vs. Round 1 finished [time=2.25]' || chr(10) || 'Shifted by -4 ' || cast(o_custkey % 7 - 3 as varchar(20)) || ' 0' || chr(10) AS text
+        FROM orders""",
 }
 
-#: What a view is made of.
-NEEDS = {"logs": ()}
-
 
 def _names(text: str, known: tuple[str, ...]) -> list[str]:
     return [n for n in known if re.search(rf"\b{n}\b", text)]
