@@ -135,7 +135,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     groups, shards = rounds.sizes(pages, html_col, group_bytes)
     others = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != html_col], F.col(url_col).cast("string").alias("__url"))
     dealt = rounds.by_hash(pages, id_col, html_col, groups, others)
-    row_type = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != html_col]).alias("row")).schema["row"].dataType.simpleString()
+    zero = F.lit(0).cast("long")
+    schema = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != html_col]).alias("row"), F.lit("").alias("text"), zero.alias("n_chars"), zero.alias("n_outside"), zero.alias("n_repeated")).schema
 
     def scan(table: pa.Table):
         """Blocks of every page; hash of each repeated-run candidate, its first token and page, and the first token of each page."""
@@ -189,7 +190,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         return pa.table([kept, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(outside, pa.int64()), pa.array(covered, pa.int64())], names=["row", "text", "n_chars", "n_outside", "n_repeated"])
 
     answers = rounds.answer(rounds.ask(dealt, None, runs), lambda kind, _, b: rounds.elsewhere(b, 8))
-    return rounds.ask(dealt, answers, cut, f"row {row_type}, text string, n_chars long, n_outside long, n_repeated long")
+    return rounds.ask(dealt, answers, cut, schema)
 
 
 def _suffix_array(tokens: np.ndarray, host: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:

@@ -133,7 +133,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups, shards = rounds.sizes(docs, text_col, group_bytes)
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
     dealt = rounds.by_range(docs, id_col, text_col, groups, others)
-    row_type = docs.select(others.alias("row")).schema["row"].dataType.simpleString()
+    schema = docs.select(others.alias("row"), F.lit(0).cast("long").alias("n_lines"), F.array().cast("array<int>").alias("removed"), F.lit("").alias("kept")).schema
 
     def scan(table: pa.Table) -> tuple[list[Lines], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Chunks of lines; over all of them hash, first of its kind here, long enough for edits, and the half keys of those."""
@@ -246,7 +246,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     one = rounds.answer(rounds.ask(dealt, None, lines), shard)
     two = rounds.answer(rounds.ask(dealt, one, edits), shard)
-    return rounds.ask(dealt, one.unionByName(two), cut, f"row {row_type}, n_lines long, removed array<int>, kept string")
+    return rounds.ask(dealt, one.unionByName(two), cut, schema)
 
 
 def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 GROUP_BYTES = 4 << 20
 ASK = pa.schema([("g", pa.int32()), ("kind", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary())])
@@ -120,7 +121,7 @@ def _counts(mine: pa.Table) -> list[int]:
     return [int.from_bytes(b[:4], "little") for b in mine["bits"].to_pylist()]
 
 
-def ask(groups: DataFrame, replies: DataFrame | None, mapper: Callable, ddl: str = ASK_DDL) -> DataFrame:
+def ask(groups: DataFrame, replies: DataFrame | None, mapper: Callable, ddl: str | StructType = ASK_DDL) -> DataFrame:
     """Runs mapper(g, ordered rows, replies) -> Arrow table on every group."""
     if replies is None:
 

@@ -1,0 +1,221 @@
+"""The ten operators against brute force, on fixtures with nulls, empty and long texts, ties, repeated rows and clashing columns."""
+
+import random
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tessella.llm import decontamination, exact_topk, html_extract, line_dedup, quality, simhash_dedup, source_mix, substring_dedup, suffix_dedup, url_filter
+
+SF = "/root/testdata/sf0.001"
+TEXT = "doc_id long, text string"
+
+
+def words(rng, n):
+    return " ".join(rng.choice(["the", "ánd", "of", "tión", "x", "Reouha", "nicht", "ein", "que", "!!"]) + rng.choice(["", "a", "er", "ung"]) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(5)
+    base = [words(rng, rng.randint(1, 90)) for _ in range(40)]
+    passage = words(rng, 60)
+    lines = ["a line that many documents share, exactly", "a line that many documents share, exactlY", "short", "Short"]
+    rows = []
+    for i in range(70):
+        t = rng.choice(base)
+        if i % 5 == 0:
+            t = t[: len(t) // 2] + " " + passage + " " + t[len(t) // 2 :]
+        if i % 4 == 0:
+            t = "\n".join([t, rng.choice(lines), "", t[:30], rng.choice(lines)])
+        if i % 9 == 0:
+            t = t.replace(" ", "  ", 3).upper()
+        rows.append((i * 7 % 70, t))
+    rows += [(100, None), (101, ""), (102, " \n\t"), (103, "one"), (104, "the " * 3000), (105, "Ünï 𝒳 " * 40), (106, "Ünï 𝒳 " * 40), (107, "abab" * 100)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def frame(spark, corpus):
+    """The corpus with columns that clash with the operators' own."""
+    df = spark.createDataFrame(corpus, TEXT)
+    clash = {n: F.lit("mine") for n in ("g", "row", "kept", "removed", "mark", "fingerprint", "score", "copies", "rate", "items", "hits", "n_words", "label")}
+    return df.withColumns(clash)
+
+
+def same(df, expected, columns=None):
+    got = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+def test_line_dedup(frame, corpus):
+    found = line_dedup.line_dedup(frame)
+    same(found.select(F.col("row.doc_id"), "n_lines", F.size("removed").cast("long"), F.sha2("kept", 256)), line_dedup.brute_force(corpus))
+    assert set(line_dedup.cleaned(frame).columns) == set(frame.columns)
+
+
+def test_line_dedup_one_edit(spark):
+    lines = ["0123456789abcdefgh", "0123456789abcdefg", "0123456789abcdefgX", "X123456789abcdefgh", "0123456789abcdefgh", "123456789abcdefghZ", "completely different line"]
+    rows = [(i, x) for i, x in enumerate(lines)]
+    kept = {r["row"]["doc_id"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, TEXT)).filter(F.size("removed") == 0).collect()}
+    # 5 is two edits from 0 and stays; 1, 2, 3 are one edit from 0, 4 is its copy
+    assert kept == {0, 5, 6}
+
+
+def test_decontamination(spark, frame, corpus):
+    bench = [(1, corpus[0][1]), (2, "one"), (None, corpus[3][1]), (4, None), (5, ""), (5, "Ünï 𝒳 Ünï"), (6, corpus[0][1])]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    expected = decontamination.brute_force(corpus, bench)
+    digest = [F.col("row.doc_id"), "n_words", F.aggregate("hits", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]), F.size("items").cast("long"), F.sha2(F.array_join("items", ","), 256), F.size("hits") > 0]
+    same(decontamination.find_overlaps(frame, items).select(*digest), expected)
+    same(decontamination.find_overlaps(frame, items, block_bytes=300).select(*digest), expected)
+    assert decontamination.decontaminate(frame, items).count() == sum(not r[5] for r in expected)
+    assert decontamination.find_overlaps(frame, items.limit(0)).filter(F.size("hits") > 0).isEmpty()
+
+
+def test_substring_dedup(spark, frame, corpus):
+    for window, gram in ((35, 12), (5, 2), (3, 3)):
+        same(substring_dedup.digest(substring_dedup.substring_dedup(frame, window=window, gram=gram, group_bytes=3000)), substring_dedup.brute_force(corpus, window))
+    twice = corpus[:5] + corpus[:5] + [(None, corpus[0][1])]
+    same(substring_dedup.digest(substring_dedup.substring_dedup(spark.createDataFrame(twice, TEXT))), substring_dedup.brute_force(twice))
+
+
+def test_suffix_dedup(spark, frame, corpus):
+    for length, gram in ((100, 50), (20, 8)):
+        same(suffix_dedup.digest(suffix_dedup.suffix_dedup(frame, length=length, gram=gram, group_bytes=3000)), suffix_dedup.brute_force(corpus, length))
+    twice = corpus[:5] + corpus[:5] + [(None, corpus[0][1])]
+    same(suffix_dedup.digest(suffix_dedup.suffix_dedup(spark.createDataFrame(twice, TEXT))), suffix_dedup.brute_force(twice))
+
+
+def test_suffix_array_is_in_order():
+    import numpy as np
+
+    data = np.frombuffer(b"banana bandana banana", np.uint8)
+    starts = np.arange(len(data) - 9)
+    order, group = suffix_dedup.suffix_array(data, starts, 10)
+    cut = [bytes(data[s : s + 10]) for s in starts[order]]
+    assert cut == sorted(cut)
+    assert [a == b for a, b in zip(cut, cut[1:])] == [a == b for a, b in zip(group, group[1:])]
+
+
+def test_index_family_levels():
+    import numpy as np
+
+    family, seen, rng = suffix_dedup.IndexFamily(), set(), random.Random(1)
+    for _ in range(40):
+        batch = np.array(sorted({rng.randint(0, 400) for _ in range(20)}), np.uint64)
+        assert family.add(batch).tolist() == [int(x) in seen for x in batch]
+        seen |= {int(x) for x in batch}
+    assert len(family.levels) <= 9
+
+
+def test_simhash(frame, corpus, monkeypatch):
+    expected = simhash_dedup.brute_force(corpus)
+    same(simhash_dedup.near_duplicates(frame), expected)
+    monkeypatch.setattr(simhash_dedup, "PAIR_CELL", 1)
+    same(simhash_dedup.near_duplicates(frame), expected)
+    classes = {r[2] for r in simhash_dedup.brute_force(corpus, 5)}
+    assert {r["doc_id"] for r in simhash_dedup.keep_one(frame).collect()} == classes
+
+
+def test_topk(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.choice([-1.0, 0.5, 0.25, 2.0]) for _ in range(4)]) for i in range(350)]
+    rows += [(400, None), (500, [1.0, None, 0.0, 0.0]), (600, [float("nan")] * 4), (700, [float("inf")] * 4), (800, []), (None, [1.0] * 4), (900, [1e12, 0.0, 0.0, 0.0]), (901, [1.0, 2.0])]
+    import math
+
+    good = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    expected = []
+    for q, x in good:
+        if q % 100 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in good if i != q and len(x) == len(y))
+            expected += [(q, k, i, -s) for k, (s, i) in enumerate(scored[:10], 1)]
+    same(exact_topk.exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), expected)
+
+
+def test_html(spark):
+    boiler = "<div>Subscribe now to our weekly letter and never miss any single story again</div>"
+    pages = [
+        (1, "http://a.b/x", "<nav>menu</nav><article><h1>T &amp; t</h1><p>one<br>two <b>three<p>four &quo</article><footer>f</footer>"),
+        (2, "http://a.b/y", f"<body>{boiler}<p>unique text of page two</p></body>"),
+        (3, "http://a.b/z", f"<body>{boiler}<p>other text of page three</p><script>x('<p>')</script><!-- <p>no</p> --></body>"),
+        (4, "http://c.d/z", f"<body>{boiler}<p>alone on its host</p></body>"),
+        (5, None, None), (6, "no scheme", ""), (7, "http://a.b/q", "<article><p>cut <a hr"), (8, "http://a.b/q", "<main><div class='reader-comments'>c</div><section>s</section></main>"),
+        (8, "http://a.b/q", "<main><div class='reader-comments'>c</div><section>s</section></main>"),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("text", F.lit("mine"))
+    found = html_extract.extract(df)
+    expected = html_extract.brute_force(pages)
+    same(found.select("row.page_id", "row.url", "text", "n_chars", "n_repeated"), expected)
+    texts = {r[0]: r[2] for r in expected}
+    assert texts[1] == "T & t\none two three\nfour &quo" and texts[2] == "unique text of page two" and texts[7] == "cut" and texts[8] == "s" and texts[5] == ""
+    assert "Subscribe" in texts[4]
+
+
+def test_urls(spark):
+    pages = [(1, "https://A.Example.NET/en/1", "<p>spam farm news shop</p>"), (2, "https://example.net", "farm shop shop"), (3, "https://xexample.com/de/", None), (4, "http://m.example.com/de/x?y#z", "news"), (5, "http://q.org/fr/1", ""), (6, "http://spamfarmnews.io/shop", "x"), (7, "http://spam-farm.io/farm", "x"), (8, None, "x"), (9, "no scheme", "x"), (9, "no scheme", "x"), (10, "http://newsshop.io?q=/net/", "x"), (11, "", "x")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("label", F.lit(1))
+    same(url_filter.judge(df).select("row.page_id", "host", "path", "rule", "verdict"), url_filter.brute_force(pages))
+    assert url_filter.viterbi("spamfarmnews", {"spam": 5, "farm": 5, "news": 5, "new": 1}, 100) == ["spam", "farm", "news"]
+
+
+def test_quality(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("score", F.lit("mine"))
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    extra = spark.createDataFrame([(None, None), (-1, ""), (-2, "x " * 50000)], TEXT)
+    both = docs.unionByName(extra, allowMissingColumns=True)
+    scored = quality.score(both, quality.fit(both, labels), keep=["doc_id"]).select("row.doc_id", "score", quality.held_out("row.doc_id").alias("out"))
+    assert scored.count() == both.count() and scored.filter("score is null or score < 0 or score > 1").isEmpty()
+    right = scored.filter("out").join(labels, "doc_id").agg(F.avg(((F.col("score") >= 0.3).cast("int") == F.col("quality")).cast("int"))).first()[0]
+    assert right > 0.95
+    empty = quality.fit(docs.limit(0), labels.limit(0))
+    assert quality.score(docs.limit(3), empty).filter("score = 0.5").count() == 3
+
+
+def test_mix(spark, frame):
+    rows = frame.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "src0").when(F.col("doc_id") % 3 == 1, "b"))
+    found = source_mix.mix_sources(rows, weights={"src0": 0.25}, total=3.0)
+    again = source_mix.mix_sources(rows.repartition(7), weights={"src0": 0.25}, total=3.0)
+    key = lambda df: sorted((r["row"]["doc_id"], r["copy"], r["shuffle_key"]) for r in df.collect())
+    assert key(found) == key(again)
+    rates = source_mix.rates(rows, weights={"src0": 0.25}, total=3.0)
+    size = rates.agg(F.sum("size")).first()[0]
+    assert abs(rates.agg(F.sum(F.col("rate") * F.col("size"))).first()[0] - 3.0 * size) < 1e-6 * size
+    assert source_mix.mix_sources(rows.limit(0)).isEmpty()
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], TEXT)
+    for f in (line_dedup.line_dedup, substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, simhash_dedup.near_duplicates):
+        assert f(none).isEmpty()
+    assert exact_topk.exact_topk(spark.createDataFrame([], "vec_id long, embedding array<float>")).isEmpty()
+    assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).isEmpty()
+    assert url_filter.judge(spark.createDataFrame([], "page_id long, url string, html string")).isEmpty()
+
+
+def test_pipeline(spark, tmp_path):
+    """Each stage on what the one before kept, against brute force; the classifier and the mixture against their own parts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    bench = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(i)))
+        docs = spark.read.parquet(str(tmp_path / str(i)))
+        assert docs.columns == columns
+        after = {r["doc_id"]: r["text"] for r in docs.collect()}
+        if name == "quality_classifier":
+            good = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").collect()}
+            assert len(good - set(after)) <= 0.05 * len(good)
+        elif name == "line_dedup":
+            for doc_id, n, gone, _ in line_dedup.brute_force(before):
+                assert doc_id in after or gone > 0
+        elif name == "simhash_near_dedup":
+            assert set(after) == {r[2] for r in simhash_dedup.brute_force(before, 5)}
+        elif name == "benchmark_decontamination":
+            assert set(after) == {r[0] for r in decontamination.brute_force(before, bench) if not r[5]}
+        else:
+            assert set(after) <= {d for d, _ in before}
+    assert corpus_pipeline.ORACLE_SQL is None and pq.read_table(tmp_path / "4").num_rows == docs.count()
