@@ -12,6 +12,8 @@ from tessella.llm import textscan as ts
 #: Words share this many slots by hash, so the table of vectors has a fixed size (8 MB), whatever the corpus.
 SLOTS = 1 << 15
 DIMENSIONS = 48
+#: Entries of an index vector that aren't zero.
+ENTRIES = 4
 #: Blocks of slots that are summed apart.
 BLOCKS = 16
 #: The network is fitted on a sample of at most about this many labelled rows; all else covers all documents.
@@ -24,13 +26,11 @@ _MARK[65:91] = _MARK[97:123] = _MARK[48:58] = _MARK[128:] = False
 _MARK[ts.SPACE] = False
 
 
-def index_vectors() -> np.ndarray:
-    """Sparse random vectors of +1 and -1, one for each slot."""
+def index_vectors() -> tuple[np.ndarray, np.ndarray]:
+    """Sparse random vectors, one for each slot: the places of their few entries, and the signs of these."""
     random = np.random.default_rng(7)
-    out = np.zeros((SLOTS, DIMENSIONS), np.float32)
-    at = random.random((SLOTS, DIMENSIONS)).argsort(axis=1)[:, :8]
-    np.put_along_axis(out, at, random.choice(np.array([-1, 1], np.float32), (SLOTS, 8)), axis=1)
-    return out
+    at = random.random((SLOTS, DIMENSIONS)).argsort(axis=1)[:, :ENTRIES]
+    return at.astype(np.int32), random.choice(np.array([-1, 1], np.float64), (SLOTS, ENTRIES))
 
 
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,26 +60,22 @@ def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (both >> np.uint64(64 - 15)).astype(np.int64), rows * 2
 
 
-def _sums(slots: np.ndarray, rows: np.ndarray, index: np.ndarray, total: np.ndarray) -> None:
-    """Adds to every slot's vector the index vectors of the terms up to four places away in the same row."""
+def _sums(slots: np.ndarray, rows: np.ndarray, index: tuple[np.ndarray, np.ndarray], total: np.ndarray) -> None:
+    """Adds to every slot's vector the index vectors of the terms one, two and four places away in the same row."""
     n = len(slots)
     if not n:
         return
-    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-    pairs = []
+    places, signs = index
+    row = np.repeat(np.arange(len(rows) - 1, dtype=np.int32), np.diff(rows))
+    slots = slots.astype(np.int32)
     for step in (1, 2, 4):
-        if n > step:
-            same = row[step:] == row[:-step]
-            pairs.append(slots[step:][same] * SLOTS + slots[:-step][same])
-    if not pairs:
-        return
-    code, times = np.unique(np.concatenate(pairs), return_counts=True)
-    a, b = code // SLOTS, code % SLOTS
-    weight = times.astype(np.float32)[:, None]
-    for to, of in ((a, b), (b, a)):
-        order = np.argsort(to, kind="stable")
-        head = np.flatnonzero(np.diff(np.concatenate(([-1], to[order]))))
-        total[to[order][head]] += np.add.reduceat(index[of[order]] * weight[order], head, axis=0)
+        if n <= step:
+            continue
+        same = row[step:] == row[:-step]
+        left, right = slots[:-step][same], slots[step:][same]
+        for to, of in ((left, right), (right, left)):
+            at = (to * np.int32(DIMENSIONS))[:, None] + places[of]
+            total += np.bincount(at.ravel(), weights=signs[of].ravel(), minlength=total.size)
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -92,13 +88,13 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     def run(batches):
         index = index_vectors()
-        total = np.zeros((SLOTS, DIMENSIONS), np.float32)
+        total = np.zeros(SLOTS * DIMENSIONS)
         for batch in batches:
             data, offsets = ts.text_bytes(batch["text"])
             for a, b in ts.chunks(offsets, 1 << 20):
                 slots, rows = _terms(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 _sums(slots, rows, index, total)
-        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([total[k * step : (k + 1) * step].tobytes() for k in range(BLOCKS)], pa.binary())], names=["block", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([part.tobytes() for part in np.split(total.astype(np.float32), BLOCKS)], pa.binary())], names=["block", "sums"])
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(step * DIMENSIONS, np.float64)
