@@ -18,15 +18,13 @@ def wide_scores(reads: DataFrame, rounds: int) -> DataFrame:
 
 def wide_intensity(intensity: DataFrame, rounds: int, channels: int = 3) -> DataFrame:
     """Five columns a round: the centre's maximum, each channel's box sum, and the greatest of these."""
-    by = F.map_from_entries(F.collect_list(F.struct("round_no", F.struct("center_max", "sums", "sum_max"))))
-    rows = intensity.groupBy("fov", "spot_id").agg(by.alias("m"))
     columns = []
     for r in range(1, rounds + 1):
-        at = F.try_element_at("m", F.lit(r))
-        columns.append(at["center_max"].alias(f"round{r:03d}_centerMax"))
-        columns += [F.get(at["sums"], F.lit(c)).alias(f"round{r:03d}_NeighborSum_ch{c + 1}") for c in range(channels)]
-        columns.append(at["sum_max"].alias(f"round{r:03d}_NeighborSum_chMax"))
-    return rows.select("fov", "spot_id", *columns)
+        pick = lambda c, r=r: F.max(F.when(F.col("round_no") == r, c))
+        columns.append(pick(F.col("center_max")).alias(f"round{r:03d}_centerMax"))
+        columns += [pick(F.get("sums", F.lit(c))).alias(f"round{r:03d}_NeighborSum_ch{c + 1}") for c in range(channels)]
+        columns.append(pick(F.col("sum_max")).alias(f"round{r:03d}_NeighborSum_chMax"))
+    return intensity.groupBy("fov", "spot_id").agg(*columns)
 
 
 def write_decoding(points: DataFrame, scores: DataFrame, reads: DataFrame, intensity: DataFrame, path: str, rounds: int, fmt: str = "parquet") -> None:
