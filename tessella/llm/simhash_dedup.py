@@ -8,8 +8,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.llm import shingle_links
 from tessella.llm import textscan as ts
-from tessella.operators.graph import checkpointed, components
+from tessella.operators.graph import checkpointed, components, shared_folder
 
 SEED = 42
 #: 64 bits in segments of 4; a segment's count is a digit of a number to the base 5.
@@ -18,10 +19,9 @@ SEGMENTS = 16
 PAIR_CELL = 64
 
 
-def _fingerprints(column, shingle: int) -> np.ndarray:
-    """SimHash of each text, as signed 64-bit numbers."""
+def _shingles(column, shingle: int):
+    """For bounded runs of rows: the rows that have words, where each one's shingles start, and the hashes of all shingles."""
     data, offsets = ts.text_bytes(column)
-    out = np.zeros(len(offsets) - 1, np.uint64)
     for a, b in ts.chunks(offsets):
         low = ts.LOWER[data[offsets[a] : offsets[b]]]
         at = offsets[a : b + 1] - offsets[a]
@@ -42,29 +42,47 @@ def _fingerprints(column, shingle: int) -> np.ndarray:
         last = np.minimum(first + shingle, rows[1:][row]) - 1
         digest = xxhash.xxh64_intdigest
         hashes = np.array([digest(flat[x:y], SEED) for x, y in zip(begin[first].tolist(), stop[last].tolist())], np.uint64)
-        bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         there = np.flatnonzero(per_row)
-        ones = np.add.reduceat(bits, (np.cumsum(per_row) - per_row)[there], axis=0, dtype=np.int64)
-        packed = np.packbits(2 * ones > per_row[there][:, None], axis=1)
-        out[a + there] = packed.reshape(-1).view(">u8").astype(np.uint64)
-    return out.view(np.int64)
+        yield a + there, (np.cumsum(per_row) - per_row)[there], hashes
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3, keep: list[str] | None = None) -> DataFrame:
+def _simhash(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """SimHash of each run of hashes that begins at starts."""
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+    packed = np.packbits(2 * ones > np.diff(starts, append=len(hashes))[:, None], axis=1)
+    return packed.reshape(-1).view(">u8").astype(np.uint64)
+
+
+def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3, keep: list[str] | None = None, minima: bool = False) -> DataFrame:
     """(row struct of the kept columns, mark, fingerprint) for every row; mark is a hash of the text.
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased; shingles are `shingle` words joined by one space,
     repeats included, hashed by XXH64 with seed 42. A text of fewer words is one shingle; without words, null
     included, the fingerprint is zero. A bit is set if more than half of the hashes have it.
+    With `minima`, also the signature and the band keys of shingle_links, both null for a text without words.
     """
     kept = docs.columns if keep is None else keep
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    schema = source.drop("text").withColumn("fingerprint", F.lit(0).cast("long")).schema
+    schema = source.drop("text").withColumn("fingerprint", F.lit(0).cast("long"))
+    if minima:
+        schema = schema.withColumns({"signature": F.lit(None).cast("binary"), "bands": F.lit(None).cast("array<long>")})
+    schema = schema.schema
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["row"], batch["mark"], pa.array(_fingerprints(batch["text"], shingle))], names=["row", "mark", "fingerprint"])
+            prints = np.zeros(len(batch), np.uint64)
+            signatures, bands = [None] * len(batch), [None] * len(batch)
+            for rows, starts, hashes in _shingles(batch["text"], shingle):
+                prints[rows] = _simhash(hashes, starts)
+                if minima:
+                    for i, low, keys in zip(rows.tolist(), *shingle_links.minima(hashes, starts)):
+                        signatures[i], bands[i] = low.tobytes(), keys
+            arrays = [batch["row"], batch["mark"], pa.array(prints.view(np.int64))]
+            if minima:
+                arrays += [pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -109,10 +127,11 @@ def links(prints: DataFrame, column: str = "fingerprint") -> DataFrame:
     return pairs.unionByName(stars)
 
 
-def classes(prints: DataFrame, order: Column) -> DataFrame:
-    """(fingerprint, least order value of its component)."""
+def classes(prints: DataFrame, order: Column, more: DataFrame | None = None) -> DataFrame:
+    """(fingerprint, least order value of its component). more: further edges (a, b) between fingerprints."""
     least = prints.groupBy("fingerprint").agg(F.min(order).alias("least"))
-    label = components(links(prints))
+    edges = links(prints)
+    label = components(edges if more is None else edges.unionByName(more))
     joined = least.join(label, least["fingerprint"] == label["node"], "left").select("fingerprint", "least", F.coalesce("label", "fingerprint").alias("label"))
     best = joined.groupBy("label").agg(F.min("least").alias("least"))
     return joined.select("fingerprint", "label").join(best, "label").select("fingerprint", "least")
@@ -133,12 +152,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
     """The rows of docs without near-duplicates of others: of each component the row of the least doc_id stays.
 
+    Documents are linked if their fingerprints differ in two bits or fewer, or if their shingle sets have a similarity of 0.8
+    or more by their minima (shingle_links; of documents with one fingerprint the first one's minima stand for all).
     Nulls come last; among equal ids the smaller hash of the text stays, and rows equal in both count as one document and stay
-    together. All columns are returned.
+    together. Texts without words count as copies of each other. All columns are returned.
     """
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("mark"))
-    prints = checkpointed(fingerprints(docs, text_col, shingle, [id_col]).select(F.col(f"row.{id_col}").alias("id"), "mark", "fingerprint"))
-    found = classes(prints, order)
+    table = shared_folder(docs.sparkSession, "signatures")
+    fingerprints(docs, text_col, shingle, [id_col], minima=True).select(F.col(f"row.{id_col}").alias("id"), "mark", "fingerprint", "signature", "bands").write.parquet(table)
+    written = docs.sparkSession.read.parquet(table)
+    prints = written.select("id", "mark", "fingerprint")
+    first = written.groupBy("fingerprint").agg(F.min_by(F.struct("signature", "bands"), order).alias("s"))
+    nodes = checkpointed(first.select(F.col("fingerprint").alias("node"), "s.*"))
+    found = classes(prints, order, shingle_links.links(nodes))
     lost = prints.join(found, "fingerprint").filter(order != F.col("least")).select(F.col("id").alias("__id"), F.col("mark").alias("__mark")).distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.join(lost, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__mark")), "left_anti")
@@ -149,13 +175,14 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=3)
 
 
-def brute_force(rows: list[tuple], shingle: int = 3) -> list[tuple]:
-    """The same result in plain Python, for small fixtures."""
+def brute_force(rows: list[tuple], shingle: int = 3, similarity: float | None = None) -> list[tuple]:
+    """The same result in plain Python, for small fixtures; with `similarity`, sets of shingles of that similarity or more are linked too."""
     lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-    prints = []
+    prints, sets = [], []
     for _, text in rows:
         w = (text or "").encode().translate(lower).split()
         parts = [b" ".join(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))] if w else []
+        sets.append(set(parts))
         hashes = [xxhash.xxh64_intdigest(p, 42) for p in parts]
         prints.append(sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes)))
     parent = list(range(len(rows)))
@@ -170,6 +197,9 @@ def brute_force(rows: list[tuple], shingle: int = 3) -> list[tuple]:
     for i in range(len(rows)):
         for j in np.flatnonzero(np.bitwise_count(array[i + 1 :] ^ array[i]) <= 2):
             parent[root(i)] = root(int(i + 1 + j))
+        for j in range(i + 1, len(rows) if similarity else 0):
+            if len(sets[i] & sets[j]) >= similarity * max(1, len(sets[i] | sets[j])):
+                parent[root(i)] = root(j)
     least: dict[int, int] = {}
     for i, (doc_id, _) in enumerate(rows):
         least[root(i)] = min(least.get(root(i), doc_id), doc_id)

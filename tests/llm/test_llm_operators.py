@@ -116,8 +116,40 @@ def test_simhash(frame, corpus, monkeypatch):
     same(simhash_dedup.near_duplicates(frame), expected)
     monkeypatch.setattr(simhash_dedup, "PAIR_CELL", 1)
     same(simhash_dedup.near_duplicates(frame), expected)
-    classes = {r[2] for r in simhash_dedup.brute_force(corpus, 5)}
-    assert {r["doc_id"] for r in simhash_dedup.keep_one(frame).collect()} == classes
+    assert between({r["doc_id"] for r in simhash_dedup.keep_one(frame).collect()}, corpus)
+    assert simhash_dedup.keep_one(frame.limit(0)).isEmpty()
+
+
+def between(kept, rows):
+    """Kept documents lie between the exact results for similarities three standard errors off 0.8, as the similarity is estimated."""
+    few, many = ({r[2] for r in simhash_dedup.brute_force(rows, 5, s)} for s in (0.71, 0.84))
+    return few <= kept <= many
+
+
+def edited(rng, text, n):
+    """The text with n words replaced at equal distances."""
+    w = text.split(" ")
+    for k in range(n):
+        w[(2 * k + 1) * len(w) // (2 * n)] = f"new{rng.random()}"
+    return " ".join(w)
+
+
+def test_near_copies_of_similarity_from_08(spark):
+    """Edited copies go, loosely related documents stay, and a large group of them does as well as a small one."""
+    rng = random.Random(11)
+    tale = lambda n: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+    rows, shared = [], tale(40)
+    for g in range(12):
+        base = tale(400)
+        # similarities of about 0.97, 0.90, 0.85 and 0.6: the last one stays
+        rows += [(10 * g + k, edited(rng, base, n)) for k, n in enumerate((0, 1, 4, 6, 20))]
+        # half shared with all others of its kind: a similarity of a third
+        rows.append((10 * g + 9, shared + " " + tale(40)))
+    base = tale(300)
+    rows += [(1000 + k, edited(rng, base, 3)) for k in range(150)]
+    kept = {r["doc_id"] for r in simhash_dedup.keep_one(spark.createDataFrame(rows, TEXT)).collect()}
+    assert kept == {10 * g + k for g in range(12) for k in (0, 4, 9)} | {1000}
+    assert between(kept, rows)
 
 
 def test_topk(spark):
@@ -213,7 +245,7 @@ def test_pipeline(spark, tmp_path):
             for doc_id, n, gone, _ in line_dedup.brute_force(before):
                 assert doc_id in after or gone > 0
         elif name == "simhash_near_dedup":
-            assert set(after) == {r[2] for r in simhash_dedup.brute_force(before, 5)}
+            assert between(set(after), before)
         elif name == "benchmark_decontamination":
             assert set(after) == {r[0] for r in decontamination.brute_force(before, bench) if not r[5]}
         else:
