@@ -1,4 +1,4 @@
-"""Links between texts whose shingle sets are similar: banded minima name the pairs, all minima of both texts estimate the similarity.
+"""Links between texts whose shingle sets are similar: banded minima name the pairs, the sets themselves decide.
 
 Fingerprints of 64 bits do not separate a similarity of 0.8 (some ten bits) from chance in a grid of bit counts, so the
 near-duplicate stage of the pipeline takes these links besides those of the grid.
@@ -12,78 +12,150 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm import textscan as ts
-from tessella.operators.graph import checkpointed
+from tessella.operators.graph import checkpointed, components, shared_folder
 
-#: Minima a text, kept as 8 bits each; the estimate's standard error is 0.018 at a similarity of 0.8.
-MINIMA = 512
 #: Bands of four minima: two texts of similarity 0.8 share none of them with probability 3e-5.
 BANDS, BAND = 20, 4
-#: Least share of equal minima: 0.8 less one standard error; unequal minima agree in one of 256 cases.
-SHARE = 0.78 + 0.22 / 256
+#: Two sets are similar if they have at least 4 / 5 of their union in common.
+PART, WHOLE = 4, 5
+#: A block of a band group has about so many nodes and bytes of shingles at most.
+BLOCK_NODES, BLOCK_BYTES = 1024, 2 << 20
+#: Shingles whose columns are multiplied at once.
+COLUMNS = 4096
 
 _rng = np.random.default_rng(512)
-_XORS = _rng.integers(0, 2**63, MINIMA, dtype=np.uint64)
-_FACTORS = _rng.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_XORS = _rng.integers(0, 2**63, BANDS * BAND, dtype=np.uint64)
+_FACTORS = _rng.integers(0, 2**63, BANDS * BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def minima(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Signature (8 bits a minimum) and band keys (signed) of each run of shingle hashes that begins at starts."""
-    low = np.empty((len(starts), MINIMA), np.uint64)
-    for k in range(MINIMA):
+def minima(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Band keys (signed) of each run of shingle hashes that begins at starts."""
+    low = np.empty((len(starts), BANDS * BAND), np.uint64)
+    for k in range(BANDS * BAND):
         low[:, k] = np.minimum.reduceat((hashes ^ _XORS[k]) * _FACTORS[k], starts)
     keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(starts), BANDS))
     for k in range(BAND):
         keys = ts.mix(keys * np.uint64(0x9E3779B97F4A7C15) + low[:, k * BANDS : (k + 1) * BANDS])
-    return (low >> np.uint64(16)).astype(np.uint8), keys.view(np.int64)
+    return keys.view(np.int64)
 
 
-def _shares(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose share of equal minima is at least SHARE."""
-    a = nodes.select(F.col("node").alias("a"), F.col("signature").alias("left"))
-    b = nodes.select(F.col("node").alias("b"), F.col("signature").alias("right"))
+def _similar(common, left, right):
+    """Exact test on the sizes of two sets and of what they share."""
+    return WHOLE * common >= PART * (left + right - common)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar."""
+    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
 
     def run(batches):
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, MINIMA) for c in ("left", "right"))
-            near = (left == right).sum(axis=1) >= SHARE * MINIMA
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(near))
+            both = ((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch["left"].to_pylist(), batch["right"].to_pylist()))
+            near = [bool(_similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))) for x, y in both]
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     return pairs.join(a, "a").join(b, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def links(nodes: DataFrame) -> DataFrame:
-    """Edges (a, b) between similar nodes. nodes: (node, signature, bands), one row a node.
+def _common(blobs: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of all sets, and the numbers of shingles that each of the first ones shares with each of the others (with all if there are none)."""
+    size = np.array([len(b) // 8 for b in blobs])
+    owner = np.repeat(np.arange(len(blobs)), size)
+    _, column, count = np.unique(np.frombuffer(b"".join(blobs), np.uint64), return_inverse=True, return_counts=True)
+    shared = count > 1
+    rank = np.cumsum(shared) - 1
+    held = shared[column]
+    owner, column = owner[held], rank[column[held]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    second = first if first < len(blobs) else 0
+    out = np.zeros((first, len(blobs) - second), np.float32)
+    for low in range(0, int(shared.sum()), COLUMNS):
+        at = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+        here = np.zeros((len(blobs), min(COLUMNS, int(shared.sum()) - low)), np.float32)
+        here[owner[at], column[at] - low] = 1
+        # whole numbers below 2**24 are exact in each product
+        out = out + (here[:first] @ here[second:].T).astype(np.float64)
+    return size, out
+
+
+def _forest(x: np.ndarray, y: np.ndarray, second: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most n edges with the components of the edges (x, second + y) over n places."""
+    y = y + second
+    root = np.arange(n)
+    while True:
+        least = np.minimum(root[x], root[y])
+        new = root.copy()
+        np.minimum.at(new, root[x], least)
+        np.minimum.at(new, root[y], least)
+        new = new[new]
+        if (new == root).all():
+            there = np.flatnonzero(root != np.arange(n))
+            return there, root[there]
+        root = new
+
 
-    No pairs of a whole band group are formed. In rounds, each group (nodes of one band key) names heads, those that share most groups
-    with others first; the open nodes of the group are compared with its heads. A node with a link is closed: it still becomes a
-    head for the open ones, but asks no more. The number of heads grows fourfold a round until no open node is left
-    that has not met all the others, so a node that ends without a link has been compared with all that share
-    a band with it. Closed nodes are not compared with each other: two groups of similar texts whose only
-    bridge lies between two closed nodes stay apart.
+def _compare(table: pa.Table) -> pa.Table:
+    """Edges with the components of the similar pairs of nodes with different labels, within a block or between the two blocks of a pair of blocks."""
+    table = table.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending"), ("side", "ascending")])
+    key, i, j, side, node, label = (table[c].to_numpy() for c in ("key", "i", "j", "side", "node", "label"))
+    blobs = table["shingles"].to_pylist()
+    heads = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
+    a, b = [], []
+    for low, high in zip(heads, np.append(heads[1:], len(key))):
+        first = int((side[low:high] == 0).sum())
+        alone = i[low] == j[low]
+        if not first or not alone and first == high - low:
+            continue
+        size, common = _common(blobs[low:high], first)
+        second = 0 if alone else first
+        near = _similar(common, size[:first, None], size[None, second:]) & (label[low : low + first, None] != label[None, low + second : high])
+        x, y = _forest(*np.nonzero(near), second, high - low)
+        a.append(node[low + x])
+        b.append(node[low + y])
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+    return pa.table([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
+
+
+def links(written: DataFrame, ties: DataFrame) -> DataFrame:
+    """Edges (a, b) which, together with `ties`, have the components of all similar pairs that share a band, and of the ties.
+
+    written: (node, shingles, bands), any number of rows a node, all alike. shingles: the set's sorted 64-bit hashes.
+    First each node of a band group is compared with the group's head, the one that shares most groups with others. Then
+    components are labelled, and in each group all pairs of other nodes with different labels are compared in blocks. No rows are formed for pairs:
+    a group of n nodes sends n rows for each of its n / BLOCK_NODES blocks. Only pairs that are in one component already are left out.
     """
-    banded = nodes.select("node", F.explode("bands").alias("key"))
+    banded = written.select("node", "bands").filter("bands is not null").dropDuplicates(["node"]).select("node", F.explode("bands").alias("key"))
+    banded = checkpointed(banded)
     sizes = checkpointed(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     met = checkpointed(banded.join(sizes, "key"))
     degree = checkpointed(met.groupBy("node").agg(F.sum("n").alias("degree")))
-    # shut, headed: the rounds in which the node was closed, and was head of this group
-    active = checkpointed(met.select("key", "node").join(degree, "node").withColumns({"shut": F.lit(None).cast("int"), "headed": F.lit(None).cast("int")}))
-    found, left, turn = degree.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), nodes.select("node", "signature"), 0
-    while not active.isEmpty():
-        heads = 4**turn
-        left = checkpointed(left.join(active.select("node").distinct(), "node", "left_semi"))
-        slot = F.pmod(F.xxhash64("node", F.lit(heads)), F.lit(heads))
-        best = F.max(F.struct("degree", "node", F.col("shut").alias("before")))
-        named = checkpointed(active.filter("headed is null").groupBy("key", slot.alias("slot")).agg(best.alias("h")).select("key", F.col("h.node").alias("head"), "h.before"))
-        # an open node that was head has met all that were open then
-        asked = active.filter("shut is null").join(named, "key").filter("node <> head and (headed is null or before < headed)")
-        near = checkpointed(_shares(asked.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct(), left))
-        found = found.unionByName(near)
-        closed = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("now", F.lit(turn))
-        was = named.select("key", F.col("head").alias("node"), F.lit(turn).alias("then"))
-        active = active.join(closed, "node", "left").join(was, ["key", "node"], "left")
-        active = checkpointed(active.select("key", "node", "degree", F.coalesce("shut", "now").alias("shut"), F.coalesce("headed", "then").alias("headed")).filter("shut is null or headed is null"))
-        unmet = F.count_if(F.expr("shut is null and headed is null")), F.count_if(F.expr("headed is null")), F.max("headed"), F.min("shut")
-        going = active.groupBy("key").agg(*[x.alias(n) for x, n in zip(unmet, "ufcs")]).filter("(u > 0 and f > 1) or c > s").select("key")
-        active = checkpointed(active.join(checkpointed(going), "key"))
-        turn += 1
-    return found.distinct()
+    ranked = checkpointed(met.join(degree, "node"))
+    heads = checkpointed(ranked.groupBy("key").agg(F.max(F.struct("degree", "node")).alias("h")).select("key", F.col("h.node").alias("head")))
+    met = checkpointed(met.join(heads, "key").filter("node <> head"))
+    pairs = checkpointed(met.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
+    spark = written.sparkSession
+    folder = shared_folder(spark, "sets")
+    written.select("node", "shingles").join(degree.select("node"), "node", "left_semi").dropDuplicates(["node"]).write.parquet(folder)
+    sets = spark.read.parquet(folder)
+    near = checkpointed(_verified(pairs, sets))
+
+    label = checkpointed(components(ties.unionByName(near)))
+    # the head has met all others; of them, a group of one label is done
+    rest = checkpointed(met.filter("n > 2").select("key", "node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")).join(sets.select("node", F.octet_length("shingles").alias("bytes")), "node"))
+    counts = F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")
+    mixed = rest.groupBy("key").agg(*counts).filter("low <> high")
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_NODES, F.col("bytes") / BLOCK_BYTES)).cast("int")
+    mixed = checkpointed(mixed.select("key", blocks.alias("blocks"), "bytes"))
+    total = mixed.agg(F.sum("bytes")).first()[0]
+    if not total:
+        return near
+    mine = checkpointed(rest.select("key", "node", "label").join(mixed.select("key", "blocks"), "key")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = mine.select("key", "node", "label", "blocks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other"), "side": F.when(F.col("block") > F.col("other"), 1).otherwise(0)})
+    # small groups share a task's table; each pair of blocks of a large group has one
+    bucket = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(max(1, total // BLOCK_BYTES)))).otherwise(F.xxhash64("key", "i", "j"))
+    sent = dealt.select(bucket.alias("bucket"), "key", "i", "j", "side", "node", "label").join(sets, "node").select("bucket", "key", "i", "j", "side", "node", "label", "shingles")
+    more = sent.groupBy("bucket").applyInArrow(_compare, "a long, b long")
+    return near.unionByName(checkpointed(more.distinct()))

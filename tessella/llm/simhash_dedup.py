@@ -60,28 +60,30 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3, keep
     Words are runs of bytes other than ASCII white space, A-Z lower-cased; shingles are `shingle` words joined by one space,
     repeats included, hashed by XXH64 with seed 42. A text of fewer words is one shingle; without words, null
     included, the fingerprint is zero. A bit is set if more than half of the hashes have it.
-    With `minima`, also the signature and the band keys of shingle_links, both null for a text without words.
+    With `minima`, also node (a hash of the text's set of shingles), shingles (the set's sorted hashes) and the band keys of
+    shingle_links, the last two null for a text without words.
     """
     kept = docs.columns if keep is None else keep
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.xxhash64(text).alias("mark"), text.alias("text"))
     schema = source.drop("text").withColumn("fingerprint", F.lit(0).cast("long"))
     if minima:
-        schema = schema.withColumns({"signature": F.lit(None).cast("binary"), "bands": F.lit(None).cast("array<long>")})
+        schema = schema.withColumns({"node": F.lit(0).cast("long"), "shingles": F.lit(None).cast("binary"), "bands": F.lit(None).cast("array<long>")})
     schema = schema.schema
 
     def run(batches):
         for batch in batches:
             prints = np.zeros(len(batch), np.uint64)
-            signatures, bands = [None] * len(batch), [None] * len(batch)
+            nodes, sets, bands = np.zeros(len(batch), np.uint64), [None] * len(batch), [None] * len(batch)
             for rows, starts, hashes in _shingles(batch["text"], shingle):
                 prints[rows] = _simhash(hashes, starts)
                 if minima:
-                    for i, low, keys in zip(rows.tolist(), *shingle_links.minima(hashes, starts)):
-                        signatures[i], bands[i] = low.tobytes(), keys
+                    for i, own, keys in zip(rows.tolist(), np.split(hashes, starts[1:]), shingle_links.minima(hashes, starts)):
+                        sets[i], bands[i] = np.unique(own).tobytes(), keys
+                        nodes[i] = xxhash.xxh64_intdigest(sets[i], SEED)
             arrays = [batch["row"], batch["mark"], pa.array(prints.view(np.int64))]
             if minima:
-                arrays += [pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+                arrays += [pa.array(nodes.view(np.int64)), pa.array(sets, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return source.mapInArrow(run, schema)
@@ -127,14 +129,13 @@ def links(prints: DataFrame, column: str = "fingerprint") -> DataFrame:
     return pairs.unionByName(stars)
 
 
-def classes(prints: DataFrame, order: Column, more: DataFrame | None = None) -> DataFrame:
-    """(fingerprint, least order value of its component). more: further edges (a, b) between fingerprints."""
-    least = prints.groupBy("fingerprint").agg(F.min(order).alias("least"))
-    edges = links(prints)
-    label = components(edges if more is None else edges.unionByName(more))
-    joined = least.join(label, least["fingerprint"] == label["node"], "left").select("fingerprint", "least", F.coalesce("label", "fingerprint").alias("label"))
+def classes(prints: DataFrame, order: Column, edges: DataFrame | None = None, column: str = "fingerprint") -> DataFrame:
+    """(column, least order value of its component). edges: (a, b) between values of the column; by default those of the fingerprints."""
+    least = prints.groupBy(column).agg(F.min(order).alias("least"))
+    label = components(links(prints) if edges is None else edges)
+    joined = least.join(label.select(F.col("node").alias("__node"), "label"), F.col(column) == F.col("__node"), "left").select(column, "least", F.coalesce("label", column).alias("label"))
     best = joined.groupBy("label").agg(F.min("least").alias("least"))
-    return joined.select("fingerprint", "label").join(best, "label").select("fingerprint", "least")
+    return joined.select(column, "label").join(best, "label").select(column, "least")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -152,20 +153,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
     """The rows of docs without near-duplicates of others: of each component the row of the least doc_id stays.
 
-    Documents are linked if their fingerprints differ in two bits or fewer, or if their shingle sets have a similarity of 0.8
-    or more by their minima (shingle_links; of documents with one fingerprint the first one's minima stand for all).
+    Documents are linked if their fingerprints differ in two bits or fewer, or if their shingle sets share a band of minima and
+    have a similarity of 0.8 or more (shingle_links). Each distinct set is a node, tied to the others with its fingerprint.
     Nulls come last; among equal ids the smaller hash of the text stays, and rows equal in both count as one document and stay
     together. Texts without words count as copies of each other. All columns are returned.
     """
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("mark"))
-    table = shared_folder(docs.sparkSession, "signatures")
-    fingerprints(docs, text_col, shingle, [id_col], minima=True).select(F.col(f"row.{id_col}").alias("id"), "mark", "fingerprint", "signature", "bands").write.parquet(table)
+    table = shared_folder(docs.sparkSession, "shingles")
+    fingerprints(docs, text_col, shingle, [id_col], minima=True).select(F.col(f"row.{id_col}").alias("id"), "mark", "fingerprint", "node", "shingles", "bands").write.parquet(table)
     written = docs.sparkSession.read.parquet(table)
-    prints = written.select("id", "mark", "fingerprint")
-    first = written.groupBy("fingerprint").agg(F.min_by(F.struct("signature", "bands"), order).alias("s"))
-    nodes = checkpointed(first.select(F.col("fingerprint").alias("node"), "s.*"))
-    found = classes(prints, order, shingle_links.links(nodes))
-    lost = prints.join(found, "fingerprint").filter(order != F.col("least")).select(F.col("id").alias("__id"), F.col("mark").alias("__mark")).distinct()
+    prints = written.select("id", "mark", "fingerprint", "node")
+    # the least node of each fingerprint stands for it
+    first = checkpointed(prints.groupBy("fingerprint").agg(F.min("node").alias("a")))
+    ties = checkpointed(prints.select("fingerprint", "node").distinct()).join(first, "fingerprint").select("a", F.col("node").alias("b")).filter("a <> b")
+    ends = [first.select(F.col("fingerprint").alias(x), F.col("a").alias(f"n{x}")) for x in "ab"]
+    bits = links(prints).join(ends[0], "a").join(ends[1], "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    ties = checkpointed(ties.unionByName(bits))
+    found = classes(prints, order, ties.unionByName(shingle_links.links(written.select("node", "shingles", "bands"), ties)), "node")
+    lost = prints.join(found, "node").filter(order != F.col("least")).select(F.col("id").alias("__id"), F.col("mark").alias("__mark")).distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.join(lost, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__mark")), "left_anti")
 

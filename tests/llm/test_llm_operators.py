@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessella.llm import decontamination, exact_topk, html_extract, line_dedup, quality, simhash_dedup, source_mix, substring_dedup, suffix_dedup, url_filter
+from tessella.llm import decontamination, exact_topk, html_extract, line_dedup, quality, shingle_links, simhash_dedup, source_mix, substring_dedup, suffix_dedup, url_filter
 
 SF = "/root/testdata/sf0.001"
 TEXT = "doc_id long, text string"
@@ -152,6 +152,53 @@ def test_near_copies_of_similarity_from_08(spark):
     assert between(kept, rows)
 
 
+def kept_exactly(spark, rows):
+    """What stays, and what stays by the exact similarity of 0.8."""
+    return {r["doc_id"] for r in simhash_dedup.keep_one(spark.createDataFrame(rows, TEXT)).collect()}, {r[2] for r in simhash_dedup.brute_force(rows, 5, 0.8)}
+
+
+def test_chains_of_near_copies(spark):
+    """Each text is similar to the next one only: links between texts that have links already count."""
+    rng = random.Random(3)
+    rows = []
+    for g in range(30):
+        w = [f"w{rng.randint(0, 10**6)}" for _ in range(300)]
+        for k in range(9):
+            rows.append((100 * g + k, " ".join(w)))
+            for x in range(5):
+                w[(37 * k + 60 * x) % 300] = f"new{rng.random()}"
+    kept, expected = kept_exactly(spark, rows)
+    assert kept == expected == {100 * g for g in range(30)}
+
+
+def test_sets_with_one_fingerprint(spark):
+    """Each distinct set of shingles has links of its own, also where its fingerprint has other sets."""
+    a = " ".join(f"w{k}" for k in range(60))
+    sets = [f"{a} {k}" for k in range(3)]
+    fixed = {"fingerprint": F.lit(0).cast("long")}
+    original = simhash_dedup.fingerprints
+    far, near = " ".join(f"z{k}" for k in range(60)), " ".join(f"w{k}" for k in range(1, 60))
+    rows = [(1, far), (2, a), (3, near)] + [(10 + k, t) for k, t in enumerate(sets)]
+    simhash_dedup.fingerprints = lambda *args, **named: original(*args, **named).withColumns({"fingerprint": F.when(F.col("row.doc_id") < 3, fixed["fingerprint"]).otherwise(F.col("fingerprint"))})
+    try:
+        kept = {r["doc_id"] for r in simhash_dedup.keep_one(spark.createDataFrame(rows, TEXT)).collect()}
+    finally:
+        simhash_dedup.fingerprints = original
+    assert kept == {1}
+
+
+def test_blocks_of_a_large_band_group(spark, monkeypatch):
+    """Pairs of different blocks are compared as well."""
+    rng = random.Random(8)
+    w = [f"w{k}" for k in range(150)]
+    own = [[f"o{k}x{rng.random()}" for k in range(36)] for _ in range(25)]
+    rows = [(2 * g + k, " ".join(w + own[g][: 36 - 2 * k] + [f"e{rng.random()}"])) for g in range(25) for k in (0, 1)]
+    kept, expected = kept_exactly(spark, rows)
+    assert kept == expected
+    monkeypatch.setattr(shingle_links, "BLOCK_NODES", 5)
+    assert kept_exactly(spark, rows)[0] == expected
+
+
 def test_topk(spark):
     rng = random.Random(2)
     rows = [(i, [rng.choice([-1.0, 0.5, 0.25, 2.0]) for _ in range(4)]) for i in range(350)]
