@@ -187,6 +187,25 @@ def test_sets_with_one_fingerprint(spark):
     assert kept == {1}
 
 
+def test_exact_similarity_of_near_copies(spark):
+    """Sets just below 0.8 stay apart, those from 0.8 on are linked, and a large group just below 0.8 stays whole."""
+    rng = random.Random(7)
+    tale = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    rows, expected = [], set()
+    for g in range(80):
+        # 180 shingles in common, of 225 (0.8) or of 226
+        w = tale(184)
+        k = 10 * g
+        rows += [(k, " ".join(w + tale(22 + g % 2))), (k + 1, " ".join(w + tale(23)))]
+        expected |= {k} if g % 2 == 0 else {k, k + 1}
+    w = tale(304)
+    # any two share 300 shingles of 400
+    rows += [(2000 + k, " ".join(w + tale(50))) for k in range(120)]
+    expected |= {2000 + k for k in range(120)}
+    kept, exactly = kept_exactly(spark, rows)
+    assert kept == exactly == expected
+
+
 def test_blocks_of_a_large_band_group(spark, monkeypatch):
     """Pairs of different blocks are compared as well."""
     rng = random.Random(8)
