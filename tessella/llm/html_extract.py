@@ -18,7 +18,9 @@ RUN = 0
 
 #: Elements of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg iframe object canvas math select textarea title head".split())
+RAW = frozenset("script style title textarea".split())
+DROPPED = frozenset("noscript template svg iframe object canvas math select head".split())
+HEAD_CONTENT = frozenset("base link meta noscript script style template title".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -53,13 +55,21 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
     """(kind, text) of every block of a page that has text, in page order.
 
     Any start or end of a block element parts blocks; br is white space. Elements that are left open end with the element
-    around them; a cut-off tag at the end is dropped, a cut-off character reference stays as it is.
+    around them, a head also with the first tag or text that belongs to the body; a cut-off tag at the end is dropped, a cut-off
+    character reference stays as it is. What DROPPED and RAW elements hold is no text and parts no blocks.
     """
     page = page or ""
     out: list[tuple[int, str]] = []
     parts: list[str] = []
     open_: list[tuple[str, bool, bool]] = []  # name, inside an article, inside chrome
 
+    def dropped() -> bool:
+        return any(n in DROPPED for n, _, _ in open_)
+
+    def leave(name: str) -> None:
+        while open_.pop()[0] != name:
+            pass
+
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
@@ -71,7 +81,9 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
     while True:
         found = _TAG.search(page, at)
         text = page[at : found.start()] if found else _CUT.sub("", page[at:])
-        if text:
+        if open_ and open_[-1][0] == "head" and text.strip():
+            leave("head")
+        if text and not dropped():
             parts.append(text)
         if not found:
             flush()
@@ -82,17 +94,26 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
             continue
         if found[1] or found[4]:
             if any(name == n for n, _, _ in open_):
-                if name in BLOCK:
+                inner = dropped()
+                if name in BLOCK and not inner:
                     flush()
-                while open_.pop()[0] != name:
-                    pass
-            elif name in BLOCK:
+                if name in BLOCK and inner:
+                    # the element around a dropped one that was left open
+                    k = max(k for k, (n, _, _) in enumerate(open_) if n == name)
+                    if not any(n in DROPPED for n, _, _ in open_[:k]):
+                        del open_[k + 1 :]
+                        flush()
+                leave(name)
+            elif name in BLOCK and not dropped():
                 flush()
             continue
+        if any(n == "head" for n, _, _ in open_) and (name == "body" or open_[-1][0] == "head" and name not in HEAD_CONTENT):
+            leave("head")
         if name == "br":
-            parts.append(" ")
+            if not dropped():
+                parts.append(" ")
             continue
-        if name in BLOCK:
+        if name in BLOCK and not dropped():
             flush()
             if name == "p" or name == "li":
                 # a new paragraph or item ends an open one of its own level

@@ -252,6 +252,24 @@ def test_html(spark):
     assert "Subscribe" in texts[4]
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<html><head><title>t</title><meta x><body><article><p>one</p></article>", "one"),
+        ("<head><script>x</script><article><p>one</p></article>", "one"),
+        ("<article><p>one <svg a='b'/> two</p><p>three</p></article>", "one two\nthree"),
+        ("<article><p>one <svg><text>no</text></svg> two</p></article>", "one two"),
+        ("<article><p>one <select><option>no</p><p>two</p></article>", "one\ntwo"),
+        ("<article><div><noscript>no</div><p>two</p></article>", "two"),
+        ("<article><p>one <noscript><p>no</p><br></noscript> two</p></article>", "one two"),
+        ("<article><p>one</p><iframe src=x>no<p>no</p></iframe><p>two</p></article>", "one\ntwo"),
+    ],
+)
+def test_html_left_open(page, text):
+    """Elements without text of their own end with the element around them, a head with the body's first tag."""
+    assert "\n".join(t for kind, t in html_extract.blocks(page) if kind == html_extract.MAIN) == text
+
+
 def test_urls(spark):
     pages = [(1, "https://A.Example.NET/en/1", "<p>spam farm news shop</p>"), (2, "https://example.net", "farm shop shop"), (3, "https://xexample.com/de/", None), (4, "http://m.example.com/de/x?y#z", "news"), (5, "http://q.org/fr/1", ""), (6, "http://spamfarmnews.io/shop", "x"), (7, "http://spam-farm.io/farm", "x"), (8, None, "x"), (9, "no scheme", "x"), (9, "no scheme", "x"), (10, "http://newsshop.io?q=/net/", "x"), (11, "", "x")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("label", F.lit(1))
