@@ -35,8 +35,8 @@ CHROME_WORDS = frozenset(
     "signup skyscraper social sponsor sponsored subscribe toolbar widget".split()
 )
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)""", re.S)
-_CUT = re.compile(r"<[a-zA-Z/!?][^>]*\Z", re.S)
+_NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+_UNQUOTED = re.compile(r"""[^>"']*""")
 _MARKED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
@@ -51,8 +51,93 @@ def _is_chrome(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
+class _Tags:
+    """The tags of a page in one pass forward: (start, end, closing, name, attributes); comments and declarations have an empty name.
+
+    Attributes may hold > in quotes. Where quotes run on to the end of the page without a >, they are broken: from there on a tag ends at the next >.
+    A tag that never ends is the last one, without a name.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page, self.broken = page, False
+        self.last = {c: page.rfind(c) for c in "<>\"'"}
+
+    def _end(self, at: int) -> int:
+        """The > that ends a tag whose name ends at `at`, or -1."""
+        page, k = self.page, at
+        while not self.broken:
+            k = _UNQUOTED.match(page, k).end()
+            if k < len(page) and page[k] == ">":
+                return k
+            if k >= len(page) or k + 1 > self.last[page[k]]:
+                self.broken = True
+            else:
+                k = page.find(page[k], k + 1) + 1
+        return page.find(">", at) if at <= self.last[">"] else -1
+
+    def next(self, at: int):
+        page = self.page
+        while 0 <= (at := page.find("<", at) if at <= self.last["<"] else -1):
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(page), False, "", ""
+            closing = page.startswith("/", at + 1)
+            if name := _NAME.match(page, at + 1 + closing):
+                end = self._end(name.end())
+                return (at, end + 1, closing, name[0].lower(), page[name.end() : end]) if end >= 0 else (at, len(page), False, "", "")
+            if page[at + 1 : at + 2] in ("!", "?", "/"):
+                end = page.find(">", at) if at <= self.last[">"] else -1
+                return at, end + 1 if end >= 0 else len(page), False, "", ""
+            at += 1
+        return None
+
+    def behind(self, name: str, at: int) -> int:
+        """Behind the end tag of a raw element, or the end of the page."""
+        found = re.compile(rf"</{name}\b", re.I).search(self.page, at)
+        end = self.page.find(">", found.end()) if found and found.end() <= self.last[">"] else -1
+        return end + 1 if end >= 0 else len(self.page)
+
+
+class _Open:
+    """The open elements: name, inside an article, inside chrome; and how many there are of each name."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, bool]] = []
+        self.count: dict[str, int] = {}
+        self.dropped: list[int] = []
+        self.blocks: list[int] = []
+
+    def push(self, name: str, inside: bool, chrome: bool) -> None:
+        for kind, places in ((DROPPED, self.dropped), (BLOCK, self.blocks)):
+            if name in kind:
+                places.append(len(self.stack))
+        self.stack.append((name, inside, chrome))
+        self.count[name] = self.count.get(name, 0) + 1
+
+    def cut(self, size: int) -> None:
+        """Closes all but the outermost `size` elements."""
+        while len(self.stack) > size:
+            self.count[self.stack.pop()[0]] -= 1
+        for places in (self.dropped, self.blocks):
+            while places and places[-1] >= size:
+                places.pop()
+
+    def leave(self, name: str) -> None:
+        k = len(self.stack) - 1
+        while self.stack[k][0] != name:
+            k -= 1
+        self.cut(k)
+
+    def has(self, name: str) -> bool:
+        return self.count.get(name, 0) > 0
+
+    @property
+    def top(self) -> tuple[str, bool, bool]:
+        return self.stack[-1] if self.stack else ("", False, False)
+
+
 def blocks(page: str | None) -> list[tuple[int, str]]:
-    """(kind, text) of every block of a page that has text, in page order.
+    """(kind, text) of every block of a page that has text, in page order; the time is linear in the page's length.
 
     Any start or end of a block element parts blocks; br is white space. Elements that are left open end with the element
     around them, a head also with the first tag or text that belongs to the body; a cut-off tag at the end is dropped, a cut-off
@@ -61,77 +146,61 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
     page = page or ""
     out: list[tuple[int, str]] = []
     parts: list[str] = []
-    open_: list[tuple[str, bool, bool]] = []  # name, inside an article, inside chrome
-
-    def dropped() -> bool:
-        return any(n in DROPPED for n, _, _ in open_)
-
-    def leave(name: str) -> None:
-        while open_.pop()[0] != name:
-            pass
+    tags, open_, at = _Tags(page), _Open(), 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, inside, chrome = open_[-1] if open_ else ("", False, False)
+            _, inside, chrome = open_.top
             out.append((CHROME if chrome else MAIN if inside else NEUTRAL, text))
 
-    at = 0
     while True:
-        found = _TAG.search(page, at)
-        text = page[at : found.start()] if found else _CUT.sub("", page[at:])
-        if open_ and open_[-1][0] == "head" and text.strip():
-            leave("head")
-        if text and not dropped():
+        found = tags.next(at)
+        text = page[at : found[0]] if found else page[at:]
+        if open_.top[0] == "head" and text.strip():
+            open_.leave("head")
+        if text and not open_.dropped:
             parts.append(text)
         if not found:
             flush()
             return out
-        at = found.end()
-        name = (found[2] or found[5] or "").lower()
+        _, at, closing, name, attributes = found
         if not name:
             continue
-        if found[1] or found[4]:
-            if any(name == n for n, _, _ in open_):
-                inner = dropped()
-                if name in BLOCK and not inner:
+        if closing:
+            if open_.has(name):
+                if name in BLOCK and not open_.dropped:
                     flush()
-                if name in BLOCK and inner:
+                elif name in BLOCK:
                     # the element around a dropped one that was left open
-                    k = max(k for k, (n, _, _) in enumerate(open_) if n == name)
-                    if not any(n in DROPPED for n, _, _ in open_[:k]):
-                        del open_[k + 1 :]
+                    k = max(k for k in open_.blocks if open_.stack[k][0] == name)
+                    if k < open_.dropped[0]:
+                        open_.cut(k + 1)
                         flush()
-                leave(name)
-            elif name in BLOCK and not dropped():
+                open_.leave(name)
+            elif name in BLOCK and not open_.dropped:
                 flush()
             continue
-        if any(n == "head" for n, _, _ in open_) and (name == "body" or open_[-1][0] == "head" and name not in HEAD_CONTENT):
-            leave("head")
+        if open_.has("head") and (name == "body" or open_.top[0] == "head" and name not in HEAD_CONTENT):
+            open_.leave("head")
         if name == "br":
-            if not dropped():
+            if not open_.dropped:
                 parts.append(" ")
             continue
-        if name in BLOCK and not dropped():
+        if name in BLOCK and not open_.dropped:
             flush()
-            if name == "p" or name == "li":
-                # a new paragraph or item ends an open one of its own level
-                for k in range(len(open_) - 1, -1, -1):
-                    if open_[k][0] == name:
-                        del open_[k:]
-                        break
-                    if open_[k][0] in BLOCK:
-                        break
+            # a new paragraph or item ends an open one of its own level
+            if name in ("p", "li") and open_.blocks and open_.stack[open_.blocks[-1]][0] == name:
+                open_.cut(open_.blocks[-1])
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            at = tags.behind(name, at)
             continue
-        if name in VOID or (found[3] or found[6] or "").rstrip().endswith("/"):
+        if name in VOID or attributes.rstrip().endswith("/"):
             continue
-        _, inside, chrome = open_[-1] if open_ else ("", False, False)
+        _, inside, chrome = open_.top
         inside = inside or name in HOLDERS
-        open_.append((name, inside, chrome or _is_chrome(name, found[3] or found[6] or "", inside)))
+        open_.push(name, inside, chrome or _is_chrome(name, attributes, inside))
 
 
 def host_of(url: str | None) -> str:
@@ -139,30 +208,33 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", run_tokens: int = 8, group_bytes: int = rounds.GROUP_BYTES) -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", run_tokens: int = 8, group_bytes: int | None = None, structure: bool = True) -> DataFrame:
     """The main text of every page.
 
-    Structure first: what an article or main element holds, but for navigation, forms, notices, adverts, comments and the like in it, is main text
-    and stays whole, repeated or not. All other text of a host's pages makes token streams; their suffixes are sorted into suffix arrays of
-    (host, tokens), and a run of `run_tokens` tokens or more that stands on distinct pages of a host is boilerplate. A page without an article
+    All text of a host's pages outside articles makes token streams; their suffixes are sorted into suffix arrays of
+    (host, tokens), and a run of `run_tokens` tokens or more that stands on distinct pages of a host is boilerplate (longer
+    runs are made of such ones, so sorting to that depth finds them all). A page without an article
     consists of its neutral blocks (no tag or class says what they are), of which boilerplate runs are cut out and the unique runs kept.
+    What an article or main element holds, but for navigation, forms, notices, adverts, comments and the like in it, is main text
+    and stays whole, repeated or not: articles of one host may quote each other. With `structure` false no tag or class counts, and the suffix arrays decide every block.
     Pages are dealt to bounded groups, so one host may hold any share of them; classes of equal runs of different groups meet by their
     64-bit hash.
 
     Returns one row for each input row: row (struct of the columns other than the html), text (blocks joined by a newline), n_chars
     (code points), n_outside and n_repeated (tokens outside articles, and those of them in repeated runs). Null and empty html
-    give an empty text; a null url is the host "".
+    give an empty text; a null url is the host "". Repeated rows are distinct pages. An empty table gives no rows. A very long page costs a task
+    some forty times its size. No column can clash with these names, as all are inside `row`.
     """
     groups, shards = rounds.sizes(pages, html_col, group_bytes)
-    others = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != html_col], F.col(url_col).cast("string").alias("__url"))
-    dealt = rounds.by_hash(pages, id_col, html_col, groups, others)
+    others = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != html_col])
+    dealt = rounds.by_hash(pages, id_col, html_col, groups, F.struct(others.alias("row"), F.col(url_col).cast("string").alias("url")))
     zero = F.lit(0).cast("long")
-    schema = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != html_col]).alias("row"), F.lit("").alias("text"), zero.alias("n_chars"), zero.alias("n_outside"), zero.alias("n_repeated")).schema
+    schema = pages.select(others.alias("row"), F.lit("").alias("text"), zero.alias("n_chars"), zero.alias("n_outside"), zero.alias("n_repeated")).schema
 
     def scan(table: pa.Table):
         """Blocks of every page; hash of each repeated-run candidate, its first token and page, and the first token of each page."""
-        urls = table["row"].combine_chunks().field("__url").to_pylist()
-        found = [blocks(h) for h in table["text"].to_pylist()]
+        urls = table["row"].combine_chunks().field("url").to_pylist()
+        found = [blocks(h) if structure else [(NEUTRAL, t) for _, t in blocks(h)] for h in table["text"].to_pylist()]
         outside = pa.array(["\n".join(t for kind, t in page if kind != MAIN) for page in found], pa.large_string())
         data, offsets = ts.text_bytes(outside)
         starts, ends, rows = ts.word_spans(data, offsets, ~ts.SPACE)
@@ -189,7 +261,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def cut(g: int, table: pa.Table, replies: pa.Table) -> pa.Table:
         found, rows, first, order, heads, keys, many = scan(table)
         distinct, inverse = np.unique(keys, return_inverse=True)
-        repeated = many | rounds.answered(replies, RUN, rounds.packed(0, RUN, distinct, shards, 8)[1])[inverse]
+        repeated = many | (rounds.answered(replies, RUN, rounds.packed(0, RUN, distinct, shards, 8)[1])[inverse] > 0)
         size = np.diff(np.append(heads, len(order)))
         gone = ts.covered(first[order[np.repeat(repeated, size)]], run_tokens, int(rows[-1]))
         texts, outside, covered = [], [], []
@@ -206,11 +278,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                         main.append(" ".join(w for w, m in zip(words, mine[at : at + len(words)]) if not m))
                     at += len(words)
             texts.append("\n".join(t for t in main if t))
-        row = table["row"].combine_chunks()
-        kept = pa.StructArray.from_arrays([row.field(k) for k in range(row.type.num_fields - 1)], fields=[row.type.field(k) for k in range(row.type.num_fields - 1)])
-        return pa.table([kept, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(outside, pa.int64()), pa.array(covered, pa.int64())], names=["row", "text", "n_chars", "n_outside", "n_repeated"])
+        row = table["row"].combine_chunks().field("row")
+        return pa.table([row, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(outside, pa.int64()), pa.array(covered, pa.int64())], names=["row", "text", "n_chars", "n_outside", "n_repeated"])
 
-    answers = rounds.answer(rounds.ask(dealt, None, runs), lambda kind, _, b: rounds.elsewhere(b, 8))
+    answers = rounds.answer(rounds.ask(dealt, None, runs), lambda kind, b: rounds.elsewhere(b, 8))
     return rounds.ask(dealt, answers, cut, schema)
 
 
@@ -240,9 +311,9 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text", "n_chars", "n_repeated")
 
 
-def brute_force(rows: list[tuple], run_tokens: int = 8) -> list[tuple]:
-    """(page_id, url, text, n_chars, n_repeated) in plain Python, for small fixtures."""
-    pages = [blocks(h) for _, _, h in rows]
+def brute_force(rows: list[tuple], read, run_tokens: int = 8) -> list[tuple]:
+    """(page_id, url, text, n_chars, n_repeated) in plain Python, for small fixtures. read: page -> its blocks (kind, text)."""
+    pages = [read(h) for _, _, h in rows]
     streams = [[w for kind, t in page if kind != MAIN for w in t.encode().split()] for page in pages]
     seen: dict[tuple, set[int]] = {}
     for i, ((_, url, _), words) in enumerate(zip(rows, streams)):

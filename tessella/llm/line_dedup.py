@@ -6,73 +6,51 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm import rounds
 from tessella.llm import textscan as ts
-from tessella.llm.suffix_dedup import earlier
 
 LINE, HALF, VARIANT = 0, 1, 2
 #: Stands for the undeleted line in the place of a deletion; sorts behind all places.
 WHOLE = np.uint32(2**32 - 1)
 #: Stands for several lines in the place of one line's digest.
 _MANY = np.uint32(2**32 - 1)
+#: White space that leaves a line blank.
+BLANK = "\t\x0b\x0c\r "
 
 
-class Lines:
-    """The lines of a chunk of rows: code points, hash sums, and for each line its row, its number in the row and its span."""
-
-    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
-        points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-        heads = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-        at = heads[offsets]
-        self.points, self.sums = points, ts.prefix_sums(ts.mix(points.astype(np.uint64) + np.uint64(1)) | np.uint64(1))
-        breaks = np.flatnonzero(points == 10)
-        # a row has one line more than it has breaks
-        first = np.searchsorted(breaks, at[:-1])
-        last = np.searchsorted(breaks, at[1:])
-        count = last - first + 1
-        self.first_line = np.concatenate(([0], np.cumsum(count)))
-        self.row = np.repeat(np.arange(len(count)), count)
-        self.number = np.arange(len(self.row)) - self.first_line[self.row]
-        k = first[self.row] + self.number
-        inner = np.append(breaks, -1)
-        self.start = np.where(self.number == 0, at[:-1][self.row], inner[np.maximum(np.minimum(k - 1, len(breaks)), 0)] + 1)
-        self.end = np.where(self.number == count[self.row] - 1, at[1:][self.row], inner[np.minimum(k, len(breaks))])
-        self.size = self.end - self.start
-        black = np.concatenate(([0], np.cumsum(~np.isin(points, np.array([9, 11, 12, 13, 32], np.uint32)))))
-        self.blank = black[self.end] == black[self.start]
-        self.hash = ts.span_hashes(self.sums, self.start, self.end)
-
-    def halves(self, of: np.ndarray) -> np.ndarray:
-        """Four keys a line. Two lines within one edit share a half: the front or the back half, for the length of the shorter.
-
-        With an edit behind the middle the front halves are equal, else the back halves; lines of n code points look for partners
-        of n or n + 1 under the length n, and for partners of n - 1 under n - 1.
-        """
-        out = []
-        for less in (0, 1):
-            length = self.size[of] - less
-            half = length // 2
-            front = ts.span_hashes(self.sums, self.start[of], self.start[of] + half)
-            back = ts.span_hashes(self.sums, self.end[of] - (length - half), self.end[of])
-            tag = length.astype(np.uint64) * np.uint64(2)
-            out += [ts.mix(front + ts.mix(tag + np.uint64(1))), ts.mix(back + ts.mix(tag + np.uint64(2)))]
-        return np.stack(out, 1)
-
-    def variants(self, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, place and line of every variant of the given lines: each code point deleted once, and the line itself.
-
-        Deleting any code point of a run of equal ones gives the same variant, but each place counts on its own.
-        """
-        up, down = ts.powers(len(self.sums))
-        at, owner = ts.spread(self.start[of], self.end[of] - 1)
-        start, end = self.start[of][owner], self.end[of][owner]
-        before = (self.sums[at] - self.sums[start]) * down[start]
-        behind = (self.sums[end] - self.sums[at + 1]) * down[at + 1] * up[at - start]
-        hashes = ts.mix(before + behind + (end - start - 1).astype(np.uint64))
-        return np.concatenate([hashes, self.hash[of]]), np.concatenate([(at - start).astype(np.uint32), np.full(len(of), WHOLE)]), np.concatenate([of[owner], of])
+def _line_key(line: str) -> int:
+    return xxhash.xxh64_intdigest(line.encode(), 1)
+
+
+def half_keys(line: str) -> list[int]:
+    """Four keys. Two lines within one edit share a half: the front or the back half, for the length of the shorter.
+
+    With an edit behind the middle the front halves are equal, else the back halves; lines of n code points look for partners
+    of n or n + 1 under the length n, and for partners of n - 1 under n - 1.
+    """
+    n, out = len(line), []
+    for length in (n, n - 1):
+        half = length // 2
+        out += [xxhash.xxh64_intdigest(line[:half].encode(), 4 * length + 2), xxhash.xxh64_intdigest(line[n - (length - half) :].encode(), 4 * length + 3)]
+    return out
+
+
+def variants(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, place and line number of every variant: each code point deleted once, and the line itself.
+
+    Deleting any code point of a run of equal ones gives the same variant, but each place counts on its own.
+    """
+    size = np.array([len(x) for x in lines], np.int64)
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
+    sums = ts.prefix_sums(ts.mix(points.astype(np.uint64) + np.uint64(1)))
+    end = np.cumsum(size)
+    at, owner = ts.spread(end - size, end - 1)
+    spliced = ts.spliced_hashes(sums, (end - size)[owner], at, end[owner])
+    return np.concatenate([spliced, ts.span_hashes(sums, end - size, end)]), np.concatenate([(at - (end - size)[owner]).astype(np.uint32), np.full(len(lines), WHOLE)]), np.concatenate([owner, np.arange(len(lines))])
 
 
 def near_earlier(keys: np.ndarray, places: np.ndarray, when: np.ndarray) -> np.ndarray:
@@ -114,125 +92,110 @@ def _tails(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list
     return keys, np.frombuffer(b"".join(b[8 * n :] for b, n in zip(blobs, sizes)), "<u4"), owner, sizes
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 16, group_bytes: int = rounds.GROUP_BYTES) -> DataFrame:
-    """Removes every line that is at most one edit (a code point put in, taken out or replaced) away from an earlier line.
+class _Lines:
+    """The lines of a group: all of them by row, the distinct ones that aren't blank in the order of their first place, and these ones' keys."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.texts = [t or "" for t in table["text"].to_pylist()]
+        self.rows, found = [], {}
+        for t in self.texts:
+            self.rows.append([found.setdefault(x, len(found)) if x.strip(BLANK) else -1 for x in t.split("\n")])
+        self.distinct = list(found)
+        self.keys = np.array([_line_key(x) for x in self.distinct], np.uint64)
+
+    def halves(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct half keys, the places among them of each line's four, and the digest of the one line with a key, or _MANY."""
+        every = np.array([half_keys(x) for x in self.distinct], np.uint64).reshape(-1)
+        found, inverse = np.unique(every, return_inverse=True)
+        mark = np.repeat((self.keys % np.uint64(2**32 - 1)).astype(np.uint32), 4)
+        least, most = np.full(len(found), 2**32 - 1, np.uint32), np.zeros(len(found), np.uint32)
+        np.minimum.at(least, inverse, mark)
+        np.maximum.at(most, inverse, mark)
+        return found, inverse.reshape(-1, 4), np.where(least == most, least, _MANY)
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 1, group_bytes: int | None = None) -> DataFrame:
+    """Removes every line that is at most `edits` (1, or 0 for exact copies only) from an earlier line; an edit puts in, takes out or replaces a code point.
 
     Lines are parted by newlines. Earlier means a smaller doc_id, or a smaller line number in the document; nulls come first, among equal ids
-    the smaller text, and of equal rows all but one are later. Lines are judged on the input, not on what is left. Lines of fewer than `min_chars` code points are
-    removed as exact copies only, since one edit can be all there is to them; blank lines always stay.
+    the smaller XXH64 of the text, and of equal rows all but one are later. Lines are judged on the input, not on what is left, whatever
+    their length; blank lines always stay, and nothing is near them.
 
     A line's variants, itself and all its one-deletion strings, go as hashed keys with the place of the deletion; equal variants are
     joined, the edit distance is verified from the places, and the earliest line stays. Before that two rounds leave out
     what cannot matter: later exact copies, and lines that share no half with any other line (two lines within one edit share a
-    half). All comparisons are of 64-bit hashes; a hot line or variant costs a shard one entry a group.
+    half). Lines are compared by 64-bit hashes; a hot line or variant costs a shard one entry a group. A line of n code points makes n + 1
+    variants, so long lines and texts cost no more than their length.
 
     Returns one row for each input row: row (struct of the columns of docs other than the text), n_lines, removed (line numbers
-    from 0), kept (the other lines, joined by newlines). A null or empty text is one blank line, kept is "". No column can clash with
-    these names, as all are inside `row`.
+    from 0), kept (the other lines, joined by newlines). A null or empty text is one blank line, kept is "". An empty table gives no rows. No
+    column can clash with these names, as all are inside `row`.
     """
+    if edits not in (0, 1):
+        raise ValueError("edits must be 0 or 1")
     groups, shards = rounds.sizes(docs, text_col, group_bytes)
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
     dealt = rounds.by_range(docs, id_col, text_col, groups, others)
     schema = docs.select(others.alias("row"), F.lit(0).cast("long").alias("n_lines"), F.array().cast("array<int>").alias("removed"), F.lit("").alias("kept")).schema
 
-    def scan(table: pa.Table) -> tuple[list[Lines], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Chunks of lines; over all of them hash, first of its kind here, long enough for edits, and the half keys of those."""
-        data, offsets = ts.text_bytes(table["text"])
-        parts = [Lines(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in ts.chunks(offsets, 1 << 20)]
-        hashes = np.concatenate([np.zeros(0, np.uint64), *(p.hash for p in parts)])
-        blank = np.concatenate([np.zeros(0, bool), *(p.blank for p in parts)])
-        size = np.concatenate([np.zeros(0, np.int64), *(p.size for p in parts)])
-        _, first = np.unique(np.where(blank, np.uint64(0), hashes), return_index=True)
-        lead = np.zeros(len(hashes), bool)
-        lead[first] = True
-        return parts, hashes, lead | blank, ~blank & lead & (size >= min_chars), blank
-
-    def half_keys(parts: list[Lines], wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Half keys and hashes of the lines in question."""
-        keys, hashes, at = [np.zeros((0, 4), np.uint64)], [np.zeros(0, np.uint64)], 0
-        for p in parts:
-            of = np.flatnonzero(wide[at : at + len(p.row)])
-            at += len(p.row)
-            keys.append(p.halves(of))
-            hashes.append(p.hash[of])
-        return np.concatenate(keys), np.concatenate(hashes)
-
-    def half_digest(keys: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct half keys, the place of each key among them, and the digest of the one line with it, or _MANY."""
-        found, inverse = np.unique(keys.reshape(-1), return_inverse=True)
-        mark = np.repeat((hashes % np.uint64(2**32 - 1)).astype(np.uint32), 4)
-        least, most = np.full(len(found), 2**32 - 1, np.uint32), np.zeros(len(found), np.uint32)
-        np.minimum.at(least, inverse.reshape(-1), mark)
-        np.maximum.at(most, inverse.reshape(-1), mark)
-        return found, inverse.reshape(-1, 4), np.where(least == most, least, _MANY)
-
     def lines(g: int, table: pa.Table, _) -> pa.Table:
-        parts, hashes, _, wide, blank = scan(table)
-        found, _, digest = half_digest(*half_keys(parts, wide))
-        asked, order = rounds.packed(g, HALF, found, shards, 8)
-        return pa.concat_tables([rounds.packed(g, LINE, np.unique(hashes[~blank]), shards, 8)[0], _with_tail(asked, digest[order])])
-
-    def firsts(table: pa.Table, replies: pa.Table):
-        """Chunks of lines, which lines are later exact copies, and which first ones may have a partner within one edit."""
-        parts, hashes, lead, wide, blank = scan(table)
-        found, inverse = np.unique(hashes[~blank], return_inverse=True)
-        copy = ~lead
-        copy[~blank] |= rounds.answered(replies, LINE, rounds.packed(0, LINE, found, shards, 8)[1])[inverse]
-        keys, inner = half_keys(parts, wide)
-        halves, place, digest = half_digest(keys, inner)
-        shared = (digest == _MANY) | rounds.answered(replies, HALF, rounds.packed(0, HALF, halves, shards, 8)[1])
-        partner = np.zeros(len(hashes), bool)
-        partner[wide] = shared[place].any(axis=1)
-        return parts, copy, partner & ~copy
-
-    def variants(table: pa.Table, replies: pa.Table):
+        mine = _Lines(table)
+        exact = rounds.packed(g, LINE, np.unique(mine.keys), shards, 8)[0]
+        if not edits:
+            return exact
+        found, _, digest = mine.halves()
+        half, order = rounds.packed(g, HALF, found, shards, 8)
+        return pa.concat_tables([exact, _with_tail(half, digest[order])])
+
+    def firsts(table: pa.Table, replies: pa.Table) -> tuple[_Lines, np.ndarray, np.ndarray]:
+        """The lines, which distinct ones are copies of earlier ones, and which others may have a partner within one edit."""
+        mine = _Lines(table)
+        found, inverse = np.unique(mine.keys, return_inverse=True)
+        copy = rounds.answered(replies, LINE, rounds.packed(0, LINE, found, shards, 8)[1])[inverse] > 0
+        if not edits:
+            return mine, copy, np.zeros(len(copy), bool)
+        halves, place, digest = mine.halves()
+        shared = (digest == _MANY) | (rounds.answered(replies, HALF, rounds.packed(0, HALF, halves, shards, 8)[1]) > 0)
+        return mine, copy, ~copy & shared[place].any(axis=1)
+
+    def tried(table: pa.Table, replies: pa.Table):
         """All that firsts gives; distinct variants (hash, place), the place of each variant among them, and each one's line."""
-        parts, copy, partner = firsts(table, replies)
-        keys, places, owner, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], 0
-        for p in parts:
-            of = np.flatnonzero(partner[at : at + len(p.row)])
-            k, q, o = p.variants(of)
-            keys.append(k)
-            places.append(q)
-            owner.append(o + at)
-            at += len(p.row)
-        keys, places, owner = map(np.concatenate, (keys, places, owner))
+        mine, copy, partner = firsts(table, replies)
+        of = np.flatnonzero(partner)
+        keys, places, owner = variants([mine.distinct[i] for i in of])
         by = np.lexsort((places, keys))
         new = np.append(True, (keys[by][1:] != keys[by][:-1]) | (places[by][1:] != places[by][:-1]))[: len(by)]
-        return parts, copy, keys, places, owner, by, np.flatnonzero(new), np.cumsum(new) - 1
+        return mine, copy, keys, places, of[owner], by, np.flatnonzero(new), np.cumsum(new) - 1
 
-    def edits(g: int, table: pa.Table, replies: pa.Table) -> pa.Table:
-        _, _, keys, places, _, by, heads, _ = variants(table, replies)
-        asked, order = rounds.packed(g, VARIANT, keys[by[heads]], shards, 8)
-        return _with_tail(asked, places[by[heads]][order])
+    def deleted(g: int, table: pa.Table, replies: pa.Table) -> pa.Table:
+        _, _, keys, places, _, by, heads, _ = tried(table, replies)
+        ask, order = rounds.packed(g, VARIANT, keys[by[heads]], shards, 8)
+        return _with_tail(ask, places[by[heads]][order])
 
     def cut(g: int, table: pa.Table, replies: pa.Table) -> pa.Table:
-        parts, gone, keys, places, owner, by, heads, place = variants(table, replies)
+        mine, copy, keys, places, owner, by, heads, place = tried(table, replies)
         near = near_earlier(keys, places, owner)
-        order = rounds.packed(0, VARIANT, keys[by[heads]], shards, 8)[1]
-        near[by] |= rounds.answered(replies, VARIANT, order)[place]
+        near[by] |= rounds.answered(replies, VARIANT, rounds.packed(0, VARIANT, keys[by[heads]], shards, 8)[1])[place] > 0
+        # at the first place here the others before it decide, at any later place the line itself is earlier
+        gone = copy.copy()
         gone[owner[near]] = True
-        removed, kept, counts, at = [], [], [], 0
-        texts = table["text"].to_pylist()
-        row = 0
-        for p in parts:
-            mine = gone[at : at + len(p.row)]
-            at += len(p.row)
-            for i in range(len(p.first_line) - 1):
-                a, b = p.first_line[i], p.first_line[i + 1]
-                text, lost = texts[row] or "", np.flatnonzero(mine[a:b])
-                row += 1
-                counts.append(b - a)
-                removed.append(lost.tolist())
-                if len(lost):
-                    split = text.split("\n")
-                    text = "\n".join(split[j] for j in np.flatnonzero(~mine[a:b]))
-                kept.append(text)
-        return pa.table([table["row"], pa.array(counts, pa.int64()), pa.array(removed, pa.list_(pa.int32())), pa.array(kept, pa.string())], names=["row", "n_lines", "removed", "kept"])
-
-    def shard(kind: int, _, blobs: list[bytes]) -> list[np.ndarray]:
+        seen = set()
+        removed, kept = [], []
+        for text, row in zip(mine.texts, mine.rows):
+            lost = []
+            for k, i in enumerate(row):
+                if i >= 0:
+                    if gone[i] or i in seen:
+                        lost.append(k)
+                    seen.add(i)
+            removed.append(lost)
+            out = set(lost)
+            kept.append("\n".join(x for k, x in enumerate(text.split("\n")) if k not in out) if lost else text)
+        return pa.table([table["row"], pa.array([len(r) for r in mine.rows], pa.int64()), pa.array(removed, pa.list_(pa.int32())), pa.array(kept, pa.string())], names=["row", "n_lines", "removed", "kept"])
+
+    def shard(kind: int, blobs: list[bytes]) -> list[np.ndarray]:
         if kind == LINE:
-            return earlier(blobs, 8)
+            return rounds.earlier(blobs, 8)
         keys, tail, owner, sizes = _tails(blobs)
         if kind == HALF:
             _, inverse = np.unique(keys, return_inverse=True)
@@ -244,9 +207,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             found = near_earlier(keys, tail, owner)
         return np.split(found, np.cumsum(sizes)[:-1])
 
-    one = rounds.answer(rounds.ask(dealt, None, lines), shard)
-    two = rounds.answer(rounds.ask(dealt, one, edits), shard)
-    return rounds.ask(dealt, one.unionByName(two), cut, schema)
+    replies = rounds.answer(rounds.ask(dealt, None, lines), shard)
+    if edits:
+        replies = replies.unionByName(rounds.answer(rounds.ask(dealt, replies, deleted), shard))
+    return rounds.ask(dealt, replies, cut, schema)
 
 
 def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -257,7 +221,7 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **o
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents; lines of 16 code points and more within one edit."""
+    """All documents; lines within one edit."""
     found = line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"), F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
@@ -276,21 +240,31 @@ def one_edit(a: str, b: str) -> bool:
     return a[i + 1 :] == (b[i + 1 :] if len(a) == len(b) else b[i:])
 
 
-def brute_force(rows: list[tuple], min_chars: int = 16) -> list[tuple]:
-    """The same digest in plain Python, for small fixtures."""
+def in_order(rows: list[tuple]) -> list[tuple]:
+    """Rows (doc_id, text, ...) by id, nulls first, then by the signed XXH64 of the text."""
+    signed = lambda t: ((xxhash.xxh64_intdigest((t or "").encode(), 42) + 2**63) % 2**64) - 2**63
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])))
+
+
+def brute_force(rows: list[tuple], edits: int = 1) -> list[tuple]:
+    """(doc_id, lines, lines removed, what is kept) in plain Python, for small fixtures."""
     before: set[str] = set()
     by_size: dict[int, set[str]] = {}
     out = []
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+    for doc_id, text in in_order(rows):
         split = (text or "").split("\n")
         kept = []
         for line in split:
             gone = False
-            if line.strip("\t\x0b\x0c\r "):
-                gone = line in before or len(line) >= min_chars and any(one_edit(line, x) for n in (-1, 0, 1) for x in by_size.get(len(line) + n, ()) if len(x) >= min_chars)
+            if line.strip(BLANK):
+                gone = line in before or edits and any(one_edit(line, x) for n in (-1, 0, 1) for x in by_size.get(len(line) + n, ()))
                 before.add(line)
                 by_size.setdefault(len(line), set()).add(line)
             if not gone:
                 kept.append(line)
-        out.append((doc_id, len(split), len(split) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+        out.append((doc_id, len(split), len(split) - len(kept), "\n".join(kept)))
     return out
+
+
+def digest(rows: list[tuple]) -> list[tuple]:
+    return [(i, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for i, n, gone, kept in rows]

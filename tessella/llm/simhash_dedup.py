@@ -13,10 +13,10 @@ from tessella.llm import textscan as ts
 from tessella.operators.graph import checkpointed, components, shared_folder
 
 SEED = 42
-#: 64 bits in segments of 4; a segment's count is a digit of a number to the base 5.
-SEGMENTS = 16
-#: Cells of up to so many fingerprints are verified pair by pair; larger ones through their one-bit neighbours.
-PAIR_CELL = 64
+#: Bits of a segment in the first grid; a segment's count is a digit of the cell's number.
+WIDTH = 4
+#: Cells of more fingerprints than these are split by the counts of finer segments.
+CROWD = 64
 
 
 def _shingles(column, shingle: int):
@@ -73,59 +73,61 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3, keep
 
     def run(batches):
         for batch in batches:
-            prints = np.zeros(len(batch), np.uint64)
-            nodes, sets, bands = np.zeros(len(batch), np.uint64), [None] * len(batch), [None] * len(batch)
-            for rows, starts, hashes in _shingles(batch["text"], shingle):
-                prints[rows] = _simhash(hashes, starts)
-                if minima:
-                    for i, own, keys in zip(rows.tolist(), np.split(hashes, starts[1:]), shingle_links.minima(hashes, starts)):
-                        sets[i], bands[i] = np.unique(own).tobytes(), keys
-                        nodes[i] = xxhash.xxh64_intdigest(sets[i], SEED)
-            arrays = [batch["row"], batch["mark"], pa.array(prints.view(np.int64))]
+            _, offsets = ts.text_bytes(batch["text"])
+            for a, b in ts.chunks(offsets):
+                yield one(batch.slice(a, b - a))
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        prints = np.zeros(len(batch), np.uint64)
+        nodes, sets, bands = np.zeros(len(batch), np.uint64), [None] * len(batch), [None] * len(batch)
+        for rows, starts, hashes in _shingles(batch["text"], shingle):
+            prints[rows] = _simhash(hashes, starts)
             if minima:
-                arrays += [pa.array(nodes.view(np.int64)), pa.array(sets, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+                for i, own, keys in zip(rows.tolist(), np.split(hashes, starts[1:]), shingle_links.minima(hashes, starts)):
+                    sets[i], bands[i] = np.unique(own).tobytes(), keys
+                    nodes[i] = xxhash.xxh64_intdigest(sets[i], SEED)
+        arrays = [batch["row"], batch["mark"], pa.array(prints.view(np.int64))]
+        if minima:
+            arrays += [pa.array(nodes.view(np.int64)), pa.array(sets, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return source.mapInArrow(run, schema)
 
 
-def _base(f: Column) -> Column:
-    """The fingerprint's cell: bit counts of its segments as digits to the base 5."""
-    total = F.lit(0).cast("long")
-    for s in range(SEGMENTS):
-        total = total + F.bit_count(F.shiftrightunsigned(f, 4 * s).bitwiseAND(F.lit(15))).cast("long") * F.lit(5**s)
-    return total
-
-
-def _cells(f: Column) -> Column:
-    """The cell and its neighbours at Manhattan distance one: 33 at most."""
-    base = _base(f)
+def _cells(f: Column, width: int) -> Column:
+    """The cell of a fingerprint, its bit counts in segments of `width` bits, and all cells at Manhattan distance one."""
+    if width == 1:
+        # a count of one bit is the bit itself: the cell is the fingerprint, its neighbours are one flip away
+        return F.array(f, *[f.bitwiseXOR(F.shiftleft(F.lit(1).cast("long"), k)) for k in range(64)])
+    count = lambda s: F.bit_count(F.shiftrightunsigned(f, width * s).bitwiseAND(F.lit(2**width - 1)))
+    base = F.lit(0).cast("long")
+    for s in range(64 // width):
+        base = base + count(s).cast("long") * F.lit((width + 1) ** s)
     near = [base]
-    for s in range(SEGMENTS):
-        count = F.bit_count(F.shiftrightunsigned(f, 4 * s).bitwiseAND(F.lit(15)))
-        near += [F.when(count > 0, base - F.lit(5**s)), F.when(count < 4, base + F.lit(5**s))]
+    for s in range(64 // width):
+        near += [F.when(count(s) > 0, base - F.lit((width + 1) ** s)), F.when(count(s) < width, base + F.lit((width + 1) ** s))]
     return F.array_compact(F.array(*near))
 
 
-def links(prints: DataFrame, column: str = "fingerprint") -> DataFrame:
+def links(prints: DataFrame, column: str = "fingerprint", crowd: int = CROWD) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs of fingerprints that differ in two bits or fewer.
 
-    Two fingerprints within two bits have bit counts within Manhattan distance two, so both are within one of a common
-    cell of the grid: each is sent to its cell and the neighbours, and fingerprints that share a cell are verified exactly. In a
-    cell of more than PAIR_CELL the verification goes through one-bit neighbours, which two fingerprints share if and only if they differ in
-    two bits or fewer: each is linked to the least sharer, so a large group makes no more edges than 65 a member.
+    Two fingerprints within two bits have bit counts within Manhattan distance two, in segments of any width, so both are within one of a common
+    cell of the grid: each is sent to its cell and the neighbours, and fingerprints that share a cell are verified exactly. Cells
+    of more than `crowd` are split by the counts of segments of one bit. There sharing a cell is being within two
+    bits, so each is linked to the least sharer, and a large group makes no more edges than 65 a member.
     """
-    distinct = prints.select(F.col(column).alias("f")).distinct()
-    sent = distinct.select("f", F.explode(_cells(F.col("f"))).alias("cell"))
+    partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the few bytes of the fingerprints make many cells: they are dealt evenly before that
+    distinct = checkpointed(prints.select(F.col(column).alias("f")).distinct().repartition(partitions, "f"))
+    sent = distinct.select("f", F.explode(_cells(F.col("f"), WIDTH)).alias("cell"))
     sizes = sent.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = checkpointed(sent.join(sizes, "cell"))
-    small = met.filter(F.col("n") <= PAIR_CELL).select("cell", "f")
+    small = met.filter(F.col("n") <= crowd).select("cell", "f")
     pairs = small.select("cell", F.col("f").alias("a")).join(small.select("cell", F.col("f").alias("b")), "cell").filter("a < b and bit_count(a ^ b) <= 2").select("a", "b").distinct()
-    crowd = met.filter(F.col("n") > PAIR_CELL).select("f").distinct()
-    flips = F.array(F.col("f"), *[F.col("f").bitwiseXOR(F.shiftleft(F.lit(1).cast("long"), k)) for k in range(64)])
-    near = crowd.select("f", F.explode(flips).alias("z"))
-    least = near.groupBy("z").agg(F.min("f").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    stars = near.join(least, "z").filter("f <> a").select("a", F.col("f").alias("b")).distinct()
+    fine = met.filter(F.col("n") > crowd).select("f").distinct().repartition(partitions, "f").select("f", F.explode(_cells(F.col("f"), 1)).alias("cell"))
+    least = fine.groupBy("cell").agg(F.min("f").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    stars = fine.join(least, "cell").filter("f <> a").select("a", F.col("f").alias("b")).distinct()
     return pairs.unionByName(stars)
 
 
@@ -155,24 +157,29 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
 
     Documents are linked if their fingerprints differ in two bits or fewer, or if their shingle sets share a band of minima and
     have a similarity of 0.8 or more (shingle_links). Each distinct set is a node, tied to the others with its fingerprint.
-    Nulls come last; among equal ids the smaller hash of the text stays, and rows equal in both count as one document and stay
-    together. Texts without words count as copies of each other. All columns are returned.
+    Nulls come last; among equal ids the smaller hash of the text stays, and of rows equal in both the first in the input, so one row of a component
+    stays in any case. Texts without words count as copies of each other; an empty table gives no rows. All columns are returned; none of their
+    names can clash, as they travel inside a struct.
     """
-    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("mark"))
-    table = shared_folder(docs.sparkSession, "shingles")
-    fingerprints(docs, text_col, shingle, [id_col], minima=True).select(F.col(f"row.{id_col}").alias("id"), "mark", "fingerprint", "node", "shingles", "bands").write.parquet(table)
-    written = docs.sparkSession.read.parquet(table)
-    prints = written.select("id", "mark", "fingerprint", "node")
+    spark = docs.sparkSession
+    folder = shared_folder(spark, "near")
+    # numbered once and written, so that a row keeps its number whatever is read again
+    docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("u")).write.parquet(f"{folder}/rows")
+    rows = spark.read.schema(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.lit(0).cast("long").alias("u")).schema).parquet(f"{folder}/rows")
+    plain = rows.select("u", F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").alias("text"))
+    fingerprints(plain, "text", shingle, ["u", "id"], minima=True).select("row.u", "row.id", "mark", "fingerprint", "node", "shingles", "bands").write.parquet(f"{folder}/shingles")
+    written = spark.read.parquet(f"{folder}/shingles")
+    prints = written.select("u", "id", "mark", "fingerprint", "node")
     # the least node of each fingerprint stands for it
     first = checkpointed(prints.groupBy("fingerprint").agg(F.min("node").alias("a")))
     ties = checkpointed(prints.select("fingerprint", "node").distinct()).join(first, "fingerprint").select("a", F.col("node").alias("b")).filter("a <> b")
     ends = [first.select(F.col("fingerprint").alias(x), F.col("a").alias(f"n{x}")) for x in "ab"]
     bits = links(prints).join(ends[0], "a").join(ends[1], "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
     ties = checkpointed(ties.unionByName(bits))
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("mark"), F.col("u"))
     found = classes(prints, order, ties.unionByName(shingle_links.links(written.select("node", "shingles", "bands"), ties)), "node")
-    lost = prints.join(found, "node").filter(order != F.col("least")).select(F.col("id").alias("__id"), F.col("mark").alias("__mark")).distinct()
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.join(lost, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__mark")), "left_anti")
+    kept = found.select(F.col("least.u").alias("u")).distinct()
+    return rows.join(kept, "u", "left_semi").select("row.*")
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

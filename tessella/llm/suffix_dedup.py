@@ -1,4 +1,4 @@
-"""Suffix-array dedup (operator 8): later copies of long byte strings, by a logarithmic family of sorted suffix indexes."""
+"""Suffix-array dedup (operator 8): later copies of long byte strings, by a logarithmic family of suffix arrays."""
 
 from __future__ import annotations
 
@@ -11,44 +11,89 @@ from pyspark.sql import functions as F
 
 from tessella.llm import rounds
 from tessella.llm import textscan as ts
+from tessella.llm.line_dedup import in_order
 
-OUT_DDL = "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+OUT_DDL = "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
 OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", _SPANS), ("kept", pa.binary())])
 
 ANCHOR, SPAN, VARIETY, SUFFIX = 0, 1, 2, 3
+#: Answers about a minimizer: it stands in one kind of span, in several, or in so many that their strings are dealt one by one.
+MIXED, CROWDED = 1, 2
+#: More spans than these of one minimizer don't go to one shard (a megabyte of text).
+CROWD = 8192
+
+
+class SuffixArray:
+    """A text and the starts of its suffixes in the order of their first `length` bytes."""
+
+    def __init__(self, text: np.ndarray, starts: np.ndarray, length: int) -> None:
+        self.text, self.starts, self.length = text, starts, length
+
+    def strings(self) -> np.ndarray:
+        if not len(self.starts):
+            return np.zeros(0, f"S{self.length}")
+        return np.lib.stride_tricks.sliding_window_view(self.text, self.length)[self.starts].view(f"S{self.length}").reshape(-1)
+
+    def holds(self, strings: np.ndarray) -> np.ndarray:
+        """Merge-scan: which of the sorted strings are among the suffixes?"""
+        mine = self.strings()
+        at = np.minimum(np.searchsorted(mine, strings), len(mine) - 1)
+        return mine[at] == strings
+
+    def merged(self, other: SuffixArray) -> SuffixArray:
+        both = SuffixArray(np.concatenate([self.text, other.text]), np.concatenate([self.starts, other.starts + len(self.text)]), self.length)
+        # two sorted runs: a stable sort merges them
+        both.starts = both.starts[np.argsort(both.strings(), kind="stable")]
+        return both
 
 
 class IndexFamily:
-    """Sorted suffix indexes whose sizes grow geometrically, the largest first.
+    """Suffix arrays whose sizes grow geometrically, the largest first.
 
-    A new batch is merge-scanned against every level; what no level holds becomes a new level, and
-    neighbouring levels of like size merge. After n entries there are O(log n) levels, and an entry has moved
-    O(log n) times.
+    A new batch gets a suffix array, which is merge-scanned against every level; what no level holds becomes a new level, and
+    neighbouring levels of like size merge. After n suffixes there are O(log n) levels, and a suffix has moved O(log n) times.
     """
 
-    def __init__(self) -> None:
-        self.levels: list[np.ndarray] = []
-
-    def add(self, batch: np.ndarray) -> np.ndarray:
-        """Which entries of a sorted batch an earlier batch held; the others join the family."""
-        seen = np.zeros(len(batch), bool)
+    def __init__(self, length: int) -> None:
+        self.length = length
+        self.levels: list[SuffixArray] = []
+
+    def add(self, text: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Which of the batch's strings stand earlier, in an earlier batch or at an earlier one of the starts."""
+        if not len(starts):
+            return np.zeros(0, bool)
+        batch = SuffixArray(text, starts, self.length)
+        strings = batch.strings()
+        order = np.argsort(strings, kind="stable")
+        strings = strings[order]
+        new = np.append(True, strings[1:] != strings[:-1])
+        fresh = strings[new]
+        known = np.zeros(len(fresh), bool)
         for level in self.levels:
-            at = np.searchsorted(level, batch)
-            seen |= level[np.minimum(at, len(level) - 1)] == batch
-        new = batch[~seen]
-        if len(new):
-            self.levels.append(new)
-        while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
+            known |= level.holds(fresh)
+        seen = np.ones(len(starts), bool)
+        seen[order[new]] = known
+        if not known.all():
+            self.levels.append(SuffixArray(text, starts[order[new]][~known], self.length))
+        while len(self.levels) > 1 and len(self.levels[-2].starts) < 2 * len(self.levels[-1].starts):
             small, large = self.levels.pop(), self.levels.pop()
-            self.levels.append(np.sort(np.concatenate([large, small]), kind="stable"))
+            self.levels.append(large.merged(small))
         return seen
 
 
-def earlier(blobs: list[bytes], width: int) -> list[np.ndarray]:
-    """For every entry of the batches, in their order: did an earlier batch hold it?"""
-    family = IndexFamily()
-    return [family.add(rounds.unpacked([b], width)[0]) for b in blobs]
+def _blob(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """Pieces of text: how many, their lengths, and their bytes."""
+    at, _ = ts.spread(starts, ends - 1)
+    return np.array([len(starts), *(ends - starts)], "<u4").tobytes() + data[at].tobytes()
+
+
+def _pieces(blob: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The text of a blob and the starts of all its strings of `length` bytes, piece by piece."""
+    n = int.from_bytes(blob[:4], "little")
+    size = np.frombuffer(blob, "<u4", n, 4).astype(np.int64)
+    end = np.cumsum(size)
+    return np.frombuffer(blob, np.uint8, offset=4 + 4 * n), ts.spread(end - size, end - length)[0]
 
 
 def suffix_array(data: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,107 +134,119 @@ def _firsts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return found, inverse, is_first
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 50, group_bytes: int = rounds.GROUP_BYTES) -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 50, group_bytes: int | None = None, crowd: int = CROWD) -> DataFrame:
     """Removes every byte that lies in a `length`-byte string which also starts earlier.
 
     Texts are UTF-8 bytes. Earlier means a smaller doc_id, or an earlier start in the same document; among rows of the same
-    doc_id it is the smaller text, and of equal rows all but one are later. Overlapping matches count.
+    doc_id it is the smaller XXH64 of the text, and of equal rows all but one are later. Overlapping matches count.
 
-    Batches of documents in doc_id order get suffix arrays, and each shard of the key space merge-scans the
-    batches in that order against an `IndexFamily`. Three questions narrow down what has to be sorted, without losing a match:
+    Batches of documents in that order get suffix arrays, and every shard keeps an `IndexFamily`, whose levels hold suffix arrays with
+    their text: it merge-scans the batches in their order against the levels, byte by byte. Three questions narrow down what has to be sorted, without losing a match:
     (1) each string's minimizer (smallest hash of its `gram`-byte runs) has to stand elsewhere too; (2) a whole
-    run of neighbouring strings with one minimizer (a span) that an earlier batch holds is a long match as it is;
-    (3) the strings of a first span are sorted into the batch's suffix array only if its minimizer also stands in
-    spans that differ. Each batch sends the 64-bit fingerprints of its suffix array's classes to the family, not
-    the bytes: 100 bytes a suffix would not fit the disk.
+    run of neighbouring strings with one minimizer (a span) that an earlier batch holds, by its 64-bit hash, is a long match as it is;
+    (3) the strings of a first span are sorted only if its minimizer also stands in
+    spans that differ. The text of such a span goes once to the shard of its minimizer; where more than `crowd` spans
+    have one minimizer, their strings go one by one to the shards of their own hashes, so that no shard gets a crowd.
 
     Returns one row for each input row: doc_id, n_bytes, removed (maximal byte intervals, end exclusive), kept (the
-    other bytes, joined, which may split a character). Null and empty texts have no bytes. Extra columns are ignored.
+    other bytes, joined, which may split a character). Null and empty texts have no bytes; an empty table gives no rows. Extra columns are ignored.
+    A long text costs a task some forty times its size.
     """
     if not 0 < gram <= length:
         raise ValueError("gram must be between 1 and length")
     groups, shards = rounds.sizes(docs, text_col, group_bytes)
     dealt = rounds.by_range(docs, id_col, text_col, groups)
-    none = np.zeros(0, np.uint64)
 
-    def scan(table: pa.Table):
-        """The batch's bytes and row offsets; first and last string, minimizer and fingerprint of every span."""
+    def scan(table: pa.Table, hashed: bool):
+        """The batch's bytes and row offsets; first and last string, minimizer and (if asked for) hash of every span."""
         data, offsets = ts.text_bytes(table["text"])
-        parts = []
+        parts = [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)]]
         for a, b in ts.chunks(offsets):
-            (lo, hi, key, span), _ = ts.super_windows(ts.BYTE_VALUES[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a], length, gram)
-            parts.append((lo + offsets[a], hi + offsets[a], key, span))
-        if not parts:
-            return data, offsets, np.zeros(0, np.int64), np.zeros(0, np.int64), none, none
+            values = ts.BYTE_VALUES[data[offsets[a] : offsets[b]]]
+            lo, hi, key = ts.super_windows(values, offsets[a : b + 1] - offsets[a], length, gram)
+            span = ts.span_hashes(ts.prefix_sums(values), lo, hi + length) if hashed else key
+            parts.append([lo + offsets[a], hi + offsets[a], key, span])
         return data, offsets, *(np.concatenate(x) for x in zip(*parts))
 
     def anchors(g: int, table: pa.Table, _) -> pa.Table:
-        return rounds.packed(g, ANCHOR, np.unique(scan(table)[4]), shards, 5)[0]
+        return rounds.packed(g, ANCHOR, np.unique(scan(table, False)[4]), shards, 5)[0]
 
     def candidates(table: pa.Table, replies: pa.Table):
         """The scan without the spans whose minimizer stands at one place only."""
-        data, offsets, lo, hi, key, span = scan(table)
+        data, offsets, lo, hi, key, span = scan(table, True)
         found, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
         order = rounds.packed(0, ANCHOR, found, shards, 5)[1]
-        keep = ((count > 1) | rounds.answered(replies, ANCHOR, order))[inverse]
+        keep = ((count > 1) | (rounds.answered(replies, ANCHOR, order) > 0))[inverse]
         return data, offsets, lo[keep], hi[keep], key[keep], span[keep]
 
-    def varieties(key: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct minimizers, the place of each span's among them, and the least and greatest fingerprint with each."""
-        found, inverse = np.unique(key, return_inverse=True)
+    def varieties(key: np.ndarray, span: np.ndarray):
+        """Distinct minimizers, the place of each span's among them, and for each the least and greatest hash and the number of its spans."""
+        found, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
         least, most = np.full(len(found), 2**64 - 1, np.uint64), np.zeros(len(found), np.uint64)
         np.minimum.at(least, inverse, span)
         np.maximum.at(most, inverse, span)
-        return found, inverse, np.stack([least, most], 1)
+        return found, inverse, np.stack([least, most, count.astype(np.uint64)], 1)
 
-    def variety_rows(g: int, key: np.ndarray, span: np.ndarray) -> tuple[pa.Table, np.ndarray]:
+    def variety_rows(g: int, key: np.ndarray, span: np.ndarray) -> pa.Table:
         """One entry a minimizer: its key and a digest of the spans it is in."""
-        found, _, ends = varieties(key, span)
+        found, _, digest = varieties(key, span)
         table, order = rounds.packed(g, VARIETY, found, shards, 8)
-        # behind the keys of a shard come the spans' least and greatest fingerprints, in the same order
-        rows, at, blobs = ends[order], 0, []
+        # behind the keys of a shard come the digests, in the same order
+        rows, at, blobs = digest[order], 0, []
         for b in table["keys"].to_pylist():
             n = len(b) // 8
             blobs.append(b + rows[at : at + n].astype("<u8").tobytes())
             at += n
-        return table.set_column(3, "keys", pa.array(blobs, pa.binary())), order
+        return table.set_column(3, "keys", pa.array(blobs, pa.binary()))
 
     def spans(g: int, table: pa.Table, replies: pa.Table) -> pa.Table:
         _, _, _, _, key, span = candidates(table, replies)
-        return pa.concat_tables([rounds.packed(g, SPAN, np.unique(span), shards, 8)[0], variety_rows(g, key, span)[0]])
+        keep = _firsts(span)[2]
+        return pa.concat_tables([rounds.packed(g, SPAN, np.unique(span), shards, 8)[0], variety_rows(g, key[keep], span[keep])])
 
     def matches(table: pa.Table, replies: pa.Table):
-        """Spans that are later copies; the batch's suffix array over the strings of the spans that may hold one."""
+        """Spans that are later copies, and the pieces of text to look up.
+
+        pieces: first string, end, shard; those of crowded minimizers are single strings, one of each kind. strings: the starts
+        that the pieces' answers are about, in the order of the answers.
+        """
         data, offsets, lo, hi, key, span = candidates(table, replies)
         found, inverse, first = _firsts(span)
-        known = rounds.answered(replies, SPAN, rounds.packed(0, SPAN, found, shards, 8)[1])
-        later = ~first | known[inverse]
-        kinds, place, ends = varieties(key, span)
-        mixed = (ends[:, 0] != ends[:, 1]) | rounds.answered(replies, VARIETY, rounds.packed(0, VARIETY, kinds, shards, 8)[1])
-        part = ~later & mixed[place]
-        starts, _ = ts.spread(lo[part], hi[part])
-        order, group = suffix_array(data, starts, length)
-        sorted_starts = starts[order]
-        heads = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
-        first_start = np.minimum.reduceat(sorted_starts, heads) if len(heads) else sorted_starts
-        padded = ts.prefix_sums(ts.BYTE_VALUES[data])
-        prints = ts.span_hashes(padded, first_start, first_start + length)
-        return data, offsets, lo, hi, later, sorted_starts, heads, first_start, prints
+        later = ~first | (rounds.answered(replies, SPAN, rounds.packed(0, SPAN, found, shards, 8)[1])[inverse] > 0)
+        kinds, place, _ = varieties(key[first], span[first])
+        kind = np.zeros(len(key), np.uint8)
+        kind[first] = rounds.answered(replies, VARIETY, rounds.packed(0, VARIETY, kinds, shards, 8)[1])[place]
+        open_ = ~later & (kind == MIXED)
+        piece_lo, piece_end, shard = lo[open_], hi[open_] + length, rounds.shard_of(key[open_], shards)
+        crowded = ~later & (kind == CROWDED)
+        alone, _ = ts.spread(lo[crowded], hi[crowded])
+        order, group = suffix_array(data, alone, length)
+        alone, heads = alone[order], np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
+        single = np.minimum.reduceat(alone, heads) if len(heads) else alone
+        if len(single):
+            print_ = ts.span_hashes(ts.prefix_sums(ts.BYTE_VALUES[data]), single, single + length)
+            piece_lo, piece_end, shard = np.concatenate([piece_lo, single]), np.concatenate([piece_end, single + length]), np.concatenate([shard, rounds.shard_of(print_, shards)])
+        by = np.lexsort((piece_lo, shard))
+        pieces = piece_lo[by], piece_end[by], shard[by]
+        return data, offsets, lo, hi, later, pieces, ts.spread(pieces[0], pieces[1] - length)[0], alone, np.repeat(single, np.diff(np.append(heads, len(alone))))
 
     def suffixes(g: int, table: pa.Table, replies: pa.Table) -> pa.Table:
-        return rounds.packed(g, SUFFIX, np.unique(matches(table, replies)[-1]), shards, 8)[0]
+        data, *_, (start, end, shard), _, _, _ = matches(table, replies)
+        there, first = np.unique(shard, return_index=True)
+        return rounds.asked(g, SUFFIX, there, [_blob(data, start[a:b], end[a:b]) for a, b in zip(first, np.append(first[1:], len(shard)))])
 
     def cut(g: int, table: pa.Table, replies: pa.Table) -> pa.Table:
-        data, offsets, lo, hi, later, suffix, heads, first_start, prints = matches(table, replies)
-        found, inverse = np.unique(prints, return_inverse=True)
-        known = rounds.answered(replies, SUFFIX, rounds.packed(0, SUFFIX, found, shards, 8)[1])[inverse]
-        size = np.diff(np.append(heads, len(suffix)))
-        copy = np.repeat(known, size) | (suffix != np.repeat(first_start, size))
+        data, offsets, lo, hi, later, _, strings, alone, single = matches(table, replies)
+        copy = np.zeros(len(data) + 1, bool)
+        copy[strings[rounds.answered(replies, SUFFIX, np.arange(len(strings))) > 0]] = True
+        # of a crowd's strings one of each kind was looked up
+        copy[alone[copy[single] | (alone != single)]] = True
         edge = np.zeros(len(data) + 1, np.int32)
         np.add.at(edge, lo[later], 1)
         np.add.at(edge, hi[later] + length, -1)
-        np.add.at(edge, suffix[copy], 1)
-        np.add.at(edge, suffix[copy] + length, -1)
+        suffix = np.flatnonzero(copy)
+        np.add.at(edge, suffix, 1)
+        np.add.at(edge, suffix + length, -1)
         gone = np.cumsum(edge[:-1]) > 0
         raw = data.tobytes()
         removed, kept = [], []
@@ -204,19 +261,23 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 kept.append(raw[a:b])
         return pa.table([table["doc_id"].cast(pa.int64()), pa.array(np.diff(offsets)), pa.array(removed, _SPANS), pa.array(kept, pa.binary())], schema=OUT)
 
-    def shard(kind: int, _, blobs: list[bytes]) -> list[np.ndarray]:
+    def shard(kind: int, blobs: list[bytes]) -> list[np.ndarray]:
         if kind == ANCHOR:
             return rounds.elsewhere(blobs, 5)
-        if kind == VARIETY:
-            sizes = [len(b) // 24 for b in blobs]
-            key, _ = rounds.unpacked([b[: 8 * n] for b, n in zip(blobs, sizes)], 8)
-            ends, _ = rounds.unpacked([b[8 * n :] for b, n in zip(blobs, sizes)], 8)
-            _, inverse = np.unique(key, return_inverse=True)
-            least, most = np.full(len(key), 2**64 - 1, np.uint64), np.zeros(len(key), np.uint64)
-            np.minimum.at(least, inverse, ends[::2])
-            np.maximum.at(most, inverse, ends[1::2])
-            return np.split((least != most)[inverse], np.cumsum(sizes)[:-1])
-        return earlier(blobs, 8)
+        if kind == SPAN:
+            return rounds.earlier(blobs, 8)
+        if kind == SUFFIX:
+            family = IndexFamily(length)
+            return [family.add(*_pieces(b, length)) for b in blobs]
+        sizes = [len(b) // 32 for b in blobs]
+        key, _ = rounds.unpacked([b[: 8 * n] for b, n in zip(blobs, sizes)], 8)
+        digest, _ = rounds.unpacked([b[8 * n :] for b, n in zip(blobs, sizes)], 8)
+        _, inverse = np.unique(key, return_inverse=True)
+        least, most = np.full(len(key), 2**64 - 1, np.uint64), np.zeros(len(key), np.uint64)
+        np.minimum.at(least, inverse, digest[::3])
+        np.maximum.at(most, inverse, digest[1::3])
+        count = np.bincount(inverse, weights=digest[2::3].astype(np.float64), minlength=len(key))
+        return np.split(np.where(least == most, 0, np.where(count <= crowd, MIXED, CROWDED))[inverse], np.cumsum(sizes)[:-1])
 
     one = rounds.answer(rounds.ask(dealt, None, anchors), shard)
     two = rounds.answer(rounds.ask(dealt, one, spans), shard)
@@ -240,7 +301,7 @@ def brute_force(rows: list[tuple], length: int = 100) -> list[tuple]:
     """The same digest in plain Python, for small fixtures."""
     seen: set[bytes] = set()
     out = []
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+    for doc_id, text in in_order(rows):
         raw = (text or "").encode()
         gone = np.zeros(len(raw), bool)
         for i in range(len(raw) - length + 1):

@@ -11,14 +11,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once inside a task; one longer text is handled alone.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[str, np.ndarray] = {}
+#: Hashes that decide are polynomials modulo the prime 2**31 - 1 at two random bases: two different spans of n values have one hash
+#: with a probability of (n / 2**31)**2 at most, whatever their structure.
+PRIME = np.uint64(2**31 - 1)
+_BASES = (1283169405, 796241283)
+#: Hashes that only name candidates (minimizers) are polynomials modulo 2**64; a false alarm costs time, no result.
+_LOOSE = 0x9E3779B97F4A7C15
+_LOOSE_INV = pow(_LOOSE, -1, 1 << 64)
+_POWERS: dict[str, list[np.ndarray]] = {}
 
-#: Random 64-bit value of each byte, so that a polynomial over bytes spreads over all bits.
-BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**63 - 1, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Random 62-bit value of each byte, 31 bits for each base.
+BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**62, 256, dtype=np.uint64)
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -37,39 +42,80 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hash base and its inverse to the powers 0..n-1, modulo 2**64."""
-    have = _POWERS.get("up")
-    if have is None or len(have) < n:
+def _series(base: int, size: int) -> np.ndarray:
+    """base to the powers 0..size-1 modulo the prime, by doubling."""
+    out = np.ones(1, np.uint64)
+    while len(out) < size:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), int(PRIME))) % PRIME])
+    return out[:size].astype(np.uint32)
+
+
+def powers(n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Each base and its inverse to the powers 0..n-1, modulo the prime."""
+    if "up" not in _POWERS or len(_POWERS["up"][0]) < n:
         size = max(n, 1 << 16)
-        for name, b in (("up", _BASE), ("down", _BASE_INV)):
-            steps = np.full(size, b, np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.cumprod(steps, dtype=np.uint64)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+        _POWERS["up"] = [_series(b, size) for b in _BASES]
+        _POWERS["down"] = [_series(pow(b, -1, int(PRIME)), size) for b in _BASES]
+    return [p[:n] for p in _POWERS["up"]], [p[:n] for p in _POWERS["down"]]
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A number below 2**33 with the same remainder; below 2**31 + 4 when folded again."""
+    return (x & PRIME) + (x >> np.uint64(31))
+
+
+def _least(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _combined(lanes: list[np.ndarray], lengths: np.ndarray) -> np.ndarray:
+    return mix((lanes[0] << np.uint64(31) | lanes[1]) + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:
-    """Rolling-hash prefix sums: out[i] covers values[:i]."""
+    """Rolling-hash prefix sums of 62-bit values, a row for each base: out[:, i] covers values[:i]."""
     up, _ = powers(len(values))
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up, out=out[1:])
+    out = np.zeros((2, len(values) + 1), np.uint64)
+    for lane in (0, 1):
+        v = values & PRIME if lane == 0 else (values >> np.uint64(31)) & PRIME
+        v *= up[lane]
+        np.cumsum(_fold(v), out=out[lane, 1:])
     return out
 
 
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each span of the hashed values, wherever it stands; spans of other lengths differ too."""
-    _, down = powers(len(sums))
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    _, down = powers(sums.shape[1])
+    return _combined([_least(_fold(_fold(sums[k][ends] - sums[k][starts])) * down[k][starts]) for k in (0, 1)], ends - starts)
+
 
+def spliced_hashes(sums: np.ndarray, starts: np.ndarray, gaps: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span without the one value at its gap: what span_hashes gives for that sequence."""
+    up, down = powers(sums.shape[1])
+    lanes = []
+    for k in (0, 1):
+        before = _fold(_fold(_fold(_fold(sums[k][gaps] - sums[k][starts])) * down[k][starts]))
+        behind = _fold(_fold(_fold(_fold(sums[k][ends] - sums[k][gaps + 1])) * down[k][gaps + 1]))
+        lanes.append(_least(before + _fold(_fold(behind * up[k][gaps - starts]))))
+    return _combined(lanes, ends - starts - 1)
 
-def window_hashes(sums: np.ndarray, n: int) -> np.ndarray:
-    """Rabin-Karp hash of every window of n values."""
-    count = len(sums) - n
+
+def gram_hashes(values: np.ndarray, n: int) -> np.ndarray:
+    """Rabin-Karp hash modulo 2**64 of every window of n values, to choose minimizers by."""
+    count = len(values) - n + 1
     if count <= 0:
         return np.zeros(0, np.uint64)
-    _, down = powers(count)
-    return mix((sums[n:] - sums[:count]) * down + np.uint64(n))
+    if "loose" not in _POWERS or len(_POWERS["loose"][0]) < len(values):
+        size = max(len(values), 1 << 16)
+        for b, name in ((_LOOSE, 0), (_LOOSE_INV, 1)):
+            steps = np.full(size, b, np.uint64)
+            steps[0] = 1
+            _POWERS.setdefault("loose", [None, None])[name] = np.cumprod(steps, dtype=np.uint64)
+    up, down = _POWERS["loose"]
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    return mix((sums[n:] - sums[:count]) * down[:count] + np.uint64(n))
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,19 +180,18 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def super_windows(values: np.ndarray, offsets: np.ndarray, n: int, k: int):
+def super_windows(values: np.ndarray, offsets: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Groups each row's windows of n values by their minimizer, the smallest hash of the k-grams inside.
 
     Equal windows hold equal k-grams at equal distances, so they have equal minimizers wherever they
     stand; the leftmost one is taken on ties. A super-window is a maximal run of neighbouring windows with one
     minimizer at one position; no two of its windows are equal.
-    Returns (first window, last window, hash of the minimizer, hash of the whole span) and the prefix sums.
+    Returns (first window, last window, hash of the minimizer).
     """
-    sums = prefix_sums(values)
     empty = np.zeros(0, np.int64)
     if len(values) < n:
-        return (empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)), sums
-    gram = window_hashes(sums, k)
+        return empty, empty, empty.astype(np.uint64)
+    gram = gram_hashes(values, k)
     bits = max(1, int(len(gram)).bit_length())
     low = np.uint64((1 << bits) - 1)
     packed = (gram & ~low) | np.arange(len(gram), dtype=np.uint64)
@@ -163,11 +208,10 @@ def super_windows(values: np.ndarray, offsets: np.ndarray, n: int, k: int):
     change[begin] = True
     lo = np.flatnonzero(change)
     if not len(lo):
-        return (empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)), sums
+        return empty, empty, empty.astype(np.uint64)
     # a run ends before the next one, or with its row
     ends = np.minimum(np.append(lo[1:], len(least)), stop[np.searchsorted(begin, lo, side="right") - 1])
-    hi = ends - 1
-    return (lo, hi, gram[(least[lo] & low).astype(np.int64)], span_hashes(sums, lo, hi + n)), sums
+    return lo, ends - 1, gram[(least[lo] & low).astype(np.int64)]
 
 
 def spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,12 +1,15 @@
 """The ten operators against brute force, on fixtures with nulls, empty and long texts, ties, repeated rows and clashing columns."""
 
 import random
+import re
+from html.parser import HTMLParser
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tessella.operators.graph import components
 from tessella.llm import decontamination, exact_topk, html_extract, line_dedup, quality, shingle_links, simhash_dedup, source_mix, substring_dedup, suffix_dedup, url_filter
 
 SF = "/root/testdata/sf0.001"
@@ -51,9 +54,32 @@ def same(df, expected, columns=None):
 
 
 def test_line_dedup(frame, corpus):
-    found = line_dedup.line_dedup(frame)
-    same(found.select(F.col("row.doc_id"), "n_lines", F.size("removed").cast("long"), F.sha2("kept", 256)), line_dedup.brute_force(corpus))
+    for edits in (1, 0):
+        found = line_dedup.line_dedup(frame, edits=edits, group_bytes=3000)
+        same(found.select(F.col("row.doc_id"), "n_lines", F.size("removed").cast("long"), "kept"), line_dedup.brute_force(corpus, edits))
     assert set(line_dedup.cleaned(frame).columns) == set(frame.columns)
+    with pytest.raises(ValueError):
+        line_dedup.line_dedup(frame, edits=2)
+
+
+def test_line_dedup_of_short_lines_and_repeated_rows(spark):
+    """Lines of any length have the edit rule; rows of one id, and equal rows, fill several groups."""
+    rng = random.Random(6)
+    short = ["".join(rng.choice("abä") for _ in range(rng.randint(0, 17))) for _ in range(120)]
+    rows = [(i % 40, "\n".join(rng.sample(short, 3))) for i in range(80)] + [(7, "one line of a repeated row")] * 60 + [(None, "x" * 15 + "\n" + "y" * 16), (None, "x" * 16 + "\n" + "y" * 15)]
+    found = line_dedup.line_dedup(spark.createDataFrame(rows, TEXT), group_bytes=200)
+    same(found.select("row.doc_id", "n_lines", F.size("removed").cast("long"), "kept"), line_dedup.brute_force(rows))
+
+
+def test_structured_lines_are_told_apart(spark):
+    """A Thue-Morse line over two letters and its complement differ everywhere, though a polynomial modulo 2**64 can't tell."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    rows = [(0, "".join("ab"[b] for b in bits)), (1, "".join("ba"[b] for b in bits))]
+    df = spark.createDataFrame(rows, TEXT)
+    assert line_dedup.line_dedup(df).filter(F.size("removed") > 0).isEmpty()
+    same(suffix_dedup.digest(suffix_dedup.suffix_dedup(df)), suffix_dedup.brute_force(rows))
+    words = [(i, " ".join([t[:1024] + t[1024:]] * 40)) for i, t in rows]
+    same(substring_dedup.digest(substring_dedup.substring_dedup(spark.createDataFrame(words, TEXT))), substring_dedup.brute_force(words))
 
 
 def test_line_dedup_one_edit(spark):
@@ -84,7 +110,8 @@ def test_substring_dedup(spark, frame, corpus):
 
 def test_suffix_dedup(spark, frame, corpus):
     for length, gram in ((100, 50), (20, 8)):
-        same(suffix_dedup.digest(suffix_dedup.suffix_dedup(frame, length=length, gram=gram, group_bytes=3000)), suffix_dedup.brute_force(corpus, length))
+        for crowd in (suffix_dedup.CROWD, 1):
+            same(suffix_dedup.digest(suffix_dedup.suffix_dedup(frame, length=length, gram=gram, group_bytes=3000, crowd=crowd)), suffix_dedup.brute_force(corpus, length))
     twice = corpus[:5] + corpus[:5] + [(None, corpus[0][1])]
     same(suffix_dedup.digest(suffix_dedup.suffix_dedup(spark.createDataFrame(twice, TEXT))), suffix_dedup.brute_force(twice))
 
@@ -103,21 +130,55 @@ def test_suffix_array_is_in_order():
 def test_index_family_levels():
     import numpy as np
 
-    family, seen, rng = suffix_dedup.IndexFamily(), set(), random.Random(1)
+    family, seen, rng = suffix_dedup.IndexFamily(3), set(), random.Random(1)
     for _ in range(40):
-        batch = np.array(sorted({rng.randint(0, 400) for _ in range(20)}), np.uint64)
-        assert family.add(batch).tolist() == [int(x) in seen for x in batch]
-        seen |= {int(x) for x in batch}
-    assert len(family.levels) <= 9
-
-
-def test_simhash(frame, corpus, monkeypatch):
-    expected = simhash_dedup.brute_force(corpus)
-    same(simhash_dedup.near_duplicates(frame), expected)
-    monkeypatch.setattr(simhash_dedup, "PAIR_CELL", 1)
-    same(simhash_dedup.near_duplicates(frame), expected)
+        text = "".join(rng.choice("abcd\0") for _ in range(30)).encode()
+        found = family.add(np.frombuffer(text, np.uint8), np.arange(28))
+        want = []
+        for i in range(28):
+            want.append(text[i : i + 3] in seen)
+            seen.add(text[i : i + 3])
+        assert found.tolist() == want
+    assert len(family.levels) <= 9 and all((level.strings()[1:] > level.strings()[:-1]).all() for level in family.levels)
+
+
+def test_simhash(frame, corpus):
+    same(simhash_dedup.near_duplicates(frame), simhash_dedup.brute_force(corpus))
+
+
+def test_crowded_cells(spark):
+    """Fingerprints of one cell, 64 or 65 of them, and a crowd split by one-bit segments."""
+    rng = random.Random(9)
+    for n in (64, 65):
+        # two bits in every segment: all in one cell
+        prints = set()
+        while len(prints) < n:
+            prints.add(sum(rng.choice((3, 5, 6, 9, 10, 12)) << (4 * s) for s in range(8)))
+        prints |= {x ^ 3 for x in list(prints)[:20]} | {x ^ (1 << 60) for x in list(prints)[20:30]}
+        df = spark.createDataFrame([(x,) for x in prints], "fingerprint long")
+        parent = {x: x for x in prints}
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for x in prints:
+            for y in prints:
+                if bin(x ^ y).count("1") <= 2:
+                    parent[root(x)] = root(y)
+        for crowd in (simhash_dedup.CROWD, 1, 1000):
+            found = {x: x for x in prints} | {r["node"]: r["label"] for r in components(simhash_dedup.links(df, crowd=crowd)).collect()}
+            assert len(set(found.values())) == len({root(x) for x in prints})
+            assert all(found[x] == found[y] for x in prints for y in prints if root(x) == root(y))
+
+
+def test_keep_one(spark, frame, corpus):
     assert between({r["doc_id"] for r in simhash_dedup.keep_one(frame).collect()}, corpus)
     assert simhash_dedup.keep_one(frame.limit(0)).isEmpty()
+    twice = spark.createDataFrame([(1, "a b c d e f g")] * 3 + [(None, None), (None, "")], TEXT).withColumns({n: F.lit("mine") for n in ("u", "id", "__id", "__mark", "row", "node", "least", "label", "none")})
+    kept = simhash_dedup.keep_one(twice)
+    assert kept.columns == twice.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "None"]
 
 
 def between(kept, rows):
@@ -179,7 +240,7 @@ def test_sets_with_one_fingerprint(spark):
     original = simhash_dedup.fingerprints
     far, near = " ".join(f"z{k}" for k in range(60)), " ".join(f"w{k}" for k in range(1, 60))
     rows = [(1, far), (2, a), (3, near)] + [(10 + k, t) for k, t in enumerate(sets)]
-    simhash_dedup.fingerprints = lambda *args, **named: original(*args, **named).withColumns({"fingerprint": F.when(F.col("row.doc_id") < 3, fixed["fingerprint"]).otherwise(F.col("fingerprint"))})
+    simhash_dedup.fingerprints = lambda *args, **named: original(*args, **named).withColumns({"fingerprint": F.when(F.col("row.id") < 3, fixed["fingerprint"]).otherwise(F.col("fingerprint"))})
     try:
         kept = {r["doc_id"] for r in simhash_dedup.keep_one(spark.createDataFrame(rows, TEXT)).collect()}
     finally:
@@ -233,6 +294,88 @@ def test_topk(spark):
     same(exact_topk.exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), expected)
 
 
+class PlainReader(HTMLParser):
+    """Blocks of a page by the standard library's parser, for pages that close what they open (paragraphs, items and inline tags apart)."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.out, self.text, self.open = [], "", []
+        self.feed((page or "").rsplit("<", 1)[0] if "<" in (page or "") and ">" not in (page or "").rsplit("<", 1)[1] else page or "")
+        self.close()
+        self.flush()
+
+    def flush(self):
+        t = " ".join(self.text.split())
+        self.text = ""
+        if t:
+            inside, chrome = any(n in ("article", "main") for n, _ in self.open), any(c for _, c in self.open)
+            self.out.append((html_extract.CHROME if chrome else html_extract.MAIN if inside else html_extract.NEUTRAL, t))
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.text += " "
+        if tag in html_extract.BLOCK:
+            self.flush()
+            if tag in ("p", "li"):
+                inner = next((k for k in reversed(range(len(self.open))) if self.open[k][0] in html_extract.BLOCK), None)
+                if inner is not None and self.open[inner][0] == tag:
+                    del self.open[inner:]
+        if tag not in html_extract.VOID:
+            marks = {w for n, v in attrs if n in ("class", "id") for w in re.findall("[a-z]+", (v or "").lower())}
+            inside = any(n in ("article", "main") for n, _ in self.open)
+            self.open.append((tag, tag in html_extract.CHROME_TAGS or tag == "header" and not inside or bool(marks & html_extract.CHROME_WORDS)))
+
+    def handle_endtag(self, tag):
+        if tag in html_extract.BLOCK:
+            self.flush()
+        if any(n == tag for n, _ in self.open):
+            while self.open.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if not any(n in html_extract.DROPPED | html_extract.RAW for n, _ in self.open):
+            self.text += data
+
+
+def plain_blocks(page):
+    return PlainReader(page).out
+
+
+def test_html_of_given_pages(spark):
+    """Another parser reads the given pages alike."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()]
+    found = html_extract.extract(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"), group_bytes=100_000)
+    same(found.select("row.page_id", "row.url", "text", "n_chars", "n_repeated"), html_extract.brute_force(rows, plain_blocks))
+
+
+def test_html_by_suffix_arrays_alone(spark):
+    """Hosts without any article: what their pages share goes, what is unique stays, and nothing crosses hosts."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    pages, expected = [], {}
+    for host in range(6):
+        head, foot = (" ".join(word() for _ in range(12)) for _ in range(2))
+        for k in range(7):
+            own = [" ".join(word() for _ in range(20)) for _ in range(3)]
+            pages.append((10 * host + k, f"http://h{host}.org/{k}", f"<body><div>{head}</div>" + "".join(f"<p>{x}</p>" for x in own) + f"<div>{foot}</div></body>"))
+            expected[10 * host + k] = "\n".join(own)
+    pages.append((99, "http://h9.org/", pages[0][2]))
+    found = {r["row"]["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string"), group_bytes=500).collect()}
+    assert found.pop(99).count("\n") == 4 and found == expected
+    boxed = [(i, u, h.replace("<body>", "<article>")) for i, u, h in pages]
+    assert {r["row"]["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(boxed, "page_id long, url string, html string"), structure=False).collect() if r["row"]["page_id"] != 99} == expected
+
+
+def test_html_in_linear_time():
+    """Unclosed quotes, tags and deep nesting cost no more than their length."""
+    from time import perf_counter
+
+    for piece in ("<a href=\"x", "<a '>", "<b>", "<div>", "<b><p>", "<!-- ", "</script", "<", "<p class=\"a>", "<li><ul>"):
+        start = perf_counter()
+        html_extract.blocks("<article>" + piece * 60_000)
+        assert perf_counter() - start < 3, piece
+
+
 def test_html(spark):
     boiler = "<div>Subscribe now to our weekly letter and never miss any single story again</div>"
     pages = [
@@ -243,9 +386,9 @@ def test_html(spark):
         (5, None, None), (6, "no scheme", ""), (7, "http://a.b/q", "<article><p>cut <a hr"), (8, "http://a.b/q", "<main><div class='reader-comments'>c</div><section>s</section></main>"),
         (8, "http://a.b/q", "<main><div class='reader-comments'>c</div><section>s</section></main>"),
     ]
-    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("text", F.lit("mine"))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({n: F.lit("mine") for n in ("text", "__url", "row", "n_chars", "g", "u")})
     found = html_extract.extract(df)
-    expected = html_extract.brute_force(pages)
+    expected = html_extract.brute_force(pages, plain_blocks)
     same(found.select("row.page_id", "row.url", "text", "n_chars", "n_repeated"), expected)
     texts = {r[0]: r[2] for r in expected}
     assert texts[1] == "T & t\none two three\nfour &quo" and texts[2] == "unique text of page two" and texts[7] == "cut" and texts[8] == "s" and texts[5] == ""
