@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tessella.llm import textscan as ts
 
-#: Bytes of benchmark text that one broadcast holds; a larger benchmark is searched in several blocks.
-BLOCK_BYTES = 32 << 20
+#: Bytes of benchmark text that one broadcast holds, as arrays of some sixty bytes a word; a larger benchmark is searched in several blocks.
+BLOCK_BYTES = 8 << 20
 
 WORD = np.zeros(256, bool)
 WORD[48:58] = WORD[97:123] = WORD[128:] = True
@@ -31,100 +31,168 @@ def _tokens(column) -> tuple[np.ndarray, np.ndarray]:
     return ts.word_hashes(data, starts, ends), rows
 
 
-def _block(items: pa.Table, window: int) -> dict:
-    """A block of the benchmark as arrays: vocabulary, word numbers, and for every suffix its item, place and window."""
-    words, rows = _tokens(items["text"])
-    vocabulary, number = np.unique(words, return_inverse=True)
-    size = np.diff(rows)
-    item = np.repeat(np.arange(len(size)), size)
-    place = np.arange(len(words)) - rows[:-1][item]
-    left = size[item] - place
-    need = np.minimum(size[item], window)
-    return {"vocabulary": vocabulary, "number": number.astype(np.int32), "item": item, "place": place, "left": left, "need": need, "ids": items["item_id"].to_pylist(), "least": int(need.min()) if len(need) else 0, "longest": int(size.max()) if len(size) else 0}
+def _sums(number: np.ndarray) -> np.ndarray:
+    return ts.prefix_sums(ts.mix(number.astype(np.int64).view(np.uint64) + np.uint64(2)))
 
 
-def _suffix_array(number: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
-    """Starts in the order of the word sequences that follow, compared up to `depth` words."""
-    order, group, active = starts.copy(), np.zeros(len(starts), np.int64), np.arange(len(starts))
+def _refined(order: np.ndarray, group: np.ndarray, active: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Sorts the active places of `order` inside their groups by `word`, splits the groups, and returns the places that are still undecided."""
+    by = np.lexsort((word, group[active]))
+    order[active], word, old = order[active][by], word[by], group[active]
+    new = np.ones(len(active), bool)
+    new[1:] = (word[1:] != word[:-1]) | (old[1:] != old[:-1])
+    heads = np.flatnonzero(new)
+    group[active] = active[heads][np.cumsum(new) - 1]
+    size = np.diff(np.append(heads, len(active)))
+    return active[np.repeat(size > 1, size)]
+
+
+def _suffix_array(number: np.ndarray, starts: np.ndarray, room: np.ndarray, depth: int) -> np.ndarray:
+    """Places in `starts`, in the order of the word sequences that follow, compared up to `depth` words; room: words up to the end of each."""
+    order, group, active = np.arange(len(starts)), np.zeros(len(starts), np.int64), np.arange(len(starts))
     for at in range(depth):
         if not len(active):
             break
-        word = number[order[active] + at]
-        by = np.lexsort((word, group[active]))
-        order[active], word, old = order[active][by], word[by], group[active]
-        new = np.ones(len(active), bool)
-        new[1:] = (word[1:] != word[:-1]) | (old[1:] != old[:-1])
-        heads = np.flatnonzero(new)
-        group[active] = active[heads][np.cumsum(new) - 1]
-        size = np.diff(np.append(heads, len(active)))
-        active = active[np.repeat(size > 1, size)]
+        active = _refined(order, group, active, np.where(room[order[active]] > at, number[np.minimum(starts[order[active]] + at, len(number) - 1)], -1))
     return order
 
 
-def _bound(value: np.ndarray, array: np.ndarray, depth: int, number: np.ndarray, lo: np.ndarray, hi: np.ndarray, right: bool) -> np.ndarray:
+def _whole_suffix_array(number: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """All suffixes in the order of their words up to the end of their item, by doubling the length that is compared."""
+    n = len(number)
+    order = np.argsort(number, kind="stable")
+    new = np.append(True, number[order][1:] != number[order][:-1])[:n]
+    group = np.flatnonzero(new)[np.cumsum(new) - 1]
+    active, k = np.arange(n), 1
+    while len(active) and k < left.max(initial=0):
+        rank = np.empty(n, np.int64)
+        rank[order] = group
+        at = order[active]
+        active = _refined(order, group, active, np.where(left[at] > k, rank[np.minimum(at + k, n - 1)] + 1, 0))
+        k *= 2
+    return order
+
+
+def _block(items: pa.Table, window: int) -> dict:
+    """A block of the benchmark as arrays: the words, the suffix array, and the distinct windows with their items and suffixes."""
+    words, rows = _tokens(items["text"])
+    vocabulary, number = np.unique(words, return_inverse=True)
+    size = np.diff(rows)
+    item = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(words)) - rows[:-1][item]
+    left = size[item] - place
+    need = np.minimum(size[item], window)
+    suffixes = _whole_suffix_array(number, left)
+    rank = np.empty(len(words), np.int64)
+    rank[suffixes] = np.arange(len(words))
+    sums = _sums(number)
+    start = np.flatnonzero(left >= need)
+    _, first, kind = np.unique(ts.span_hashes(sums, start, start + need[start]), return_index=True, return_inverse=True)
+    low, high = np.full(len(first), len(words)), np.zeros(len(first), np.int64)
+    np.minimum.at(low, kind, rank[start])
+    np.maximum.at(high, kind, rank[start] + 1)
+    pairs = np.unique(kind * max(1, len(size)) + item[start])
+    owner = pairs // max(1, len(size))
+    narrow = lambda x: x.astype(np.int32)
+    return {
+        "vocabulary": vocabulary, "number": narrow(number), "item": narrow(item), "place": narrow(place), "left": narrow(left), "sums": sums, "suffixes": narrow(suffixes), "window": window,
+        "first": start[first], "need": need[start[first]], "low": low, "high": high, "items_at": np.searchsorted(owner, np.arange(len(first) + 1)), "items": narrow(pairs % max(1, len(size))), "ids": items["item_id"].to_pylist(),
+    }
+
+
+def _bound(value: np.ndarray, array: np.ndarray, room: np.ndarray, depth: int, number: np.ndarray, lo: np.ndarray, hi: np.ndarray, right: bool) -> np.ndarray:
     """For every search the first place in lo..hi whose word at `depth` is not below (right: is above) its value."""
     lo, hi = lo.copy(), hi.copy()
     while (open_ := lo < hi).any():
-        mid = (lo + hi) // 2
-        word = number[array[np.minimum(mid, len(array) - 1)] + depth]
+        mid = np.minimum((lo + hi) // 2, len(array) - 1)
+        word = np.where(room[mid] > depth, number[np.minimum(array[mid] + depth, len(number) - 1)], -1)
         go = (word <= value if right else word < value) & open_
         lo = np.where(go, mid + 1, lo)
         hi = np.where(open_ & ~go, mid, hi)
     return lo
 
 
-def _search(words: np.ndarray, rows: np.ndarray, block: dict) -> tuple[np.ndarray, list, list]:
-    """Hit mark of every word; for each row the items found and the longest match, over one shard."""
-    n_rows = len(rows) - 1
-    hit, items, longest = np.zeros(len(words), bool), [set() for _ in range(n_rows)], [None] * n_rows
+def _common(sums: np.ndarray, at: np.ndarray, other: np.ndarray, to: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """The length of the common prefix, at most `most`, of a shard's suffixes and as many of the benchmark's, by bisection over hashes."""
+    lo, hi = np.zeros(len(at), np.int64), most.astype(np.int64)
+    while (open_ := lo < hi).any():
+        mid = (lo + hi + 1) // 2
+        same = ts.span_hashes(sums, at, at + mid) == ts.span_hashes(other, to, to + mid)
+        lo, hi = np.where(open_ & same, mid, lo), np.where(open_ & ~same, mid - 1, hi)
+    return lo
+
+
+def _longest(number: np.ndarray, room: np.ndarray, at: np.ndarray, kind: np.ndarray, block: dict) -> tuple[np.ndarray, np.ndarray]:
+    """For every hit of a window the longest match that begins there, and a benchmark suffix that has it.
+
+    A bisection among the benchmark's suffixes with that window: the longest match is with a neighbour of the place it ends at, and both were looked at.
+    """
+    sums = _sums(number)
+    lo, hi = block["low"][kind].copy(), block["high"][kind].copy()
+    best, suffix = np.zeros(len(at), np.int64), block["first"][kind].copy()
+    while (open_ := np.flatnonzero(lo < hi)).size:
+        mid = (lo[open_] + hi[open_]) // 2
+        t, p = block["suffixes"][mid].astype(np.int64), at[open_]
+        left = block["left"][t]
+        common = _common(sums, p, block["sums"], t, np.minimum(left, room[open_]))
+        better = common > best[open_]
+        best[open_[better]], suffix[open_[better]] = common[better], t[better]
+        ended = common >= left
+        below = ended | ((common < room[open_]) & (block["number"][np.minimum(t + common, len(block["number"]) - 1)] < number[np.minimum(p + common, len(number) - 1)]))
+        lo[open_[below]] = mid[below] + 1
+        hi[open_[~below]] = mid[~below]
+    return best, suffix
+
+
+def _search(words: np.ndarray, rows: np.ndarray, block: dict) -> tuple[np.ndarray, dict, dict]:
+    """Hit mark of every word; of the rows with hits the items found and the longest match, over one shard."""
+    hit, items, longest = np.zeros(len(words), bool), {}, {}
     vocabulary = block["vocabulary"]
     if not len(vocabulary) or not len(words):
         return hit, items, longest
     at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
     known = vocabulary[at] == words
     # a match is a run of known words inside one row, at least as long as the shortest window
-    number = np.full(len(words) + block["longest"] + 1, -1, np.int32)
-    number[: len(words)] = np.where(known, at, -1)
+    number = np.where(known, at, -1)
     stop = ~known
     last = np.zeros(len(words), bool)
     last[rows[1:][rows[1:] > rows[:-1]] - 1] = True
     ends = np.flatnonzero(stop | last) + ~stop[stop | last]
     nearest = ends[np.minimum(np.searchsorted(ends, np.arange(len(words)), side="right"), len(ends) - 1)]
     left = np.where(known, nearest - np.arange(len(words)), 0)
-    starts = np.flatnonzero(left >= block["least"])
+    starts = np.flatnonzero(left >= block["need"].min())
     if not len(starts):
         return hit, items, longest
-    array = _suffix_array(number, starts, block["longest"])
-    alive = np.arange(len(block["number"]))
-    lo, hi = np.zeros(len(alive), np.int64), np.full(len(alive), len(array), np.int64)
-    row_of = np.searchsorted(rows, array, side="right") - 1
-    room = left[array]
-    for depth in range(block["longest"]):
-        alive = alive[block["left"][alive] > depth]
-        value = block["number"][alive + depth]
-        a = _bound(value, array, depth, number, lo[alive], hi[alive], False)
-        b = _bound(value, array, depth, number, a, hi[alive], True)
-        lo[alive], hi[alive] = a, b
-        alive = alive[a < b]
-        if not len(alive):
-            break
-        done = depth + 1
-        whole = alive[(block["need"][alive] <= done)]
-        for s in whole:
-            inside = np.arange(lo[s], hi[s])
-            inside = inside[room[inside] >= done]
-            if not len(inside):
-                continue
-            exact = done == block["need"][s]
-            item = int(block["item"][s])
-            if exact:
-                for p in array[inside]:
-                    hit[p : p + done] = True
-                for r in np.unique(row_of[inside]):
-                    items[r].add(block["ids"][item])
-            for p, r in zip(array[inside], row_of[inside]):
-                if longest[r] is None or (-done, p) < (-longest[r][3], longest[r][2] + rows[r]):
-                    longest[r] = (block["ids"][item], int(block["place"][s]), int(p - rows[r]), done)
+    order = _suffix_array(number, starts, left[starts], block["window"])
+    array, room = starts[order], left[starts[order]]
+    # every window of the benchmark, a word at a time
+    lo, hi = np.zeros(len(block["first"]), np.int64), np.full(len(block["first"]), len(array), np.int64)
+    alive = np.arange(len(lo))
+    for depth in range(block["window"]):
+        alive = alive[(block["need"][alive] > depth) & (lo[alive] < hi[alive])]
+        value = block["number"][block["first"][alive] + depth]
+        a = _bound(value, array, room, depth, number, lo[alive], hi[alive], False)
+        lo[alive], hi[alive] = a, _bound(value, array, room, depth, number, a, hi[alive], True)
+    found = np.flatnonzero(lo < hi)
+    if not len(found):
+        return hit, items, longest
+    where, which = ts.spread(lo[found], hi[found] - 1)
+    start, kind, room = array[where], found[which], room[where]
+    edge = np.zeros(len(words) + 1, np.int64)
+    np.add.at(edge, start, 1)
+    np.add.at(edge, start + block["need"][kind], -1)
+    hit = np.cumsum(edge[:-1]) > 0
+    row = np.searchsorted(rows, start, side="right") - 1
+    pairs = np.unique(row * len(block["first"]) + kind)
+    of_row, of_kind = pairs // len(block["first"]), pairs % len(block["first"])
+    k, owner = ts.spread(block["items_at"][of_kind], block["items_at"][of_kind + 1] - 1)
+    for r, i in zip(of_row[owner].tolist(), block["items"][k].tolist()):
+        items.setdefault(r, set()).add(block["ids"][i])
+    size, suffix = _longest(number, room, start, kind, block)
+    # the longest match of a row, the first of equal ones
+    by = np.lexsort((start, -size, row))
+    for i in by[np.append(True, row[by][1:] != row[by][:-1])].tolist():
+        longest[int(row[i])] = (block["ids"][block["item"][suffix[i]]], int(block["place"][suffix[i]]), int(start[i] - rows[row[i]]), int(size[i]))
     return hit, items, longest
 
 
@@ -147,14 +215,16 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     A-Z is lower-cased; words are runs of 0-9, a-z and non-ASCII characters. A window is `window` consecutive words of an item; an
     item of fewer words, but not none, is one window. Each task takes bounded chunks of documents as shards,
-    sorts their suffixes into a suffix array, and binary-searches every suffix of the benchmark in it, a word at a time, up to the
-    longest verbatim match. Only words of the benchmark can be in a match, so other suffixes aren't sorted.
-    The benchmark is broadcast in blocks of at most `block_bytes`, whatever its size; each block passes over the documents.
+    sorts their suffixes into a suffix array, and binary-searches every distinct window of the benchmark in it, a word at a time. From
+    each hit a bisection in the benchmark's own suffix array gives the longest verbatim match that begins there.
+    Only words of the benchmark can be in a match, so other suffixes aren't sorted. The work is in proportion to the words, their hits and a logarithm,
+    also where one word repeats throughout.
+    The benchmark is broadcast in blocks of at most about `block_bytes`, whatever its size; each block passes over the documents. One item has to fit in a block's memory.
 
     Returns (row struct of all columns of docs, n_words, hits (word intervals inside any occurrence of a window), items (ids with an
-    occurring window, sorted as strings), longest (item_id, item_word, doc_word, n_words of the longest match; null without a window)).
-    Null and empty texts have no words and no hits; an empty benchmark hits nothing; a null item id counts as "". Equal rows
-    each get their own result. Columns of docs keep their names in `row`, so none can clash.
+    occurring window, sorted as strings), longest (item_id, item_word, doc_word, n_words of the longest match, the first of equal ones; null without a window)).
+    Null and empty texts have no words and no hits; an empty benchmark hits nothing; a null item id counts as "". An empty table gives no rows, equal rows
+    each get their own result. Columns of docs keep their names in `row`, so none can clash. Words are compared by 64-bit hashes.
     """
     spark = docs.sparkSession
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start:long,end:long>>").alias("hits"), F.array().cast("array<string>").alias("items"), F.lit(None).cast("struct<item_id:string,item_word:long,doc_word:long,n_words:long>").alias("longest"))
@@ -177,15 +247,13 @@ def _with_block(batch: pa.RecordBatch, block: dict) -> pa.RecordBatch:
     words, rows = _tokens(batch["text"])
     hit, items, longest = _search(words, rows, block)
     hits, found, best = batch["hits"].to_pylist(), batch["items"].to_pylist(), batch["longest"].to_pylist()
-    for i in np.flatnonzero(np.diff(rows)):
+    for i in items:
         mine = hit[rows[i] : rows[i + 1]]
-        if not mine.any():
-            continue
         for s in hits[i]:
             mine[s["start"] : s["end"]] = True
         hits[i] = _spans(mine)
-        found[i] = sorted({*found[i], *items[i]})
-        if longest[i] and (best[i] is None or longest[i][3] > best[i]["n_words"]):
+        found[i] = sorted({*found[i], *items.get(i, ())})
+        if i in longest and (best[i] is None or longest[i][3] > best[i]["n_words"]):
             best[i] = dict(zip(("item_id", "item_word", "doc_word", "n_words"), longest[i]))
     names = batch.schema.names
     new = {"n_words": pa.array(np.diff(rows)), "hits": pa.array(hits, pa.list_(_SPAN)), "items": pa.array(found, pa.list_(pa.string())), "longest": pa.array(best, _BEST)}

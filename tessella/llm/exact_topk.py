@@ -1,4 +1,4 @@
-"""Exact top-k search (operator 5): no-random-access aggregation over sorted lists, in blocks."""
+"""Exact top-k search (operator 5): no-random-access aggregation over sorted lists, with blocks of queries passed over all rows."""
 
 from __future__ import annotations
 
@@ -8,125 +8,170 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-#: Vectors of a shard and queries of a block.
+#: Rows whose lists are sorted together, and queries that read them together.
 SHARD_ROWS = 4096
-BLOCK_ROWS = 1024
-#: Above this bound of |score| doubles are no longer exact.
+BLOCK_ROWS = 512
+#: Bytes of queries that one broadcast holds; more queries pass over the rows in several blocks.
+BLOCK_BYTES = 16 << 20
+#: Whole numbers below this are exact as doubles.
 _EXACT = float(2**53)
-
-
-def _matrix(table: pa.Table | pa.RecordBatch, column: str) -> np.ndarray:
-    lists = table[column]
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+_LOW, _HIGH = -(2**63), 2**63 - 1
 
 
 class SortedLists:
-    """One list a dimension, holding a shard's rows in the order of that component."""
+    """Two ways to read each component's list of a shard: from its greatest entry down and from its least up.
 
-    def __init__(self, x: np.ndarray) -> None:
-        self.x = x
-        order = np.argsort(x, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(x, order, axis=0)
-        self.rank = np.empty_like(order, dtype=np.int32)
-        np.put_along_axis(self.rank, order, np.arange(len(x), dtype=np.int32)[:, None], axis=0)
+    Rows are in the order of their ids. What a query has read is kept as a partial sum for every row: a query reads a list from the top where its
+    weight is positive, else from the bottom.
+    """
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray) -> None:
+        by = np.argsort(ids, kind="stable")
+        self.x, self.ids = x[by], ids[by]
+        self.heads = np.flatnonzero(np.append(True, self.ids[1:] != self.ids[:-1]))
+        self.order = np.argsort(self.x, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(self.x, self.order, axis=0)
+        self.rank = np.empty_like(self.order, dtype=np.int32)
+        np.put_along_axis(self.rank, self.order, np.arange(len(x), dtype=np.int32)[:, None], axis=0)
+
+    def read(self, sums: np.ndarray, up: np.ndarray, down: np.ndarray, start: int, stop: int, wanted: np.ndarray) -> None:
+        """Adds the entries start..stop of all lists to the sums (row, query) of the rows that are still wanted."""
+        n = len(self.x)
+        for d in range(self.x.shape[1]):
+            for rows, weights in ((self.order[n - stop : n - start, d], up[:, d]), (self.order[start:stop, d], down[:, d])):
+                rows = rows[wanted[rows]]
+                sums[rows] += self.x[rows, d][:, None] * weights[None, :]
 
-    def bounds(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest possible score of every (query, row) after `depth` entries of each list are read.
+    def bounds(self, sums: np.ndarray, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest possible score of every (row, query) after `depth` entries of each list.
 
-        A query reads a list from its high end if its weight is positive, else from the low end. An unread component lies
-        between the last one read and the other end of the list.
+        An unread component lies between the last one read and the other end of the list.
         """
         n = len(self.x)
-        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-        high, low = self.rank >= n - depth, self.rank < depth
-        top, bottom = self.sorted[-1], self.sorted[0]
-        from_top, from_bottom = self.sorted[max(0, n - depth)], self.sorted[min(n, depth) - 1]
-        least = up @ np.where(high, self.x, bottom).T + down @ np.where(low, self.x, top).T
-        most = up @ np.where(high, self.x, from_top).T + down @ np.where(low, self.x, from_bottom).T
+        top, bottom = (self.rank < n - depth).astype(np.float64), (self.rank >= depth).astype(np.float64)
+        least = sums + top @ (up * self.sorted[0]).T + bottom @ (down * self.sorted[-1]).T
+        most = sums + top @ (up * self.sorted[n - depth]).T + bottom @ (down * self.sorted[depth - 1]).T
         return least, most
 
 
-def no_random_access(lists: SortedLists, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple]:
-    """(query id, id, score) of each query's k best rows of a shard, ties to the smaller id; its own id is left out.
+def no_random_access(lists: SortedLists, queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, k: int):
+    """Yields (query number, ids, scores) of every row that can be among a query's k best ids; its own id is left out.
 
-    All lists are read in step. A query stops when no row outside its k best lower bounds can still reach the k-th: only rows
-    whose upper bound reaches it remain, and their scores are resolved from the components.
+    All lists are read in step. A query stops when few rows are left whose greatest possible score reaches its floor, the k-th best least score of
+    an id, here or in an earlier shard; their scores are then resolved from the components.
     """
-    n, out = len(ids), []
-    active, depth = np.arange(len(queries)), max(1, n // 16)
+    n = len(lists.x)
+    active, wanted, depth = np.arange(len(queries)), np.ones(n, bool), 0
+    sums = np.zeros((n, len(queries)))
     while len(active):
-        depth = min(n, depth)
-        least, most = lists.bounds(queries[active], depth)
-        own = query_ids[active][:, None] == ids[None, :]
-        least[own], most[own] = -np.inf, -np.inf
-        there = min(k, n)
-        kth = np.partition(least, n - there, axis=1)[:, n - there]
-        open_ = (most >= kth[:, None]) & ~own
-        done = (open_.sum(axis=1) <= 4 * k) | (depth == n)
+        step = min(n, max(1, 2 * depth or n // 16))
+        up, down = np.maximum(queries[active], 0), np.minimum(queries[active], 0)
+        lists.read(sums, up, down, depth, step, wanted)
+        depth = step
+        least, most = lists.bounds(sums, up, down, depth)
+        own = lists.ids[:, None] == query_ids[active][None, :]
+        least[own | ~wanted[:, None]] = -np.inf
+        best = np.maximum.reduceat(least, lists.heads, axis=0)
+        kth = np.partition(best, len(best) - k, axis=0)[len(best) - k] if len(best) >= k else np.full(len(active), -np.inf)
+        floor[active] = np.maximum(floor[active], kth)
+        open_ = (most >= floor[active][None, :]) & ~own & wanted[:, None]
+        done = (open_.sum(axis=0) <= 4 * k) | (depth == n)
         for i in np.flatnonzero(done):
-            rows = np.flatnonzero(open_[i])
-            score = queries[active[i]] @ lists.x[rows].T
-            best = np.lexsort((ids[rows], -score))[:k]
-            out += [(int(query_ids[active[i]]), int(ids[rows[j]]), int(score[j])) for j in best]
-        active = active[~done]
-        depth *= 2
-    return out
-
-
-def _scored(xs: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple]:
-    if not len(ids) or not len(query_ids):
-        return []
-    size = xs.shape[1] * max(1.0, float(np.abs(xs).max(initial=0))) * max(1.0, float(np.abs(queries).max(initial=0)))
-    if size < _EXACT:
-        return no_random_access(SortedLists(xs), ids, queries, query_ids, k)
-    # beyond exact doubles the same selection runs on whole numbers of any size, row by row
-    big = [[int(v) for v in row] for row in xs]
-    out = []
-    for q, q_id in zip(([int(v) for v in row] for row in queries), query_ids):
-        found = sorted((-sum(a * b for a, b in zip(q, x)), int(i)) for x, i in zip(big, ids) if i != q_id)[:k]
-        out += [(int(q_id), i, -s) for s, i in found]
-    return [r for r in out if -(2**63) <= r[2] < 2**63]
-
-
-def exact_topk(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, query_every: int = 100, scale: int = 1024) -> DataFrame:
+            rows = np.flatnonzero(open_[:, i])
+            yield int(active[i]), lists.ids[rows], lists.x[rows] @ queries[active[i]]
+        active, sums = active[~done], sums[:, ~done]
+        wanted &= open_[:, ~done].any(axis=1)
+
+
+class Best:
+    """The k best ids of each query so far, ties to the smaller id."""
+
+    def __init__(self, n: int, k: int) -> None:
+        self.k = k
+        self.ids = [np.zeros(0, np.int64)] * n
+        self.scores = [np.zeros(0, np.int64)] * n
+        self.floor = np.full(n, -np.inf)
+
+    def add(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        ids, scores = np.concatenate([self.ids[q], ids]), np.concatenate([self.scores[q], scores])
+        by = np.lexsort((-scores, ids))
+        by = by[np.append(True, ids[by][1:] != ids[by][:-1])[: len(by)]]
+        ids, scores = ids[by], scores[by]
+        by = np.lexsort((ids, np.negative(scores.astype(object)) if _LOW in scores else -scores))[: self.k]
+        self.ids[q], self.scores[q] = ids[by], scores[by]
+        if len(by) == self.k:
+            self.floor[q] = float(self.scores[q][-1])
+
+
+def _matrix(rows: pa.Table | pa.RecordBatch, scale: int) -> np.ndarray:
+    lists = rows["x"].combine_chunks() if isinstance(rows["x"], pa.ChunkedArray) else rows["x"]
+    return np.floor(lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1) * scale)
+
+
+def _score(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, numbers: np.ndarray, best: Best) -> None:
+    """Adds what a shard's rows have for the queries; numbers: the queries' places in `best`."""
+    plain = (_EXACT / x.shape[1]) ** 0.5
+    rows, asked = np.abs(x).max(axis=1) <= plain, np.abs(queries).max(axis=1) <= plain
+    if rows.any():
+        lists = SortedLists(x[rows], ids[rows])
+        for at in np.array_split(np.flatnonzero(asked), -(-int(asked.sum()) // BLOCK_ROWS) or 1):
+            floor = best.floor[numbers[at]]
+            for i, found, scores in no_random_access(lists, queries[at], query_ids[at], floor, best.k):
+                best.add(int(numbers[at[i]]), found, scores.astype(np.int64))
+    # beyond exact doubles, pairs are scored as whole numbers of any size
+    for of, to in ((np.flatnonzero(~asked), np.arange(len(x))), (np.flatnonzero(asked), np.flatnonzero(~rows))):
+        whole = [[int(v) for v in x[j]] for j in to] if len(of) else []
+        for i in of:
+            q = [int(v) for v in queries[i]]
+            found = [(int(ids[j]), min(_HIGH, max(_LOW, sum(a * b for a, b in zip(q, row))))) for j, row in zip(to, whole) if ids[j] != query_ids[i]]
+            if found:
+                best.add(int(numbers[i]), np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64))
+
+
+def exact_topk(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, query_every: int = 100, scale: int = 1024, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For every query its k rows of the highest integer inner product: query_id, rank, vec_id, score.
 
     Components become floor(scale * x). Queries are the rows whose id is divisible by query_every, candidates all other rows. Vectors that
     are null, or hold null or non-finite components, and rows without an id take no part; vectors of different lengths are
-    only compared with their like. Ties go to the smaller id; of rows that repeat an id the best score counts, so a row is
-    never returned twice to one query. Scores that don't fit 64 bits are left out. An empty table gives no rows.
+    only compared with their like. Ties go to the smaller id. Of rows that repeat an id the best score counts, for queries and candidates alike, so an id is
+    returned once to a query and repeated rows take no place from others. A score outside 64 bits counts as the nearest number inside. An empty table
+    gives no rows; other columns are ignored.
 
-    Shards of rows meet blocks of queries by an equi-join on the shard's number, so a task holds one shard and one block; each
-    pair gives k rows a query, which are merged by a second top-k.
+    Queries are broadcast in blocks of at most about `block_bytes`, and each block passes over the rows where they are: rows are neither copied nor
+    shuffled. A task sorts the lists of some thousand rows at a time, and a query's k-th best score so far cuts what it reads of the next ones; the task's k best
+    ids a query are all that it sends.
     """
     v = F.col(vector_col).cast("array<double>")
     good = F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    ready = vectors.filter(good).select(F.col(id_col).cast("long").alias("id"), v.alias("x"), F.size(v).alias("d"))
-    rows = ready.groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("id") % query_every == 0).alias("q")).collect()
+    ready = vectors.filter(good).select(F.col(id_col).cast("long").alias("id"), v.alias("x"))
+    asked = ready.filter(F.col("id") % query_every == 0)
+    size = asked.agg(F.sum(F.size("x") * 8 + 8)).first()[0] or 0
+    blocks = -(-size // block_bytes)
     schema = "query_id long, vec_id long, score long"
-    parts = []
-    for r in sorted(rows, key=lambda r: r["d"]):
-        if not r["q"]:
-            continue
-        shards, blocks = -(-r["n"] // SHARD_ROWS), -(-r["q"] // BLOCK_ROWS)
-        mine = ready.filter(F.col("d") == r["d"])
-        piece = mine.select(F.pmod(F.xxhash64("id", "x"), F.lit(shards)).cast("int").alias("shard"), "id", "x")
-        asked = mine.filter(F.col("id") % query_every == 0).select(F.pmod(F.xxhash64("x", "id"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "id", "x")
-        left = piece.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-        def run(rows_: pa.Table, queries: pa.Table) -> pa.Table:
-            got = []
-            if rows_.num_rows and queries.num_rows:
-                whole = lambda t: np.floor(_matrix(t, "x") * scale)
-                got = _scored(whole(rows_), rows_["id"].to_numpy(), whole(queries), queries["id"].to_numpy(), k)
-            a, b, c = zip(*got) if got else ((), (), ())
-            return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], names=["query_id", "vec_id", "score"])
-
-        parts.append(left.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(run, schema))
+    context = vectors.sparkSession.sparkContext
     found = vectors.sparkSession.createDataFrame([], schema)
-    for p in parts:
-        found = found.unionByName(p)
+    for b in range(blocks):
+        shared = context.broadcast(asked.filter(F.pmod(F.xxhash64("x", "id"), F.lit(blocks)) == b).toArrow())
+
+        def run(batches, shared=shared):
+            queries = shared.value
+            ids, lengths = queries["id"].to_numpy(), np.array([len(x) for x in queries["x"]])
+            by_length = {int(n): (np.flatnonzero(lengths == n), _matrix(queries.filter(pa.array(lengths == n)), scale)) for n in np.unique(lengths)}
+            best = Best(len(ids), k)
+            for batch in batches:
+                have = np.array([len(x) for x in batch["x"]], np.int64)
+                for n in np.unique(have).tolist():
+                    if n not in by_length:
+                        continue
+                    rows = batch.filter(pa.array(have == n))
+                    for a in range(0, len(rows), SHARD_ROWS):
+                        part = rows.slice(a, SHARD_ROWS)
+                        numbers, matrix = by_length[n]
+                        _score(_matrix(part, scale), part["id"].to_numpy(), matrix, ids[numbers], numbers, best)
+            owner = np.repeat(ids, [len(x) for x in best.ids])
+            yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int64()), pa.array(np.concatenate([np.zeros(0, np.int64), *best.ids])), pa.array(np.concatenate([np.zeros(0, np.int64), *best.scores]))], names=["query_id", "vec_id", "score"])
+
+        found = found.unionByName(ready.mapInArrow(run, schema))
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -1,5 +1,6 @@
 """The ten operators against brute force, on fixtures with nulls, empty and long texts, ties, repeated rows and clashing columns."""
 
+import math
 import random
 import re
 from html.parser import HTMLParser
@@ -99,6 +100,50 @@ def test_decontamination(spark, frame, corpus):
     same(decontamination.find_overlaps(frame, items, block_bytes=300).select(*digest), expected)
     assert decontamination.decontaminate(frame, items).count() == sum(not r[5] for r in expected)
     assert decontamination.find_overlaps(frame, items.limit(0)).filter(F.size("hits") > 0).isEmpty()
+    assert decontamination.find_overlaps(frame.limit(0), items).isEmpty()
+
+
+def test_longest_matches(spark):
+    """The longest verbatim match of every document, found by trying all."""
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(6)]
+    bench = [(str(k), [rng.choice(vocabulary) for _ in range(rng.choice((3, 8, 30)))]) for k in range(12)]
+    docs = [(i, [rng.choice(vocabulary + ["other"]) for _ in range(rng.randint(1, 60))]) for i in range(60)]
+    for i, d in docs[::3]:
+        item = rng.choice(bench)[1]
+        d[5:5] = item[: rng.randint(4, 30)]
+    found = decontamination.find_overlaps(spark.createDataFrame([(i, " ".join(d)) for i, d in docs], TEXT), spark.createDataFrame([(k, " ".join(w)) for k, w in bench], "item_id string, text string"), window=4)
+    got = {r["row"]["doc_id"]: r["longest"] for r in found.collect()}
+    for i, d in docs:
+        best = 0
+        for _, w in bench:
+            for a in range(len(w)):
+                for b in range(len(d)):
+                    n = 0
+                    while a + n < len(w) and b + n < len(d) and w[a + n] == d[b + n]:
+                        n += 1
+                    if n >= min(4, len(w)) and n > best:
+                        best = n
+        assert (got[i]["n_words"] if got[i] else 0) == best
+        if best:
+            w, x = dict(bench)[got[i]["item_id"]], got[i]
+            assert w[x["item_word"] :][:best] == d[x["doc_word"] :][:best]
+
+
+def test_decontamination_in_linear_time():
+    """Long items, and items and documents of one word throughout."""
+    from time import perf_counter
+
+    import pyarrow as pa
+
+    long = " ".join(f"w{k}" for k in range(5000))
+    for item, text in ((long, f"x {long} y"), ("the " * 200, "the " * 600), ("the " * 5000, "the " * 20_000)):
+        block = decontamination._block(pa.table({"item_id": ["a"], "text": [item]}), 10)
+        start = perf_counter()
+        words, rows = decontamination._tokens(pa.chunked_array([[text]]))
+        hit, items, longest = decontamination._search(words, rows, block)
+        assert perf_counter() - start < 1
+        assert items == {0: {"a"}} and longest[0][3] == len(item.split()) and hit.sum() == (5000 if item is long else len(words))
 
 
 def test_substring_dedup(spark, frame, corpus):
@@ -279,19 +324,53 @@ def test_blocks_of_a_large_band_group(spark, monkeypatch):
     assert kept_exactly(spark, rows)[0] == expected
 
 
+def topk(rows, k=10):
+    """(query id, rank, id, score) by scoring every pair."""
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    best = {}
+    for q, x in whole:
+        for i, y in whole if q % 100 == 0 else ():
+            if i != q and len(x) == len(y):
+                score = min(2**63 - 1, max(-(2**63), sum(a * b for a, b in zip(x, y))))
+                best.setdefault(q, {})[i] = max(score, best.get(q, {}).get(i, score))
+    return [(q, n, i, s) for q, of in best.items() for n, (i, s) in enumerate(sorted(of.items(), key=lambda p: (-p[1], p[0]))[:k], 1)]
+
+
 def test_topk(spark):
     rng = random.Random(2)
     rows = [(i, [rng.choice([-1.0, 0.5, 0.25, 2.0]) for _ in range(4)]) for i in range(350)]
-    rows += [(400, None), (500, [1.0, None, 0.0, 0.0]), (600, [float("nan")] * 4), (700, [float("inf")] * 4), (800, []), (None, [1.0] * 4), (900, [1e12, 0.0, 0.0, 0.0]), (901, [1.0, 2.0])]
-    import math
-
-    good = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
-    expected = []
-    for q, x in good:
-        if q % 100 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in good if i != q and len(x) == len(y))
-            expected += [(q, k, i, -s) for k, (s, i) in enumerate(scored[:10], 1)]
-    same(exact_topk.exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), expected)
+    rows += [(400, None), (500, [1.0, None, 0.0, 0.0]), (600, [float("nan")] * 4), (700, [float("inf")] * 4), (800, []), (None, [1.0] * 4), (900, [1e12, 0.0, 0.0, 0.0]), (901, [1.0, 2.0]), (902, [1e300, -1e300, 0.0, 0.0]), (1000, [3.0] * 70_000), (1001, [2.0] * 70_000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"score": F.lit("mine"), "x": F.lit(1), "id": F.lit(2)})
+    same(exact_topk.exact_topk(df), topk(rows))
+    short = [r for r in rows if not r[1] or len(r[1]) < 10]
+    same(exact_topk.exact_topk(spark.createDataFrame(short, "vec_id long, embedding array<double>").repartition(5), block_bytes=80), topk(short))
+
+
+def test_topk_of_repeated_rows(spark):
+    """An id is returned once, and repeated rows push nothing out; repeated query ids take the best of their rows."""
+    rng = random.Random(3)
+    vector = lambda: [rng.uniform(-1, 1) for _ in range(6)]
+    hot = [2.0] * 6
+    rows = [(7, hot)] * 20 + [(8, vector()) for _ in range(15)] + [(i, vector()) for i in range(100, 130)] + [(200, vector()), (200, vector()), (100, hot)]
+    same(exact_topk.exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(2)), topk(rows))
+
+
+def test_no_random_access_stops_early():
+    """Reading ends before the lists do where few rows stand out."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = np.floor(rng.uniform(-100, 100, (2000, 3)))
+    x[:12] *= 1000
+    lists = exact_topk.SortedLists(x, np.arange(2000))
+    deepest = []
+    read = lists.read
+    lists.read = lambda sums, up, down, start, stop, wanted: (deepest.append(stop), read(sums, up, down, start, stop, wanted))
+    queries = np.abs(x[100:110])
+    for q, ids, scores in exact_topk.no_random_access(lists, queries, np.full(10, -1), np.full(10, -np.inf), 5):
+        want = np.argsort(-(x @ queries[q]), kind="stable")[:5]
+        assert set(want) <= set(ids) and np.array_equal(scores, x[ids] @ queries[q])
+    assert max(deepest) < 2000
 
 
 class PlainReader(HTMLParser):
