@@ -203,6 +203,18 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
         open_.push(name, inside, chrome or _is_chrome(name, attributes, inside))
 
 
+def visible_text(page: str | None) -> str:
+    """All text of a page without tags, comments and raw elements, each tag being white space."""
+    page, parts, at = page or "", [], 0
+    tags = _Tags(page)
+    while found := tags.next(at):
+        parts.append(page[at : found[0]])
+        _, at, closing, name, _ = found
+        if name in RAW and not closing:
+            at = tags.behind(name, at)
+    return html.unescape(" ".join([*parts, page[at:]]))
+
+
 def host_of(url: str | None) -> str:
     found = re.search(r"://([^/?#]*)", url or "")
     return found[1].lower() if found else ""

@@ -493,10 +493,22 @@ def test_html_left_open(page, text):
 
 
 def test_urls(spark):
-    pages = [(1, "https://A.Example.NET/en/1", "<p>spam farm news shop</p>"), (2, "https://example.net", "farm shop shop"), (3, "https://xexample.com/de/", None), (4, "http://m.example.com/de/x?y#z", "news"), (5, "http://q.org/fr/1", ""), (6, "http://spamfarmnews.io/shop", "x"), (7, "http://spam-farm.io/farm", "x"), (8, None, "x"), (9, "no scheme", "x"), (9, "no scheme", "x"), (10, "http://newsshop.io?q=/net/", "x"), (11, "", "x")]
-    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("label", F.lit(1))
-    same(url_filter.judge(df).select("row.page_id", "host", "path", "rule", "verdict"), url_filter.brute_force(pages))
+    rng = random.Random(8)
+    word = ["shop", "news", "farm", "win", "free", "blog", "über"]
+    junk = "%%% $$ ## win!! " * 10
+    pages = [(1, "https://A.Example.NET/en/1", "<p>spam farm news shop</p>"), (2, "https://example.net", "farm shop shop"), (3, "https://xexample.com/de/", None), (4, "http://m.example.com/de/x?y#z", "news"), (5, "http://q.org/fr/1", ""), (8, None, junk), (9, "no scheme", "x"), (9, "no scheme", "x"), (10, "http://newsshop.io?q=/net/", "x"), (11, "", "x"), (12, "http://" + "freewin" * 300 + ".io/" + "news" * 500, "x")]
+    for i in range(200):
+        a, b = rng.choice(word), rng.choice(word)
+        pages.append((100 + i, f"http://{a}{b}.io/{rng.choice(word)}/{i % 7}", junk if a in ("win", "free") and i % 10 else f"<p>{a} {b} <script>no</script> text &amp; more</p>"))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({n: F.lit(1) for n in ("label", "word", "junk", "row", "host", "n")})
+    found = url_filter.judge(df)
+    expected = url_filter.brute_force(pages)
+    same(found.select("row.page_id", "host", "path", "rule", "verdict"), expected)
+    # words of the url decide, not the page's own text: pages of bad names without junk are blocked too, and held-out urls as well
+    assert found.filter("rule is null and verdict = 'block' and example = 'allow'").count() > 0
+    assert found.filter("held_out and rule is null and verdict = 'block'").count() > 0
     assert url_filter.viterbi("spamfarmnews", {"spam": 5, "farm": 5, "news": 5, "new": 1}, 100) == ["spam", "farm", "news"]
+    assert url_filter.viterbi("xqzspam", {"spam": 5}, 100) == ["xqz", "spam"]
 
 
 def test_quality(spark):
