@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +15,9 @@ SLOTS = 1 << 15
 DIMENSIONS = 48
 #: Entries of an index vector that aren't zero.
 ENTRIES = 4
-#: Blocks of slots that are summed apart.
+#: Blocks of slots that are summed apart, and sums that a block's are first gathered in.
 BLOCKS = 16
+LEAVES = 64
 #: The network is fitted on a sample of at most about this many labelled rows; all else covers all documents.
 SAMPLE_ROWS = 20_000
 
@@ -78,11 +80,19 @@ def _sums(slots: np.ndarray, rows: np.ndarray, index: tuple[np.ndarray, np.ndarr
             total += np.bincount(at.ravel(), weights=signs[of].ravel(), minlength=total.size)
 
 
+def _added(table: pa.Table) -> pa.Table:
+    """The sum of a group's tables. All entries are whole numbers, so their order doesn't matter."""
+    total = 0.0
+    for b in table["sums"].to_pylist():
+        total = total + np.frombuffer(b, np.float64)
+    return pa.table([table["block"][:1], table["leaf"][:1], pa.array([total.tobytes()], pa.binary())], names=["block", "leaf", "sums"])
+
+
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """The word vectors of the corpus: for every slot the sum of the index vectors around it, over all documents, to unit length.
 
-    Each task sums its own documents into one table of fixed size; blocks of these tables are added in Spark, and
-    the sum, SLOTS x DIMENSIONS numbers whatever the input, comes to the driver.
+    Each task sums its own documents into one table of fixed size; the tables' blocks are added in Spark in two steps, each group by some
+    leaf first, so that no task reads a row from every other. The sum, SLOTS x DIMENSIONS numbers whatever the input, comes to the driver.
     """
     step = SLOTS // BLOCKS
 
@@ -91,29 +101,26 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         total = np.zeros(SLOTS * DIMENSIONS)
         for batch in batches:
             data, offsets = ts.text_bytes(batch["text"])
-            for a, b in ts.chunks(offsets, 1 << 20):
+            for a, b in ts.chunks(offsets):
                 slots, rows = _terms(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 _sums(slots, rows, index, total)
-        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([part.tobytes() for part in np.split(total.astype(np.float32), BLOCKS)], pa.binary())], names=["block", "sums"])
+        leaf = TaskContext.get().partitionId() % LEAVES
+        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([leaf] * BLOCKS, pa.int32()), pa.array([part.tobytes() for part in np.split(total, BLOCKS)], pa.binary())], names=["block", "leaf", "sums"])
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(step * DIMENSIONS, np.float64)
-        for b in table["sums"].to_pylist():
-            total += np.frombuffer(b, np.float32)
-        return pa.table([table["block"][:1], pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["block", "sums"])
-
-    parts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, "block int, sums binary").groupBy("block").applyInArrow(add, "block int, sums binary").collect()
-    out = np.zeros((SLOTS, DIMENSIONS), np.float32)
+    schema = "block int, leaf int, sums binary"
+    own = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, schema)
+    parts = own.groupBy("block", "leaf").applyInArrow(_added, schema).groupBy("block").applyInArrow(_added, schema).collect()
+    out = np.zeros((SLOTS, DIMENSIONS), np.float64)
     for r in parts:
-        out[r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(r["sums"], np.float32).reshape(step, DIMENSIONS)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+        out[r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(r["sums"], np.float64).reshape(step, DIMENSIONS)
+    return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)).astype(np.float32)
 
 
 def _pooled(column, vectors: np.ndarray) -> np.ndarray:
     """Mean vector of the terms of each row, words and shapes apart; zeros for a row without words."""
     data, offsets = ts.text_bytes(column)
     out = np.zeros((len(offsets) - 1, 2 * DIMENSIONS), np.float32)
-    for a, b in ts.chunks(offsets, 1 << 20):
+    for a, b in ts.chunks(offsets):
         slots, rows = _terms(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         size = np.diff(rows) // 2
         there = np.flatnonzero(size)
@@ -180,29 +187,32 @@ def held_out(id_col: str):
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, Network]:
     """Word vectors from all documents, and the network from a sample of the labelled rows that are not held out.
 
-    The sample is bounded by sample_rows: the rows of the least hash of the id. Null labels and null texts are not learned from; a document with
-    several labels gives a row for each. Without labels of both classes every score is the share of the one class there is, or 0.5.
+    The sample is bounded by sample_rows: the rows of the least hash of the id, of equal hashes the least id. Null labels and null texts are not learned from; a document with
+    several labels, or a repeated row, gives a row for each, and the network starts from a fixed seed and sees the rows in an order of their own, so the same tables give the same fit. Without labels of both classes every score is the share of the one class there is, or 0.5.
     """
     vectors = word_vectors(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
-    known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), (F.col(label_col) == 1).cast("int").alias("__y")).filter(~held_out("__id"))
-    chosen = known.orderBy(F.xxhash64("__id"), "__id", "__y").limit(sample_rows)
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull()).join(chosen, "__id").select("__y", "text")
+    known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), (F.col(label_col) == 1).cast("int").alias("y")).filter(~held_out("id"))
+    chosen = known.orderBy(F.xxhash64("id"), "id", "y").limit(sample_rows)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull()).join(chosen, "id").select("y", "text")
 
     def run(batches):
         for batch in batches:
             pooled = _pooled(batch["text"], shared.value)
-            yield pa.RecordBatch.from_arrays([batch["__y"], pa.array(list(pooled), pa.list_(pa.float32()))], names=["__y", "x"])
+            yield pa.RecordBatch.from_arrays([batch["y"], pa.array(list(pooled), pa.list_(pa.float32()))], names=["y", "x"])
 
-    table = rows.mapInArrow(run, "__y int, x array<float>").toArrow()
+    table = rows.mapInArrow(run, "y int, x array<float>").toArrow()
     x = np.array(table["x"].to_pylist(), np.float64).reshape(-1, 2 * DIMENSIONS)
-    y = table["__y"].to_numpy()
+    y = table["y"].to_numpy()
     order = np.lexsort((y, *x.T[::-1]))  # the same fit in whatever order the rows arrive
     return vectors, Network(x[order], y[order])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, Network], text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(row struct of the kept columns, score 0 to 1) for every row; the text alone decides. Null and empty texts have the zero vector."""
+    """(row struct of the kept columns, score 0 to 1) for every row, repeated ones included; the text alone decides. Null and empty texts have the zero vector.
+
+    An empty table gives no rows; a long text costs a task some fifty times its size. Columns can't clash, as all are inside `row`.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.columns if keep is None else keep
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -221,3 +231,18 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str, threshold: float =
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scored = score(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), keep=["doc_id"])
     return scored.select(F.col("row.doc_id").alias("doc_id"), held_out("row.doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def brute_vectors(texts: list[str]) -> np.ndarray:
+    """word_vectors with plain loops, for small fixtures."""
+    at, sign = index_vectors()
+    out = np.zeros((SLOTS, DIMENSIONS))
+    for text in texts:
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        slots = _terms(raw, np.array([0, len(raw)]))[0].tolist()
+        for i, slot in enumerate(slots):
+            for j in (i - 4, i - 2, i - 1, i + 1, i + 2, i + 4):
+                if 0 <= j < len(slots):
+                    for place, value in zip(at[slots[j]], sign[slots[j]]):
+                        out[slot][place] += value
+    return np.array([v / max(float(np.sqrt((v * v).sum())), 1e-6) for v in out])

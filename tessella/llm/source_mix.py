@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Weights of the mixture in the registered query; sources that are not named share `other` in proportion to nothing but
@@ -33,19 +33,19 @@ def rates(docs: DataFrame, source_col: str = "source", text_col: str = "text", w
     return joined.select("source", "size", F.when(F.col("size") > 0, share * F.lit(float(total)) * F.col("bytes") / F.col("size")).otherwise(F.lit(float(total))).alias("rate"))
 
 
-def _thresholds(rate: Column) -> Column:
-    """The Poisson distribution function at 0, 1, 2, ... until nothing that a double can tell is left above it.
+def thresholds(rates_: DataFrame) -> DataFrame:
+    """(source, rate, cdf): the Poisson distribution function at 0, 1, 2, ... until nothing that a double can tell is left above it.
 
-    Terms are formed in logarithms, so a large rate doesn't underflow.
+    Terms are formed in logarithms, so a large rate doesn't underflow. A source has about as many terms as its rate; they are summed by a window of that size.
     """
-    top = F.ceil(rate + F.lit(12.0) * F.sqrt(rate) + F.lit(30.0)).cast("int")
-    start = F.struct((-rate).alias("log"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("all"))
-    step = lambda acc, k: F.struct(
-        (acc["log"] + F.log(rate) - F.log(k.cast("double"))).alias("log"),
-        (acc["sum"] + F.exp(acc["log"] + F.log(rate) - F.log(k.cast("double")))).alias("sum"),
-        F.concat(acc["all"], F.array(acc["sum"] + F.exp(acc["log"] + F.log(rate) - F.log(k.cast("double"))))).alias("all"),
-    )
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), top), start, step, lambda acc: acc["all"])).otherwise(F.array(F.lit(1.0)))
+    top = F.when(F.col("rate") > 0, F.ceil(F.col("rate") + F.lit(12.0) * F.sqrt("rate") + F.lit(30.0))).otherwise(0).cast("int")
+    terms = rates_.select("source", "rate", F.explode(F.sequence(F.lit(0), top)).alias("k"))
+    upto = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    log_k = F.when(F.col("k") > 0, F.log(F.col("k").cast("double"))).otherwise(0.0)
+    p = F.when(F.col("rate") > 0, F.exp(-F.col("rate") + F.col("k") * F.log("rate") - F.sum(log_k).over(upto))).otherwise(1.0)
+    summed = terms.withColumn("p", p).withColumn("c", F.sum("p").over(upto))
+    by_k = F.array_sort(F.collect_list(F.struct("k", "c")))
+    return summed.groupBy("source").agg(F.first("rate").alias("rate"), F.transform(by_k, lambda x: x["c"]).alias("cdf"))
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: dict[str, float] | None = None, other: float = OTHER, total: float = 1.0, seed: str = "mix") -> DataFrame:
@@ -61,7 +61,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     id_ = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     print_ = F.md5(text.cast("binary"))
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source_col).cast("string").alias("__source"), id_.alias("__id"), print_.alias("__print"))
-    rate = rates(docs, source_col, text_col, weights, other, total).select(F.col("source").alias("__s"), "rate", _thresholds(F.col("rate")).alias("__cdf"))
+    rate = thresholds(rates(docs, source_col, text_col, weights, other, total)).select(F.col("source").alias("__s"), "rate", F.col("cdf").alias("__cdf"))
     joined = marked.join(rate, F.col("__source").eqNullSafe(F.col("__s")))
     copies = F.size(F.filter(F.col("__cdf"), lambda c: c <= _uniform(F.lit(seed), F.col("__id"), F.col("__print"))))
     counted = joined.withColumn("copies", copies).filter("copies > 0").select("row", "rate", "copies", "__id", "__print")

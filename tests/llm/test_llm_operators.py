@@ -524,6 +524,53 @@ def test_quality(spark):
     assert quality.score(docs.limit(3), empty).filter("score = 0.5").count() == 3
 
 
+def test_quality_of_small_fixture(spark, corpus):
+    """Vectors, pooling and temperature against plain loops; ties, repeated rows and clashing columns."""
+    import numpy as np
+    import pyarrow as pa
+
+    some = [t for _, t in corpus if t and len(t) < 600][:30] + ["", "same text", "same text"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(some)] + [(99, None)], TEXT).withColumns({n: F.lit("mine") for n in ("id", "y", "x", "__id", "row", "block")})
+    vectors = quality.word_vectors(docs.repartition(5))
+    assert np.allclose(vectors, quality.brute_vectors(some), atol=1e-6)
+    pooled = quality._pooled(pa.array([*some, None]), vectors)
+    for row, text in zip(pooled, [*some, ""]):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        slots = quality._terms(raw, np.array([0, len(raw)]))[0]
+        want = np.concatenate([vectors[slots[k::2]].mean(axis=0) if len(slots) else np.zeros(quality.DIMENSIONS) for k in (0, 1)])
+        assert np.allclose(row, want, atol=1e-5)
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(800, 6))
+    y = (x[:, 0] + rng.normal(size=800) > 0).astype(int)
+    net = quality.Network(x, y)
+    scores = net.score(x)
+    loss = lambda c: np.mean(np.logaddexp(0, np.where(y == 1, -1, 1) * net._logits((x - net.mean) / net.scale) / c))
+    assert net.temperature >= 1 and ((scores > 0.5) == y).mean() > 0.7 and loss(net.temperature) < loss(net.temperature * 8)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(33)] + [(31, 1), (None, 1), (32, None)], "doc_id long, quality int")
+    twice = [{(r["row"]["doc_id"], r["score"]) for r in quality.score(docs, quality.fit(d, labels), keep=["doc_id"]).collect()} for d in (docs, docs.repartition(7))]
+    assert twice[0] == twice[1] and len({s for i, s in twice[0] if i in (31, 32)}) == 1
+
+
+def test_mix_counts(spark):
+    """Copies are the Poisson number at the hash's place, for small and for high rates."""
+    import hashlib
+
+    rows = [(i, f"text {i}", ("a", "b", None)[i % 3]) for i in range(90)] + [(1, "text 1", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for total in (0.4, 3.0, 900.0):
+        rates = {r["source"]: r["rate"] for r in source_mix.rates(df, weights={"a": 0.7}, total=total).collect()}
+        got = {(r["row"]["doc_id"], r["row"]["source"]): r["copies"] for r in source_mix.mix_sources(df, weights={"a": 0.7}, total=total).collect()}
+        for i, text, source in rows:
+            place = hashlib.md5(f"mix|{i}|{hashlib.md5(text.encode()).hexdigest()}".encode()).hexdigest()[:13]
+            u, k, c, rate = int(place, 16) / 2**52, 0, 0.0, rates[source]
+            while (c := c + math.exp(-rate + k * math.log(rate) - math.lgamma(k + 1))) <= u:
+                k += 1
+            assert got.get((i, source), 0) == k
+    high = source_mix.thresholds(spark.createDataFrame([("a", 18_000.0), ("b", 0.0)], "source string, rate double"))
+    cdf = {r["source"]: r["cdf"] for r in high.collect()}
+    assert abs(cdf["a"][-1] - 1) < 1e-9 and len(cdf["a"]) < 20_000 and cdf["b"] == [1.0]
+
+
 def test_mix(spark, frame):
     rows = frame.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "src0").when(F.col("doc_id") % 3 == 1, "b"))
     found = source_mix.mix_sources(rows, weights={"src0": 0.25}, total=3.0)
