@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions.colours import clean_gene
 from tessella.functions.rounding import half_even, half_up, truncate
+from tessella.operators.graph import checkpointed
 
 
 def assign_labels(spots: DataFrame, labels: DataFrame) -> DataFrame:
@@ -184,16 +185,25 @@ def cell_hulls(reads: DataFrame, cell: str = "cell_barcode") -> DataFrame:
     return points.groupBy("cell").applyInPandas(hull, "cell long, ring array<struct<x:double,y:double>>")
 
 
-def external_cells(rows: DataFrame, scale: float, order: str, thin_from: int = 200_000, every: int = 5) -> DataFrame:
-    """Another segmenter's points: noise from text, cell numbers by first appearance, micrometres as pixels; for display every fifth of many.
+def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Adds running numbers from 0 in the order of the columns: ranges of the order are numbered apart, and each range begins where those before it end.
 
-    Thinning is a sampling of what is shown; numbers are given before it.
+    Only one row a range goes through a window without a partition. The ranges are checkpointed, so that a row's range doesn't change.
     """
-    codes = rows.groupBy("cell").agg(F.min(order).alias("first")).withColumn("cell_no", F.row_number().over(Window.orderBy("first", "cell")) - 1).drop("first")
+    ranged = checkpointed(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    before = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    inner = F.row_number().over(Window.partitionBy("range").orderBy(*order))
+    return ranged.withColumn("inner", inner).join(before, "range").withColumn(name, F.col("before") + F.col("inner") - 1).drop("range", "inner", "before")
+
+
+def external_cells(rows: DataFrame, scale: float, order: str, every: int | None = None) -> DataFrame:
+    """Another segmenter's points: noise from text, cell numbers by first appearance, micrometres as pixels; with `every`, each so many-th row only.
+
+    Thinning is a sampling of what is shown, in the order of the rows; numbers are given before it.
+    """
+    codes = numbered(rows.groupBy("cell").agg(F.min(order).alias("first")), ["first", "cell"], "cell_no").drop("first")
     out = rows.join(codes, "cell").withColumns({"is_noise": F.lower(F.col("is_noise").cast("string")) == "true", "x": F.col("x") / scale, "y": F.col("y") / scale})
-    if rows.count() < thin_from:
-        return out
-    return out.filter(F.pmod(F.xxhash64(order), F.lit(every)) == 0)
+    return out if every is None else numbered(out, [order], "at").filter(F.col("at") % every == 0).drop("at")
 
 
 def shift_noise(rows: DataFrame) -> DataFrame:

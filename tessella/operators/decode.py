@@ -24,23 +24,30 @@ def colour_vectors(sums: DataFrame) -> DataFrame:
     return sums.withColumn("vector", F.transform("sums", lambda s: s / norm))
 
 
-def call_colours(sums: DataFrame) -> DataFrame:
-    """Adds colour (1..n of the only largest sum; -1 on a tie or without signal) and score (-ln of its share; infinite on a tie).
+def call_colours(sums: DataFrame, channels: int = 3) -> DataFrame:
+    """Adds colour (1..channels of the only largest sum; -1 on a tie or without signal) and score (-ln of its share of the norm; infinite on a tie).
 
     Ties are judged on the sums, which are whole numbers, not on the shares.
     """
-    top = F.array_max("sums")
-    single = F.size(F.filter("sums", lambda s: s == top)) == 1
-    called = colour_vectors(sums)
-    return called.select("*", F.when(single, F.array_position("sums", top).cast("int")).otherwise(-1).alias("colour"), F.when(single, -F.log(F.array_max("vector"))).otherwise(F.lit(float("inf"))).alias("score")).drop("vector")
+    s = [F.get("sums", F.lit(k)) for k in range(channels)]
+    top = F.greatest(*s) if channels > 1 else s[0]
+    norm = F.sqrt(sum((c.cast("double") * c for c in s), F.lit(0.0))) + F.lit(1e-6)
+    single = sum(((c == top).cast("int") for c in s), F.lit(0)) == 1
+    which = F.coalesce(*[F.when(c == top, k + 1) for k, c in enumerate(s)])
+    return sums.select("*", F.when(single, which).otherwise(-1).alias("colour"), F.when(single, -F.log(top / norm)).otherwise(F.lit(float("inf"))).alias("score"))
 
 
-def read_calls(calls: DataFrame) -> DataFrame:
-    """One row a spot: colours and scores by round, colorseq (null if any round has no colour), n_ties."""
-    by = F.array_sort(F.collect_list(F.struct("round_no", "colour", "score")))
-    rows = calls.groupBy("fov", "spot_id").agg(by.alias("r"))
-    ties = F.size(F.filter("r", lambda x: x["colour"] < 0))
-    return rows.select("fov", "spot_id", F.col("r.colour").alias("colours"), F.col("r.score").alias("scores"), F.when(ties == 0, F.array_join(F.transform("r", lambda x: x["colour"].cast("string")), "")).alias("colorseq"), ties.alias("n_ties"))
+def read_calls(calls: DataFrame, rounds: int = 5) -> DataFrame:
+    """One row a spot: colours and scores by round 1..rounds, colorseq (null if any round has no colour), n_ties.
+
+    One maximum a round, so calls combine before the shuffle; a round without a call is left out of the arrays.
+    """
+    pick = lambda c, r: F.max(F.when(F.col("round_no") == r, F.col(c)))
+    rows = calls.groupBy("fov", "spot_id").agg(*[pick(c, r).alias(f"{c}{r}") for r in range(1, rounds + 1) for c in ("colour", "score")])
+    colours = [F.col(f"colour{r}") for r in range(1, rounds + 1)]
+    ties = sum((F.coalesce((c < 0).cast("int"), F.lit(0)) for c in colours), F.lit(0))
+    every = lambda c: F.array_compact(F.array(*[F.col(f"{c}{r}") for r in range(1, rounds + 1)]))
+    return rows.select("fov", "spot_id", every("colour").alias("colours"), every("score").alias("scores"), F.when(ties == 0, F.concat_ws("", *[c.cast("string") for c in colours])).alias("colorseq"), ties.alias("n_ties"))
 
 
 def count_crosstalk(reads: DataFrame) -> DataFrame:
@@ -109,8 +116,9 @@ def unencodable(book: DataFrame, instrument: str = "Olympus") -> DataFrame:
 def check_ends(reads: DataFrame, mode: str, ends: str, instrument: str = "Olympus") -> DataFrame:
     """Adds front_ok, back_ok, omics_ok and ends_ok: do the walks begin and end with the preset's bases?
 
-    The part that a mode doesn't look at counts as fine. The check is a statistic; it filters nothing.
+    The part that a mode doesn't look at counts as fine. The check is a statistic; it filters nothing. Each distinct colour string is decoded once.
     """
+    distinct = reads.select("colorseq").distinct()
     c = digits(F.col("colorseq"))
     true = F.lit(True)
 
@@ -137,7 +145,13 @@ def check_ends(reads: DataFrame, mode: str, ends: str, instrument: str = "Olympu
         omics = F.coalesce(F.left(decode_omics(last, instrument), F.lit(1)) == ends[0], F.lit(False))
     else:
         raise ValueError(f"unknown mode {mode}")
-    return reads.select("*", front.alias("front_ok"), back.alias("back_ok"), omics.alias("omics_ok"), (front & back & omics).alias("ends_ok"))
+    checked = distinct.select("colorseq", front.alias("front_ok"), back.alias("back_ok"), omics.alias("omics_ok")).withColumn("ends_ok", F.col("front_ok") & F.col("back_ok") & F.col("omics_ok"))
+    return reads.join(checked, reads["colorseq"].eqNullSafe(checked["colorseq"])).select(reads["*"], "front_ok", "back_ok", "omics_ok", "ends_ok")
+
+
+def string_counts(reads: DataFrame) -> DataFrame:
+    """(fov, colorseq, n): how many reads have each colour string, for statistics that look at strings only."""
+    return reads.groupBy("fov", "colorseq").agg(F.count(F.lit(1)).alias("n"))
 
 
 def match_codebook(reads: DataFrame, book: DataFrame) -> DataFrame:
@@ -146,15 +160,13 @@ def match_codebook(reads: DataFrame, book: DataFrame) -> DataFrame:
 
 
 def filter_stats(checked: DataFrame, book: DataFrame) -> DataFrame:
-    """Per fov: reads, reads with the right ends, reads in the codebook, and the three shares; null without a denominator."""
+    """Per fov: reads, reads with the right ends, reads in the codebook, and the five shares; null without a denominator. Rows with an n count n times."""
     known = book.select(F.col("barcode").alias("colorseq"), F.lit(True).alias("known"))
+    n = F.col("n") if "n" in checked.columns else F.lit(1)
+    count = lambda c: F.coalesce(F.sum(F.when(c, n)), F.lit(0)).cast("long")
+    inside = F.col("known").isNotNull()
     rows = checked.join(known, "colorseq", "left").groupBy("fov").agg(
-        F.count(F.lit(1)).alias("n_all"),
-        F.count_if("ends_ok").alias("n_form"),
-        F.count_if(F.col("known").isNotNull()).alias("n_book"),
-        F.count_if(F.col("known").isNotNull() & F.col("ends_ok")).alias("n_both"),
-        F.count_if("front_ok").alias("n_front"),
-        F.count_if("back_ok").alias("n_back"),
+        F.sum(n).cast("long").alias("n_all"), count(F.col("ends_ok")).alias("n_form"), count(inside).alias("n_book"), count(inside & F.col("ends_ok")).alias("n_both"), count(F.col("front_ok")).alias("n_front"), count(F.col("back_ok")).alias("n_back")
     )
     share = lambda a, b: F.col(a) / F.nullif(F.col(b), F.lit(0))
     return rows.select("*", share("n_form", "n_all").alias("form_all"), share("n_book", "n_all").alias("book_all"), share("n_both", "n_form").alias("book_form"), share("n_front", "n_all").alias("front_all"), share("n_back", "n_all").alias("back_all"))
@@ -163,15 +175,14 @@ def filter_stats(checked: DataFrame, book: DataFrame) -> DataFrame:
 def correct_hamming1(reads: DataFrame, book: DataFrame, colours: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """Reads outside the codebook with exactly one barcode at one changed colour: adds barcode and gene.
 
-    Each read is sent to all its one-change neighbours and met by an equi-join; nothing is compared pair by pair.
+    The codebook's barcodes are sent to their one-change neighbours, so a read is met once, by its own string; nothing is compared pair by pair.
     """
     known = book.select(F.col("barcode").alias("colorseq"))
-    lost = reads.filter(F.col("colorseq").isNotNull()).join(known, "colorseq", "left_anti")
-    n = F.length("colorseq")
-    swap = lambda i: F.array(*[F.concat(F.substring(F.col("colorseq"), F.lit(1), i - 1), F.lit(str(c)), F.substring(F.col("colorseq"), i + 1, n)) for c in colours])
-    tried = lost.withColumn("barcode", F.explode(F.array_except(F.flatten(F.transform(F.sequence(F.lit(1), n), swap)), F.array("colorseq"))))
-    found = tried.join(book.select("barcode", "gene"), "barcode").groupBy("fov", "spot_id").agg(F.count(F.lit(1)).alias("n"), F.first("barcode").alias("barcode"), F.first("gene").alias("gene"))
-    return found.filter("n = 1").drop("n")
+    n = F.length("barcode")
+    swap = lambda i: F.array(*[F.concat(F.substring(F.col("barcode"), F.lit(1), i - 1), F.lit(str(c)), F.substring(F.col("barcode"), i + 1, n)) for c in colours])
+    near = book.select("barcode", "gene", F.explode(F.array_except(F.flatten(F.transform(F.sequence(F.lit(1), n), swap)), F.array("barcode"))).alias("colorseq"))
+    single = near.groupBy("colorseq").agg(F.count(F.lit(1)).alias("n"), F.first("barcode").alias("barcode"), F.first("gene").alias("gene")).filter("n = 1").join(known, "colorseq", "left_anti")
+    return reads.join(single, "colorseq").select("fov", "spot_id", "barcode", "gene")
 
 
 def gene_counts(good: DataFrame, book: DataFrame) -> DataFrame:
@@ -190,3 +201,12 @@ def good_points(good: DataFrame, spots: DataFrame) -> DataFrame:
     return spots.join(good.select("fov", "spot_id", "gene"), ["fov", "spot_id"]).select("fov", "x", "y", "z", "intensity", "channel", "gene")
 
 
+def decode(reads: DataFrame, book: DataFrame, preset: str, instrument: str = "Olympus") -> tuple[DataFrame, DataFrame]:
+    """(reads in the codebook with their gene, filter statistics) by one of DECODE_PRESETS: it names the end check and the positions that the codebook leaves out.
+
+    reads: fov, spot_id, colorseq of as many rounds as the preset's codes have; book: row_no, gene, sequence.
+    """
+    mode, ends, cut = DECODE_PRESETS[preset]
+    coded = build_codebook(book, instrument, "segments" if mode == "tri" else "plain" if mode == "single_nc" else "swap", cut)
+    good = reads.filter("colorseq is not null")
+    return match_codebook(good, coded), filter_stats(check_ends(string_counts(good), mode, ends, instrument), coded)

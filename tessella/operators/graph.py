@@ -15,10 +15,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def _checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; sets one only where there is none."""
+    """The session's checkpoint folder. One is set only where there is none and executors live on this machine, as in tests."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
 
@@ -43,6 +46,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     e = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).dropna()
     nodes = e.select("u").union(e.select("v")).distinct()
     e = checkpointed(e.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    if e.isEmpty():
+        return nodes.select(F.col("u").alias("node"), F.col("u").alias("label"))
     mark = None
     for _ in range(max_rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

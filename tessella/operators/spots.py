@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.rounding import saturate
+from tessella.operators.blocks import Block, by_block, moved
 from tessella.operators.graph import checkpointed
-from tessella.operators.voxels import CHANNEL, PLACE, TOP, _half_offsets, _shifted, connected_components, convolve, log_kernel
+from tessella.operators.voxels import CHANNEL, PLACE, TOP, connected_components, convolve, log_kernel, neighbours
 
-_AROUND = [(*a,) for o in _half_offsets(26) for a in (o, tuple(-c for c in o))]
+_LEAST = np.iinfo(np.int64).min
 
 
-def regional_maxima(voxels: DataFrame, keys: list[str] = CHANNEL) -> DataFrame:
+def around_max(voxels: DataFrame, keys: list[str], connectivity: int = 26, value: str = "value") -> DataFrame:
+    """The voxels (keys, z, y, x, value) with `around`, the greatest value next to each; null if it has no neighbour."""
+
+    def highest(table: pa.Table) -> dict[str, np.ndarray]:
+        block = Block(table, 1)
+        values = block.dense(table[value].to_numpy().astype(np.int64))
+        most, near = np.full(block.shape, _LEAST), np.zeros(block.shape, bool)
+        for o in neighbours(connectivity):
+            there = moved(block.there, o)
+            most = np.where(there, np.maximum(most, moved(values, o)), most)
+            near |= there
+        inside = block.there & block.inner()
+        return block.places(np.nonzero(inside)) | {value: values[inside], "around": np.ma.array(most[inside], mask=~near[inside])}
+
+    return by_block(voxels, keys, [value], 1, highest, {"z": "int", "y": "int", "x": "int", value: "long", "around": "long"})
+
+
+def regional_maxima(voxels: DataFrame, keys: list[str] = CHANNEL, connectivity: int = 26) -> DataFrame:
     """Voxels of plateaus without a greater neighbour, with the plateau's component. Only voxels that aren't zero can be one if any voxel is greater than zero."""
-    cells = checkpointed(voxels.select(*keys, *PLACE, "value"))
-    near = _shifted(cells, _AROUND, [*keys, "value"]).groupBy(*keys, *PLACE).agg(F.max("value").alias("around"))
-    joined = cells.join(near, [*keys, *PLACE], "left").withColumn("beaten", F.coalesce(F.col("around") > F.col("value"), F.lit(False)))
-    flat = checkpointed(connected_components(joined, [*keys, "value"]))
-    good = flat.groupBy("component").agg(F.max("beaten").alias("lost")).filter("not lost").select("component")
-    return flat.join(good, "component", "left_semi").drop("around", "beaten")
+    cells = checkpointed(around_max(voxels, keys, connectivity).withColumn("beaten", F.coalesce(F.col("around") > F.col("value"), F.lit(False))))
+    # a plateau has several voxels only where a neighbour is as great; the others are decided alone
+    flat = cells.filter("around >= value")
+    alone = cells.filter("around is null or around < value").select(*keys, *PLACE, "value")
+    joined = checkpointed(connected_components(flat, keys, connectivity, "value"))
+    good = joined.groupBy("component").agg(F.max("beaten").alias("lost")).filter("not lost").select("component")
+    return joined.join(good, "component", "left_semi").select(*keys, *PLACE, "value").unionByName(alone)
 
 
 def _centroids(members: DataFrame, keys: list[str]) -> DataFrame:
@@ -35,7 +56,7 @@ def find_spots_max3d(voxels: DataFrame, reference: int = 1, threshold: float = 0
     """
     mine = voxels.filter((F.col("round_no") == reference) & (F.col("channel") <= 3))
     tops = regional_maxima(mine).filter(F.col("value") > threshold * TOP[dtype])
-    spots = _centroids(connected_components(tops.drop("component"), CHANNEL), CHANNEL)
+    spots = _centroids(connected_components(tops, CHANNEL), CHANNEL)
     at = spots.join(mine.select(*CHANNEL, *PLACE, "value"), [*CHANNEL, *PLACE], "left")
     return at.select("fov", "x", "y", "z", F.coalesce("value", F.lit(0)).alias("intensity"), F.lit(threshold * 255.0).alias("addition"), "channel")
 
@@ -48,7 +69,7 @@ def find_spots_log3d(voxels: DataFrame, dims: DataFrame, reference: int = 1, thr
     # minima as maxima of the negated response on a fixed grid of 1e-6; places out of reach of any voxel respond with 0
     level = response.select(*CHANNEL, *PLACE, F.round(-F.col("response") * 1e6).cast("long").alias("value"))
     tops = regional_maxima(level).join(mine.select(*CHANNEL, *PLACE, F.col("value").alias("raw")), [*CHANNEL, *PLACE]).filter(F.col("raw") > threshold * TOP[dtype])
-    spots = _centroids(connected_components(tops.drop("component", "value"), CHANNEL), CHANNEL)
+    spots = _centroids(connected_components(tops.drop("value"), CHANNEL), CHANNEL)
     at = spots.join(mine.select(*CHANNEL, *PLACE, "value"), [*CHANNEL, *PLACE], "left")
     return at.select("fov", "x", "y", "z", F.coalesce("value", F.lit(0)).alias("intensity"), F.lit(threshold * float(TOP[dtype])).alias("addition"), "channel")
 
@@ -58,14 +79,10 @@ def find_spots_2dlog(voxels: DataFrame, nx: int, ny: int, nz: int, share: float
     first = voxels.filter("round_no = 1")
     response = convolve(first, log_kernel(size, sigma), nx, ny, nz, edge="zero")
     level = response.select(*CHANNEL, *PLACE, F.round(-F.col("response") * 1e6).cast("long").alias("value"))
-    plane = [o for o in _AROUND if o[0] == 0]
-    cells = checkpointed(level)
-    near = _shifted(cells, plane, [*CHANNEL, "value"]).groupBy(*CHANNEL, *PLACE).agg(F.max("value").alias("around"))
-    joined = cells.join(near, [*CHANNEL, *PLACE], "left").withColumn("beaten", F.coalesce(F.col("around") > F.col("value"), F.lit(False)))
-    flat = checkpointed(connected_components(joined, [*CHANNEL, "value"], 8))
-    good = flat.groupBy("component").agg(F.max("beaten").alias("lost")).filter("not lost").select("component")
+    # the minima of a slice: slices are keys, so that nothing touches across them
+    flat = regional_maxima(level.withColumn("slice", F.col("z")), [*CHANNEL, "slice"], 8)
     most = first.groupBy("fov", "channel").agg((F.max("value") * share).alias("cut"))
-    tops = flat.join(good, "component", "left_semi").select(*CHANNEL, *PLACE).join(first.select(*CHANNEL, *PLACE, F.col("value").alias("raw")), [*CHANNEL, *PLACE]).join(most, ["fov", "channel"]).filter("raw > cut")
+    tops = flat.select(*CHANNEL, *PLACE).join(first.select(*CHANNEL, *PLACE, F.col("value").alias("raw")), [*CHANNEL, *PLACE]).join(most, ["fov", "channel"]).filter("raw > cut")
     return _centroids(connected_components(tops.drop("cut", "raw"), CHANNEL), CHANNEL).select("fov", "channel", "x", "y", "z")
 
 
@@ -91,7 +108,7 @@ def find_spots_barcode(codes: DataFrame, factor: float = 0.5, volume: int = 1) -
     """Objects of one code of more than `volume` voxels, all better than factor times the best quality of the fov: fov, code, x, y, z, quality (mean)."""
     best = codes.groupBy("fov").agg((F.max("quality") * factor).alias("cut"))
     good = codes.join(best, "fov").filter("quality > cut").drop("cut")
-    labelled = checkpointed(connected_components(good, ["fov", "code"]))
+    labelled = checkpointed(connected_components(good, ["fov"], same="code"))
     spots = _centroids(labelled, ["fov", "code"]).filter(F.col("volume") > volume)
     return spots.join(labelled.groupBy("component").agg(F.avg("quality").alias("quality")), "component").drop("component")
 
@@ -106,9 +123,7 @@ def find_spots_image(codes: DataFrame, book: DataFrame, factor: float = 0.5, vol
     best = codes.groupBy("fov").agg((F.max("quality") * factor).alias("cut"))
     good = codes.join(best, "fov").filter("quality > cut").join(book.select(F.col("barcode").cast("long").alias("code")), "code", "left_semi")
     good = checkpointed(good.select("fov", *PLACE, "code"))
-    plane = [o for o in _AROUND if o[0] == 0]
-    near = _shifted(good, plane, ["fov", "code"]).groupBy("fov", *PLACE).agg(F.max("code").alias("around"))
-    left = good.join(near, ["fov", *PLACE], "left").filter(F.col("around").isNull() | (F.col("around") <= F.col("code"))).drop("around")
+    left = around_max(good, ["fov"], 8, "code").filter(F.col("around").isNull() | (F.col("around") <= F.col("code"))).drop("around")
     return _centroids(connected_components(left, ["fov"]), ["fov"]).filter(F.col("volume") > volume).select("fov", "x", "y", "z", "volume")
 
 

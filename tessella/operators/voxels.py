@@ -5,14 +5,16 @@ from __future__ import annotations
 import math
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.rounding import saturate
+from tessella.operators.blocks import PLACE, Block, by_block, moved
 from tessella.operators.graph import checkpointed, components
 
 CHANNEL = ["fov", "round_no", "channel"]
-PLACE = ["z", "y", "x"]
 #: The greatest number of a pixel type.
 TOP = {"uint8": 255, "uint16": 65535}
 SKIPPED_ROUND = 11
@@ -86,9 +88,12 @@ def hist_match(voxels: DataFrame, dims: DataFrame, by: str = "intra_round", refe
     reference round. Round 11 stays. Matching is by discrete distribution functions; both histograms have at most 65 536 levels.
     """
     same, other = (["fov", "round_no"], "channel") if by == "intra_round" else (["fov", "channel"], "round_no")
-    levels = checkpointed(level_counts(voxels, dims).join(dims, "fov").withColumn("share", F.col("upto") / F.col("volume")))
-    target = levels.filter(F.col(other) == reference).groupBy(*same).agg(F.array_sort(F.collect_list(F.struct("share", "value"))).alias("steps"))
-    mapped = levels.join(target, same).select(*CHANNEL, "value", F.coalesce(F.get(F.filter("steps", lambda s: s["share"] >= F.col("share")), F.lit(0))["value"], F.array_max(F.transform("steps", lambda s: s["value"]))).alias("new"))
+    levels = checkpointed(level_counts(voxels, dims).join(dims, "fov").select(*CHANNEL, "value", (F.col("upto") / F.col("volume")).alias("share")))
+    # both lists of a channel in falling order of shares, the reference's first where they are equal: the last reference level so far is the first that is no smaller
+    target = levels.filter(F.col(other) == reference).select(*same, F.col("value").alias("level"), "share").join(levels.select(*CHANNEL).distinct(), same)
+    both = levels.select(*CHANNEL, "share", "value", F.lit(None).cast("int").alias("level"), F.lit(1).alias("rank")).unionByName(target.select(*CHANNEL, "share", F.lit(None).cast("int").alias("value"), "level", F.lit(0).alias("rank")))
+    before = Window.partitionBy(*CHANNEL).orderBy(F.desc("share"), "rank", F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
+    mapped = both.withColumn("new", F.last("level", ignorenulls=True).over(before)).filter("value is not null").select(*CHANNEL, "value", "new")
     fixed = F.col("round_no") == SKIPPED_ROUND
     if by == "intra_round":
         fixed = fixed | (F.col("channel") == 4)
@@ -130,19 +135,28 @@ def sample_grid_nearest(mask: DataFrame, spots: DataFrame, every: int, reach: in
     return grid.join(met.groupBy("fov", "x", "y").agg(F.min_by("v", F.struct(d2, "spot_id")).alias("value")), ["fov", "x", "y"], "left")
 
 
-def estimate_shift(merged: DataFrame, reference: int, reach: tuple[int, int, int] = (3, 3, 1)) -> DataFrame:
-    """(fov, round_no, dx, dy, dz, score): the shift, at most `reach`, with the greatest sum of products with the reference round.
+def estimate_shift(merged: DataFrame, reference: int, nx: int, ny: int, nz: int) -> DataFrame:
+    """(fov, round_no, dx, dy, dz, score): the shift with the greatest circular cross-correlation with the reference round, over all shifts of the volume.
 
-    Only voxels that aren't zero add to the sum, so a sparse join over the offsets gives what the full correlation would. Ties go to the first in column-major order of (y, x, z).
+    Shifts beyond half the volume count backwards; ties go to the first in column-major order of (y, x, z). A round's volume and the reference's are one
+    task, some forty bytes a voxel: their size is the microscope's, whatever the number of fields of view. Sums are exact up to 2**50.
     """
-    moves = [(dx, dy, dz) for dz in range(-reach[2], reach[2] + 1) for dx in range(-reach[0], reach[0] + 1) for dy in range(-reach[1], reach[1] + 1)]
-    offsets = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy"), F.lit(c).alias("dz"), F.lit(i).alias("i")) for i, (a, b, c) in enumerate(moves)])
-    fixed = merged.filter(F.col("round_no") == reference).select("fov", *PLACE, F.col("value").alias("v"))
-    moved = merged.filter(F.col("round_no") != reference).withColumn("o", F.explode(offsets))
-    at = moved.select("fov", "round_no", (F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y"), (F.col("z") + F.col("o.dz")).alias("z"), "o", "value")
-    sums = at.join(fixed, ["fov", *PLACE]).groupBy("fov", "round_no", "o").agg(F.sum(F.col("value").cast("long") * F.col("v")).alias("score"))
-    best = sums.groupBy("fov", "round_no").agg(F.max_by(F.struct("o", "score"), F.struct("score", -F.col("o.i"))).alias("b"))
-    return best.select("fov", "round_no", "b.o.dx", "b.o.dy", "b.o.dz", "b.score")
+    fixed = merged.filter(F.col("round_no") == reference).select("fov", *PLACE, "value")
+    rounds = merged.filter(F.col("round_no") != reference).select("fov", "round_no").distinct()
+    both = merged.filter(F.col("round_no") != reference).select("fov", "round_no", *PLACE, "value", F.lit(0).alias("side")).unionByName(fixed.join(rounds, "fov").select("fov", "round_no", *PLACE, "value", F.lit(1).alias("side")))
+    kinds = dict(merged.dtypes)
+
+    def best(table: pa.Table) -> pa.Table:
+        volume = np.zeros((2, nz, nx, ny))
+        at = {c: table[c].to_numpy() for c in (*PLACE, "value", "side")}
+        volume[at["side"], at["z"] - 1, at["x"] - 1, at["y"] - 1] = at["value"]
+        score = np.rint(np.fft.irfftn(np.fft.rfftn(volume[1]) * np.conj(np.fft.rfftn(volume[0])), volume[0].shape))
+        k = int(score.argmax())
+        z, x, y = np.unravel_index(k, score.shape)
+        back = lambda d, n: int(d - n if d > n // 2 else d)
+        return pa.table({"fov": table["fov"][:1], "round_no": table["round_no"][:1], "dx": pa.array([back(x, nx)], pa.int32()), "dy": pa.array([back(y, ny)], pa.int32()), "dz": pa.array([back(z, nz)], pa.int32()), "score": pa.array([int(score.flat[k])], pa.int64())})
+
+    return both.groupBy("fov", "round_no").applyInArrow(best, f"fov {kinds['fov']}, round_no {kinds['round_no']}, dx int, dy int, dz int, score long")
 
 
 def apply_shift(voxels: DataFrame, shifts: DataFrame, nx: int, ny: int, nz: int, flat: bool = False) -> DataFrame:
@@ -162,27 +176,72 @@ def _half_offsets(connectivity: int) -> list[tuple[int, int, int]]:
     return [o for o in product(zs, (-1, 0, 1), (-1, 0, 1)) if o > (0, 0, 0)]
 
 
-def _offsets(moves: list[tuple[int, int, int]]) -> Column:
-    return F.explode(F.array(*[F.struct(F.lit(a).alias("dz"), F.lit(b).alias("dy"), F.lit(c).alias("dx")) for a, b, c in moves]))
-
-
-def _shifted(voxels: DataFrame, moves: list[tuple[int, int, int]], keep: list[str]) -> DataFrame:
-    at = voxels.select(*keep, *PLACE, _offsets(moves).alias("o"))
-    return at.select(*keep, *[(F.col(c) + F.col(f"o.d{c}")).alias(c) for c in PLACE])
-
-
-def connected_components(voxels: DataFrame, keys: list[str], connectivity: int = 26) -> DataFrame:
-    """Adds component, the least voxel number of the object that a voxel belongs to; voxels with other keys never touch.
-
-    Neighbours meet by an equi-join on shifted coordinates; the components close over those edges.
+def neighbours(connectivity: int) -> list[tuple[int, int, int]]:
+    """All neighbours (dz, dy, dx): 26, or the 8 of a plane."""
+    half = _half_offsets(connectivity)
+    return half + [tuple(-c for c in o) for o in half]
+
+
+def number(z, y, x):
+    """A place as one number of 63 bits."""
+    return (z << 42) | (y << 21) | x
+
+
+_TOP = np.int64(2**62)
+
+
+def _labelled(table: pa.Table, columns: list[str], connectivity: int, same: str | None) -> dict[str, object]:
+    """The inner voxels of a block with `local`, the least voxel number of their object inside the block, and `far`, the touching voxels beyond it."""
+    block = Block(table, 1)
+    inner = block.inner() & block.there
+    alike = block.dense(table[same].to_numpy()) if same else block.there
+    grid = np.ogrid[tuple(slice(f - 1, f - 1 + n) for f, n in zip(block.first, block.shape))]
+    numbers = number(*(g.astype(np.int64) for g in grid)) + np.zeros(block.shape, np.int64)
+    touch = [(o, block.there & moved(block.there, o) & (moved(alike, o) == alike)) for o in neighbours(connectivity)]
+    # the least number wins, kept as the greatest complement, so that nothing is zero
+    label = np.where(inner, _TOP - numbers, 0)
+    while True:
+        new = label
+        for o, near in touch:
+            new = np.maximum(new, np.where(near & inner, moved(label, o), 0))
+        if (new == label).all():
+            break
+        label = new
+    rows = np.flatnonzero(inner[block.index])
+    at = tuple(i[rows] for i in block.index)
+    owner, beyond = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for o, near in touch:
+        out = near & moved(block.there & ~block.inner(), o)
+        k = np.flatnonzero(out[at])
+        owner.append(k)
+        beyond.append(moved(numbers, o)[tuple(i[k] for i in at)])
+    owner, beyond = np.concatenate(owner), np.concatenate(beyond)
+    by = np.argsort(owner, kind="stable")
+    far = pa.ListArray.from_arrays(np.searchsorted(owner[by], np.arange(len(rows) + 1)).astype(np.int32), beyond[by])
+    mine = table.take(pa.array(rows))
+    return {c: mine[c].combine_chunks() for c in columns} | {"local": _TOP - label[at], "far": far}
+
+
+def connected_components(voxels: DataFrame, keys: list[str], connectivity: int = 26, same: str | None = None) -> DataFrame:
+    """Adds component, the keys and least voxel number of the object that a voxel belongs to; voxels with other keys, or another value of `same`, never touch.
+
+    Objects are labelled inside blocks; only the parts that touch across blocks go through a graph. Parts go by their keys and least
+    place, never by a hash.
     """
-    node = F.xxhash64(*keys, *PLACE)
-    cells = voxels.withColumn("node", node)
-    near = _shifted(cells, _half_offsets(connectivity), [*keys, "node"]).withColumnRenamed("node", "a")
-    edges = near.join(cells.select(*keys, *PLACE, F.col("node").alias("b")), [*keys, *PLACE]).select("a", "b")
+    columns = [c for c in voxels.columns if c not in keys]
+    kinds = {c: t for c, t in voxels.dtypes if c in columns}
+    found = by_block(voxels, keys, [c for c in columns if c not in PLACE], 1, lambda t: _labelled(t, columns, connectivity, same), kinds | {"local": "long", "far": "array<long>"})
+    labelled = checkpointed(found)
+    node = F.struct(*keys, F.col("local").alias("place"))
+    cross = labelled.filter("size(far) > 0")
+    if cross.isEmpty():
+        return labelled.select(*voxels.columns, node.alias("component"))
+    place = F.shiftleft(F.col("z").cast("long"), 42).bitwiseOR(F.shiftleft(F.col("y").cast("long"), 21)).bitwiseOR(F.col("x").cast("long"))
+    ends = cross.select(*keys, node.alias("b"), place.alias("at"))
+    edges = cross.select(*keys, node.alias("a"), F.explode("far").alias("at")).join(ends, [*keys, "at"]).select("a", "b")
     label = components(edges)
-    joined = cells.join(label, cells["node"] == label["node"], "left").select(cells["*"], F.coalesce("label", cells["node"]).alias("component"))
-    return joined.drop("node")
+    joined = labelled.withColumn("node", node).join(label, "node", "left")
+    return joined.select(*voxels.columns, F.coalesce("label", "node").alias("component"))
 
 
 def filter_objects(voxels: DataFrame, keys: list[str], low: int, high: int, connectivity: int = 26) -> DataFrame:
@@ -220,19 +279,30 @@ def gauss_kernel(size: tuple[int, ...], sigma: float) -> list[tuple[tuple[int, .
 def convolve(voxels: DataFrame, kernel: list[tuple[tuple[int, ...], float]], nx: int, ny: int, nz: int, edge: str = "replicate", keys: list[str] = CHANNEL) -> DataFrame:
     """Correlation with a small kernel, as rows (keys, z, y, x, response) wherever a voxel that isn't zero is in reach.
 
-    Each voxel adds to the places whose kernel covers it, so the cost is voxels times kernel; at a replicated edge a border voxel
-    also stands for those beyond it.
+    Each block with a halo of the kernel's reach is convolved as an array; at a replicated edge a border voxel also stands for those beyond it.
     """
-    full = [((*o, 0) if len(o) == 2 else o, w) for o, w in kernel]
-    offsets = F.explode(F.array(*[F.struct(F.lit(y).alias("dy"), F.lit(x).alias("dx"), F.lit(z).alias("dz"), F.lit(w).alias("w")) for (y, x, z), w in full]))
-    rows = voxels
-    if edge == "replicate":
-        for c, n, r in (("x", nx, max(o[1] for o, _ in full)), ("y", ny, max(o[0] for o, _ in full)), ("z", nz, max(o[2] for o, _ in full))):
-            low, high = F.when(F.col(c) == 1, 1 - r).otherwise(F.col(c)), F.when(F.col(c) == n, n + r).otherwise(F.col(c))
-            rows = rows.withColumn(c, F.explode(F.sequence(low, high)))
-    at = rows.select(*keys, *PLACE, "value", offsets.alias("o")).select(*keys, *[(F.col(c) - F.col(f"o.d{c}")).alias(c) for c in PLACE], (F.col("value") * F.col("o.w")).alias("v"))
-    inside = F.col("x").between(1, nx) & F.col("y").between(1, ny) & F.col("z").between(1, nz)
-    return at.filter(inside).groupBy(*keys, *PLACE).agg(F.sum("v").alias("response"))
+    full = [((o[2] if len(o) == 3 else 0, o[0], o[1]), w) for o, w in kernel]
+    halo = max(abs(c) for o, _ in full for c in o)
+    last = dict(zip(PLACE, (nz, ny, nx)))
+
+    def filtered(table: pa.Table) -> dict[str, np.ndarray]:
+        block = Block(table, halo, (1, nz))
+        values, there = block.dense(table["value"].to_numpy().astype(np.float64)), block.there
+        if edge == "replicate":
+            for axis, c in enumerate(PLACE):
+                at = np.arange(block.shape[axis]) + block.first[axis] - halo
+                clamped = np.clip(np.clip(at, 1, last[c]) - block.first[axis] + halo, 0, block.shape[axis] - 1)
+                values, there = np.take(values, clamped, axis), np.take(there, clamped, axis)
+        response, reached = np.zeros(block.shape), np.zeros(block.shape, bool)
+        for o, w in full:
+            response += w * moved(values, o)
+            reached |= moved(there, o)
+        inside = reached & block.inner()
+        places = block.places(np.nonzero(inside))
+        keep = np.all([(places[c] >= 1) & (places[c] <= last[c]) for c in PLACE], axis=0)
+        return {c: p[keep] for c, p in places.items()} | {"response": response[inside][keep]}
+
+    return by_block(voxels, keys, ["value"], halo, filtered, {"z": "int", "y": "int", "x": "int", "response": "double"})
 
 
 def label_stats(labels: DataFrame) -> DataFrame:
@@ -250,9 +320,3 @@ def reduction(labels: DataFrame, least: int) -> DataFrame:
     big = F.col("area") >= least
     rows = s.groupBy("fov").agg(F.count(F.lit(1)).alias("raw_cells"), F.sum("area").alias("raw_area"), F.count_if(big).alias("cells"), F.coalesce(F.sum(F.when(big, F.col("area"))), F.lit(0)).alias("area"))
     return rows.withColumn("reduction", (1 - F.col("area") / F.col("raw_area")) * 100)
-
-
-def dense(spark: SparkSession, dims: DataFrame) -> DataFrame:
-    """Every place (fov, z, y, x) of volumes of dims: fov, nx, ny, nz."""
-    axis = lambda n: F.explode(F.sequence(F.lit(1), F.col(n)))
-    return dims.select("fov", "nx", "ny", axis("nz").alias("z")).withColumn("y", axis("ny")).withColumn("x", axis("nx")).select("fov", *PLACE)

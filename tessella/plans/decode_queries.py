@@ -39,7 +39,8 @@ _STEP = {(a, c): b for pair, c in PAIR_COLOURS["Olympus"].items() for a, b in [p
 def colour_calls(c):
     """R3, R4."""
     score = F.when(F.col("score") == float("inf"), -1.0).otherwise(F.col("score"))
-    return d.call_colours(_sums(c)).select("fov", "spot_id", "round_no", "colour", F.round(score, 6).alias("score"))
+    called = d.call_colours(_sums(c))
+    return called.select("fov", "spot_id", "round_no", "colour", F.round(score, 6).alias("score"))
 
 
 @query("colour_sums", sql=f"WITH {_READS} SELECT fov, spot_id, colorseq, n_ties FROM called")
@@ -108,11 +109,8 @@ def codebook_duo(b):
 
 def _walk(n: int, start: str) -> str:
     """SQL of the base walk over the first n digits of colorseq."""
-    acc = f"'{start}'"
-    for i in range(1, n + 1):
-        cases = " ".join(f"WHEN '{a}{c}' THEN '{b}'" for (a, c), b in _STEP.items())
-        acc = f"(CASE {acc} || substr(colorseq, {i}, 1) {cases} END)"
-    return acc
+    cases = " ".join(f"WHEN '{a}{c}' THEN '{b}'" for (a, c), b in _STEP.items())
+    return f"list_reduce(list_prepend('{start}', string_split(substr(colorseq, 1, {n}), '')), lambda a, c: (CASE a || c {cases} END))"
 
 
 @query("colour_sums", sql=f"WITH {_READS} SELECT fov, spot_id, colorseq, {_walk(5, 'G')} = 'A' AS ends_ok FROM called WHERE colorseq IS NOT NULL")
@@ -143,9 +141,22 @@ def end_check_short(c):
 
 @query("colour_sums", sql=f"WITH {_READS} SELECT fov, spot_id, {_walk(5, 'G')} = 'A' AS front_ok, true AS back_ok FROM called WHERE colorseq IS NOT NULL")
 def end_check_duo(c):
-    """R20, R22."""
-    r = d.check_ends(_reads(c).filter("colorseq is not null"), "duo", "GGAA")
-    return d.check_ends(r.drop("front_ok", "back_ok", "omics_ok", "ends_ok"), "duo", "GGAA").select("fov", "spot_id", "front_ok", "back_ok")
+    """R20."""
+    return d.check_ends(_reads(c).filter("colorseq is not null"), "duo", "GGAA").select("fov", "spot_id", "front_ok", "back_ok")
+
+
+@query("colour_sums", sql=f"WITH {_READS} SELECT fov, spot_id, {_walk(5, 'G')} = 'A' AS front_ok, true AS back_ok, substr(colorseq, 5, 1) IN ('1', '2', '3') AS omics_ok, {_walk(5, 'G')} = 'A' AS ends_ok FROM called WHERE colorseq IS NOT NULL")
+def end_check_noend(c):
+    """Three parts without the back one; the tenth colour is the omics one."""
+    r = _reads(c).filter("colorseq is not null").withColumn("colorseq", F.concat("colorseq", "colorseq"))
+    return d.check_ends(r, "tri_noend", "GGAAA").select("fov", "spot_id", "front_ok", "back_ok", "omics_ok", "ends_ok")
+
+
+@query("colour_sums", sql=f"WITH {_READS} SELECT fov, spot_id, colorseq, true AS ends_ok FROM called")
+def end_check_nc(c):
+    """No ends to check, so every read passes, one without a string too."""
+    checked = [d.check_ends(_reads(c), mode, "GA") for mode in ("nc", "single_nc")]
+    return checked[0].join(checked[1].select("fov", "spot_id", F.col("ends_ok").alias("same")), ["fov", "spot_id"]).select("fov", "spot_id", "colorseq", (F.col("ends_ok") & F.col("same")).alias("ends_ok"))
 
 
 @query("colour_sums", sql=f"WITH {_READS} SELECT fov, spot_id, 'G' || " + " || ".join(_walk(i, "G") for i in range(1, 6)) + " AS bases, 'G' || CASE substr(colorseq, 1, 1) WHEN '1' THEN 'C' WHEN '2' THEN 'T' ELSE 'N' END AS omics FROM called WHERE colorseq IS NOT NULL")
@@ -161,23 +172,67 @@ def matched_reads(c, b):
     return d.match_codebook(_reads(c), d.build_codebook(b)).select("fov", "spot_id", "colorseq", "gene")
 
 
-@query("colour_sums", "codebook", sql=f"""WITH {_READS}, {_BOOK}, checked AS (SELECT fov, {_walk(5, 'G')} = 'A' AS ok, barcode IS NOT NULL AS known FROM called LEFT JOIN book ON colorseq = barcode WHERE colorseq IS NOT NULL)
-  SELECT fov, count(*) AS n_all, count(*) FILTER (ok) AS n_form, count(*) FILTER (known) AS n_book, count(*) FILTER (ok AND known) AS n_both,
-    round(count(*) FILTER (ok) / count(*), 9) AS form_all, round(count(*) FILTER (known) / count(*), 9) AS book_all, round(count(*) FILTER (ok AND known) / nullif(count(*) FILTER (ok), 0), 9) AS book_form FROM checked GROUP BY fov""")
+_RATE = lambda a, b, n: f"round(count(*) FILTER ({a}) / nullif(count(*) FILTER ({b}), 0), 9) AS {n}"
+_STATS = f"count(*) AS n_all, count(*) FILTER (ok) AS n_form, count(*) FILTER (known) AS n_book, count(*) FILTER (ok AND known) AS n_both, count(*) FILTER (front) AS n_front, count(*) FILTER (back) AS n_back, {_RATE('ok', 'true', 'form_all')}, {_RATE('known', 'true', 'book_all')}, {_RATE('ok AND known', 'ok', 'book_form')}, {_RATE('front', 'true', 'front_all')}, {_RATE('back', 'true', 'back_all')}"
+_SHARES = ("form_all", "book_all", "book_form", "front_all", "back_all")
+
+
+def _rounded(stats: DataFrame) -> DataFrame:
+    return stats.withColumns({x: F.round(x, 9) for x in _SHARES})
+
+
+@query("colour_sums", "codebook", sql=f"WITH {_READS}, {_BOOK}, checked AS (SELECT fov, {_walk(5, 'G')} = 'A' AS ok, ok AS front, true AS back, barcode IS NOT NULL AS known FROM called LEFT JOIN book ON colorseq = barcode WHERE colorseq IS NOT NULL) SELECT fov, {_STATS} FROM checked GROUP BY fov")
 def filter_stats(c, b):
     """R24."""
-    s = d.filter_stats(d.check_ends(_reads(c).filter("colorseq is not null"), "regular", "GA"), d.build_codebook(b))
-    return s.select("fov", "n_all", "n_form", "n_book", "n_both", *[F.round(x, 9).alias(x) for x in ("form_all", "book_all", "book_form")])
+    counts = d.string_counts(_reads(c).filter("colorseq is not null"))
+    return _rounded(d.filter_stats(d.check_ends(counts, "regular", "GA"), d.build_codebook(b)))
+
+
+# what a read and a barcode are under each preset: the plain five colours, twice, twice and one more, or without the second
+_ONE_GA, _ONE_AA = f"{_walk(5, 'G')} = 'A'", f"{_walk(5, 'A')} = 'A'"
+_PRESETS = {
+    "seqD": ("colorseq", "code", _ONE_GA, "true"),
+    "seqF": ("colorseq", "code", _ONE_AA, "true"),
+    "seqF_real": ("colorseq", "code", _ONE_AA, "true"),
+    "seqDF": ("colorseq || colorseq", "code || code", _ONE_GA, _ONE_AA),
+    "normal": ("colorseq || colorseq || substr(colorseq, 1, 1)", "code || code || (row_no % 2 + 1)::VARCHAR", _ONE_GA, _ONE_AA),
+    "seqD_nc": ("substr(colorseq, 1, 1) || substr(colorseq, 3)", "substr(code, 1, 1) || substr(code, 3)", "true", "true"),
+}
+_BY_PRESET = " UNION ALL ".join(
+    f"SELECT '{name}' AS preset, fov, {_STATS} FROM (SELECT fov, coalesce({front}, false) AS front, coalesce({back}, false) AS back, front AND back AS ok, {read} IN (SELECT {code} FROM coded WHERE code IS NOT NULL) AS known FROM called WHERE colorseq IS NOT NULL) GROUP BY fov"
+    for name, (read, code, front, back) in _PRESETS.items()
+)
+
+
+def _preset_inputs(reads: DataFrame, book: DataFrame, preset: str) -> tuple[DataFrame, DataFrame]:
+    """Reads and sequences as long as the preset's codes, made of the five-colour ones."""
+    one, seq = F.col("colorseq"), F.col("sequence")
+    tail = F.when(F.col("row_no") % 2 == 0, "C").otherwise("T")
+    made = {"seqDF": (F.concat(one, one), F.concat(seq, seq)), "normal": (F.concat(one, one, F.left(one, F.lit(1))), F.concat(tail, F.lit("G"), seq, seq)), "seqD_nc": (F.concat(F.left(one, F.lit(1)), F.substring(one, 3, 9)), seq)}
+    read, sequence = made.get(preset, (one, seq))
+    return reads.withColumn("colorseq", read), book.withColumn("sequence", sequence)
+
+
+@query("colour_sums", "codebook", sql=f"WITH {_READS}, coded AS (SELECT row_no, gene, {_CODE} AS code FROM codebook) {_BY_PRESET}")
+def preset_stats(c, b):
+    """All presets, each by its own end check and codebook layout."""
+    out = None
+    reads = _reads(c)
+    for preset in d.DECODE_PRESETS:
+        _, stats = d.decode(*_preset_inputs(reads, b, preset), preset)
+        rows = _rounded(stats).select(F.lit(preset).alias("preset"), *stats.columns)
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 _SWAPS = " UNION ALL ".join(f"SELECT fov, spot_id, substr(colorseq, 1, {i - 1}) || '{k}' || substr(colorseq, {i + 1}) AS barcode FROM lost WHERE substr(colorseq, {i}, 1) <> '{k}'" for i in range(1, 6) for k in (1, 2, 3))
 
 
-@query("colour_sums", "codebook", sql=f"""WITH {_READS}, {_BOOK}, few AS (SELECT * FROM book WHERE row_no % 7 = 0), lost AS (SELECT * FROM called WHERE colorseq IS NOT NULL AND colorseq NOT IN (SELECT barcode FROM few)), tried AS ({_SWAPS})
-  SELECT fov, spot_id, min(barcode) AS barcode, min(gene) AS gene FROM tried JOIN few USING (barcode) GROUP BY fov, spot_id HAVING count(*) = 1""")
+@query("colour_sums", "codebook", sql=f"""WITH {_READS}, {_BOOK}, lost AS (SELECT * FROM called WHERE colorseq IS NOT NULL AND colorseq NOT IN (SELECT barcode FROM book)), tried AS ({_SWAPS})
+  SELECT fov, spot_id, min(barcode) AS barcode, min(gene) AS gene FROM tried JOIN book USING (barcode) GROUP BY fov, spot_id HAVING count(*) = 1""")
 def corrected_reads(c, b):
     """R25."""
-    return d.correct_hamming1(_reads(c), d.build_codebook(b).filter("row_no % 7 = 0"))
+    return d.correct_hamming1(_reads(c), d.build_codebook(b))
 
 
 @query("colour_sums", "codebook", sql=f"WITH {_READS}, {_BOOK} SELECT gene, barcode, count(spot_id) AS n FROM book LEFT JOIN called ON colorseq = barcode GROUP BY gene, barcode")
@@ -193,7 +248,8 @@ def good_points(c, b, s):
     return d.good_points(d.match_codebook(d.filter_quality(_reads(c)), d.build_codebook(b)), s)
 
 
-@query("reads", sql="SELECT read_id, gene_name, regexp_replace(gene_name, '(_rbRNA|_ntRNA)$', '') AS gene FROM reads")
+@query("reads", sql="SELECT read_id, gene_name, regexp_replace(gene_name, '(_rbRNA|_ntRNA)$', '') AS gene, regexp_replace(gene_name, '(_rbRNA|_ntRNA)$', '') || '_' || z AS anywhere FROM reads")
 def clean_genes(r):
-    """C7."""
-    return r.select("read_id", "gene_name", clean_gene(F.col("gene_name")).alias("gene"))
+    """C7, at the end of a name and anywhere in it."""
+    anywhere = clean_gene(F.concat("gene_name", F.lit("_"), F.col("z").cast("string")), anchored=False)
+    return r.select("read_id", "gene_name", clean_gene(F.col("gene_name")).alias("gene"), anywhere.alias("anywhere"))

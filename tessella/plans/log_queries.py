@@ -4,39 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessella.operators import cells
+from tessella.operators import decode as d
 from tessella.operators import logs as g
 from tessella.operators import spots as s
 from tessella.operators.graph import shared_folder
+from tessella.plans import decode_queries as dq
+from tessella.plans import space_queries as sq
 from tessella.plans.catalog import query
 from tessella.sources import readers, writers
 
 _N = lambda p, k=1: f"coalesce(try_cast(replace(regexp_extract(text, '{p}', {k}), ',', '') AS BIGINT), 0)"
 _D = lambda p, k=1: f"coalesce(try_cast(regexp_extract(text, '{p}', {k}) AS DOUBLE), 0.0::DOUBLE)"
-_S = r"([\d\.]+) \[(\d+) / (\d+)\] percent of "
-_BELOW = _S + r"reads are below score thresh [^ ]+\n"
-_VALID = _S + r"reads are below score thresh .* of all valid spots"
-_ABOVE = _S + r"reads have intensity above [\d\.eE+-]+ in Reference Round \(Round \d+\)"
-_POS = r"Position 文件夹名称:\s*(Position\d+)"
-_ROWS = f"""r AS (SELECT submit, task_id, regexp_extract(text, '{_POS}', 1) AS fov, {_N(_BELOW, 3)} AS spots, {_N(r'Geting max color\.\.\.\s+(\d+)\s+Decoding')} AS crosstalk, {_N(_BELOW, 2)} AS qc, {_N(_VALID, 2)} AS valid_qc, {_N(_VALID, 3)} AS valid_spots,
-  {_N(_ABOVE, 2)} AS intensity_qc, {_D(_ABOVE)} AS intensity_ratio, {_N(_S + 'reads match seqD barcode pattern', 2)} AS seqd, {_D(_S + 'reads match seqD barcode pattern')} AS seqd_share, {_N(_S + 'good reads match barcode pattern', 2)} AS seq_end, {_N(_S + 'good reads are in codebook', 2)} AS strict FROM logs)"""
+_S = r"([\d\.]+) \[(\d+) / (\d+)\]" + g.PERCENT
+_BELOW = _S + g.BELOW + r"[^ ]+\n"
+_VALID = _S + g.BELOW + ".* " + g.OF_VALID
+_ABOVE = _S + g.ABOVE
+_POS = g.FOLDER + r":\s*(Position\d+)"
+_ROWS = f"""r AS (SELECT submit, task_id, regexp_extract(text, '{_POS}', 1) AS fov, {_N(_BELOW, 3)} AS spots, {_N(g.MAX_COLOUR.replace('.', '[.]') + r'\s+(\d+)\s')} AS crosstalk, {_N(_BELOW, 2)} AS qc, {_N(_VALID, 2)} AS valid_qc, {_N(_VALID, 3)} AS valid_spots,
+  {_N(_ABOVE, 2)} AS intensity_qc, {_D(_ABOVE)} AS intensity_ratio, {_N(_S + g.SEQ_D, 2)} AS seqd, {_N(_S + g.SEQ_F, 2)} AS seqf, {_D(_S + g.SEQ_D)} AS seqd_share, {_D(_S + g.SEQ_F)} AS seqf_share, {_N(_S + g.SEQ_END, 2)} AS seq_end, {_N(_S + g.IN_BOOK, 2)} AS strict FROM logs)"""
 _R = lambda a, b, n: f"round(CASE WHEN {b} <> 0 THEN {a} / {b} ELSE 0 END, 9) AS {n}"
 
 
-@query("logs", sql=f"""WITH {_ROWS} SELECT submit, fov, spots, crosstalk, qc, valid_qc, valid_spots, intensity_qc, intensity_ratio, seqd, seqd_share, seq_end, strict, {_R('crosstalk', 'spots', 'crosstalk_ratio')}, {_R('qc', 'spots', 'qc_ratio')}, {_R('valid_qc', 'valid_spots', 'valid_qc_ratio')},
+@query("logs", sql=f"""WITH {_ROWS} SELECT submit, fov, spots, crosstalk, qc, valid_qc, valid_spots, intensity_qc, intensity_ratio, seqd, seqf, seqd_share, seqf_share, seq_end, strict, {_R('crosstalk', 'spots', 'crosstalk_ratio')}, {_R('qc', 'spots', 'qc_ratio')}, {_R('valid_qc', 'valid_spots', 'valid_qc_ratio')},
   {_R('seq_end', 'valid_spots', 'seq_end_ratio')}, {_R('strict', 'valid_spots', 'strict_ratio')}, {_R('strict', 'seq_end', 'strict_vs_end')} FROM r WHERE fov <> ''""")
 def decoding_records(logs):
     """L1."""
-    r = g.parse_decoding(logs).drop("seqf", "seqf_share")
+    r = g.parse_decoding(logs)
     return r.select(*[F.round(c, 9).alias(c) if c.endswith("_ratio") and c != "intensity_ratio" or c == "strict_vs_end" else F.col(c) for c in r.columns])
 
 
-@query("logs", sql=rf"SELECT submit, regexp_extract(text, '{_POS}', 1) AS fov, regexp_extract(text, 'Method:\s+(\S+)', 1) AS method, {_N(r'Reference round:\s+(\d+)')} AS reference_round, {_D(r'Intensity threshold:\s+([\d\.eE+-]+)')} AS threshold, {_N(r'Number of spots found by \w+:\s+(\d+)')} AS spots FROM logs WHERE regexp_extract(text, '{_POS}', 1) <> ''")
+@query("logs", sql=rf"SELECT submit, regexp_extract(text, '{_POS}', 1) AS fov, regexp_extract(text, '{g.METHOD}\s+(\S+)', 1) AS method, {_N(g.REFERENCE + r'\s+(\d+)')} AS reference_round, {_D(g.THRESHOLD + r'\s+([\d\.eE+-]+)')} AS threshold, {_N(g.FOUND + r'\w+:\s+(\d+)')} AS spots FROM logs WHERE regexp_extract(text, '{_POS}', 1) <> ''")
 def spot_finding_records(logs):
     """L2."""
     return g.parse_spot_finding(logs)
 
 
-@query("logs", sql=rf"SELECT submit, regexp_extract(text, 'Loading 3D DAPI stack: .*/(Position\d+)/', 1) AS fov, {_N(r'Raw detected cells: (\d+)')} AS raw_cells, {_N(r'Overall area of raw dapi: ([\d,]+)')} AS raw_area, {_N(r'Overall area of filtered dapi: ([\d,]+)')} AS filtered_area, {_D(r'Area reduction ratio: ([\d\.]+)%')} AS reduction, {_N(r'Filtered detected cells: (\d+) \(Removed (\d+)\)', 1)} AS cells, {_N(r'Filtered detected cells: (\d+) \(Removed (\d+)\)', 2)} AS removed FROM logs")
+@query("logs", sql=rf"SELECT submit, regexp_extract(text, '{g.STACK} .*/(Position\d+)/', 1) AS fov, {_N(g.RAW_CELLS + r' (\d+)')} AS raw_cells, {_N(g.RAW_AREA + r' ([\d,]+)')} AS raw_area, {_N(g.LEFT_AREA + r' ([\d,]+)')} AS filtered_area, {_D(g.AREA_SHARE + r' ([\d\.]+)%')} AS reduction, {_N(g.LEFT_CELLS + r' (\d+)')} AS cells, {_N(r'\(Removed (\d+)\)')} AS removed FROM logs")
 def segmentation_records(logs):
     """L3."""
     return g.parse_segmentation(logs)
@@ -60,30 +64,37 @@ def qc_matrix(logs):
     return g.summarise_metric(r.select("fov", "qc", F.col("submit.task_id").alias("seq"), F.col("submit.submit").alias("submit")), "qc", ["S0", "S1", "S2"])
 
 
-@query("logs", sql=f"WITH {_SHIFTS} SELECT fov, max(dx) FILTER (submit = 'S0' AND round_name = 'Round2') AS \"S0__Round2\", max(dx) FILTER (submit = 'S0' AND round_name = 'Round3') AS \"S0__Round3\", max(dx) FILTER (submit = 'S1' AND round_name = 'Round2') AS \"S1__Round2\" FROM shifts GROUP BY fov")
+_COLUMNS = [f"S{a}__Round{b}" for a in (0, 1, 2) for b in (2, 3)]
+
+
+@query("logs", sql=f"WITH {_SHIFTS} SELECT fov, " + ", ".join(f"max(dx) FILTER (submit = '{c[:2]}' AND round_name = '{c[4:]}') AS \"{c}\"" for c in _COLUMNS) + " FROM shifts GROUP BY fov")
 def shift_matrix(logs):
-    """L7."""
-    return g.summarise_shift(g.parse_shifts(logs), "dx", ["S0__Round2", "S0__Round3", "S1__Round2"])
+    """All columns, by submission and round."""
+    shifts = g.parse_shifts(logs)
+    return g.summarise_shift(shifts, "dx", [r["column"] for r in g.shift_columns(shifts).collect()])
+
+
+_METRICS = ["qc", "strict", "crosstalk", "spots", "valid_qc", "intensity_ratio", "seqd", "seqf_share"]
 
 
-@query("logs", sql=f"WITH {_ROWS}, f AS (SELECT * FROM r WHERE fov <> '') SELECT submit, fov, 'qc' AS metric, qc::DOUBLE AS value FROM f UNION ALL SELECT submit, fov, 'strict', strict::DOUBLE FROM f UNION ALL SELECT submit, fov, 'crosstalk', crosstalk::DOUBLE FROM f")
+@query("logs", sql=f"WITH {_ROWS}, f AS (SELECT * FROM r WHERE fov <> '') " + " UNION ALL ".join(f"SELECT submit, fov, '{m}' AS metric, {m}::DOUBLE AS value FROM f" for m in _METRICS))
 def stacked_metrics(logs):
     """L8."""
-    return g.combined_summary(g.parse_decoding(logs), ["qc", "strict", "crosstalk"])
+    return g.combined_summary(g.parse_decoding(logs), _METRICS)
 
 
-@query("logs", "nation", sql="""WITH p AS (SELECT 10.0 + (i - 1) * 2.5 AS ic FROM range(3) t(i)), a AS (SELECT p.ic::DOUBLE AS ic, 'Position' || (n_nationkey + 1) AS fov FROM p, nation), done AS (SELECT DISTINCT 'Position' || (o_orderkey % 40 + 1) AS fov, 10.0 + (o_custkey % 2) * 2.5 AS ic FROM orders WHERE o_orderkey % 3 = 0) SELECT a.fov, a.ic FROM a WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.fov = a.fov AND d.ic = a.ic)""")
-def missing_runs(logs, nation):
-    """L9, L10."""
-    spark = nation.sparkSession
-    fovs = nation.select(F.concat(F.lit("Position"), (F.col("n_nationkey") + 1).cast("string")).alias("fov"))
-    tasks = g.task_grid(g.param_grid({"ic": g.param_levels(10.0, 2.5, 3)}, spark), fovs)
+@query("logs", "supplier", sql="""WITH p AS (SELECT 10.0 + (i - 1) * 2.5 AS ic FROM range(3) t(i)), a AS (SELECT p.ic::DOUBLE AS ic, 'Position' || (s_suppkey + 1) AS fov FROM p, supplier), done AS (SELECT DISTINCT 'Position' || (o_orderkey % 40 + 1) AS fov, 10.0 + (o_custkey % 3) % 2 * 2.5 AS ic FROM orders) SELECT a.fov, a.ic FROM a WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.fov = a.fov AND d.ic = a.ic)""")
+def missing_runs(logs, supplier):
+    """Parameter sets and fields of view without a log."""
+    fovs = supplier.select(F.concat(F.lit("Position"), (F.col("s_suppkey") + 1).cast("string")).alias("fov"))
+    tasks = g.task_grid(g.param_grid({"ic": g.param_levels(10.0, 2.5, 3)}, supplier.sparkSession), fovs)
     return g.missing_tasks(tasks, _done(logs), ["fov", "ic"]).select("fov", "ic")
 
 
 def _done(logs):
-    cust = F.regexp_extract("submit", r"S(\d)", 1)
-    return logs.filter("task_id % 3 = 0").select(F.concat(F.lit("Position"), (F.col("task_id") % 40 + 1).cast("string")).alias("fov"), (10.0 + (cust.cast("int") % 2) * 2.5).alias("ic")).distinct()
+    """Parameter and field of view of every log; the submission's number tells the parameter."""
+    level = F.regexp_extract("submit", r"S(\d)", 1).cast("int") % 2
+    return logs.select(F.concat(F.lit("Position"), (F.col("task_id") % 40 + 1).cast("string")).alias("fov"), (10.0 + level * 2.5).alias("ic")).distinct()
 
 
 @query("codebook", sql="SELECT gene, sequence FROM codebook")
@@ -111,18 +122,113 @@ def spot_files(spots):
     return readers.read_spots(spots.sparkSession, folder).select("fov", "x", "y", "z", "intensity", "addition", "channel")
 
 
-@query("colour_sums", sql="SELECT fov, spot_id, max(c1) FILTER (round_no = 1) AS r1c1, max(c3) FILTER (round_no = 2) AS r2c3, max(greatest(c1, c2, c3)) FILTER (round_no = 5) AS r5 FROM colour_sums GROUP BY fov, spot_id")
-def wide_intensities(c):
-    """S13."""
-    long = c.select("fov", "spot_id", "round_no", F.array("c1", "c2", "c3").alias("sums"), F.greatest("c1", "c2", "c3").alias("sum_max"), F.lit(0).alias("center_max"))
-    w = writers.wide_intensity(long, 5)
-    return w.select("fov", "spot_id", F.col("round001_NeighborSum_ch1").alias("r1c1"), F.col("round002_NeighborSum_ch3").alias("r2c3"), F.col("round005_NeighborSum_chMax").alias("r5"))
+_WIDE = ", ".join(
+    f"0 AS round{r:03d}_centerMax, " + ", ".join(f"max(c{c}) FILTER (round_no = {r}) AS round{r:03d}_NeighborSum_ch{c}" for c in (1, 2, 3)) + f", max(greatest(c1, c2, c3)) FILTER (round_no = {r}) AS round{r:03d}_NeighborSum_chMax"
+    for r in range(1, 6)
+)
+
 
+def _long(c):
+    return c.select("fov", "spot_id", "round_no", F.array("c1", "c2", "c3").alias("sums"), F.greatest("c1", "c2", "c3").alias("sum_max"), F.lit(0).alias("center_max"))
 
-@query("nation", sql="SELECT n_nationkey AS id, p::INT AS position FROM nation, range(0, 60) t(p) WHERE p BETWEEN n_nationkey AND n_nationkey + 3 OR p = n_nationkey * 2 OR p BETWEEN 5 AND 7")
-def expanded_positions(nation):
+
+@query("colour_sums", sql=f"SELECT fov, spot_id, {_WIDE} FROM colour_sums GROUP BY fov, spot_id")
+def wide_intensities(c):
+    """All five columns of all five rounds."""
+    return writers.wide_intensity(_long(c), 5)
+
+
+_SCORES = ", ".join(f"round(max(CASE WHEN isinf(score) THEN -1 ELSE score END) FILTER (round_no = {r}), 6) AS round{r:03d}" for r in range(1, 6))
+
+
+@query("colour_sums", "codebook", "spots", sql=f"""WITH {dq._READS}, {dq._BOOK}, good AS (SELECT s.fov, count(*) AS n_good, sum(s.x)::BIGINT AS sum_x, min(gene) AS first_gene FROM called JOIN book ON colorseq = barcode JOIN spots s ON s.spot_id = called.spot_id AND s.fov = called.fov GROUP BY s.fov),
+  scores AS (SELECT fov, spot_id, {_SCORES} FROM calls GROUP BY fov, spot_id), wide AS (SELECT fov, spot_id, max(c3) FILTER (round_no = 5) AS last_sum FROM colour_sums GROUP BY fov, spot_id)
+  SELECT c.fov, c.spot_id, c.colorseq, s.* EXCLUDE (fov, spot_id), last_sum, n_good, sum_x, first_gene FROM called c JOIN scores s USING (fov, spot_id) JOIN wide USING (fov, spot_id) JOIN good USING (fov)""")
+def decoding_files(c, b, s):
+    """Good points, scores, reads and intensities written by fov and read again."""
+    spark, folder = c.sparkSession, shared_folder(c.sparkSession, "decoding")
+    sums = _long(c)
+    reads = d.read_calls(d.call_colours(sums.select("fov", "spot_id", "round_no", "sums")))
+    points = d.good_points(d.match_codebook(reads, d.build_codebook(b)), s)
+    writers.write_decoding(points, reads, reads, sums, folder, 5)
+    back = lambda name: spark.read.parquet(f"{folder}/{name}")
+    good = back("goodPoints").groupBy("fov").agg(F.count(F.lit(1)).alias("n_good"), F.sum("x").alias("sum_x"), F.min("gene").alias("first_gene"))
+    finite = [F.round(F.when(F.col(f"round{r:03d}") == float("inf"), -1.0).otherwise(F.col(f"round{r:03d}")), 6).alias(f"round{r:03d}") for r in range(1, 6)]
+    scores = back("scores").select("fov", "spot_id", *finite)
+    last = back("intensity").select("fov", "spot_id", F.col("round005_NeighborSum_ch3").alias("last_sum"))
+    return back("reads").join(scores, ["fov", "spot_id"]).join(last, ["fov", "spot_id"]).join(good, "fov")
+
+
+@query("reads", sql=f"SELECT raw AS cell_barcode, {sq._GENE} AS gene, count(*) AS total, count(*) FILTER (suffix(gene_name, '_rbRNA')) AS rb, count(*) FILTER (suffix(gene_name, '_ntRNA')) AS nt FROM reads WHERE raw <> 0 GROUP BY 1, 2")
+def count_file(reads):
+    """The count matrix written and read again."""
+    folder = shared_folder(reads.sparkSession, "counts")
+    writers.write_counts(cells.count_matrix(reads.withColumnRenamed("raw", "cell_barcode")), folder)
+    return reads.sparkSession.read.parquet(folder)
+
+
+_METHODS = {"clustermap": ("spot_location_1", "spot_location_2", "spot_location_3", "clustermap"), "comseg": ("x", "y", "z", "cell"), "baysor": ("x", "y", "z", "cell")}
+
+
+@query("reads", "cells", sql="SELECT m.method, r.tile::VARCHAR AS fov, r.x AS \"column\", r.y AS \"row\", r.z, r.raw AS raw_cell_barcode, k.n_cells FROM reads r JOIN (SELECT tile, count(*) AS n_cells FROM cells GROUP BY tile) k USING (tile), (VALUES ('clustermap'), ('comseg'), ('baysor')) m(method) WHERE r.tile % 3 <> 0")
+def fov_tables(reads, centres):
+    """Tables of each field of view in each segmenter's own names, read where both files are there, under the common names."""
+    spark, out = reads.sparkSession, None
+    for method, names in _METHODS.items():
+        folder = shared_folder(spark, method)
+        at = lambda df: df.withColumn("at", F.concat(F.lit("Position"), F.col("tile").cast("string")))
+        # every third field of view has no reads, and reads come for tiles without cells
+        mine = at(reads.filter("tile % 3 <> 0")).select("at", *[F.col(c).alias(n) for c, n in zip(("x", "y", "z", "raw"), names)])
+        mine.write.partitionBy("at").option("header", True).csv(f"{folder}/reads")
+        at(centres).select("at", "raw", "x", "y").write.partitionBy("at").option("header", True).csv(f"{folder}/cells")
+        r, c = readers.read_fov_tables(spark, f"{folder}/reads/*Position*", f"{folder}/cells/*Position*", ", ".join(f"{n} int" for n in names), "raw int, x int, y int")
+        n = c.groupBy("fov").agg(F.count(F.lit(1)).alias("n_cells"))
+        part = readers.normalise_columns(r, method).join(n, "fov").select(F.lit(method).alias("method"), "fov", "column", "row", "z", "raw_cell_barcode", "n_cells")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("voxels", sql="SELECT fov::VARCHAR AS fov, round_no, channel, z, y, x, value FROM voxels WHERE value % 5 <> 0")
+def voxel_file(vox):
+    """A voxel table written with zeros and read without."""
+    folder = shared_folder(vox.sparkSession, "voxels")
+    vox.select(F.col("fov").cast("string").alias("fov"), "round_no", "channel", "z", "y", "x", F.when(F.col("value") % 5 == 0, 0).otherwise(F.col("value")).alias("value")).write.parquet(folder)
+    return readers.read_voxels(vox.sparkSession, folder)
+
+
+@query("labels", sql="SELECT fov::VARCHAR AS fov, z, y, x, label FROM labels")
+def label_file(labels):
+    """A label table written, with a column that is not its own, and read again."""
+    folder = shared_folder(labels.sparkSession, "labels")
+    labels.select(F.col("fov").cast("string").alias("fov"), "z", "y", "x", "label", F.lit("other").alias("note")).write.parquet(folder)
+    return readers.read_labels(labels.sparkSession, folder)
+
+
+@query("supplier", sql="SELECT 'P' || s_suppkey AS name, round(s_suppkey * 11.5::DOUBLE, 6) AS phys_x, round(s_suppkey * -3.25::DOUBLE, 6) AS phys_y FROM supplier")
+def stage_file(supplier):
+    """Positions in metres under either attribute's name, read in micrometres."""
+    folder = shared_folder(supplier.sparkSession, "stage")
+    x, y = F.col("s_suppkey") * 11.5 / 1e6, F.col("s_suppkey") * -3.25 / 1e6
+    name, old = F.concat(F.lit("P"), F.col("s_suppkey").cast("string")), F.col("s_suppkey") % 2 == 0
+    rows = supplier.select(F.when(old, name).alias("_PositionName"), F.when(~old, name).alias("_PositionIdentifier"), F.when(old, x).alias("_XPos"), F.when(old, y).alias("_YPos"), F.when(~old, x).alias("_PosX"), F.when(~old, y).alias("_PosY"))
+    rows.write.format("xml").option("rootTag", "Stage").option("rowTag", "XYZStagePointDefinition").save(folder)
+    return readers.read_stage_positions(supplier.sparkSession, folder).select("name", F.round("phys_x", 6).alias("phys_x"), F.round("phys_y", 6).alias("phys_y"))
+
+
+@query("supplier", sql="SELECT 'run' || s_suppkey AS tag, s_suppkey + 0.5::DOUBLE AS ic, s_suppkey::INT AS id, 0.25::DOUBLE AS ipf, (s_suppkey % 7)::INT AS icr_xy, (s_suppkey % 3)::INT AS icr_z FROM supplier WHERE s_suppkey % 5 > 1")
+def param_file(supplier):
+    """Parameter lines among comments and short lines."""
+    folder = shared_folder(supplier.sparkSession, "params")
+    k = F.col("s_suppkey")
+    full = F.concat_ws("\t", F.concat(F.lit("run"), k.cast("string")), (k + 0.5).cast("string"), k.cast("string"), F.lit("0.25"), (k % 7).cast("string"), (k % 3).cast("string"))
+    supplier.select(F.when(k % 5 == 0, F.concat(F.lit("# "), full)).when(k % 5 == 1, F.lit("short\t1")).otherwise(full).alias("value")).write.text(folder)
+    return readers.read_params(supplier.sparkSession, folder)
+
+
+@query("supplier", sql="SELECT s_suppkey AS id, p::INT AS position FROM supplier, range(0, 2100) t(p) WHERE p BETWEEN s_suppkey AND s_suppkey + 3 OR p = s_suppkey * 2 OR p BETWEEN 5 AND 7")
+def expanded_positions(supplier):
     """S12."""
-    spec = nation.select(F.col("n_nationkey").alias("id"), F.format_string("Position%d-%d, %d,7-5", F.col("n_nationkey") + 3, F.col("n_nationkey"), F.col("n_nationkey") * 2).alias("spec"))
+    spec = supplier.select(F.col("s_suppkey").alias("id"), F.format_string("Position%d-%d, %d,7-5", F.col("s_suppkey") + 3, F.col("s_suppkey"), F.col("s_suppkey") * 2).alias("spec"))
     return readers.expand_positions(spec, "spec", "id").select("id", "position")
 
 

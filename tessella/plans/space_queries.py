@@ -71,17 +71,20 @@ def count_matrix(tiles, cells, reads):
     return c.count_matrix(_assigned(tiles, cells, reads))
 
 
-@query("reads", sql=f"SELECT raw AS cell_barcode, coalesce(sum(1) FILTER ({_GENE} = 'gene1'), 0)::BIGINT AS gene1, coalesce(sum(1) FILTER ({_GENE} = 'gene2'), 0)::BIGINT AS gene2, coalesce(sum(1) FILTER ({_GENE} = 'gene3'), 0)::BIGINT AS gene3 FROM reads WHERE raw <> 0 GROUP BY raw")
+_GENES = [f"gene{k}" for k in range(50)]
+
+
+@query("reads", sql="SELECT raw AS cell_barcode, " + ", ".join(f"coalesce(sum(1) FILTER ({_GENE} = '{n}'), 0)::BIGINT AS {n}" for n in _GENES) + " FROM reads WHERE raw <> 0 GROUP BY raw")
 def wide_counts(reads):
     """S14."""
-    return c.wide_counts(c.count_matrix(reads.withColumnRenamed("raw", "cell_barcode")), ["gene1", "gene2", "gene3"])
+    return c.wide_counts(c.count_matrix(reads.withColumnRenamed("raw", "cell_barcode")), _GENES)
 
 
-@query("reads", sql=f"SELECT gene, coalesce(max(n) FILTER (raw = 0), 0) AS \"0\", coalesce(max(n) FILTER (raw = 1), 0) AS \"1\" FROM (SELECT {_GENE} AS gene, raw, count(*) AS n FROM reads GROUP BY 1, 2) GROUP BY gene")
+@query("reads", sql="SELECT gene, " + ", ".join(f"coalesce(max(n) FILTER (raw = {k}), 0) AS \"{k}\"" for k in range(-1, 16)) + f" FROM (SELECT {_GENE} AS gene, raw, count(*) AS n FROM reads GROUP BY 1, 2) GROUP BY gene")
 def gene_by_cell(reads):
-    """C3."""
+    """All genes and all cells of a field of view."""
     r = reads.select(clean_gene(F.col("gene_name")).alias("gene"), F.col("raw").alias("cell_barcode"))
-    return c.gene_by_cell(r, r.select("gene"), [0, 1])
+    return c.gene_by_cell(r, r.select("gene"), list(range(-1, 16)))
 
 
 @query("cells", "reads", sql=f"WITH {_COMPAT}, ids AS (SELECT DISTINCT c.tile, c.raw, (c.raw + o)::BIGINT AS cell_barcode FROM cells c JOIN offsets USING (tile)) SELECT DISTINCT r.read_id, r.tile, r.raw, CASE WHEN r.raw < 0 THEN 0 ELSE cell_barcode END AS cell_barcode FROM reads r LEFT JOIN ids USING (tile, raw) WHERE is_noise = 0 AND (r.raw < 0 OR cell_barcode IS NOT NULL)")
@@ -96,13 +99,13 @@ def final_reads(reads):
     return t.finalize_reads(reads.select("tile", "gene_name", (F.col("x") / 3).alias("x"), (F.col("y") / 7).alias("y")), ("x", "y"))
 
 
-@query("reads", "cells", sql="SELECT r.x, r.y, r.z, arg_min(c.raw, (power(r.x - c.x, 2) + power(r.y - c.y, 2) + power(r.z - c.z, 2)) * 100000 + c.raw) AS cell_barcode FROM reads r JOIN cells c ON r.tile = 1 AND c.tile = 1 AND r.raw % 5 = c.raw % 5 AND r.raw >= 0 GROUP BY 1, 2, 3")
+@query("reads", "cells", sql="""WITH p AS (SELECT DISTINCT x, y, z, tile, raw + k AS raw FROM reads, range(-1, 2) t(k) WHERE raw >= 0), d AS (SELECT p.x, p.y, p.z, c.tile * 1000 + c.raw AS cell_barcode, power(p.x - c.x, 2) + power(p.y - c.y, 2) + power(p.z - c.z, 2) AS far FROM p JOIN cells c USING (tile, raw))
+  SELECT x, y, z, arg_min(cell_barcode, (far, cell_barcode)) AS cell_barcode FROM d GROUP BY x, y, z""")
 def nearest_cells(reads, cells):
-    """T26."""
-    r = reads.filter("tile = 1 and raw >= 0").select("x", "y", "z", (F.col("raw") % 5).alias("k"))
-    centres = cells.filter("tile = 1").select(F.col("raw").alias("cell_barcode"), "x", "y", "z")
-    pairs = r.join(centres.select("cell_barcode", (F.col("cell_barcode") % 5).alias("k")), "k").drop("k")
-    return t.resolve_multi_assign(pairs, centres)
+    """Reads that windows have assigned to a cell, to the one before and to the one behind."""
+    name = lambda raw: F.col("tile") * 1000 + raw
+    assigned = reads.filter("raw >= 0").select("x", "y", "z", F.explode(F.array(*[name(F.col("raw") + k) for k in (-1, 0, 1)])).alias("cell_barcode")).distinct()
+    return t.resolve_multi_assign(assigned.filter("cell_barcode % 1000 < 900"), cells.select(name(F.col("raw")).alias("cell_barcode"), "x", "y", "z"))
 
 
 _TWINS = "a AS (SELECT raw + tile * 100000 AS id, * FROM cells WHERE tile % 2 = 0), b AS (SELECT raw + tile * 100000 AS id, * FROM cells WHERE tile % 2 = 1), p AS (SELECT a.id AS o, b.id AS n, abs(a.x - 500) > abs(b.x - 500) AS far FROM a JOIN b ON a.x BETWEEN 0 AND 1000 AND b.x BETWEEN 0 AND 1000 AND power(a.x - b.x, 2) + power(a.y - b.y, 2) < power(204.8 / 4, 2))"
@@ -182,17 +185,17 @@ def aligned_tiles(tiles):
     return t.drop_misaligned(tiles.withColumn("x", F.when(F.col("tile") % 7 == 0, F.col("x") + 5000).otherwise(F.col("x"))), SIZE)
 
 
-@query("nation", sql="SELECT n_nationkey, 'Position' || (n_nationkey * 7 % 25) AS name FROM nation WHERE n_nationkey * 7 % 25 NOT BETWEEN 5 AND 9")
-def kept_positions(nation):
+@query("supplier", sql="SELECT s_suppkey, 'Position' || (s_suppkey * 7 % 1009) AS name FROM supplier WHERE s_suppkey * 7 % 1009 NOT BETWEEN 5 AND 90")
+def kept_positions(supplier):
     """T10."""
-    return t.drop_position_range(nation.select("n_nationkey", F.concat(F.lit("Position"), (F.col("n_nationkey") * 7 % 25).cast("string")).alias("name")), 5, 9)
+    return t.drop_position_range(supplier.select("s_suppkey", F.concat(F.lit("Position"), (F.col("s_suppkey") * 7 % 1009).cast("string")).alias("name")), 5, 90)
 
 
-@query("nation", sql="""WITH f AS (SELECT 'Position' || (n_nationkey * 7 % 25) AS name, row_number() OVER (ORDER BY n_nationkey * 7 % 25) AS rank FROM nation), p AS (SELECT n_nationkey AS pos_no, row_number() OVER (ORDER BY n_nationkey) - 3 AS rank FROM nation) SELECT name, pos_no, rank::INT AS rank FROM f JOIN p USING (rank)""")
-def paired_files(nation):
+@query("supplier", sql="""WITH f AS (SELECT 'Position' || (s_suppkey * 7 % 1009) AS name, row_number() OVER (ORDER BY s_suppkey * 7 % 1009) AS rank FROM supplier), p AS (SELECT s_suppkey AS pos_no, row_number() OVER (ORDER BY s_suppkey) - 3 AS rank FROM supplier) SELECT name, pos_no, rank::INT AS rank FROM f JOIN p USING (rank)""")
+def paired_files(supplier):
     """T9, L5."""
-    files = nation.select(F.concat(F.lit("Position"), (F.col("n_nationkey") * 7 % 25).cast("string")).alias("name"))
-    return t.pair_by_rank(files, nation.select(F.col("n_nationkey").alias("pos_no")), 3).select("name", "pos_no", "rank")
+    files = supplier.select(F.concat(F.lit("Position"), (F.col("s_suppkey") * 7 % 1009).cast("string")).alias("name"))
+    return t.pair_by_rank(files, supplier.select(F.col("s_suppkey").alias("pos_no")), 3).select("name", "pos_no", "rank")
 
 
 @query("tiles", sql="SELECT tile, round((x * 0.65 - min(x * 0.65) OVER ()) / 0.65, 6) AS pos_x_px, round((max(y * 0.65) OVER () - y * 0.65) / 0.65, 6) AS pos_y_px FROM tiles")
@@ -202,14 +205,29 @@ def stage_pixels(tiles):
     return t.stage_to_pixels(stage, 0.65, invert=True).select("tile", F.round("pos_x_px", 6).alias("pos_x_px"), F.round("pos_y_px", 6).alias("pos_y_px"))
 
 
-@query("tiles", sql="""WITH g AS (SELECT row_index AS "row", column_index AS col, tile, (4 - row_index) * 5 + CASE WHEN row_index % 2 = 1 THEN 4 - column_index ELSE column_index END + 1 AS p FROM tiles) SELECT tile, "row", col, p::INT AS position, round(col * 2048 * 0.9::DOUBLE, 6) AS x, round("row" * 2048 * 0.9::DOUBLE, 6) AS y FROM g""")
-def scanned_tiles(tiles):
-    """T6, T7."""
-    g = t.grid_to_pixels(t.scan_grid(tiles.sparkSession, 5, 5, 1, "S", "R", "U"), SIZE, SIZE, "10%")
+_SCAN = """WITH n AS (SELECT max(column_index) + 1 AS c FROM tiles), g AS (SELECT row_index AS "row", column_index AS col, tile, {p} + 1 AS p FROM tiles, n)
+  SELECT tile, "row", col, p::INT AS position, round(col * 2048 * 0.9::DOUBLE, 6) AS x, round("row" * 2048 * 0.9::DOUBLE, 6) AS y FROM g"""
+
+
+def _scanned(tiles, scan: str, primary: str, secondary: str):
+    columns = tiles.agg(F.max("column_index")).first()[0] + 1
+    g = t.grid_to_pixels(t.scan_grid(tiles.sparkSession, 5, columns, 1, scan, primary, secondary), SIZE, SIZE, "10%")
     at = tiles.select("tile", F.col("row_index").alias("row"), F.col("column_index").alias("col"))
     return at.join(g, ["row", "col"]).select("tile", "row", "col", "position", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
+@query("tiles", sql=_SCAN.format(p="(4 - row_index) * c + CASE WHEN row_index % 2 = 1 THEN c - 1 - column_index ELSE column_index END"))
+def scanned_tiles(tiles):
+    """A snake by rows, from below."""
+    return _scanned(tiles, "S", "R", "U")
+
+
+@query("tiles", sql=_SCAN.format(p="column_index * 5 + row_index"))
+def raster_tiles(tiles):
+    """A raster by columns."""
+    return _scanned(tiles, "R", "D", "R")
+
+
 @query("spots", sql="""WITH b AS (SELECT a.i * 90 + 1 AS x0, least(512, a.i * 90 + 100) AS x1, b.i * 90 + 1 AS y0, least(512, b.i * 90 + 100) AS y1 FROM range(6) a(i), range(6) b(i)) SELECT x0, y0, count(*) AS n FROM spots JOIN b ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 WHERE x1 - x0 + 1 >= 70 AND y1 - y0 + 1 >= 70 GROUP BY x0, y0""")
 def block_counts(spots):
     """Points of overlapping blocks, met through the block before and the block of each point."""
@@ -265,20 +283,28 @@ def gene_numbers(reads):
     return c.gene_ids(reads.select("read_id", clean_gene(F.col("gene_name")).alias("gene")))
 
 
-@query("reads", sql="SELECT read_id, floor((x - 1024) * cos(-0.3490658503988659) + (y - 1024) * sin(-0.3490658503988659) + 1024 + 0.5)::INT AS x, floor(-(x - 1024) * sin(-0.3490658503988659) + (y - 1024) * cos(-0.3490658503988659) + 1024 + 0.5)::INT AS y FROM reads WHERE z <= 5")
+def _turned(sign: str, rule: str) -> str:
+    a = f"{sign}0.3490658503988659"
+    return f"{rule.format('(x - 1024) * cos(' + a + ') + (y - 1024) * sin(' + a + ') + 1024 + 0.5')}::INT AS x, {rule.format('-(x - 1024) * sin(' + a + ') + (y - 1024) * cos(' + a + ') + 1024 + 0.5')}::INT AS y"
+
+
+@query("reads", sql=" UNION ALL ".join(f"SELECT '{name}' AS variant, read_id, {_turned(sign, rule)} FROM reads WHERE z <= 5" for name, sign, rule in (("clockwise", "-", "floor({})"), ("counter", "", "floor({})"), ("counter_trunc", "", "trunc({})"))))
 def rotated_reads(reads):
-    """C9, C10."""
-    r = c.rotate_points(reads.filter("z <= 5"), 20, SIZE, SIZE, "clockwise")
-    return c.prepare_spots(r, 5).select("read_id", F.col("spot_location_1").alias("x"), F.col("spot_location_2").alias("y"))
+    """All three rules."""
+    out = None
+    for variant in ("clockwise", "counter", "counter_trunc"):
+        part = c.prepare_spots(c.rotate_points(reads.filter("z <= 5"), 20, SIZE, SIZE, variant), 5).select(F.lit(variant).alias("variant"), "read_id", F.col("spot_location_1").alias("x"), F.col("spot_location_2").alias("y"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-@query("reads", sql=f"""WITH raw0 AS (SELECT read_id, gene_name, {_GENE} AS gene, x, y, z FROM reads), p AS (SELECT read_id AS id, gene, x + 2 AS x, y, z FROM raw0 WHERE read_id % 3 = 0),
+@query("reads", sql=f"""WITH raw0 AS (SELECT read_id, gene_name, {_GENE} AS gene, x, y, z FROM reads), p AS (SELECT read_id AS id, gene, x + 2 AS x, y, z FROM raw0),
   m AS (SELECT p.id, arg_min(r.gene_name, (power(p.x - r.x, 2) + power(p.y - r.y, 2), r.read_id)) AS full_name FROM p JOIN raw0 r ON r.gene = p.gene AND r.z = p.z AND power(p.x - r.x, 2) + power(p.y - r.y, 2) < 25 GROUP BY p.id)
   SELECT p.id, coalesce(full_name, p.gene) AS gene_name, full_name IS NOT NULL AS matched FROM p LEFT JOIN m USING (id)""")
 def restored_suffixes(reads):
     """C11."""
     raw = reads.select("gene_name", "x", "y", "z", F.col("read_id").alias("raw_order"))
-    done = reads.filter("read_id % 3 = 0").select(F.col("read_id").alias("id"), clean_gene(F.col("gene_name")).alias("gene"), (F.col("x") + 2).alias("x"), "y", "z")
+    done = reads.select(F.col("read_id").alias("id"), clean_gene(F.col("gene_name")).alias("gene"), (F.col("x") + 2).alias("x"), "y", "z")
     return c.restore_suffix(done, raw, 5).select("id", "gene_name", "matched")
 
 
@@ -319,11 +345,27 @@ def hulls(reads):
     return c.cell_hulls(reads.withColumn("cell_barcode", F.col("tile") * 1000 + F.col("raw") + 1))
 
 
-@query("reads", sql="WITH k AS (SELECT raw AS cell, min(read_id) AS first FROM reads GROUP BY raw), n AS (SELECT cell, row_number() OVER (ORDER BY first, cell) - 1 AS cell_no FROM k) SELECT read_id, cell_no::INT AS cell_no, is_noise < 0 AS is_noise, round(x / 0.65, 6) AS x FROM reads JOIN n ON raw = cell")
+_EXTERNAL = "WITH k AS (SELECT raw + tile * 1000 AS cell, min(read_id) AS first FROM reads GROUP BY 1), n AS (SELECT cell, row_number() OVER (ORDER BY first, cell) - 1 AS cell_no FROM k), r AS (SELECT read_id, cell_no::INT AS cell_no, is_noise < 0 AS is_noise, round(x / 0.65, 6) AS x FROM reads JOIN n ON raw + tile * 1000 = cell)"
+
+
+def _external(reads):
+    return reads.select("read_id", (F.col("raw") + F.col("tile") * 1000).cast("string").alias("cell"), F.when(F.col("is_noise") < 0, "True").otherwise("false").alias("is_noise"), "x", "y")
+
+
+def _shown(cells):
+    return cells.select("read_id", F.col("cell_no").cast("int").alias("cell_no"), "is_noise", F.round("x", 6).alias("x"))
+
+
+@query("reads", sql=f"{_EXTERNAL} SELECT * FROM r")
 def external_table(reads):
     """C22."""
-    r = reads.select("read_id", F.col("raw").cast("string").alias("cell"), F.when(F.col("is_noise") < 0, "True").otherwise("false").alias("is_noise"), "x", "y")
-    return c.external_cells(r, 0.65, "read_id", thin_from=10**12).select("read_id", "cell_no", "is_noise", F.round("x", 6).alias("x"))
+    return _shown(c.external_cells(_external(reads), 0.65, "read_id"))
+
+
+@query("reads", sql=f"{_EXTERNAL} SELECT * EXCLUDE k FROM (SELECT *, row_number() OVER (ORDER BY read_id) AS k FROM r) WHERE k % 5 = 1")
+def thinned_table(reads):
+    """Every fifth row, as it is shown."""
+    return _shown(c.external_cells(_external(reads), 0.65, "read_id", every=5))
 
 
 @query("reads", sql="SELECT read_id, is_noise + 1 - 1 AS is_noise FROM reads")

@@ -8,45 +8,48 @@ from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
-_ID = "(l_orderkey * 8 + l_linenumber) * 4294967296 + l_partkey * 4096 + l_suppkey"
+#: A number of its own for every row; a field of view is a range of orders, so their number grows with the input.
+_ID = "(l_orderkey * 8 + l_linenumber) * 1099511627776 + l_partkey * 16777216 + cast(round(l_extendedprice * 100) as bigint)"
+_FOV = "cast(floor(l_orderkey / 2500) as int) + 1"
+_K = "(p_partkey % 61 * 12)"
 
 VIEWS = {
     "spots": f"""
-        SELECT {_ID} AS spot_id, cast(l_suppkey % 6 + 1 as int) AS fov, cast(l_orderkey % 512 + 1 as int) AS x, cast(l_partkey % 512 + 1 as int) AS y,
+        SELECT {_ID} AS spot_id, {_FOV} AS fov, cast(l_orderkey % 512 + 1 as int) AS x, cast(l_partkey % 512 + 1 as int) AS y,
           cast(l_linenumber as int) AS z, cast(l_quantity as int) AS intensity, cast(l_suppkey % 3 + 1 as int) AS channel, l_partkey AS part_no
         FROM lineitem""",
     "colour_sums": f"""
-        SELECT {_ID} AS spot_id, cast(l_suppkey % 6 + 1 as int) AS fov, cast(n as int) AS round_no,
+        SELECT {_ID} AS spot_id, {_FOV} AS fov, cast(n as int) AS round_no,
           cast((l_orderkey * 7 + l_partkey * n * 3 + l_linenumber * 11 + n) % 97 as int) AS c1,
           cast((l_orderkey * 7 + l_partkey * n * 3 + l_linenumber * 22 + n * 4) % 97 as int) AS c2,
           cast((l_orderkey * 7 + l_partkey * n * 3 + l_linenumber * 33 + n * 9) % 97 as int) AS c3
         FROM lineitem CROSS JOIN (VALUES (1), (2), (3), (4), (5)) AS r(n)""",
-    "codebook": """
+    "codebook": f"""
         SELECT p_partkey AS row_no, p_name || '_' || cast(p_partkey as varchar(20)) AS gene,
-          substr('ATG', cast(floor(p_partkey % 729 / 243) as int) % 3 + 1, 1) || substr('ATG', cast(floor(p_partkey % 729 / 81) as int) % 3 + 1, 1)
-          || substr('ATG', cast(floor(p_partkey % 729 / 27) as int) % 3 + 1, 1) || substr('ATG', cast(floor(p_partkey % 729 / 9) as int) % 3 + 1, 1)
-          || substr('ATG', cast(floor(p_partkey % 729 / 3) as int) % 3 + 1, 1) || substr('ATG', cast(p_partkey % 3 as int) + 1, 1) AS sequence
+          substr('ATG', cast(floor({_K} / 243) as int) % 3 + 1, 1) || substr('ATG', cast(floor({_K} / 81) as int) % 3 + 1, 1)
+          || substr('ATG', cast(floor({_K} / 27) as int) % 3 + 1, 1) || substr('ATG', cast(floor({_K} / 9) as int) % 3 + 1, 1)
+          || substr('ATG', cast(floor({_K} / 3) as int) % 3 + 1, 1) || substr('ATG', cast({_K} % 3 as int) + 1, 1) AS sequence
         FROM part""",
-    "voxels": """
-        SELECT cast(l_suppkey % 6 + 1 as int) AS fov, cast(l_linenumber as int) AS round_no, cast(l_suppkey % 3 + 1 as int) AS channel,
-          cast(l_partkey % 4 + 1 as int) AS z, cast(l_partkey % 32 + 1 as int) AS y, cast(l_orderkey % 32 + 1 as int) AS x,
+    "voxels": f"""
+        SELECT {_FOV} AS fov, cast(l_linenumber % 3 + 1 as int) AS round_no, cast(floor(l_suppkey / 4) as int) % 3 + 1 AS channel,
+          cast(l_suppkey % 4 + 1 as int) AS z, cast(l_partkey % 32 + 1 as int) AS y, cast(l_orderkey % 32 + 1 as int) AS x,
           cast(least(255, sum(cast(l_quantity as int))) as int) AS value
         FROM lineitem GROUP BY 1, 2, 3, 4, 5, 6""",
     "tiles": """
-        SELECT cast(n_nationkey + 1 as int) AS tile, cast(n_nationkey % 5 as int) AS column_index, cast(floor(n_nationkey / 5) as int) AS row_index,
-          cast(n_nationkey % 5 * 1843 + n_nationkey * 37 % 40 as int) AS x, cast(floor(n_nationkey / 5) * 1843 + n_nationkey * 53 % 40 as int) AS y
-        FROM nation""",
+        SELECT cast(s_suppkey + 1 as int) AS tile, cast(floor(s_suppkey / 5) as int) AS column_index, cast(s_suppkey % 5 as int) AS row_index,
+          cast(floor(s_suppkey / 5) * 1843 + s_suppkey * 37 % 40 as int) AS x, cast(s_suppkey % 5 * 1843 + s_suppkey * 53 % 40 as int) AS y
+        FROM supplier""",
     "cells": """
-        SELECT cast(c_custkey % 25 + 1 as int) AS tile, cast(floor(c_custkey / 25) as int) AS raw, cast(c_custkey * 811 % 2048 as int) AS x,
+        SELECT cast(floor(c_custkey / 15) as int) + 1 AS tile, cast(c_custkey % 15 as int) AS raw, cast(c_custkey * 811 % 2048 as int) AS x,
           cast(c_custkey * 577 % 2048 as int) AS y, cast(c_custkey % 30 as int) AS z
         FROM customer""",
     "reads": f"""
-        SELECT {_ID} AS read_id, cast(l_orderkey % 25 + 1 as int) AS tile, cast(l_orderkey * 811 % 2048 as int) AS x, cast(l_partkey * 577 % 2048 as int) AS y,
+        SELECT {_ID} AS read_id, cast(l_suppkey + 1 as int) AS tile, cast(l_orderkey * 811 % 2048 as int) AS x, cast(l_partkey * 577 % 2048 as int) AS y,
           cast(l_linenumber as int) AS z, 'gene' || cast(l_partkey % 50 as varchar(20)) || CASE l_linenumber % 3 WHEN 0 THEN '_rbRNA' WHEN 1 THEN '_ntRNA' ELSE '' END AS gene_name,
-          CASE WHEN l_linenumber % 5 = 0 THEN -1 ELSE 0 END AS is_noise, cast(l_orderkey % 41 - 1 as int) AS raw
+          CASE WHEN l_linenumber % 5 = 0 THEN -1 ELSE 0 END AS is_noise, cast(l_orderkey % 17 - 1 as int) AS raw
         FROM lineitem""",
-    "labels": """
-        SELECT cast(l_suppkey % 6 + 1 as int) AS fov, cast(l_partkey % 4 + 1 as int) AS z, cast(l_partkey % 64 + 1 as int) AS y, cast(l_orderkey % 64 + 1 as int) AS x,
+    "labels": f"""
+        SELECT {_FOV} AS fov, cast(l_suppkey % 4 + 1 as int) AS z, cast(l_partkey % 64 + 1 as int) AS y, cast(l_orderkey % 64 + 1 as int) AS x,
           cast(max(floor(l_orderkey % 64 / 8) * 8 + floor(l_partkey % 64 / 8) + 1) as int) AS label
         FROM lineitem WHERE l_linenumber <> 3 GROUP BY 1, 2, 3, 4""",
     "logs": """
@@ -57,6 +60,7 @@ VIEWS = {
           || '0.125 [' || cast(o_custkey % 61 as varchar(20)) || ' / 400] percent of reads have intensity above 2.7e2 in Reference Round (Round 1)' || chr(10)
           || 'Geting max color...' || chr(10) || cast(o_orderkey % 13 as varchar(20)) || chr(10) || 'Decoding...' || chr(10)
           || '0.75 [' || cast(o_orderkey % 53 as varchar(20)) || ' / 90] percent of reads match seqD barcode pattern' || chr(10)
+          || '0.625 [' || cast(o_orderkey % 43 as varchar(20)) || ' / 90] percent of reads match seqF barcode pattern' || chr(10)
           || '0.5 [' || cast(o_orderkey % 41 as varchar(20)) || ' / 90] percent of good reads match barcode pattern' || chr(10)
           || '0.375 [' || cast(o_custkey % 37 as varchar(20)) || ' / 90] percent of good reads are in codebook' || chr(10)
           || 'Method: max3d' || chr(10) || 'Reference round: 1' || chr(10) || 'Intensity threshold: 0.2' || chr(10)
@@ -89,6 +93,8 @@ def with_views(body: str) -> str:
     """DuckDB SQL: the body behind the views that it names."""
     used = [f"{n} AS ({VIEWS[n]})" for n in VIEWS if re.search(rf"\b{n}\b", body)]
     body = body.strip()
+    head = "WITH RECURSIVE " if body[:15].upper() == "WITH RECURSIVE " else "WITH "
+    rest = body[len(head) :] if body.upper().startswith(head) else None
     if not used:
         return body
-    return "WITH " + ",\n".join(used) + (",\n" + body[5:] if body[:5].upper() == "WITH " else "\n" + body)
+    return head + ",\n".join(used) + (",\n" + rest if rest is not None else "\n" + body)

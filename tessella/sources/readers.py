@@ -38,10 +38,10 @@ def read_spots(spark: SparkSession, path: str, kind: str = "own") -> DataFrame:
     return spark.read.csv(path, schema=SPOT_SCHEMAS[kind], header=True).withColumn("fov", _fov())
 
 
-def read_fov_tables(spark: SparkSession, root: str, reads_name: str = "reads.csv", cells_name: str = "cells.csv", reads_schema: str = "", cells_schema: str = "") -> tuple[DataFrame, DataFrame]:
-    """Reads and cell centres of every Position folder that has both files."""
-    one = lambda name, schema: spark.read.csv(f"{root}/Position*/{name}", schema=schema, header=True).withColumn("fov", _fov())
-    reads, cells = one(reads_name, reads_schema), one(cells_name, cells_schema)
+def read_fov_tables(spark: SparkSession, reads_path: str, cells_path: str, reads_schema: str, cells_schema: str) -> tuple[DataFrame, DataFrame]:
+    """Reads and cell centres of every field of view that has both, by globs over the Position folders; fov comes from the path."""
+    one = lambda path, schema: spark.read.csv(path, schema=schema, header=True).withColumn("fov", _fov())
+    reads, cells = one(reads_path, reads_schema), one(cells_path, cells_schema)
     fovs = lambda df: df.select("fov").distinct()
     return reads.join(fovs(cells), "fov", "left_semi"), cells.join(fovs(reads), "fov", "left_semi")
 

@@ -86,7 +86,8 @@ def test_components_chain_and_star(spark):
 def test_voxel_objects(spark):
     vox = table(spark, SF, "voxels").filter("round_no = 1 and channel = 1 and value >= 20")
     found = voxels.connected_components(vox, ["fov"], 26).collect()
-    for fov in range(1, 7):
+    assert found
+    for fov in {r["fov"] for r in found}:
         mine = {(r["z"], r["y"], r["x"]): r["component"] for r in found if r["fov"] == fov}
         want = find_groups(set(mine), around)
         assert len(set(mine.values())) == len(set(want.values()))
@@ -128,8 +129,10 @@ def test_shift_found_again(spark):
     ref = {(rng.randint(1, 4), rng.randint(4, 28), rng.randint(4, 28)): rng.randint(1, 200) for _ in range(150)}
     rows = [(1, 1, *p, v) for p, v in ref.items()] + [(1, 2, z, y - 2, x + 3, v) for (z, y, x), v in ref.items()]
     merged = spark.createDataFrame(rows, "fov int, round_no int, z int, y int, x int, value int")
-    shift = voxels.estimate_shift(merged, 1).collect()
+    shift = voxels.estimate_shift(merged, 1, 32, 32, 4).collect()
     assert [(r["dx"], r["dy"], r["dz"]) for r in shift] == [(-3, 2, 0)]
+    far = merged.withColumn("x", F.when(F.col("round_no") == 2, (F.col("x") + 8) % 32 + 1).otherwise(F.col("x")))
+    assert [(r["dx"], r["dy"]) for r in voxels.estimate_shift(far, 1, 32, 32, 4).collect()] == [(-12, 2)]
 
 
 def test_shift_blanks_lines(spark):
@@ -222,7 +225,7 @@ def test_sources(spark, tmp_path):
         (d / "reads.csv").write_text("id,cell\n1,2\n")
         if k == 1:
             (d / "cells.csv").write_text("cell,x\n2,3.5\n")
-    r, c = readers.read_fov_tables(spark, str(tmp_path / "out"), reads_schema="id int, cell int", cells_schema="cell int, x double")
+    r, c = readers.read_fov_tables(spark, str(tmp_path / "out/Position*/reads.csv"), str(tmp_path / "out/Position*/cells.csv"), "id int, cell int", "cell int, x double")
     assert [x["fov"] for x in r.collect()] == ["1"] and c.count() == 1
     (tmp_path / "stage.xml").write_text('<a><XYZStagePointDefinition PositionName="P1" XPos="0.001" YPos="0.002"/><XYZStagePointDefinition PositionIdentifier="P2" PosX="0.003" PosY="0.004"/></a>')
     assert sorted((x["name"], round(x["phys_x"])) for x in readers.read_stage_positions(spark, str(tmp_path / "stage.xml")).collect()) == [("P1", 1000), ("P2", 3000)]
@@ -245,7 +248,37 @@ def test_sources(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "poly")).count() == 1
 
 
+def test_blocks_meet_at_their_edges(spark):
+    """Neighbourhoods that lie across blocks, and beyond one block."""
+    line = [(1, 1, 1, z, y, x, 9) for z, y, x in [(1, 64, k) for k in range(60, 140)] + [(2, 65, 140)] + [(1, 10, 10)]]
+    vox = spark.createDataFrame(line, "fov int, round_no int, channel int, z int, y int, x int, value int")
+    sizes = sorted(r["count"] for r in voxels.connected_components(vox, ["fov"], 26).groupBy("component").count().collect())
+    assert sizes == [1, 81]
+    kernel = [((0, 0), 1.0), ((0, 2), 10.0), ((2, 0), 100.0)]
+    one = spark.createDataFrame([(1, 1, 1, 1, 65, 65, 1)], vox.schema)
+    got = {(r["y"], r["x"]): r["response"] for r in voxels.convolve(one, kernel, 200, 200, 1, "zero").collect()}
+    assert got == {(65, 65): 1.0, (65, 63): 10.0, (63, 65): 100.0}
+    corner = spark.createDataFrame([(1, 1, 1, 1, 1, 200, 1)], vox.schema)
+    got = {(r["y"], r["x"]): r["response"] for r in voxels.convolve(corner, kernel, 200, 200, 1, "replicate").collect()}
+    assert got == {(1, 200): 11.0, (1, 199): 10.0, (1, 198): 10.0}
+    near = {(r["y"], r["x"]): r["around"] for r in spots.around_max(spark.createDataFrame([(1, 1, 1, 1, 64, 64, 5), (1, 1, 1, 1, 65, 65, 7), (1, 1, 1, 1, 30, 30, 3)], vox.schema), ["fov"]).collect()}
+    assert near == {(64, 64): 7, (65, 65): 5, (30, 30): None}
+
+
+def test_numbers_over_ranges(spark):
+    rows = spark.createDataFrame([(k * 37 % 501, k) for k in range(501)], "a int, b int").repartition(7)
+    assert all(r["n"] == r["a"] for r in cells.numbered(rows, ["a"], "n").collect())
+
+
 def test_range_operators_use_equi_joins(spark):
-    s = table(spark, SF, "spots")
-    plan = spots.count_close_pairs(s, 8)._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    """No range or neighbourhood operator compares pair by pair."""
+    s, vox, reads = (table(spark, SF, n) for n in ("spots", "voxels", "reads"))
+    ids = reads.select(F.col("read_id").alias("id"), F.col("gene_name").alias("gene"), "x", "y", "z")
+    some = tiles.cells_in_box(table(spark, SF, "cells").withColumnRenamed("raw", "cell_barcode"), 0, 2000, 0, 2000)
+    plans = [
+        spots.count_close_pairs(s, 8), spots.extract_intensity(s, vox, (1, 1, 1), 3), cells.restore_suffix(ids, reads.withColumnRenamed("read_id", "raw_order"), 5), cells.window_spots(reads, 300, 0.1),
+        voxels.sample_grid_nearest(vox, s.withColumn("value", F.lit(1)), 4, 10), tiles.assign_subtiles(s, 512, 4), tiles.drop_twin_cells(some, some, 0, 1000, 512)[0], voxels.convolve(vox, voxels.log_kernel((5, 5, 3), 1.0), 32, 32, 4),
+    ]
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
