@@ -294,7 +294,7 @@ def close_pairs(spots):
 
 
 @query("spots", "voxels", sql="""WITH p AS (SELECT spot_id, fov, (x - 1) % 32 + 1 AS x, (y - 1) % 32 + 1 AS y, (z - 1) % 4 + 1 AS z FROM spots), o AS (SELECT a.i AS dz, b.i AS dy, c.i AS dx FROM range(-1, 2) a(i), range(-1, 2) b(i), range(-1, 2) c(i)),
-    m AS (SELECT p.spot_id, p.fov, v.round_no, v.channel, v.value, dz = 0 AND dy = 0 AND dx = 0 AS here FROM p, o JOIN voxels v ON v.fov = p.fov AND v.z = p.z + dz AND v.y = p.y + dy AND v.x = p.x + dx),
+    q AS MATERIALIZED (SELECT spot_id, fov, z + dz AS z, y + dy AS y, x + dx AS x, dz = 0 AND dy = 0 AND dx = 0 AS here FROM p, o), m AS (SELECT q.spot_id, q.fov, v.round_no, v.channel, v.value, here FROM q JOIN voxels v USING (fov, z, y, x)),
     s AS (SELECT spot_id, fov, round_no, sum(value) FILTER (channel = 1) AS s1, sum(value) FILTER (channel = 2) AS s2, sum(value) FILTER (channel = 3) AS s3, max(value) FILTER (here) AS center_max FROM m GROUP BY ALL),
     e AS (SELECT p.spot_id, p.fov, r.n AS round_no FROM p, range(1, 4) r(n)), f AS (SELECT e.*, coalesce(s1, 0)::BIGINT AS s1, coalesce(s2, 0)::BIGINT AS s2, coalesce(s3, 0)::BIGINT AS s3, coalesce(center_max, 0) AS center_max FROM e LEFT JOIN s USING (spot_id, fov, round_no))
   SELECT fov, spot_id, round_no::INT AS round_no, s1, s2, s3, greatest(s1, s2, s3) AS sum_max, center_max FROM f""")
