@@ -238,6 +238,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 _, offsets = ts.text_bytes(batch["text"])
                 for a, b in ts.chunks(offsets):
                     yield _with_block(batch.slice(a, b - a), block)
+            ts.give_back()
 
         out = out.mapInArrow(run, ddl)
     return out.drop("text")

@@ -106,6 +106,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                 _sums(slots, rows, index, total)
         leaf = TaskContext.get().partitionId() % LEAVES
         yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([leaf] * BLOCKS, pa.int32()), pa.array([part.tobytes() for part in np.split(total, BLOCKS)], pa.binary())], names=["block", "leaf", "sums"])
+        ts.give_back()
 
     schema = "block int, leaf int, sums binary"
     own = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, schema)
@@ -222,6 +223,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], text_col: str = "t
         vectors, network = shared.value
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch["row"], pa.array(network.score(_pooled(batch["text"], vectors).astype(np.float64)), pa.float64())], names=["row", "score"])
+        ts.give_back()
 
     return source.mapInArrow(run, schema)
 

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tessella.llm import textscan as ts
+
 ASK = pa.schema([("g", pa.int32()), ("kind", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary())])
 ASK_DDL = "g int, kind int, shard int, keys binary"
 ANSWER = pa.schema([("g", pa.int32()), ("kind", pa.int32()), ("shard", pa.int32()), ("bits", pa.binary())])
@@ -73,7 +75,12 @@ def _dealt(docs: DataFrame, g: Column, id_col: str, text_col: str, row: Column |
 
 def by_hash(docs: DataFrame, id_col: str, text_col: str, groups: int, row: Column | None = None) -> DataFrame:
     """Rows dealt evenly, whatever their ids and texts: repeated rows and rows of one id go to all groups."""
-    return _dealt(docs, F.pmod(F.xxhash64("u"), F.lit(groups)), id_col, text_col, row)
+    return _together(_dealt(docs, F.pmod(F.xxhash64("u"), F.lit(groups)), id_col, text_col, row), groups)
+
+
+def _together(dealt: DataFrame, groups: int) -> DataFrame:
+    """Each group's rows together, in as many partitions as there are groups, so that a partition's bytes don't grow with the input."""
+    return dealt.repartition(max(groups, int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "g")
 
 
 def _ordered_key() -> Column:
@@ -110,7 +117,7 @@ def by_range(docs: DataFrame, id_col: str, text_col: str, groups: int, row: Colu
     inner = F.slice(listed(bounds), (F.greatest(F.lit(1), F.col("before")) - 1) * step + 1, F.lit(step))
     g = F.when(F.col("before") == 0, 0).otherwise((F.col("before") - 1) * step + F.size(F.filter(inner, lambda b: b <= F.col("key"))))
     placed = dealt.withColumn("key", _ordered_key()).withColumn("before", before)
-    return placed.select(g.cast("int").alias("g"), *[c for c in dealt.columns if c != "g"])
+    return _together(placed.select(g.cast("int").alias("g"), *[c for c in dealt.columns if c != "g"]), groups)
 
 
 def ordered(table: pa.Table) -> pa.Table:
@@ -178,12 +185,16 @@ def ask(groups: DataFrame, replies: DataFrame | None, mapper: Callable, ddl: str
     if replies is None:
 
         def alone(table: pa.Table) -> pa.Table:
-            return mapper(table["g"][0].as_py(), ordered(table), None)
+            out = mapper(table["g"][0].as_py(), ordered(table), None)
+            ts.give_back()
+            return out
 
         return groups.groupBy("g").applyInArrow(alone, ddl)
 
     def both(table: pa.Table, right: pa.Table) -> pa.Table:
-        return mapper(table["g"][0].as_py(), ordered(table), right)
+        out = mapper(table["g"][0].as_py(), ordered(table), right)
+        ts.give_back()
+        return out
 
     return groups.groupBy("g").cogroup(replies.groupBy("g")).applyInArrow(both, ddl)
 
@@ -195,6 +206,7 @@ def answer(questions: DataFrame, shard_fn: Callable) -> DataFrame:
         table = table.sort_by("g")
         kind, n = table["kind"][0].as_py(), table.num_rows
         bits = [_written(b) for b in shard_fn(kind, table["keys"].to_pylist())]
+        ts.give_back()
         return pa.table([table["g"].combine_chunks(), pa.array([kind] * n, pa.int32()), table["shard"].combine_chunks(), pa.array(bits, pa.binary())], schema=ANSWER)
 
     return questions.groupBy("kind", "shard").applyInArrow(run, ANSWER_DDL)

@@ -51,18 +51,19 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            both = ((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch["left"].to_pylist(), batch["right"].to_pylist()))
+            both = ((np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) for x, y in zip(batch["left"].to_pylist(), batch["right"].to_pylist()))
             near = [bool(_similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))) for x, y in both]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+        ts.give_back()
 
     return pairs.join(a, "a").join(b, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
 def _common(blobs: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray]:
     """Sizes of all sets, and the numbers of shingles that each of the first ones shares with each of the others (with all if there are none)."""
-    size = np.array([len(b) // 8 for b in blobs])
+    size = np.array([len(b) // 4 for b in blobs])
     owner = np.repeat(np.arange(len(blobs)), size)
-    _, column, count = np.unique(np.frombuffer(b"".join(blobs), np.uint64), return_inverse=True, return_counts=True)
+    _, column, count = np.unique(np.frombuffer(b"".join(blobs), np.uint32), return_inverse=True, return_counts=True)
     shared = count > 1
     rank = np.cumsum(shared) - 1
     held = shared[column]
@@ -115,13 +116,15 @@ def _compare(table: pa.Table) -> pa.Table:
         a.append(node[low + x])
         b.append(node[low + y])
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+    ts.give_back()
     return pa.table([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
 
 def links(written: DataFrame, ties: DataFrame) -> DataFrame:
     """Edges (a, b) which, together with `ties`, have the components of all similar pairs that share a band, and of the ties.
 
-    written: (node, shingles, bands), any number of rows a node, all alike. shingles: the set's sorted 64-bit hashes.
+    written: (node, shingles, bands), any number of rows a node, all alike. shingles: the set's sorted hashes of 32 bits (in a set of m shingles two
+    agree by chance with probability m² / 2**33, which moves a similarity by 1 / m).
     First each node of a band group is compared with the group's head, the one that shares most groups with others. Then
     components are labelled, and in each group all pairs of other nodes with different labels are compared in blocks. No rows are formed for pairs:
     a group of n nodes sends n rows for each of its n / BLOCK_NODES blocks. Only pairs that are in one component already are left out.

@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3, keep
     Words are runs of bytes other than ASCII white space, A-Z lower-cased; shingles are `shingle` words joined by one space,
     repeats included, hashed by XXH64 with seed 42. A text of fewer words is one shingle; without words, null
     included, the fingerprint is zero. A bit is set if more than half of the hashes have it.
-    With `minima`, also node (a hash of the text's set of shingles), shingles (the set's sorted hashes) and the band keys of
+    With `minima`, also node (a hash of the text's set of shingles), shingles (the set's sorted hashes of 32 bits) and the band keys of
     shingle_links, the last two null for a text without words.
     """
     kept = docs.columns if keep is None else keep
@@ -76,6 +76,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3, keep
             _, offsets = ts.text_bytes(batch["text"])
             for a, b in ts.chunks(offsets):
                 yield one(batch.slice(a, b - a))
+        ts.give_back()
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         prints = np.zeros(len(batch), np.uint64)
@@ -84,8 +85,9 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3, keep
             prints[rows] = _simhash(hashes, starts)
             if minima:
                 for i, own, keys in zip(rows.tolist(), np.split(hashes, starts[1:]), shingle_links.minima(hashes, starts)):
-                    sets[i], bands[i] = np.unique(own).tobytes(), keys
-                    nodes[i] = xxhash.xxh64_intdigest(sets[i], SEED)
+                    distinct = np.unique(own)
+                    nodes[i] = xxhash.xxh64_intdigest(distinct.tobytes(), SEED)
+                    sets[i], bands[i] = np.unique((distinct >> np.uint64(32)).astype(np.uint32)).tobytes(), keys
         arrays = [batch["row"], batch["mark"], pa.array(prints.view(np.int64))]
         if minima:
             arrays += [pa.array(nodes.view(np.int64)), pa.array(sets, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
@@ -157,29 +159,32 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
 
     Documents are linked if their fingerprints differ in two bits or fewer, or if their shingle sets share a band of minima and
     have a similarity of 0.8 or more (shingle_links). Each distinct set is a node, tied to the others with its fingerprint.
-    Nulls come last; among equal ids the smaller hash of the text stays, and of rows equal in both the first in the input, so one row of a component
+    Nulls come last; among equal ids the smaller hash of the text stays, and of rows equal in both any one, so one row of a component
     stays in any case. Texts without words count as copies of each other; an empty table gives no rows. All columns are returned; none of their
     names can clash, as they travel inside a struct.
     """
     spark = docs.sparkSession
-    folder = shared_folder(spark, "near")
-    # numbered once and written, so that a row keeps its number whatever is read again
-    docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("u")).write.parquet(f"{folder}/rows")
-    rows = spark.read.schema(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.lit(0).cast("long").alias("u")).schema).parquet(f"{folder}/rows")
-    plain = rows.select("u", F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").alias("text"))
-    fingerprints(plain, "text", shingle, ["u", "id"], minima=True).select("row.u", "row.id", "mark", "fingerprint", "node", "shingles", "bands").write.parquet(f"{folder}/shingles")
-    written = spark.read.parquet(f"{folder}/shingles")
-    prints = written.select("u", "id", "mark", "fingerprint", "node")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    id_ = F.col(f"`{id_col}`")
+    # an id as a key without nulls, so that rows meet it by plain equality
+    key = F.when(id_.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), id_.cast("string")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_.alias("id"), key.alias("key"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    table = shared_folder(spark, "shingles")
+    fingerprints(rows.select("id", "key", "text"), "text", shingle, ["id", "key"], minima=True).select("row.id", "row.key", "mark", "fingerprint", "node", "shingles", "bands").write.parquet(table)
+    written = spark.read.parquet(table)
+    prints = written.select("id", "key", "mark", "fingerprint", "node")
     # the least node of each fingerprint stands for it
     first = checkpointed(prints.groupBy("fingerprint").agg(F.min("node").alias("a")))
     ties = checkpointed(prints.select("fingerprint", "node").distinct()).join(first, "fingerprint").select("a", F.col("node").alias("b")).filter("a <> b")
     ends = [first.select(F.col("fingerprint").alias(x), F.col("a").alias(f"n{x}")) for x in "ab"]
     bits = links(prints).join(ends[0], "a").join(ends[1], "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
     ties = checkpointed(ties.unionByName(bits))
-    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("mark"), F.col("u"))
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key"), F.col("mark"))
     found = classes(prints, order, ties.unionByName(shingle_links.links(written.select("node", "shingles", "bands"), ties)), "node")
-    kept = found.select(F.col("least.u").alias("u")).distinct()
-    return rows.join(kept, "u", "left_semi").select("row.*")
+    kept = found.select(F.col("least.key").alias("key"), F.col("least.mark").alias("mark")).distinct()
+    # repeated rows combine before the shuffle
+    single = rows.groupBy("key", "mark").agg(F.first("row").alias("row"))
+    return single.join(kept, ["key", "mark"], "left_semi").select("row.*")
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
