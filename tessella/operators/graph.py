@@ -14,6 +14,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of ours that nothing reads any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def _checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder. One is set only where there is none and executors live on this machine, as in tests."""
     context = spark.sparkContext
