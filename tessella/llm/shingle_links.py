@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm import textscan as ts
-from tessella.operators.graph import checkpointed, components, shared_folder
+from tessella.operators.graph import checkpointed, components, drop_folder, shared_folder
 
 #: Bands of four minima: two texts of similarity 0.8 share none of them with probability 3e-5.
 BANDS, BAND = 20, 4
@@ -153,6 +153,7 @@ def links(written: DataFrame, ties: DataFrame) -> DataFrame:
     mixed = checkpointed(mixed.select("key", blocks.alias("blocks"), "bytes"))
     total = mixed.agg(F.sum("bytes")).first()[0]
     if not total:
+        drop_folder(spark, folder)
         return near
     mine = checkpointed(rest.select("key", "node", "label").join(mixed.select("key", "blocks"), "key")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     dealt = mine.select("key", "node", "label", "blocks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -161,4 +162,6 @@ def links(written: DataFrame, ties: DataFrame) -> DataFrame:
     bucket = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(max(1, total // BLOCK_BYTES)))).otherwise(F.xxhash64("key", "i", "j"))
     sent = dealt.select(bucket.alias("bucket"), "key", "i", "j", "side", "node", "label").join(sets, "node").select("bucket", "key", "i", "j", "side", "node", "label", "shingles")
     more = sent.groupBy("bucket").applyInArrow(_compare, "a long, b long")
-    return near.unionByName(checkpointed(more.distinct()))
+    more = checkpointed(more.distinct())
+    drop_folder(spark, folder)
+    return near.unionByName(more)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessella.llm import shingle_links
 from tessella.llm import textscan as ts
-from tessella.operators.graph import checkpointed, components, shared_folder
+from tessella.operators.graph import checkpointed, components, drop_folder, shared_folder
 
 SEED = 42
 #: Bits of a segment in the first grid; a segment's count is a digit of the cell's number.
@@ -181,7 +181,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     ties = checkpointed(ties.unionByName(bits))
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key"), F.col("mark"))
     found = classes(prints, order, ties.unionByName(shingle_links.links(written.select("node", "shingles", "bands"), ties)), "node")
-    kept = found.select(F.col("least.key").alias("key"), F.col("least.mark").alias("mark")).distinct()
+    kept = checkpointed(found.select(F.col("least.key").alias("key"), F.col("least.mark").alias("mark")).distinct())
+    drop_folder(spark, table)
     # repeated rows combine before the shuffle
     single = rows.groupBy("key", "mark").agg(F.first("row").alias("row"))
     return single.join(kept, ["key", "mark"], "left_semi").select("row.*")
