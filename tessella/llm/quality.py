@@ -15,9 +15,9 @@ SLOTS = 1 << 15
 DIMENSIONS = 48
 #: Entries of an index vector that aren't zero.
 ENTRIES = 4
-#: Blocks of slots that are summed apart, and sums that a block's are first gathered in.
+#: Blocks of slots that are summed apart, and how many tables of a block are added at once.
 BLOCKS = 16
-LEAVES = 64
+FAN = 32
 #: The network is fitted on a sample of at most about this many labelled rows; all else covers all documents.
 SAMPLE_ROWS = 20_000
 
@@ -84,15 +84,16 @@ def _added(table: pa.Table) -> pa.Table:
     """The sum of a group's tables. All entries are whole numbers, so their order doesn't matter."""
     total = 0.0
     for b in table["sums"].to_pylist():
-        total = total + np.frombuffer(b, np.float64)
+        # tasks send single precision, sums are double
+        total = total + np.frombuffer(b, np.float32 if len(b) == 4 * (SLOTS // BLOCKS) * DIMENSIONS else np.float64)
     return pa.table([table["block"][:1], table["leaf"][:1], pa.array([total.tobytes()], pa.binary())], names=["block", "leaf", "sums"])
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """The word vectors of the corpus: for every slot the sum of the index vectors around it, over all documents, to unit length.
 
-    Each task sums its own documents into one table of fixed size; the tables' blocks are added in Spark in two steps, each group by some
-    leaf first, so that no task reads a row from every other. The sum, SLOTS x DIMENSIONS numbers whatever the input, comes to the driver.
+    Each task sums its own documents into one table of fixed size; the tables' blocks are added in Spark in a tree, FAN of them at
+    first and FAN of the sums, so that no task reads a row from every other. The sum, SLOTS x DIMENSIONS numbers whatever the input, comes to the driver.
     """
     step = SLOTS // BLOCKS
 
@@ -104,13 +105,14 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
             for a, b in ts.chunks(offsets):
                 slots, rows = _terms(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 _sums(slots, rows, index, total)
-        leaf = TaskContext.get().partitionId() % LEAVES
-        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([leaf] * BLOCKS, pa.int32()), pa.array([part.tobytes() for part in np.split(total, BLOCKS)], pa.binary())], names=["block", "leaf", "sums"])
+        leaf = TaskContext.get().partitionId() // FAN
+        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([leaf] * BLOCKS, pa.int32()), pa.array([part.tobytes() for part in np.split(total.astype(np.float32), BLOCKS)], pa.binary())], names=["block", "leaf", "sums"])
         ts.give_back()
 
     schema = "block int, leaf int, sums binary"
     own = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, schema)
-    parts = own.groupBy("block", "leaf").applyInArrow(_added, schema).groupBy("block").applyInArrow(_added, schema).collect()
+    some = own.groupBy("block", "leaf").applyInArrow(_added, schema).withColumn("leaf", F.expr(f"leaf div {FAN}").cast("int"))
+    parts = some.groupBy("block", "leaf").applyInArrow(_added, schema).groupBy("block").applyInArrow(_added, schema).collect()
     out = np.zeros((SLOTS, DIMENSIONS), np.float64)
     for r in parts:
         out[r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(r["sums"], np.float64).reshape(step, DIMENSIONS)
