@@ -82,10 +82,10 @@ def _sums(slots: np.ndarray, rows: np.ndarray, index: tuple[np.ndarray, np.ndarr
 
 def _added(table: pa.Table) -> pa.Table:
     """The sum of a group's tables. All entries are whole numbers, so their order doesn't matter."""
-    total = 0.0
+    total = np.zeros(SLOTS // BLOCKS * DIMENSIONS)
     for b in table["sums"].to_pylist():
         # tasks send single precision, sums are double
-        total = total + np.frombuffer(b, np.float32 if len(b) == 4 * (SLOTS // BLOCKS) * DIMENSIONS else np.float64)
+        total += np.frombuffer(b, np.float32 if len(b) == 4 * (SLOTS // BLOCKS) * DIMENSIONS else np.float64)
     return pa.table([table["block"][:1], table["leaf"][:1], pa.array([total.tobytes()], pa.binary())], names=["block", "leaf", "sums"])
 
 
