@@ -1,22 +1,26 @@
-"""Document fingerprints by winnowing (operator 11), in SQL functions only: the least k-gram hash of every window, with its place."""
+"""Document fingerprints by winnowing (operator 11), in SQL functions only: the least k-gram hash of every window, with its place.
+
+A gram's hash is a Rabin fingerprint, the rolling hash over two elements, taken by Spark's CRC-32 of each gram: a fold that carries the hash from gram to gram
+can't be written with array functions in linear time.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Code points of a gram and grams of a window, powers of two: any SPAN code points that two texts share are a whole window in both, so they share its minimum.
+#: Code points of a gram and grams of a window: any SPAN code points that two texts share are a whole window in both, so they share its minimum.
 GRAM, WINDOW = 16, 32
 SPAN = GRAM + WINDOW - 1
-#: Hashes are polynomials of the code points modulo a prime.
-PRIME, BASE = 2**31 - 1, 1_000_003_333 % (2**31 - 1)
 #: Windows that are formed as one array; longer texts are cut into overlapping pieces.
 PIECE = 2048
 #: Documents are dealt to this many ranges of ids for each shuffle partition, to have neighbours side by side.
 RANGES = 4
-_SHIFT = 32
+_LOW = (1 << 32) - 1
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -24,39 +28,32 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _doubled(values: Column, length: int, join: Callable[[Column, Column, int], Column]) -> Column:
-    """Values over runs of `length` entries from values of single ones, by joining runs of 1, 2, 4, ... with the runs behind them. Runs cut by the end stand last."""
+def _hash(bytes_: Column) -> Column:
+    """31 bits of a gram's Rabin fingerprint: CRC-32 is the remainder of the gram, in UTF-32, as a polynomial over two elements."""
+    return F.shiftright(F.crc32(bytes_), 1)
+
+
+def _least(values: Column, width: int) -> Column:
+    """The least of each run of `width` entries, a power of two, from runs of 1, 2, 4, ... and those behind them; runs that the end cuts are the shorter."""
 
     def twice(m: int) -> Callable[[Column], Column]:
-        return lambda v: F.zip_with(v, F.slice(v, m + 1, F.size(v)), lambda a, b: join(a, b, m))
+        return lambda v: F.zip_with(v, F.slice(v, m + 1, F.size(v)), lambda a, b: F.least(a, b))
 
     m = 1
-    while m < length:
+    while m < width:
         values = _let(values, twice(m))
         m *= 2
     return values
 
 
-def _rolled(a: Column, b: Column, m: int) -> Column:
-    """The polynomial of a run and the m code points behind it: null, like b, where the text ends."""
-    return (a * pow(BASE, m, PRIME) + b) % PRIME
-
-
-def _code_points(text: Column) -> Column:
-    return F.transform(F.split(text, ""), lambda c: F.ascii(c).cast("long"))
-
+def _minima(b: Column, start: Column, n: Column) -> Column:
+    """The minima of up to PIECE windows from `start` in a text of n code points, at least GRAM, given in UTF-32; a text shorter than SPAN is one window.
 
-def _minima(chars: Column) -> Column:
-    """The distinct minima of a piece of at least GRAM code points as hash << 32 | place; a piece shorter than SPAN is one window.
-
-    Places are kept below the hash from the end of the piece, so that the least number is the rightmost of the least hashes.
+    A gram is hash << 32 | complement of its place, so that the least number is the rightmost of the least hashes.
     """
-    width = PIECE + SPAN
-    grams = _doubled(chars, GRAM, _rolled)
-    keyed = F.transform(grams, lambda h, i: h * width + (F.lit(width - 1) - i))
-    least = _doubled(keyed, WINDOW, lambda a, b, m: F.least(a, b))
-    windows = _let(least, lambda v: F.slice(v, 1, F.greatest(F.size(v) - (SPAN - 1), F.lit(1))))
-    return F.transform(F.array_distinct(windows), lambda v: F.shiftleft(F.floor(v / width), _SHIFT) + (F.lit(width - 1) - v % width))
+    last = F.least(n - GRAM, start + (PIECE + WINDOW - 2))
+    grams = F.transform(F.sequence(start, last), lambda i: F.shiftleft(_hash(F.substring(b, i * 4 + 1, F.lit(4 * GRAM))), 32) + (F.lit(_LOW) - i))
+    return _let(_least(grams, WINDOW), lambda v: F.slice(v, 1, F.greatest(F.size(v) - (WINDOW - 1), F.lit(1))))
 
 
 def winnow(text: Column) -> Column:
@@ -66,30 +63,29 @@ def winnow(text: Column) -> Column:
     gram, one shorter than SPAN one window. Long texts are cut into pieces that share SPAN - 1 code points, found by their offset in UTF-32, so that
     time is linear and no array is longer than a piece, but for the text itself.
     """
-    full = F.coalesce(text.cast("string"), F.lit(""))
 
     def pieces(b: Column) -> Column:
         n = (F.length(b) / 4).cast("int")
         starts = F.sequence(F.lit(0), F.greatest(n - SPAN, F.lit(0)), F.lit(PIECE))
-        piece = lambda s: F.decode(F.substring(b, s * 4 + 1, F.lit(4 * (PIECE + SPAN - 1))), "UTF-32")
-        return F.array_distinct(F.flatten(F.transform(starts, lambda s: F.transform(_minima(_code_points(piece(s))), lambda v: v + s))))
+        windows = F.array_distinct(F.flatten(F.transform(starts, lambda s: _minima(b, s, n))))
+        short = F.array(F.shiftleft(_hash(b), 32) + _LOW)
+        some = F.when(n == 0, F.array().cast("array<bigint>")).when(n < GRAM, short).otherwise(windows)
+        return F.transform(some, lambda v: v.bitwiseXOR(F.lit(_LOW)))
 
-    short = F.aggregate(_code_points(full), F.lit(0).cast("long"), lambda a, c: _rolled(a, c, 1))
-    none = F.array().cast("array<bigint>")
-    return F.when(F.length(full) == 0, none).when(F.length(full) < GRAM, F.array(F.shiftleft(short, _SHIFT))).otherwise(_let(F.encode(full, "UTF-32"), pieces))
+    return _let(F.encode(F.coalesce(text.cast("string"), F.lit("")), "UTF-32"), pieces)
 
 
 def hashes(fingerprint: Column) -> Column:
-    return F.transform(fingerprint, lambda v: F.shiftright(v, _SHIFT))
+    return F.transform(fingerprint, lambda v: F.shiftright(v, 32))
 
 
 def places(fingerprint: Column) -> Column:
-    return F.transform(fingerprint, lambda v: v % (1 << _SHIFT))
+    return F.transform(fingerprint, lambda v: v % (_LOW + 1))
 
 
 def entries(fingerprint: Column) -> Column:
     """A fingerprint as structs of hash and place."""
-    return F.transform(fingerprint, lambda v: F.struct(F.shiftright(v, _SHIFT).alias("hash"), (v % (1 << _SHIFT)).alias("place")))
+    return F.transform(fingerprint, lambda v: F.struct(F.shiftright(v, 32).alias("hash"), (v % (_LOW + 1)).alias("place")))
 
 
 def digest(fingerprint: Column) -> Column:
@@ -110,8 +106,8 @@ def _started(fingerprint: Column, windows: Column) -> Column:
 
     def first(v: Column, i: Column) -> Column:
         before = F.get(fingerprint, i - 1)
-        come = v % (1 << _SHIFT) - (WINDOW - 1)
-        return F.when(i == 0, F.lit(0).cast("long")).when(F.shiftright(v, _SHIFT) <= F.shiftright(before, _SHIFT), come).otherwise(before % (1 << _SHIFT) + 1)
+        come = v % (_LOW + 1) - (WINDOW - 1)
+        return F.when(i == 0, F.lit(0).cast("long")).when(F.shiftright(v, 32) <= F.shiftright(before, 32), come).otherwise(before % (_LOW + 1) + 1)
 
     return F.filter(fingerprint, lambda v, i: first(v, i) < windows)
 
@@ -121,12 +117,17 @@ def spliced(head: Column, head_print: Column, tail: Column, tail_print: Column,
 
     A window inside either part is a window of its text, so only those across the seam are formed anew.
     """
-    low, high = F.greatest(cut - (SPAN - 1), F.lit(0)), cut + F.least(taken, F.lit(SPAN - 1))
-    seam = F.concat(F.substring(head, low + 1, cut - low), F.substring(tail, F.lit(1), high - cut))
-    across = F.when((high - low >= SPAN) | (cut + taken < SPAN), F.transform(winnow(seam), lambda v: v + low)).otherwise(F.array().cast("array<bigint>"))
-    left = _started(head_print, cut - (SPAN - 1))
-    right = F.transform(_started(tail_print, taken - (SPAN - 1)), lambda v: v + cut)
-    return F.array_distinct(F.concat(left, across, right))
+    before, behind = F.greatest(cut - (SPAN - 1), F.lit(0)), F.least(taken, F.lit(SPAN - 1))
+    numbers = F.struct(cut.alias("cut"), taken.alias("taken"), before.alias("low"), F.concat(F.substring(head, before + 1, cut - before), F.substring(tail, F.lit(1), behind)).alias("seam"))
+
+    def joined(s: Column) -> Column:
+        whole = (F.length(s["seam"]) >= SPAN) | (s["cut"] + s["taken"] < SPAN)
+        across = F.when(whole, F.transform(winnow(s["seam"]), lambda v: v + s["low"])).otherwise(F.array().cast("array<bigint>"))
+        left = _started(head_print, s["cut"] - (SPAN - 1))
+        right = F.transform(_started(tail_print, s["taken"] - (SPAN - 1)), lambda v: v + s["cut"])
+        return F.array_distinct(F.concat(left, across, right))
+
+    return _let(numbers, joined)
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -180,16 +181,30 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Every gram by its terms, every window by a frame, edited texts like any other.
+def _terms() -> tuple[list[int], list[int]]:
+    """CRC-32 is linear but for a constant that depends on the length: what each of the 21 bits of a code point adds at each place of a gram, and the constants of
+    texts of up to GRAM code points. Places count from a gram's end, so these hold for shorter texts as well."""
+    zero = crc32(bytes(4 * GRAM))
+    adds = [crc32((1 << (bit + 32 * (GRAM - 1 - j))).to_bytes(4 * GRAM, "big")) ^ zero for j in range(GRAM) for bit in range(21)]
+    return adds, [crc32(bytes(4 * n)) for n in range(GRAM + 1)]
+
+
+_ADDS, _EMPTY = _terms()
+_XOR = reduce(lambda a, j: f"xor({a}, lead(adds[{j + 1}], {j}) OVER w)", range(1, GRAM), "adds[1]")
+
+#: Every gram by the bits of its code points, every window by a frame, edited texts like any other.
 SQL = f"""
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, coalesce(text, '')) AS r, doc_id, coalesce(text, '') AS t FROM documents),
 n AS (SELECT *, length(t) AS n, coalesce(lead(t) OVER (ORDER BY r), first_value(t) OVER (ORDER BY r)) AS follower FROM d),
 e AS (SELECT *, substr(t, 1, n - n // 2) || substr(follower, 1, n // 2) AS edited FROM n),
 texts AS (SELECT r, 0 AS side, t AS s FROM e UNION ALL SELECT r, 1, edited FROM e),
 points AS (SELECT r, side, length(s) AS n, unnest(list_transform(string_split(s, ''), lambda c: unicode(c)::BIGINT)) AS c, unnest(range(0, length(s))) AS i FROM texts WHERE s <> ''),
-long_grams AS (SELECT r, side, n, i, ({" + ".join(f"lead(c, {j}) OVER w * {pow(BASE, GRAM - 1 - j, PRIME)}" for j in range(GRAM))})::HUGEINT % {PRIME} AS h FROM points WHERE n >= {GRAM} WINDOW w AS (PARTITION BY r, side ORDER BY i)),
-short_grams AS (SELECT r, side, n, 0 AS i, list_reduce(list_prepend(0::HUGEINT, list(c::HUGEINT ORDER BY i)), lambda a, b: (a * {BASE} + b) % {PRIME}) AS h FROM points WHERE n < {GRAM} GROUP BY r, side, n),
-grams AS (SELECT r, side, n, i, h::BIGINT * 4294967296 + 4294967295 - i AS v FROM long_grams WHERE h IS NOT NULL UNION ALL SELECT r, side, n, i, h::BIGINT * 4294967296 + 4294967295 FROM short_grams),
+bits AS (SELECT c, j, bit_xor(CASE WHEN (c >> bit) & 1 = 1 THEN {_ADDS!r}[j * 21 + bit + 1] ELSE 0 END)::BIGINT AS adds FROM (SELECT DISTINCT c FROM points), range(0, {GRAM}) a(j), range(0, 21) b(bit) GROUP BY c, j),
+codes AS (SELECT c, list(adds ORDER BY j) AS adds FROM bits GROUP BY c),
+coded AS (SELECT p.*, adds FROM points p JOIN codes USING (c)),
+long_grams AS (SELECT r, side, n, i, xor({_XOR}, {_EMPTY[GRAM]}) >> 1 AS h FROM coded WHERE n >= {GRAM} WINDOW w AS (PARTITION BY r, side ORDER BY i)),
+short_grams AS (SELECT r, side, n, 0 AS i, xor(bit_xor(adds[{GRAM} - n + i + 1]), {_EMPTY!r}[n + 1]) >> 1 AS h FROM coded WHERE n < {GRAM} GROUP BY r, side, n),
+grams AS (SELECT r, side, n, i, h * 4294967296 + 4294967295 - i AS v FROM long_grams WHERE i <= n - {GRAM} UNION ALL SELECT r, side, n, i, h * 4294967296 + 4294967295 FROM short_grams),
 minima AS (SELECT r, side, n, i, min(v) OVER (PARTITION BY r, side ORDER BY i ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS v FROM grams),
 kept AS (SELECT DISTINCT r, side, v // 4294967296 AS h, 4294967295 - v % 4294967296 AS place FROM minima WHERE i <= greatest(n - {SPAN}, 0)),
 prints AS (SELECT r, side, string_agg(lpad(lower(to_hex(h)), 8, '0'), '' ORDER BY place) AS f, list_distinct(list(h)) AS hs FROM kept GROUP BY r, side),
