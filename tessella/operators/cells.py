@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.colours import clean_gene
 from tessella.functions.rounding import half_even, half_up, truncate
 from tessella.operators.graph import checkpointed
+from tessella.operators.nearest import nearest
 
 
 def assign_labels(spots: DataFrame, labels: DataFrame) -> DataFrame:
@@ -90,31 +92,62 @@ def prepare_spots(spots: DataFrame, depth: int | None = None) -> DataFrame:
 
 
 def restore_suffix(processed: DataFrame, raw: DataFrame, tolerance: float, order: str = "raw_order") -> DataFrame:
-    """Adds gene_name: the full name of the nearest raw spot of the same clean gene and z, nearer than the tolerance; else the clean name.
+    """Adds gene_name: the full name of the nearest raw spot of the same field of view, clean gene and z, nearer than the tolerance; else the clean name.
 
-    processed: id, gene, x, y, z; raw: gene_name, x, y, z and an order that settles ties. Spots meet in a grid of the tolerance's width.
+    processed: fov, id, gene, x, y, z; raw: fov, gene_name, x, y, z and an order that settles ties.
     """
-    box = lambda c: F.floor(F.col(c) / tolerance)
-    step = F.array(*map(F.lit, (-1, 0, 1)))
-    near = raw.select(clean_gene(F.col("gene_name")).alias("gene"), "z", F.col("gene_name").alias("full"), F.col("x").alias("rx"), F.col("y").alias("ry"), F.col(order).alias("ro"), box("x").alias("bx0"), box("y").alias("by0"))
-    near = near.withColumn("bx", F.explode(F.transform(step, lambda s: F.col("bx0") + s))).withColumn("by", F.explode(F.transform(step, lambda s: F.col("by0") + s)))
-    at = processed.withColumns({"bx": box("x"), "by": box("y")})
-    d2 = (F.col("x") - F.col("rx")) ** 2 + (F.col("y") - F.col("ry")) ** 2
-    best = at.join(near, ["gene", "z", "bx", "by"]).filter(d2 < tolerance**2).groupBy("id").agg(F.min_by("full", F.struct(d2, "ro")).alias("full"))
-    return processed.join(best, "id", "left").withColumn("gene_name", F.coalesce("full", "gene")).withColumn("matched", F.col("full").isNotNull()).drop("full")
+    named = raw.select("fov", clean_gene(F.col("gene_name")).alias("gene"), "z", "x", "y", F.col("gene_name").alias("full"), order)
+    best = nearest(processed, named, ["fov"], ["gene", "z"], tolerance, ["full"], [order])
+    return best.withColumn("gene_name", F.coalesce("full", "gene")).withColumn("matched", F.col("full").isNotNull()).drop("full")
+
+
+def _held_by(c: str, width: Column | int, margin: Column | int) -> Column:
+    """The windows of a width, wider by a margin on every side, that hold a coordinate."""
+    return F.sequence(F.greatest(F.lit(0), F.floor((F.col(c) - margin) / width)).cast("int"), F.floor((F.col(c) + margin) / width).cast("int"))
 
 
 def window_spots(spots: DataFrame, width: int, share: float) -> DataFrame:
     """Each spot with every window of `width` that holds it, windows being wider by ceil(width * share) on every side."""
     margin = math.ceil(width * share)
-    reach = lambda c: F.sequence(F.greatest(F.lit(0), F.floor((F.col(c) - margin) / width)).cast("int"), F.floor((F.col(c) + margin) / width).cast("int"))
-    return spots.withColumn("wx", F.explode(reach("x"))).withColumn("wy", F.explode(reach("y")))
+    return spots.withColumn("wx", F.explode(_held_by("x", width, margin))).withColumn("wy", F.explode(_held_by("y", width, margin)))
+
 
+def filter_small_windows(rows: DataFrame, least: int, keys: tuple[str, ...] = ("fov",)) -> DataFrame:
+    """Rows of windows with at least so many; a window belongs to one field of view. The counts are joined back, so a full window is no single task."""
+    at = [*keys, "wx", "wy"]
+    n = rows.groupBy(*at).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    return rows.join(n.select(*at), at, "left_semi")
 
-def filter_small_windows(rows: DataFrame, least: int) -> DataFrame:
-    """Rows of windows with at least so many; the counts are joined back, so a full window is no single task."""
-    n = rows.groupBy("wx", "wy").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
-    return rows.join(n.select("wx", "wy"), ["wx", "wy"], "left_semi")
+
+def quad_windows(spots: DataFrame, width: int, most: int, depth: int = 4, keys: tuple[str, ...] = ("fov",)) -> DataFrame:
+    """(keys, level, wx, wy, n): windows of width / 2**level that part every field: one with over `most` spots is split in four, down to `depth`.
+
+    Spots are counted once, in the smallest windows; larger ones are sums of those.
+    """
+    cell = lambda c: F.floor(F.col(c) * 2**depth / width).cast("int")
+    finest = spots.select(*keys, cell("x").alias("fx"), cell("y").alias("fy")).groupBy(*keys, "fx", "fy").agg(F.count(F.lit(1)).alias("n"))
+    up = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.lit(depth) - F.col("level"))).cast("int")
+    levels = finest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth))))
+    counts = levels.groupBy(*keys, "level", up("fx").alias("wx"), up("fy").alias("wy")).agg(F.sum("n").alias("n"))
+    split = counts.filter((F.col("n") > most) & (F.col("level") < depth))
+    over = split.select(*keys, (F.col("level") + 1).alias("level"), F.col("wx").alias("px"), F.col("wy").alias("py"))
+    half = lambda c: F.floor(F.col(c) / 2).cast("int")
+    inside = counts.withColumns({"px": half("wx"), "py": half("wy")})
+    # every window above a full one is fuller, so a window is there if the one above it is split
+    there = inside.filter("level = 0").unionByName(inside.join(over, [*keys, "level", "px", "py"], "left_semi").select(*inside.columns))
+    return there.filter((F.col("n") <= most) | (F.col("level") == depth)).select(*keys, "level", "wx", "wy", "n")
+
+
+def split_windows(spots: DataFrame, width: int, share: float, most: int, depth: int = 4, keys: tuple[str, ...] = ("fov",)) -> DataFrame:
+    """Each spot with every window of quad_windows that holds it (level, wx, wy), each window wider by ceil(its width * share) on every side.
+
+    A window's own spots are bounded by `most` unless they lie within width / 2**depth of each other; its margins are the neighbours' spots.
+    """
+    sizes = [(k, width / 2**k, math.ceil(width / 2**k * share)) for k in range(depth + 1)]
+    level = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.lit(float(w)).alias("w"), F.lit(m).alias("m")) for k, w, m in sizes]))
+    at = spots.withColumn("__level", level).withColumn("wx", F.explode(_held_by("x", F.col("__level.w"), F.col("__level.m")))).withColumn("wy", F.explode(_held_by("y", F.col("__level.w"), F.col("__level.m"))))
+    windows = quad_windows(spots, width, most, depth, keys).drop("n")
+    return at.withColumn("level", F.col("__level.level")).drop("__level").join(windows, [*keys, "level", "wx", "wy"], "left_semi")
 
 
 def ensure_ids(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -160,29 +193,56 @@ def standardise_spots(spots: DataFrame, needed: tuple[str, ...] = ("x", "y", "ge
     return low if "z" in low.columns else low.withColumn("z", F.lit(0))
 
 
-def cell_hulls(reads: DataFrame, cell: str = "cell_barcode") -> DataFrame:
-    """(cell, ring): the closed convex hull of each cell's points; cells of fewer than three points, or on one line, are left out.
+def _chains(cell: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lower and upper hulls of many cells at once, as indices in the order of (cell, x, y).
 
-    A cell's distinct points, thousands at most, are one group.
+    A point that doesn't turn left between those that are left beside it lies on or above the lower hull, so all such points go at once, until none does.
     """
+    by = np.lexsort((y, x, cell))
+    by = by[np.append(True, (np.diff(cell[by]) != 0) | (np.diff(x[by]) != 0) | (np.diff(y[by]) != 0))[: len(by)]]
+    out = []
+    for sign in (1, -1):
+        left = by
+        while len(left) > 2:
+            a, b, c = left[:-2], left[1:-1], left[2:]
+            turn = (x[b] - x[a]) * (y[c] - y[a]) - (y[b] - y[a]) * (x[c] - x[a])
+            stay = np.ones(len(left), bool)
+            stay[1:-1] = (cell[a] != cell[c]) | (sign * turn > 0)
+            if stay.all():
+                break
+            left = left[stay]
+        out.append(left)
+    return out[0], out[1]
+
+
+def _points(table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return table["cell"].to_numpy(), table["x"].to_numpy(), table["y"].to_numpy()
 
-    def hull(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        points = sorted(set(zip(pdf["x"].astype(float), pdf["y"].astype(float))))
-
-        def half(ps):
-            out: list = []
-            for p in ps:
-                while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]) <= 0:
-                    out.pop()
-                out.append(p)
-            return out[:-1]
 
-        ring = half(points) + half(points[::-1])
-        rows = [] if len(points) < 3 or len(ring) < 3 else [(key[0], [{"x": x, "y": y} for x, y in [*ring, ring[0]]])]
-        return pd.DataFrame(rows, columns=["cell", "ring"])
+def cell_hulls(reads: DataFrame, cell: str = "cell_barcode") -> DataFrame:
+    """(cell, ring): the closed convex hull of each cell's points, from its least point and counter-clockwise; cells of fewer than three points, or on one line,
+    are left out. Points with a null coordinate don't count.
 
-    points = reads.filter(F.col(cell) > 0).select(F.col(cell).cast("long").alias("cell"), "x", "y").distinct()
-    return points.groupBy("cell").applyInPandas(hull, "cell long, ring array<struct<x:double,y:double>>")
+    The hull of hulls is the hull: every batch of every map task sends the corners of its cells only, and a cell's corners meet in one group.
+    """
+    ready = reads.filter(F.col(cell) > 0).select(F.col(cell).cast("long").alias("cell"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).dropna()
+
+    def corners(batches):
+        for batch in batches:
+            keep = np.unique(np.concatenate(_chains(*_points(batch))))
+            yield batch.take(pa.array(keep))
+
+    def ring(table: pa.Table) -> pa.Table:
+        n, x, y = _points(table)
+        lower, upper = _chains(n, x, y)
+        around = np.concatenate([lower[:-1], upper[::-1]])
+        if len(around) < 4:
+            return pa.table({"cell": pa.array([], pa.int64()), "ring": pa.array([], pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))})
+        points = pa.StructArray.from_arrays([pa.array(x[around]), pa.array(y[around])], ["x", "y"])
+        return pa.table({"cell": table["cell"][:1], "ring": pa.ListArray.from_arrays(np.array([0, len(around)], np.int32), points)})
+
+    partial = ready.mapInArrow(corners, "cell long, x double, y double")
+    return partial.groupBy("cell").applyInArrow(ring, "cell long, ring array<struct<x:double,y:double>>")
 
 
 def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.operators.cells import numbered
 from tessella.operators.tiles import natural_key
 
 # The phrases of the logs.
@@ -30,16 +34,23 @@ def _lines(logs: DataFrame) -> DataFrame:
     return logs.withColumn("lines", F.filter(F.transform(F.split("text", "\n"), lambda x: F.trim(F.translate(x, "\r\t", "  "))), lambda x: x != ""))
 
 
-def _first(*phrases: str, but: str | None = None) -> Column:
-    """The first line that holds all phrases (and not `but`); null without one."""
+def _named(logs: DataFrame, kinds: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Adds `lines`, and `named`: (kind, line) of the lines that have a kind, the first whose condition holds. Every line is looked at once."""
+
+    def kind(line: Column) -> Column:
+        return F.coalesce(*[F.when(fits(line), F.lit(k)) for k, fits in kinds.items()])
+
+    marked = F.transform("lines", lambda x: F.struct(kind(x).alias("kind"), x.alias("line")))
+    return _lines(logs).withColumn("marked", marked).withColumn("named", F.filter("marked", lambda m: m["kind"].isNotNull())).drop("marked")
 
-    def fits(line: Column) -> Column:
-        out = F.lit(True)
-        for p in phrases:
-            out = out & F.contains(line, F.lit(p))
-        return out & ~F.contains(line, F.lit(but)) if but else out
 
-    return F.get(F.filter("lines", fits), F.lit(0))
+def _holds(*phrases: str) -> Callable[[Column], Column]:
+    return lambda line: reduce(lambda a, b: a & b, [F.contains(line, F.lit(p)) for p in phrases])
+
+
+def _line(kind: str) -> Column:
+    """The first line of a kind; null without one."""
+    return F.get(F.filter("named", lambda m: m["kind"] == kind), F.lit(0))["line"]
 
 
 def _behind(line: Column, phrase: str) -> Column:
@@ -61,16 +72,18 @@ def _double(text: Column) -> Column:
     return F.coalesce(F.regexp_extract(text, r"^\S*[0-9]", 0).try_cast("double"), F.lit(0.0))
 
 
-def _share(line: Column) -> Column:
-    """(share, part, whole) of a line 'share [part / whole] percent of ...'."""
-    found = _numbers(F.substring_index(line, PERCENT, 1))
-    at = lambda k, t: F.coalesce(F.get(found, F.lit(k)).try_cast(t), F.lit(0).cast(t))
-    return F.struct(at(0, "double").alias("share"), at(1, "bigint").alias("part"), at(2, "bigint").alias("whole"))
+def _share(line: Column) -> dict[str, Column]:
+    """share, part and whole of a line 'share [part / whole] percent of ...'; nothing is 0."""
+    head = F.substring_index(line, PERCENT, 1)
+    inside = F.substring_index(F.substring_index(head, "[", -1), "]", 1)
+    number = lambda text, t: F.coalesce(F.trim(text).try_cast(t), F.lit(0).cast(t))
+    before = F.substring_index(F.trim(F.substring_index(head, "[", 1)), " ", -1)
+    return {"share": number(before, "double"), "part": number(F.substring_index(inside, "/", 1), "bigint"), "whole": number(F.substring_index(inside, "/", -1), "bigint")}
 
 
 def _folder() -> Column:
     """The name behind the colon, of either width, of the line that names the folder; '' without one."""
-    return F.coalesce(F.regexp_extract(_first(FOLDER), r"[:：]\s*(\S+)", 1), F.lit(""))
+    return F.coalesce(F.regexp_extract(_line("folder"), r"[:：]\s*(\S+)", 1), F.lit(""))
 
 
 def _position(name: Column) -> Column:
@@ -83,13 +96,16 @@ def _ratio(a: str, b: str) -> Column:
 
 def parse_decoding(logs: DataFrame) -> DataFrame:
     """One record a decoding log, ratios included (0 without a denominator); a log without a position gives none."""
-    shares = {"below": _first(PERCENT, BELOW, but=OF_VALID), "valid": _first(PERCENT, BELOW, OF_VALID), "above": _first(PERCENT, ABOVE), "d": _first(PERCENT, SEQ_D), "f": _first(PERCENT, SEQ_F), "end": _first(PERCENT, SEQ_END), "book": _first(PERCENT, IN_BOOK)}
+    shares = {"valid": (BELOW, OF_VALID), "below": (BELOW,), "above": (ABOVE,), "d": (SEQ_D,), "f": (SEQ_F,), "end": (SEQ_END,), "book": (IN_BOOK,)}
+    kinds = {k: _holds(PERCENT, *v) for k, v in shares.items()} | {"folder": _holds(FOLDER)}
     place = F.array_position("lines", MAX_COLOUR)
     crosstalk = F.when(place > 0, F.get("lines", place.cast("int")))
-    r = _lines(logs).select("submit", _position(_folder()).alias("fov"), F.when(crosstalk.rlike("^[0-9]+$"), crosstalk).alias("x"), *[_share(v).alias(k) for k, v in shares.items()]).filter("fov <> ''")
+    r = _named(logs, kinds).select("submit", _position(_folder()).alias("fov"), F.when(crosstalk.rlike("^[0-9]+$"), crosstalk).alias("x"), *[_line(k).alias(k) for k in shares]).filter("fov <> ''")
+    of = {k: _share(F.col(k)) for k in shares}
     r = r.select(
-        "submit", "fov", F.col("below.whole").alias("spots"), _whole(F.col("x")).alias("crosstalk"), F.col("below.part").alias("qc"), F.col("valid.part").alias("valid_qc"), F.col("valid.whole").alias("valid_spots"), F.col("above.part").alias("intensity_qc"),
-        F.col("above.share").alias("intensity_ratio"), F.col("d.part").alias("seqd"), F.col("f.part").alias("seqf"), F.col("d.share").alias("seqd_share"), F.col("f.share").alias("seqf_share"), F.col("end.part").alias("seq_end"), F.col("book.part").alias("strict"),
+        "submit", "fov", of["below"]["whole"].alias("spots"), F.coalesce(F.col("x").try_cast("bigint"), F.lit(0).cast("bigint")).alias("crosstalk"), of["below"]["part"].alias("qc"), of["valid"]["part"].alias("valid_qc"), of["valid"]["whole"].alias("valid_spots"),
+        of["above"]["part"].alias("intensity_qc"), of["above"]["share"].alias("intensity_ratio"), of["d"]["part"].alias("seqd"), of["f"]["part"].alias("seqf"), of["d"]["share"].alias("seqd_share"), of["f"]["share"].alias("seqf_share"),
+        of["end"]["part"].alias("seq_end"), of["book"]["part"].alias("strict"),
     )
     return r.select(
         "*", _ratio("crosstalk", "spots").alias("crosstalk_ratio"), _ratio("qc", "spots").alias("qc_ratio"), _ratio("valid_qc", "valid_spots").alias("valid_qc_ratio"),
@@ -98,25 +114,26 @@ def parse_decoding(logs: DataFrame) -> DataFrame:
 
 
 def parse_spot_finding(logs: DataFrame) -> DataFrame:
-    method = F.coalesce(F.regexp_extract(_behind(_first(METHOD), METHOD), r"^\S+", 0), F.lit(""))
-    count = _behind(_first(FOUND), ":")
-    r = _lines(logs).select("submit", _folder().alias("fov"), method.alias("method"), _whole(_behind(_first(REFERENCE), REFERENCE)).alias("reference_round"), _double(_behind(_first(THRESHOLD), THRESHOLD)).alias("threshold"), _whole(count).alias("spots"))
-    return r.filter("fov <> ''")
+    kinds = {"folder": _holds(FOLDER), "method": _holds(METHOD), "reference": _holds(REFERENCE), "threshold": _holds(THRESHOLD), "found": _holds(FOUND)}
+    r = _named(logs, kinds).select("submit", _folder().alias("fov"), *[_line(k).alias(k) for k in kinds if k != "folder"]).filter("fov <> ''")
+    method = F.coalesce(F.regexp_extract(_behind(F.col("method"), METHOD), r"^\S+", 0), F.lit(""))
+    return r.select("submit", "fov", method.alias("method"), _whole(_behind(F.col("reference"), REFERENCE)).alias("reference_round"), _double(_behind(F.col("threshold"), THRESHOLD)).alias("threshold"), _whole(_behind(F.col("found"), ":")).alias("spots"))
 
 
 def parse_segmentation(logs: DataFrame) -> DataFrame:
-    folders = F.filter(F.split(_behind(_first(STACK), STACK), "/"), lambda p: p.rlike("^Position[0-9]+$"))
-    value = lambda phrase, k=0: _whole(_behind(_first(phrase), phrase), k)
-    r = _lines(logs).select(
-        "submit", F.coalesce(F.element_at(F.when(F.size(folders) > 0, folders), -1), F.lit("")).alias("fov"), value(RAW_CELLS).alias("raw_cells"), value(RAW_AREA).alias("raw_area"),
-        value(LEFT_AREA).alias("filtered_area"), _double(_behind(_first(AREA_SHARE), AREA_SHARE)).alias("reduction"), value(LEFT_CELLS).alias("cells"), value(LEFT_CELLS, 1).alias("removed"),
+    phrases = {"stack": STACK, "raw_cells": RAW_CELLS, "raw_area": RAW_AREA, "left_area": LEFT_AREA, "share": AREA_SHARE, "left": LEFT_CELLS}
+    r = _named(logs, {k: _holds(p) for k, p in phrases.items()}).select("submit", *[_behind(_line(k), p).alias(k) for k, p in phrases.items()])
+    folders = F.filter(F.split("stack", "/"), lambda p: p.rlike("^Position[0-9]+$"))
+    out = r.select(
+        "submit", F.coalesce(F.element_at(F.when(F.size(folders) > 0, folders), -1), F.lit("")).alias("fov"), _whole(F.col("raw_cells")).alias("raw_cells"), _whole(F.col("raw_area")).alias("raw_area"),
+        _whole(F.col("left_area")).alias("filtered_area"), _double(F.col("share")).alias("reduction"), _whole(F.col("left")).alias("cells"), _whole(F.col("left"), 1).alias("removed"),
     )
-    return r.filter("fov <> ''")
+    return out.filter("fov <> ''")
 
 
 def parse_shifts(logs: DataFrame) -> DataFrame:
     """One record for each round that a registration log reports: a line with the rounds and the time, and the next line with the shift."""
-    lined = _lines(logs).select("submit", _position(_folder()).alias("fov"), "lines").filter("fov <> ''")
+    lined = _named(logs, {"folder": _holds(FOLDER)}).select("submit", _position(_folder()).alias("fov"), "lines").filter("fov <> ''")
     pairs = lined.select("submit", "fov", F.explode(F.arrays_zip(F.col("lines").alias("line"), F.expr("slice(lines, 2, size(lines))").alias("next"))).alias("p"))
     mine = pairs.filter(F.startswith("p.line", F.lit("Round")) & F.contains("p.line", F.lit(FINISHED)) & F.startswith("p.next", F.lit(SHIFTED)))
     r = mine.select("submit", "fov", _numbers(F.col("p.line")).alias("a"), _numbers(F.col("p.next")).alias("b")).filter("size(a) = 3 and size(b) = 3")
@@ -159,15 +176,26 @@ def param_levels(center: float, step: float, n: int) -> list[float]:
     return [center + (i - n // 2) * step for i in range(n)]
 
 
-def param_grid(levels: dict[str, list[float]], spark, samples: int | None = None, seed: int = 0) -> DataFrame:
-    """All combinations of levels, or a design of `samples` rows with one seeded permutation of levels in each column."""
-    import random
-
-    if samples is None:
-        out = spark.range(1).select()
-        for name, values in levels.items():
-            out = out.withColumn(name, F.explode(F.array(*map(F.lit, values))))
-        return out
-    pick = random.Random(seed)
-    columns = {n: pick.sample([v[i % len(v)] for i in range(samples)], samples) for n, v in levels.items()}
-    return spark.createDataFrame(list(zip(*columns.values())), list(columns))
+def param_grid(levels: dict[str, list[float]], spark) -> DataFrame:
+    """All combinations of levels."""
+    out = spark.range(1).select()
+    for name, values in levels.items():
+        out = out.withColumn(name, F.explode(F.array(*map(F.lit, values))))
+    return out
+
+
+def level_design(runs: DataFrame, levels: dict[str, list[float]], seed: int = 0) -> DataFrame:
+    """The runs (run) with one level of every parameter each: a parameter's levels are dealt in turn along the order of a seeded hash of the run, so each stands
+    as often as the others but for one, and parameters are dealt independently.
+
+    Orders of all parameters are numbered at once by ranges of the hash (see `numbered`), whatever the number of runs. A null run has no level.
+    """
+    names = list(levels)
+    each = F.explode(F.array(*[F.lit(k) for k in range(len(names))]))
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.element_at(F.array(*map(F.lit, names)), F.col("k") + 1), F.col("run").cast("string")).cast("binary"))
+    one = runs.filter("run is not null").select("run").distinct()
+    at = numbered(one.withColumn("k", each).withColumn("key", key), ["k", "key", "run"], "at")
+    n = one.count()
+    rank = F.col("at") - F.col("k") * n
+    values = [F.max(F.when(F.col("k") == k, F.element_at(F.array(*[F.lit(float(v)) for v in levels[name]]), (rank % len(levels[name]) + 1).cast("int")))).alias(name) for k, name in enumerate(names)]
+    return at.groupBy("run").agg(*values)

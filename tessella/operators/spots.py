@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessella.functions.rounding import saturate
 from tessella.operators.blocks import Block, by_block, moved
 from tessella.operators.graph import checkpointed
+from tessella.operators.nearest import blocks_near
 from tessella.operators.voxels import CHANNEL, PLACE, TOP, connected_components, convolve, log_kernel, neighbours
 
 _LEAST = np.iinfo(np.int64).min
@@ -147,23 +148,58 @@ def count_close_pairs(spots: DataFrame, distance: float) -> DataFrame:
     return at.join(near, ["fov", "bx", "by", "bz"]).filter((F.col("spot_id") < F.col("other")) & (d2 > 0) & (d2 < distance**2)).groupBy("fov").agg(F.count(F.lit(1)).alias("n"))
 
 
-def extract_intensity(spots: DataFrame, voxels: DataFrame, box: tuple[int, int, int], rounds: int, channels: int = 3) -> DataFrame:
+def extract_intensity(spots: DataFrame, voxels: DataFrame, box: tuple[int, int, int], rounds: int, channels: int = 3, edge: int = 32) -> DataFrame:
     """Per spot, round and channel the sum of the voxels of a box cut at the image, absent ones being 0: fov, spot_id, round_no, sums (array by channel), sum_max, center_max.
 
-    Each spot is sent to the places of its box (147 at most for the usual boxes) and meets the voxels by an equi-join.
+    Spots and voxels meet in cogrouped blocks: a spot goes to its own block once, a voxel also to those its box reaches. A block has a summed-volume table for
+    each round and channel, so that a box costs eight look-ups whatever its size. A block spans edge x edge pixels, all slices, rounds and
+    channels, which bounds a group by the depth of the image. A spot_id may stand in several rows: each has its own box.
     """
-    bx, by, bz = box
-    reach = lambda c, r: F.explode(F.sequence(F.col(c) - r, F.col(c) + r))
-    at = spots.select("fov", "spot_id", F.col("x").alias("cx"), F.col("y").alias("cy"), F.col("z").alias("cz"), "x", "y", "z")
-    for c, r in (("x", bx), ("y", by), ("z", bz)):
-        at = at.withColumn(c, reach(c, r))
-    mine = voxels.filter((F.col("round_no") <= rounds) & (F.col("channel") <= channels))
-    met = at.join(mine, ["fov", *PLACE])
-    here = (F.col("x") == F.col("cx")) & (F.col("y") == F.col("cy")) & (F.col("z") == F.col("cz"))
-    sums = met.groupBy("fov", "spot_id", "round_no").agg(*[F.coalesce(F.sum(F.when(F.col("channel") == c, F.col("value"))), F.lit(0)).alias(f"s{c}") for c in range(1, channels + 1)], F.coalesce(F.max(F.when(here, F.col("value"))), F.lit(0)).alias("center_max"))
-    every = spots.select("fov", "spot_id", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round_no"))
-    full = every.join(sums, ["fov", "spot_id", "round_no"], "left").na.fill(0)
-    arr = F.array(*[F.col(f"s{c}") for c in range(1, channels + 1)])
-    return full.select("fov", "spot_id", "round_no", arr.alias("sums"), F.array_max(arr).alias("sum_max"), "center_max")
-
-
+    bx, by, _ = box
+    own = spots.select("fov", "spot_id", *[F.col(c).cast("long").alias(c) for c in "xyz"]).withColumns({"__bx": F.floor((F.col("x") - 1) / edge), "__by": F.floor((F.col("y") - 1) / edge)})
+    mine = voxels.filter(F.col("round_no").between(1, rounds) & F.col("channel").between(1, channels)).select("fov", "round_no", "channel", *PLACE, "value")
+    dealt = mine.withColumn("__bx", blocks_near("x", edge, bx, 1)).withColumn("__by", blocks_near("y", edge, by, 1))
+    kinds, value = dict(own.dtypes), dict(voxels.dtypes)["value"]
+    schema = f"fov {kinds['fov']}, spot_id {kinds['spot_id']}, round_no int, sums array<long>, sum_max long, center_max {value}"
+
+    def run(asked: pa.Table, met: pa.Table) -> pa.Table:
+        sums, centre = _box_sums({c: asked[c].to_numpy() for c in "xyz"}, {c: met[c].to_numpy() for c in (*PLACE, "round_no", "channel", "value")}, box, rounds, channels)
+        row = pa.array(np.repeat(np.arange(len(asked)), rounds))
+        lists = pa.ListArray.from_arrays(np.arange(0, sums.size + 1, channels, dtype=np.int32), sums.ravel())
+        number = pa.array(np.tile(np.arange(1, rounds + 1, dtype=np.int32), len(asked)))
+        named = {"fov": asked["fov"].take(row), "spot_id": asked["spot_id"].take(row), "round_no": number, "sums": lists, "sum_max": sums.max(axis=2).ravel()}
+        return pa.table(named | {"center_max": pa.array(centre.ravel()).cast(met.schema.field("value").type)})
+
+    return own.groupBy("fov", "__by", "__bx").cogroup(dealt.groupBy("fov", "__by", "__bx")).applyInArrow(run, schema)
+
+
+def _box_sums(spot: dict[str, np.ndarray], voxel: dict[str, np.ndarray], box: tuple[int, int, int], rounds: int, channels: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sums by spot, round and channel; the greatest value over channels at each spot's place by spot and round)."""
+    n = len(spot["x"])
+    sums, centre = np.zeros((n, rounds, channels), np.int64), np.zeros((n, rounds), np.int64)
+    if not len(voxel["x"]) or not n:
+        return sums, centre
+    reach = dict(zip("xyz", box))
+    first = {c: int(voxel[c].min()) for c in PLACE}
+    shape = tuple(int(voxel[c].max()) - first[c] + 1 for c in PLACE)
+    at = {c: (voxel[c] - first[c]).astype(np.int64) for c in PLACE}
+    low = [np.clip(spot[c] - reach[c] - first[c], 0, m) for c, m in zip(PLACE, shape)]
+    high = [np.clip(spot[c] + reach[c] + 1 - first[c], 0, m) for c, m in zip(PLACE, shape)]
+    here = [spot[c] - first[c] for c in PLACE]
+    inside = np.flatnonzero(np.all([(h >= 0) & (h < m) for h, m in zip(here, shape)], axis=0))
+    layer = (voxel["round_no"] - 1) * channels + voxel["channel"] - 1
+    for k in np.unique(layer).tolist():
+        of, (r, c) = layer == k, divmod(k, channels)
+        places = tuple(at[p][of] for p in PLACE)
+        top = np.zeros(shape, np.int64)
+        np.maximum.at(top, places, voxel["value"][of])
+        centre[inside, r] = np.maximum(centre[inside, r], top[tuple(h[inside] for h in here)])
+        upto = np.zeros(tuple(m + 1 for m in shape), np.int64)
+        np.add.at(upto, tuple(p + 1 for p in places), voxel["value"][of].astype(np.int64))
+        for axis in range(3):
+            np.cumsum(upto, axis=axis, out=upto)
+        for z, sz in ((high[0], 1), (low[0], -1)):
+            for y, sy in ((high[1], 1), (low[1], -1)):
+                for x, sx in ((high[2], 1), (low[2], -1)):
+                    sums[:, r, c] += sz * sy * sx * upto[z, y, x]
+    return sums, centre

@@ -148,15 +148,30 @@ def group_centres(values: Column, tolerance: float) -> Column:
     return F.aggregate(values, zero, step, lambda acc: F.when(acc["n"] > 0, F.concat(acc["done"], F.array(acc["sum"] / acc["n"]))).otherwise(acc["done"]))
 
 
-def logical_grid(tiles: DataFrame, tolerance: float = 300) -> DataFrame:
-    """(tile, column_index, row_index) of tiles by their coordinates; null if no group's centre is within the tolerance.
+def logical_grid(tiles: DataFrame, tolerance: float = 300, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, tile, column_index, row_index) of tiles by their coordinates; null if no group's centre is within the tolerance.
 
-    The distinct coordinates of one slide, thousands at most, are folded in order as one array.
+    keys tell slides apart. A coordinate farther than the tolerance from the one before starts a group whatever the mean so far, so the sorted distinct
+    coordinates of a slide fall into independent segments: groups are folded inside one, and numbered by a running sum over segments. An array holds
+    one segment, never a slide.
     """
-    sets = tiles.agg(F.sort_array(F.collect_set(F.col("x").cast("double"))).alias("xs"), F.sort_array(F.collect_set(F.col("y").cast("double"))).alias("ys"))
-    centres = sets.select(group_centres(F.col("xs"), tolerance).alias("cx"), group_centres(F.col("ys"), tolerance).alias("cy"))
-    first = lambda c, centre: F.nullif(F.array_position(F.transform(F.col(centre), lambda m: F.abs(F.col(c) - m) <= tolerance), True), F.lit(0)) - 1
-    return tiles.join(F.broadcast(centres)).select("tile", first("x", "cx").cast("int").alias("column_index"), first("y", "cy").cast("int").alias("row_index"))
+    axis = [*keys, "axis"]
+    both = F.explode(F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).cast("double").alias("c")) for c in "xy"]))
+    places = tiles.select(*keys, both.alias("s")).select(*keys, "s.*").filter("c is not null").distinct()
+    inorder = Window.partitionBy(*axis).orderBy("c")
+    parted = places.withColumn("gap", F.when(F.col("c") - F.lag("c").over(inorder) > tolerance, 1).otherwise(0)).withColumn("segment", F.sum("gap").over(inorder)).drop("gap")
+    folded = parted.groupBy(*axis, "segment").agg(group_centres(F.sort_array(F.collect_list("c")), tolerance).alias("centres"))
+    before = Window.partitionBy(*axis).orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = folded.withColumn("before", F.coalesce(F.sum(F.size("centres")).over(before), F.lit(0)))
+    # a centre of another segment is farther away than the tolerance
+    first = F.nullif(F.array_position(F.transform("centres", lambda m: F.abs(F.col("c") - m) <= tolerance), True), F.lit(0)) - 1
+    found = parted.join(numbered, [*axis, "segment"]).select(*axis, "c", (F.col("before") + first).cast("int").alias("index"))
+
+    def indexed(rows: DataFrame, c: str, name: str) -> DataFrame:
+        at = found.filter(F.col("axis") == c).select(*keys, F.col("c").alias("__c"), F.col("index").alias(name))
+        return rows.withColumn("__c", F.col(c).cast("double")).join(at, [*keys, "__c"], "left").drop("__c")
+
+    return indexed(indexed(tiles.select(*keys, "tile", "x", "y"), "x", "column_index"), "y", "row_index").drop("x", "y")
 
 
 def tune_coords(observed: DataFrame, expected: DataFrame, grid: DataFrame) -> DataFrame:
@@ -284,6 +299,44 @@ def drop_twin_cells(old: DataFrame, new: DataFrame, low: float, high: float, siz
     return old.join(gone.select(F.col("o").alias("cell_barcode")).dropna(), "cell_barcode", "left_anti"), new.join(gone.select(F.col("n").alias("cell_barcode")).dropna(), "cell_barcode", "left_anti")
 
 
+def neighbour_strips(tiles: DataFrame, size: int) -> DataFrame:
+    """(old, new, axis, low, high): for every tile of the grid its right and its lower neighbour, and the strip of global coordinates that both cover.
+
+    Strips without width are left out; of several tiles at one place the least number counts, tile 0 is blank.
+    """
+    one = tiles.filter("tile <> 0").groupBy("column_index", "row_index").agg(F.min_by(F.struct("tile", "x", "y"), "tile").alias("t"))
+    parts = []
+    for axis, dc, dr in (("x", 1, 0), ("y", 0, 1)):
+        after = one.select((F.col("column_index") - dc).alias("column_index"), (F.col("row_index") - dr).alias("row_index"), F.col("t").alias("u"))
+        parts.append(one.join(after, ["column_index", "row_index"]).select(F.col("t.tile").alias("old"), F.col("u.tile").alias("new"), F.lit(axis).alias("axis"), F.col(f"u.{axis}").alias("low"), (F.col(f"t.{axis}") + size).alias("high")))
+    return parts[0].unionByName(parts[1]).filter("low <= high")
+
+
+def drop_twins(cells: DataFrame, tiles: DataFrame, size: int) -> DataFrame:
+    """Cells (tile, cell_barcode, global x and y) without twins across neighbouring tiles: of two cells of a strip nearer than 0.1 size, one of each tile, the one
+    farther from the strip's middle goes, the later tile's on a tie.
+
+    Tiles meet their neighbours in the grid first, and cells only those of the same strip, through boxes of the distance's width: pairs grow with the slide's
+    length of seams, not with its tiles. A cell may lie in several strips; it goes if any of them drops it.
+    """
+    reach = 0.1 * size
+    strips = neighbour_strips(tiles, size)
+    at = F.when(F.col("axis") == "x", F.col("x")).otherwise(F.col("y"))
+
+    def side(name: str) -> DataFrame:
+        inside = cells.select(F.col("tile").alias(name), "cell_barcode", "x", "y").join(strips, name).filter(at.between(F.col("low"), F.col("high")))
+        far = F.abs(at - (F.col("low") + F.col("high")) / 2)
+        return inside.select("old", "new", "axis", F.col("cell_barcode").alias(f"{name}_cell"), F.col("x").alias(f"{name}_x"), F.col("y").alias(f"{name}_y"), far.alias(f"{name}_far"), F.floor(F.col("x") / reach).alias("bx"), F.floor(F.col("y") / reach).alias("by"))
+
+    step = F.array(*map(F.lit, (-1, 0, 1)))
+    around = side("new").withColumn("dx", F.explode(step)).withColumn("dy", F.explode(step)).withColumns({"bx": F.col("bx") + F.col("dx"), "by": F.col("by") + F.col("dy")}).drop("dx", "dy")
+    d2 = (F.col("old_x") - F.col("new_x")) ** 2 + (F.col("old_y") - F.col("new_y")) ** 2
+    pairs = side("old").join(around, ["old", "new", "axis", "bx", "by"]).filter(d2 < reach**2)
+    farther = F.col("old_far") > F.col("new_far")
+    gone = pairs.select(F.when(farther, F.col("old")).otherwise(F.col("new")).alias("tile"), F.when(farther, F.col("old_cell")).otherwise(F.col("new_cell")).alias("cell_barcode")).distinct()
+    return cells.join(gone, ["tile", "cell_barcode"], "left_anti")
+
+
 def cells_in_box(cells: DataFrame, x0: float, x1: float, y0: float, y1: float, inclusive: bool = True) -> DataFrame:
     x, y = F.col("x"), F.col("y")
     return cells.filter(x.between(x0, x1) & y.between(y0, y1)) if inclusive else cells.filter((x > x0) & (x < x1) & (y > y0) & (y < y1))

@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from tessella.functions.rounding import saturate
 from tessella.operators.blocks import PLACE, Block, by_block, moved
 from tessella.operators.graph import checkpointed, components
+from tessella.operators.nearest import nearest
 
 CHANNEL = ["fov", "round_no", "channel"]
 #: The greatest number of a pixel type.
 TOP = {"uint8": 255, "uint16": 65535}
 SKIPPED_ROUND = 11
+#: Frequencies of a slice that go together to the transform along z.
+FREQUENCIES = 4096
 
 
 def level_counts(voxels: DataFrame, dims: DataFrame, keys: list[str] = CHANNEL) -> DataFrame:
@@ -126,37 +129,62 @@ def binarize(voxels: DataFrame, threshold: float) -> DataFrame:
 def sample_grid_nearest(mask: DataFrame, spots: DataFrame, every: int, reach: int) -> DataFrame:
     """Mask pixels on a grid (coordinates from 0) with the value of the nearest spot within reach, the smaller spot_id on a tie; null without one."""
     grid = mask.filter((F.col("x") % every == 0) & (F.col("y") % every == 0)).select("fov", "x", "y").distinct()
-    step = F.array(*map(F.lit, (-1, 0, 1)))
-    cell = lambda c: F.floor(F.col(c) / reach)
-    near = spots.select("fov", "spot_id", F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("value").alias("v"), cell("x").alias("cx"), cell("y").alias("cy"))
-    near = near.withColumn("bx", F.explode(F.transform(step, lambda s: F.col("cx") + s))).withColumn("by", F.explode(F.transform(step, lambda s: F.col("cy") + s)))
-    d2 = (F.col("x") - F.col("sx")) ** 2 + (F.col("y") - F.col("sy")) ** 2
-    met = grid.withColumns({"bx": cell("x"), "by": cell("y")}).join(near, ["fov", "bx", "by"]).filter(d2 <= reach**2)
-    return grid.join(met.groupBy("fov", "x", "y").agg(F.min_by("v", F.struct(d2, "spot_id")).alias("value")), ["fov", "x", "y"], "left")
+    return nearest(grid, spots.select("fov", "spot_id", "x", "y", "value"), ["fov"], [], reach, ["value"], ["spot_id"], strict=False)
 
 
 def estimate_shift(merged: DataFrame, reference: int, nx: int, ny: int, nz: int) -> DataFrame:
     """(fov, round_no, dx, dy, dz, score): the shift with the greatest circular cross-correlation with the reference round, over all shifts of the volume.
 
-    Shifts beyond half the volume count backwards; ties go to the first in column-major order of (y, x, z). A round's volume and the reference's are one
-    task, some forty bytes a voxel: their size is the microscope's, whatever the number of fields of view. Sums are exact up to 2**50.
+    Shifts beyond half the volume count backwards; ties go to the first in column-major order of (y, x, z). Sums are exact up to 2**50. A
+    field without the reference round correlates with nothing: shift 0, score 0.
+
+    The three-dimensional transform goes over two exchanges: slices are transformed in one group each and cut into blocks of frequencies; a block's slices of
+    all rounds meet for the transform along z, the product and the way back; then each slice of the correlation is put together again, and has one
+    best place. No group holds more than a slice, or a block of FREQUENCIES over all slices and rounds.
     """
-    fixed = merged.filter(F.col("round_no") == reference).select("fov", *PLACE, "value")
-    rounds = merged.filter(F.col("round_no") != reference).select("fov", "round_no").distinct()
-    both = merged.filter(F.col("round_no") != reference).select("fov", "round_no", *PLACE, "value", F.lit(0).alias("side")).unionByName(fixed.join(rounds, "fov").select("fov", "round_no", *PLACE, "value", F.lit(1).alias("side")))
     kinds = dict(merged.dtypes)
+    keys = f"fov {kinds['fov']}, round_no {kinds['round_no']}"
+    columns = ny // 2 + 1
+
+    def cut(fov, round_no, z: int, plane: np.ndarray) -> pa.Table:
+        parts = [plane[a : a + FREQUENCIES].tobytes() for a in range(0, len(plane), FREQUENCIES)]
+        n = len(parts)
+        return pa.table({"fov": pa.array([fov.as_py()] * n, fov.type), "round_no": pa.array([round_no.as_py()] * n, round_no.type), "z": pa.array([z] * n, pa.int32()), "block": pa.array(np.arange(n, dtype=np.int32)), "part": pa.array(parts, pa.binary())})
+
+    def spectrum(table: pa.Table) -> pa.Table:
+        plane = np.zeros((nx, ny))
+        plane[table["x"].to_numpy() - 1, table["y"].to_numpy() - 1] = table["value"].to_numpy()
+        return cut(table["fov"][0], table["round_no"][0], table["z"][0].as_py() - 1, np.fft.rfft2(plane).ravel())
+
+    def product(table: pa.Table) -> pa.Table:
+        numbers, z, parts = table["round_no"].to_numpy(), table["z"].to_numpy(), table["part"]
+        size = len(parts[0].as_py()) // 16
+
+        def along_z(number) -> np.ndarray:
+            volume = np.zeros((nz, size), np.complex128)
+            for i in np.flatnonzero(numbers == number):
+                volume[z[i]] = np.frombuffer(parts[int(i)].as_buffer(), np.complex128)
+            return np.fft.fft(volume, axis=0)
+
+        fixed, others = along_z(reference), [k for k in np.unique(numbers) if k != reference]
+        back = [np.fft.ifft(fixed * np.conj(along_z(k)), axis=0) for k in others]
+        rounds = pa.array(np.repeat(np.array(others, numbers.dtype), nz)).cast(table.schema.field("round_no").type)
+        n = len(rounds)
+        return pa.table({"fov": pa.array([table["fov"][0].as_py()] * n, table.schema.field("fov").type), "round_no": rounds, "z": pa.array(np.tile(np.arange(nz, dtype=np.int32), len(others))), "block": pa.array([table["block"][0].as_py()] * n, pa.int32()), "part": pa.array([row.tobytes() for b in back for row in b], pa.binary())})
 
     def best(table: pa.Table) -> pa.Table:
-        volume = np.zeros((2, nz, nx, ny))
-        at = {c: table[c].to_numpy() for c in (*PLACE, "value", "side")}
-        volume[at["side"], at["z"] - 1, at["x"] - 1, at["y"] - 1] = at["value"]
-        score = np.rint(np.fft.irfftn(np.fft.rfftn(volume[1]) * np.conj(np.fft.rfftn(volume[0])), volume[0].shape))
+        parts = table.sort_by("block")["part"]
+        plane = np.concatenate([np.frombuffer(p.as_buffer(), np.complex128) for p in parts]).reshape(nx, columns)
+        score = np.rint(np.fft.irfft2(plane, (nx, ny))).ravel()
         k = int(score.argmax())
-        z, x, y = np.unravel_index(k, score.shape)
-        back = lambda d, n: int(d - n if d > n // 2 else d)
-        return pa.table({"fov": table["fov"][:1], "round_no": table["round_no"][:1], "dx": pa.array([back(x, nx)], pa.int32()), "dy": pa.array([back(y, ny)], pa.int32()), "dz": pa.array([back(z, nz)], pa.int32()), "score": pa.array([int(score.flat[k])], pa.int64())})
-
-    return both.groupBy("fov", "round_no").applyInArrow(best, f"fov {kinds['fov']}, round_no {kinds['round_no']}, dx int, dy int, dz int, score long")
+        return pa.table({"fov": table["fov"][:1], "round_no": table["round_no"][:1], "z": table["z"][:1], "at": pa.array([k], pa.int64()), "score": pa.array([int(score[k])], pa.int64())})
+
+    spectra = merged.select("fov", "round_no", *PLACE, "value").groupBy("fov", "round_no", "z").applyInArrow(spectrum, f"{keys}, z int, block int, part binary")
+    correlated = spectra.groupBy("fov", "block").applyInArrow(product, f"{keys}, z int, block int, part binary")
+    tops = correlated.groupBy("fov", "round_no", "z").applyInArrow(best, f"{keys}, z int, at long, score long")
+    top = tops.groupBy("fov", "round_no").agg(F.max(F.struct("score", -F.col("z"), -F.col("at"))).alias("t")).select("fov", "round_no", "t.score", (-F.col("t.col2")).alias("z"), (-F.col("t.col3")).alias("at"))
+    back = lambda c, n: F.when(c > n // 2, c - n).otherwise(c).cast("int")
+    return top.select("fov", "round_no", back(F.floor(F.col("at") / ny), nx).alias("dx"), back(F.col("at") % ny, ny).alias("dy"), back(F.col("z"), nz).alias("dz"), "score")
 
 
 def apply_shift(voxels: DataFrame, shifts: DataFrame, nx: int, ny: int, nz: int, flat: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.functions.colours import PAIR_COLOURS, clean_gene, decode_colours, decode_omics, digits
+from tessella.functions.colours import PAIR_COLOURS, clean_gene, decode_colours, decode_omics, digits, encode_bases
 from tessella.operators import decode as d
 from tessella.plans.catalog import query
 
@@ -70,6 +70,22 @@ def bright_reads(c):
     return d.filter_intensity(d.filter_quality(_reads(c)), top, 1, 60).select("fov", "spot_id", "colorseq")
 
 
+@query("colour_sums", sql="SELECT fov, spot_id, round_no, round(c1 / n, 9) AS v1, round(c2 / n, 9) AS v2, round(c3 / n, 9) AS v3 FROM (SELECT *, sqrt((c1 * c1 + c2 * c2 + c3 * c3)::DOUBLE) + 0.000001::DOUBLE AS n FROM colour_sums)")
+def colour_vectors(c):
+    """R3."""
+    v = d.colour_vectors(c.select("fov", "spot_id", "round_no", F.array("c1", "c2", "c3").alias("sums")))
+    return v.select("fov", "spot_id", "round_no", *[F.round(F.get("vector", F.lit(k)), 9).alias(f"v{k + 1}") for k in range(3)])
+
+
+_LEICA = "string_agg(coalesce(CASE substr(sequence, i, 2) " + " ".join(f"WHEN '{p}' THEN '{c}'" for p, c in PAIR_COLOURS["Leica_rj"].items()) + " END, '-'), '' ORDER BY i)"
+
+
+@query("codebook", sql=f"SELECT row_no, nullif(CASE WHEN contains({_LEICA}, '-') THEN '' ELSE {_LEICA} END, '') AS code FROM (SELECT row_no, sequence, unnest(range(1, length(sequence)))::INT AS i FROM codebook) GROUP BY row_no")
+def leica_codes(b):
+    """R9 by the other instrument's colours."""
+    return b.select("row_no", encode_bases(F.col("sequence"), "Leica_rj").alias("code"))
+
+
 @query("codebook", sql=f"WITH {_BOOK} SELECT row_no, gene, barcode FROM book")
 def codebook_plain(b):
     """R9, R13."""

@@ -14,15 +14,18 @@ from tessella.plans import space_queries as sq
 from tessella.plans.catalog import query
 from tessella.sources import readers, writers
 
-_N = lambda p, k=1: f"coalesce(try_cast(replace(regexp_extract(text, '{p}', {k}), ',', '') AS BIGINT), 0)"
-_D = lambda p, k=1: f"coalesce(try_cast(regexp_extract(text, '{p}', {k}) AS DOUBLE), 0.0::DOUBLE)"
-_S = r"([\d\.]+) \[(\d+) / (\d+)\]" + g.PERCENT
-_BELOW = _S + g.BELOW + r"[^ ]+\n"
-_VALID = _S + g.BELOW + ".* " + g.OF_VALID
-_ABOVE = _S + g.ABOVE
-_POS = g.FOLDER + r":\s*(Position\d+)"
-_ROWS = f"""r AS (SELECT submit, task_id, regexp_extract(text, '{_POS}', 1) AS fov, {_N(_BELOW, 3)} AS spots, {_N(g.MAX_COLOUR.replace('.', '[.]') + r'\s+(\d+)\s')} AS crosstalk, {_N(_BELOW, 2)} AS qc, {_N(_VALID, 2)} AS valid_qc, {_N(_VALID, 3)} AS valid_spots,
-  {_N(_ABOVE, 2)} AS intensity_qc, {_D(_ABOVE)} AS intensity_ratio, {_N(_S + g.SEQ_D, 2)} AS seqd, {_N(_S + g.SEQ_F, 2)} AS seqf, {_D(_S + g.SEQ_D)} AS seqd_share, {_D(_S + g.SEQ_F)} AS seqf_share, {_N(_S + g.SEQ_END, 2)} AS seq_end, {_N(_S + g.IN_BOOK, 2)} AS strict FROM logs)"""
+#: SQL: logs by line; the kind of a line is the first phrase list that it holds, and numbers are taken by their place in it.
+_LINES = """cut AS (SELECT submit, task_id, string_split(text, chr(10)) AS ls FROM logs), lines AS (SELECT submit, task_id, trim(unnest(ls)) AS line, unnest(range(len(ls))) AS place FROM cut),
+  fovs AS (SELECT submit, task_id, trim(split_part(line, ':', 2)) AS fov FROM lines WHERE contains(line, '{}'))""".format(g.FOLDER)
+_KINDS = {"valid": (g.BELOW, g.OF_VALID), "below": (g.BELOW,), "above": (g.ABOVE,), "d": (g.SEQ_D,), "f": (g.SEQ_F,), "last": (g.SEQ_END,), "book": (g.IN_BOOK,)}
+_KIND = "CASE " + " ".join("WHEN " + " AND ".join(f"contains(line, '{p}')" for p in (g.PERCENT, *v)) + f" THEN '{k}'" for k, v in _KINDS.items()) + " END"
+_PICK = lambda kind, column, t="BIGINT": f"coalesce(arg_min({column}, place) FILTER (kind = '{kind}'), 0)::{t}"
+_ROWS = f"""{_LINES}, kinds AS (
+    SELECT *, {_KIND} AS kind, try_cast(split_part(line, ' [', 1) AS DOUBLE) AS share, try_cast(split_part(split_part(line, '[', 2), ' / ', 1) AS BIGINT) AS part, try_cast(split_part(split_part(line, ']', 1), ' / ', 2) AS BIGINT) AS whole,
+      CASE WHEN line = '{g.MAX_COLOUR}' THEN try_cast(lead(line) OVER (PARTITION BY submit, task_id ORDER BY place) AS BIGINT) END AS mixed FROM lines),
+  r AS (SELECT submit, task_id, coalesce(any_value(fov), '') AS fov, {_PICK('below', 'whole')} AS spots, coalesce(max(mixed), 0) AS crosstalk, {_PICK('below', 'part')} AS qc, {_PICK('valid', 'part')} AS valid_qc, {_PICK('valid', 'whole')} AS valid_spots,
+    {_PICK('above', 'part')} AS intensity_qc, {_PICK('above', 'share', 'DOUBLE')} AS intensity_ratio, {_PICK('d', 'part')} AS seqd, {_PICK('f', 'part')} AS seqf, {_PICK('d', 'share', 'DOUBLE')} AS seqd_share, {_PICK('f', 'share', 'DOUBLE')} AS seqf_share,
+    {_PICK('last', 'part')} AS seq_end, {_PICK('book', 'part')} AS strict FROM kinds LEFT JOIN fovs USING (submit, task_id) GROUP BY submit, task_id)"""
 _R = lambda a, b, n: f"round(CASE WHEN {b} <> 0 THEN {a} / {b} ELSE 0 END, 9) AS {n}"
 
 
@@ -34,21 +37,27 @@ def decoding_records(logs):
     return r.select(*[F.round(c, 9).alias(c) if c.endswith("_ratio") and c != "intensity_ratio" or c == "strict_vs_end" else F.col(c) for c in r.columns])
 
 
-@query("logs", sql=rf"SELECT submit, regexp_extract(text, '{_POS}', 1) AS fov, regexp_extract(text, '{g.METHOD}\s+(\S+)', 1) AS method, {_N(g.REFERENCE + r'\s+(\d+)')} AS reference_round, {_D(g.THRESHOLD + r'\s+([\d\.eE+-]+)')} AS threshold, {_N(g.FOUND + r'\w+:\s+(\d+)')} AS spots FROM logs WHERE regexp_extract(text, '{_POS}', 1) <> ''")
+_TAIL = lambda phrase, after=":": f"trim(split_part(any_value(line) FILTER (contains(line, '{phrase}')), '{after}', 2))"
+
+
+@query("logs", sql=f"""WITH {_LINES} SELECT submit, any_value(fov) AS fov, {_TAIL(g.METHOD, g.METHOD)} AS method, {_TAIL(g.REFERENCE)}::BIGINT AS reference_round, {_TAIL(g.THRESHOLD)}::DOUBLE AS threshold, {_TAIL(g.FOUND)}::BIGINT AS spots
+  FROM lines JOIN fovs USING (submit, task_id) GROUP BY submit, task_id""")
 def spot_finding_records(logs):
     """L2."""
     return g.parse_spot_finding(logs)
 
 
-@query("logs", sql=rf"SELECT submit, regexp_extract(text, '{g.STACK} .*/(Position\d+)/', 1) AS fov, {_N(g.RAW_CELLS + r' (\d+)')} AS raw_cells, {_N(g.RAW_AREA + r' ([\d,]+)')} AS raw_area, {_N(g.LEFT_AREA + r' ([\d,]+)')} AS filtered_area, {_D(g.AREA_SHARE + r' ([\d\.]+)%')} AS reduction, {_N(g.LEFT_CELLS + r' (\d+)')} AS cells, {_N(r'\(Removed (\d+)\)')} AS removed FROM logs")
+@query("logs", sql=f"""WITH {_LINES} SELECT submit, list_filter(string_split({_TAIL(g.STACK)}, '/'), lambda p: starts_with(p, 'Position'))[-1] AS fov, {_TAIL(g.RAW_CELLS)}::BIGINT AS raw_cells, replace({_TAIL(g.RAW_AREA)}, ',', '')::BIGINT AS raw_area,
+  replace({_TAIL(g.LEFT_AREA)}, ',', '')::BIGINT AS filtered_area, rtrim({_TAIL(g.AREA_SHARE)}, '%')::DOUBLE AS reduction, split_part({_TAIL(g.LEFT_CELLS)}, ' ', 1)::BIGINT AS cells, rtrim(split_part({_TAIL(g.LEFT_CELLS)}, ' ', 3), ')')::BIGINT AS removed
+  FROM lines GROUP BY submit, task_id""")
 def segmentation_records(logs):
     """L3."""
     return g.parse_segmentation(logs)
 
 
-_ROUND = lambda k: rf"Round {k} vs\. Round (\d+) finished \[time=([0-9.]+)\]\s+Shifted by ([\-0-9]+) ([\-0-9]+) ([\-0-9]+)"
-_ONE = lambda k: f"SELECT submit, regexp_extract(text, '{_POS}', 1) AS fov, 'Round{k}' AS round_name, " + ", ".join(f"regexp_extract(text, '{_ROUND(k)}', {i}) AS g{i}" for i in range(1, 6)) + " FROM logs"
-_SHIFTS = rf"""s AS ({_ONE(2)} UNION ALL {_ONE(3)}), shifts AS (SELECT submit, fov, regexp_extract(fov, '(\d+)$', 1)::BIGINT AS position_number, round_name, 'Round' || g1 AS reference_round, g2::DOUBLE AS time, g3::INT AS dx, g4::INT AS dy, g5::INT AS dz FROM s WHERE fov <> '')"""
+_SHIFTS = f"""{_LINES}, pairs AS (SELECT submit, task_id, string_split(line, ' ') AS a, string_split(lead(line) OVER (PARTITION BY submit, task_id ORDER BY place), ' ') AS b FROM lines),
+  shifts AS (SELECT submit, fov, substr(fov, 9)::BIGINT AS position_number, 'Round' || a[2] AS round_name, 'Round' || a[5] AS reference_round, rtrim(split_part(a[7], '=', 2), ']')::DOUBLE AS time, b[3]::INT AS dx, b[4]::INT AS dy, b[5]::INT AS dz
+    FROM pairs JOIN fovs USING (submit, task_id) WHERE a[1] = 'Round' AND b[1] = 'Shifted')"""
 
 
 @query("logs", sql=f"WITH {_SHIFTS} SELECT * FROM shifts")
@@ -70,8 +79,13 @@ _COLUMNS = [f"S{a}__Round{b}" for a in (0, 1, 2) for b in (2, 3)]
 @query("logs", sql=f"WITH {_SHIFTS} SELECT fov, " + ", ".join(f"max(dx) FILTER (submit = '{c[:2]}' AND round_name = '{c[4:]}') AS \"{c}\"" for c in _COLUMNS) + " FROM shifts GROUP BY fov")
 def shift_matrix(logs):
     """All columns, by submission and round."""
-    shifts = g.parse_shifts(logs)
-    return g.summarise_shift(shifts, "dx", [r["column"] for r in g.shift_columns(shifts).collect()])
+    return g.summarise_shift(g.parse_shifts(logs), "dx", _COLUMNS)
+
+
+@query("logs", sql=f"WITH {_SHIFTS} SELECT DISTINCT submit || '__' || round_name AS \"column\", submit, substr(round_name, 6)::BIGINT AS n FROM shifts")
+def shift_columns(logs):
+    """The columns that a matrix has."""
+    return g.shift_columns(g.parse_shifts(logs))
 
 
 _METRICS = ["qc", "strict", "crosstalk", "spots", "valid_qc", "intensity_ratio", "seqd", "seqf_share"]
@@ -91,6 +105,29 @@ def missing_runs(logs, supplier):
     return g.missing_tasks(tasks, _done(logs), ["fov", "ic"]).select("fov", "ic")
 
 
+_LEVELS = {"ic": [7.5, 10.0, 12.5], "ipf": [0.2, 0.4], "icr": [1.0, 2.0, 3.0, 4.0]}
+_DESIGN = ", ".join(f"[{', '.join(f'{v!r}::DOUBLE' for v in vs)}][(row_number() OVER (ORDER BY md5('5|{n}|' || run), run) - 1) % {len(vs)} + 1] AS {n}" for n, vs in _LEVELS.items())
+
+
+@query("orders", sql=f"WITH runs AS (SELECT o_orderkey AS run FROM orders) SELECT run, {_DESIGN} FROM runs")
+def design_table(orders):
+    """A run for every order, each parameter's levels dealt along its own order."""
+    return g.level_design(orders.select(F.col("o_orderkey").alias("run")), _LEVELS, 5)
+
+
+@query("logs", sql="SELECT submit, task_id % 20 AS task_id, count(*) AS logs, sum(len(string_split(text, chr(10))) - 1)::BIGINT AS n_lines, sum(len(text))::BIGINT AS n_chars FROM logs GROUP BY ALL")
+def whole_logs(logs):
+    """Logs in files of a submission and a task each, read whole."""
+    folder = shared_folder(logs.sparkSession, "logs")
+    short = F.substring("text", F.lit(1), F.length("text") - 1)
+    parted = logs.select("submit", (F.col("task_id") % 20).alias("task_id"), short.alias("text"))
+    parted.repartition("submit", "task_id").write.partitionBy("submit", "task_id").text(folder)
+    whole = readers.read_logs(logs.sparkSession, folder, "*/*/*.txt", r"submit=([^/]+)/", r"task_id=(\d+)/")
+    lines = F.split("text", "\n")
+    begin = F.size(F.filter(lines, lambda x: F.startswith(x, F.lit("Method:"))))
+    return whole.groupBy("submit", "task_id").agg(F.sum(begin).alias("logs"), F.sum(F.size(lines) - 1).alias("n_lines"), F.sum(F.length("text")).alias("n_chars"))
+
+
 def _done(logs):
     """Parameter and field of view of every log; the submission's number tells the parameter."""
     level = F.regexp_extract("submit", r"S(\d)", 1).cast("int") % 2
@@ -122,6 +159,15 @@ def spot_files(spots):
     return readers.read_spots(spots.sparkSession, folder).select("fov", "x", "y", "z", "intensity", "addition", "channel")
 
 
+@query("spots", sql="SELECT fov::VARCHAR AS fov, x, y, z, intensity::DOUBLE AS intensity, round(intensity / 64.0::DOUBLE, 6) AS probability, channel FROM spots")
+def outside_spot_files(spots):
+    """An outside finder's files, whose fifth column is a probability."""
+    folder = shared_folder(spots.sparkSession, "spots")
+    rows = spots.select("x", "y", "z", F.col("intensity").cast("double").alias("intensity"), F.round(F.col("intensity") / 64, 6).alias("probability"), "channel", F.concat(F.lit("Position"), F.col("fov").cast("string")).alias("at"))
+    rows.write.partitionBy("at").option("header", True).csv(folder)
+    return readers.read_spots(spots.sparkSession, folder, "external").select("fov", "x", "y", "z", "intensity", "probability", "channel")
+
+
 _WIDE = ", ".join(
     f"0 AS round{r:03d}_centerMax, " + ", ".join(f"max(c{c}) FILTER (round_no = {r}) AS round{r:03d}_NeighborSum_ch{c}" for c in (1, 2, 3)) + f", max(greatest(c1, c2, c3)) FILTER (round_no = {r}) AS round{r:03d}_NeighborSum_chMax"
     for r in range(1, 6)

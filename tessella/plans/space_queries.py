@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tessella.functions.colours import clean_gene
 from tessella.operators import cells as c
 from tessella.operators import tiles as t
+from tessella.operators.graph import shared_folder
 from tessella.plans.catalog import query
+from tessella.sources import readers, writers
 
 SIZE = 2048
 _GENE = "regexp_replace(gene_name, '(_rbRNA|_ntRNA)$', '')"
@@ -108,15 +110,31 @@ def nearest_cells(reads, cells):
     return t.resolve_multi_assign(assigned.filter("cell_barcode % 1000 < 900"), cells.select(name(F.col("raw")).alias("cell_barcode"), "x", "y", "z"))
 
 
-_TWINS = "a AS (SELECT raw + tile * 100000 AS id, * FROM cells WHERE tile % 2 = 0), b AS (SELECT raw + tile * 100000 AS id, * FROM cells WHERE tile % 2 = 1), p AS (SELECT a.id AS o, b.id AS n, abs(a.x - 500) > abs(b.x - 500) AS far FROM a JOIN b ON a.x BETWEEN 0 AND 1000 AND b.x BETWEEN 0 AND 1000 AND power(a.x - b.x, 2) + power(a.y - b.y, 2) < power(204.8 / 4, 2))"
+_TWINS = """strips AS (
+  SELECT a.tile AS old, b.tile AS new, 'x' AS axis, b.x AS low, a.x + 2048 AS high FROM tiles a JOIN tiles b ON b.column_index = a.column_index + 1 AND b.row_index = a.row_index
+  UNION ALL SELECT a.tile, b.tile, 'y', b.y, a.y + 2048 FROM tiles a JOIN tiles b ON b.column_index = a.column_index AND b.row_index = a.row_index + 1
+), g AS (SELECT c.tile, c.raw, c.x + t.x AS x, c.y + t.y AS y FROM cells c JOIN tiles t USING (tile)),
+sides AS (SELECT s.*, g.tile, g.raw, g.x, g.y, abs(CASE WHEN axis = 'x' THEN g.x ELSE g.y END - (low + high) / 2.0) AS far FROM strips s JOIN g ON g.tile IN (s.old, s.new) WHERE CASE WHEN axis = 'x' THEN g.x ELSE g.y END BETWEEN low AND high),
+pairs AS (SELECT o.tile AS o_tile, o.raw AS o_raw, n.tile AS n_tile, n.raw AS n_raw, o.far > n.far AS older FROM sides o JOIN sides n ON o.old = n.old AND o.new = n.new AND o.axis = n.axis AND o.tile = o.old AND n.tile = n.new
+  WHERE power(o.x - n.x, 2) + power(o.y - n.y, 2) < power(204.8, 2)),
+gone AS (SELECT o_tile AS tile, o_raw AS raw FROM pairs WHERE older UNION SELECT n_tile, n_raw FROM pairs WHERE NOT older)"""
 
 
-@query("cells", sql=f"WITH {_TWINS} SELECT id AS cell_barcode, x, y, 'old' AS side FROM a WHERE id NOT IN (SELECT o FROM p WHERE far) UNION ALL SELECT id, x, y, 'new' FROM b WHERE id NOT IN (SELECT n FROM p WHERE NOT far)")
-def twin_cells(cells):
-    """T27."""
-    named = cells.select((F.col("raw") + F.col("tile") * 100000).alias("cell_barcode"), "x", "y", "tile")
-    old, new = t.drop_twin_cells(named.filter("tile % 2 = 0").drop("tile"), named.filter("tile % 2 = 1").drop("tile"), 0, 1000, 512)
-    return old.withColumn("side", F.lit("old")).unionByName(new.withColumn("side", F.lit("new")))
+@query("cells", "tiles", sql=f"WITH {_TWINS} SELECT tile, raw, x, y FROM g WHERE (tile, raw) NOT IN (SELECT (tile, raw) FROM gone)")
+def twin_cells(cells, tiles):
+    """Over the seams of the whole mosaic."""
+    at = t.to_global(cells.select("tile", F.col("raw").alias("cell_barcode"), "x", "y"), tiles)
+    left = t.drop_twins(at.select("tile", "cell_barcode", F.col("column").alias("x"), F.col("row").alias("y")), tiles, SIZE)
+    return left.withColumnRenamed("cell_barcode", "raw")
+
+
+@query("cells", sql="WITH a AS (SELECT * FROM cells WHERE tile % 2 = 0 AND x BETWEEN 0 AND 400), b AS (SELECT * FROM cells WHERE tile % 2 = 1 AND x BETWEEN 0 AND 400), p AS (SELECT a.tile AS ot, a.raw AS o_raw, b.tile AS nt, b.raw AS n_raw, abs(a.x - 200) > abs(b.x - 200) AS far FROM a JOIN b ON a.tile + 1 = b.tile AND power(a.x - b.x, 2) + power(a.y - b.y, 2) < power(51.2, 2)) SELECT tile, raw FROM a WHERE (tile, raw) NOT IN (SELECT (ot, o_raw) FROM p WHERE far) UNION ALL SELECT tile, raw FROM b WHERE (tile, raw) NOT IN (SELECT (nt, n_raw) FROM p WHERE NOT far)")
+def strip_twins(cells):
+    """T27 for a strip that is the same in each pair of tiles: pairs lie far apart on the other axis."""
+    low = cells.filter("x between 0 and 400").withColumn("pair", F.floor(F.col("tile") / 2))
+    named = low.select((F.col("raw") + F.col("tile") * 1000).cast("long").alias("cell_barcode"), "x", (F.col("y") + F.col("pair") * 10000).alias("y"), "tile")
+    old, new = t.drop_twin_cells(named.filter("tile % 2 = 0").drop("tile"), named.filter("tile % 2 = 1").drop("tile"), 0, 400, 512)
+    return old.unionByName(new).select(F.floor(F.col("cell_barcode") / 1000).cast("int").alias("tile"), (F.col("cell_barcode") % 1000).cast("int").alias("raw"))
 
 
 @query("cells", sql="SELECT tile, raw, x, y, z FROM cells WHERE x > 100 AND x < 900 AND y > 100 AND y < 900")
@@ -155,6 +173,17 @@ def tile_grid(tiles):
     return t.logical_grid(tiles, 300)
 
 
+@query("slides", sql="""WITH RECURSIVE places AS (SELECT DISTINCT slide, 'x' AS axis, x::DOUBLE AS c FROM slides UNION SELECT DISTINCT slide, 'y', y FROM slides), o AS (SELECT *, row_number() OVER (PARTITION BY slide, axis ORDER BY c) AS k FROM places),
+  f AS (SELECT slide, axis, k, c AS total, 1 AS n, 0 AS g FROM o WHERE k = 1 UNION ALL
+    SELECT o.slide, o.axis, o.k, CASE WHEN o.c - f.total / f.n <= 300 THEN f.total + o.c ELSE o.c END, CASE WHEN o.c - f.total / f.n <= 300 THEN f.n + 1 ELSE 1 END, CASE WHEN o.c - f.total / f.n <= 300 THEN f.g ELSE f.g + 1 END
+    FROM f JOIN o ON o.slide = f.slide AND o.axis = f.axis AND o.k = f.k + 1),
+  centres AS (SELECT slide, axis, g, arg_max(total / n, k) AS m FROM f GROUP BY slide, axis, g)
+  SELECT s.slide, s.tile, (SELECT min(g) FROM centres c WHERE c.slide = s.slide AND c.axis = 'x' AND abs(s.x - c.m) <= 300) AS column_index, (SELECT min(g) FROM centres c WHERE c.slide = s.slide AND c.axis = 'y' AND abs(s.y - c.m) <= 300) AS row_index FROM slides s""")
+def slide_grids(slides):
+    """T13 over several slides whose coordinates drift, so that groups are told apart by their running means."""
+    return t.logical_grid(slides, 300, ("slide",))
+
+
 @query("tiles", sql="SELECT tile, x, y, x + 1024.0::DOUBLE AS center_x_px, y + 1024.0::DOUBLE AS center_y_px, 2048 AS width_px, 2048 AS height_px FROM tiles")
 def tile_summaries(tiles):
     """T11."""
@@ -228,6 +257,36 @@ def raster_tiles(tiles):
     return _scanned(tiles, "R", "D", "R")
 
 
+def _scan_sql(scan: str, primary: str, secondary: str) -> str:
+    """A cell's position: the lines before its own, and its place in its line, turned in every other line of a snake."""
+    outer, inner, lines, n = ("r", "k", 5, "c") if primary in "LR" else ("k", "r", "c", 5)
+    line = f"({lines} - 1 - {outer})" if secondary in "UL" else outer
+    back = primary in "LU"
+    ahead, behind = (f"({n} - 1 - {inner})", inner) if back else (inner, f"({n} - 1 - {inner})")
+    place = f"CASE WHEN {outer} % 2 = 1 THEN {behind} ELSE {ahead} END" if scan == "S" else ahead
+    return f"SELECT '{scan}{primary}{secondary}' AS mode, tile, ({line} * {n} + {place} + 1)::INT AS position FROM g"
+
+
+_MODES = [(s, p, q) for s in "SR" for p, q in (("R", "D"), ("R", "U"), ("L", "D"), ("L", "U"), ("D", "R"), ("D", "L"), ("U", "R"), ("U", "L"))]
+
+
+@query("tiles", sql="WITH n AS (SELECT max(column_index) + 1 AS c FROM tiles), g AS (SELECT tile, row_index AS r, column_index AS k, c FROM tiles, n) " + " UNION ALL ".join(_scan_sql(*m) for m in _MODES))
+def scan_modes(tiles):
+    """All sixteen modes."""
+    parts = [_scanned(tiles, *m).select(F.lit("".join(m)).alias("mode"), "tile", "position") for m in _MODES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("tiles", sql="SELECT tile, round((x * 0.65 - min(x * 0.65) OVER ()) / 0.65, 6) AS pos_x_px, round((y * 0.65 - min(y * 0.65) OVER ()) / 0.65, 6) AS pos_y_px FROM tiles")
+def stage_pixels_down(tiles):
+    """T8 with y as it is."""
+    stage = tiles.select("tile", (F.col("x") * 0.65).alias("phys_x"), (F.col("y") * 0.65).alias("phys_y"))
+    return t.stage_to_pixels(stage, 0.65).select("tile", F.round("pos_x_px", 6).alias("pos_x_px"), F.round("pos_y_px", 6).alias("pos_y_px"))
+
+
 @query("spots", sql="""WITH b AS (SELECT a.i * 90 + 1 AS x0, least(512, a.i * 90 + 100) AS x1, b.i * 90 + 1 AS y0, least(512, b.i * 90 + 100) AS y1 FROM range(6) a(i), range(6) b(i)) SELECT x0, y0, count(*) AS n FROM spots JOIN b ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 WHERE x1 - x0 + 1 >= 70 AND y1 - y0 + 1 >= 70 GROUP BY x0, y0""")
 def block_counts(spots):
     """Points of overlapping blocks, met through the block before and the block of each point."""
@@ -298,23 +357,31 @@ def rotated_reads(reads):
     return out
 
 
-@query("reads", sql=f"""WITH raw0 AS (SELECT read_id, gene_name, {_GENE} AS gene, x, y, z FROM reads), p AS (SELECT read_id AS id, gene, x + 2 AS x, y, z FROM raw0),
-  m AS (SELECT p.id, arg_min(r.gene_name, (power(p.x - r.x, 2) + power(p.y - r.y, 2), r.read_id)) AS full_name FROM p JOIN raw0 r ON r.gene = p.gene AND r.z = p.z AND power(p.x - r.x, 2) + power(p.y - r.y, 2) < 25 GROUP BY p.id)
+@query("reads", sql=f"""WITH raw0 AS (SELECT read_id, tile, gene_name, {_GENE} AS gene, x, y, z FROM reads), p AS (SELECT read_id AS id, tile, gene, x + 2 AS x, y, z FROM raw0),
+  m AS (SELECT p.id, arg_min(r.gene_name, (power(p.x - r.x, 2) + power(p.y - r.y, 2), r.read_id)) AS full_name FROM p JOIN raw0 r ON r.tile = p.tile AND r.gene = p.gene AND r.z = p.z AND power(p.x - r.x, 2) + power(p.y - r.y, 2) < 25 GROUP BY p.id)
   SELECT p.id, coalesce(full_name, p.gene) AS gene_name, full_name IS NOT NULL AS matched FROM p LEFT JOIN m USING (id)""")
 def restored_suffixes(reads):
-    """C11."""
-    raw = reads.select("gene_name", "x", "y", "z", F.col("read_id").alias("raw_order"))
-    done = reads.select(F.col("read_id").alias("id"), clean_gene(F.col("gene_name")).alias("gene"), (F.col("x") + 2).alias("x"), "y", "z")
+    """C11, every field of view by itself."""
+    raw = reads.select(F.col("tile").alias("fov"), "gene_name", "x", "y", "z", F.col("read_id").alias("raw_order"))
+    done = reads.select(F.col("tile").alias("fov"), F.col("read_id").alias("id"), clean_gene(F.col("gene_name")).alias("gene"), (F.col("x") + 2).alias("x"), "y", "z")
     return c.restore_suffix(done, raw, 5).select("id", "gene_name", "matched")
 
 
-_WINDOWS = "win AS (SELECT read_id, wx, wy FROM reads, range(0, 8) a(wx), range(0, 8) b(wy) WHERE wx BETWEEN greatest(0, floor((x - 30) / 300)) AND floor((x + 30) / 300) AND wy BETWEEN greatest(0, floor((y - 30) / 300)) AND floor((y + 30) / 300))"
+_WINDOWS = "win AS (SELECT read_id, tile, wx, wy FROM reads, range(0, 8) a(wx), range(0, 8) b(wy) WHERE wx BETWEEN greatest(0, floor((x - 30) / 300)) AND floor((x + 30) / 300) AND wy BETWEEN greatest(0, floor((y - 30) / 300)) AND floor((y + 30) / 300))"
 
 
-@query("reads", sql=f"WITH {_WINDOWS} SELECT read_id, wx::INT AS wx, wy::INT AS wy FROM win WHERE (wx, wy) IN (SELECT (wx, wy) FROM win GROUP BY wx, wy HAVING count(*) >= 80)")
+@query("reads", sql=f"WITH {_WINDOWS} SELECT read_id, tile AS fov, wx::INT AS wx, wy::INT AS wy FROM win WHERE (tile, wx, wy) IN (SELECT (tile, wx, wy) FROM win GROUP BY tile, wx, wy HAVING count(*) >= 14)")
 def full_windows(reads):
-    """C12, C13."""
-    return c.filter_small_windows(c.window_spots(reads, 300, 0.1), 80).select("read_id", "wx", "wy")
+    """A field of view is a tile."""
+    return c.filter_small_windows(c.window_spots(reads.withColumnRenamed("tile", "fov"), 300, 0.1), 14).select("read_id", "fov", "wx", "wy")
+
+
+@query("reads", sql="""WITH counts AS (SELECT tile, l, floor(x * pow(2, l) / 600)::INT AS wx, floor(y * pow(2, l) / 600)::INT AS wy, count(*) AS n FROM reads, range(0, 4) t(l) GROUP BY ALL),
+  leaves AS (SELECT a.*, 600 / pow(2, a.l) AS w, ceil(600 / pow(2, a.l) * 0.1) AS m FROM counts a LEFT JOIN counts p ON p.tile = a.tile AND p.l = a.l - 1 AND p.wx = a.wx // 2 AND p.wy = a.wy // 2 WHERE (a.l = 0 OR p.n > 12) AND (a.n <= 12 OR a.l = 3))
+  SELECT read_id, r.tile AS fov, l::INT AS level, wx, wy FROM reads r JOIN leaves v ON v.tile = r.tile AND wx BETWEEN floor((x - m) / w) AND floor((x + m) / w) AND wy BETWEEN floor((y - m) / w) AND floor((y + m) / w)""")
+def split_windows(reads):
+    """Windows of at most twelve reads of their own, split in four where they hold more."""
+    return c.split_windows(reads.select("read_id", F.col("tile").alias("fov"), "x", "y"), 600, 0.1, 12, 3).select("read_id", "fov", "level", "wx", "wy")
 
 
 @query("reads", sql=f"WITH {_WINDOWS}, p AS (SELECT read_id AS id, wx * 100 + wy AS w, (wx * 100 + wy) % 7 - 1 AS cluster FROM win) SELECT id, arg_min(cluster, w) AS first_cluster, arg_max(cluster, w) AS last_cluster FROM p GROUP BY id")
@@ -339,10 +406,30 @@ def centroids(reads):
     return c.cell_centroids(r).select("cell_barcode", *[F.round(a, 6).alias(a) for a in "xyz"], "n")
 
 
-@query("reads")
+#: A hull has an edge from a to b if every other point lies to its left, or on it between them.
+_HULLS = """WITH p AS (SELECT DISTINCT tile * 1000 + raw + 1 AS cell, x::DOUBLE AS x, y::DOUBLE AS y FROM reads),
+  e AS (SELECT a.cell, a.x, a.y FROM p a JOIN p b ON a.cell = b.cell AND (a.x <> b.x OR a.y <> b.y) JOIN p c ON c.cell = a.cell GROUP BY a.cell, a.x, a.y, b.x, b.y
+    HAVING bool_and((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) > 0 OR ((b.x - a.x) * (c.y - a.y) = (b.y - a.y) * (c.x - a.x) AND c.x BETWEEN least(a.x, b.x) AND greatest(a.x, b.x) AND c.y BETWEEN least(a.y, b.y) AND greatest(a.y, b.y))))
+  SELECT cell, x, y, count(*) OVER (PARTITION BY cell) AS corners FROM (SELECT DISTINCT * FROM e) QUALIFY corners > 2"""
+
+
+def _corners(rings):
+    open_ = rings.select("cell", F.slice("ring", 1, F.size("ring") - 1).alias("ring"))
+    return open_.select("cell", F.explode("ring").alias("p"), F.size("ring").cast("long").alias("corners")).select("cell", "p.x", "p.y", "corners")
+
+
+@query("reads", sql=_HULLS)
 def hulls(reads):
-    """C21, S15; tested against a brute-force version."""
-    return c.cell_hulls(reads.withColumn("cell_barcode", F.col("tile") * 1000 + F.col("raw") + 1))
+    """The corners of every cell."""
+    return _corners(c.cell_hulls(reads.withColumn("cell_barcode", F.col("tile") * 1000 + F.col("raw") + 1)))
+
+
+@query("reads", sql=_HULLS)
+def polygon_file(reads):
+    """Polygons written as JSON and read again."""
+    folder = shared_folder(reads.sparkSession, "polygons")
+    writers.write_polygons(c.cell_hulls(reads.withColumn("cell_barcode", F.col("tile") * 1000 + F.col("raw") + 1)), folder)
+    return _corners(readers.read_polygons(reads.sparkSession, folder))
 
 
 _EXTERNAL = "WITH k AS (SELECT raw + tile * 1000 AS cell, min(read_id) AS first FROM reads GROUP BY 1), n AS (SELECT cell, row_number() OVER (ORDER BY first, cell) - 1 AS cell_no FROM k), r AS (SELECT read_id, cell_no::INT AS cell_no, is_noise < 0 AS is_noise, round(x / 0.65, 6) AS x FROM reads JOIN n ON raw + tile * 1000 = cell)"

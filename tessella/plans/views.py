@@ -39,6 +39,10 @@ VIEWS = {
         SELECT cast(s_suppkey + 1 as int) AS tile, cast(floor(s_suppkey / 5) as int) AS column_index, cast(s_suppkey % 5 as int) AS row_index,
           cast(floor(s_suppkey / 5) * 1843 + s_suppkey * 37 % 40 as int) AS x, cast(s_suppkey % 5 * 1843 + s_suppkey * 53 % 40 as int) AS y
         FROM supplier""",
+    "slides": """
+        SELECT cast(floor(c_custkey / 60) as int) + 1 AS slide, cast(c_custkey % 60 as int) + 1 AS tile, cast(floor(c_custkey % 60 / 6) * 520 + c_custkey * 37 % 450 as int) AS x,
+          cast(c_custkey % 6 * 520 + c_custkey * 53 % 450 as int) AS y
+        FROM customer""",
     "cells": """
         SELECT cast(floor(c_custkey / 15) as int) + 1 AS tile, cast(c_custkey % 15 as int) AS raw, cast(c_custkey * 811 % 2048 as int) AS x,
           cast(c_custkey * 577 % 2048 as int) AS y, cast(c_custkey % 30 as int) AS z

@@ -68,11 +68,17 @@ def read_stage_positions(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.coalesce("_PositionName", "_PositionIdentifier").alias("name"), um("_XPos", "_PosX").alias("phys_x"), um("_YPos", "_PosY").alias("phys_y")).dropna(subset=["phys_x", "phys_y"])
 
 
-def read_logs(spark: SparkSession, root: str) -> DataFrame:
-    """(submit, task_id, text), one row for each root/<submit>/*_<task>.out."""
-    text = spark.read.text(f"{root}/*/*.out", wholetext=True)
+def read_logs(spark: SparkSession, root: str, files: str = "*/*.out", submit: str = r"([^/]+)/[^/]+$", task: str = r"_(\d+)\.out$") -> DataFrame:
+    """(submit, task_id, text), one row for each log file below root; submit and task are found in its path, a task without a number is 10**12."""
+    text = spark.read.text(f"{root}/{files}", wholetext=True)
     at = F.col("_metadata.file_path")
-    return text.select(F.regexp_extract(at, r"([^/]+)/[^/]+$", 1).alias("submit"), F.coalesce(F.nullif(F.regexp_extract(at, r"_(\d+)\.out$", 1), F.lit("")).try_cast("bigint"), F.lit(10**12)).alias("task_id"), F.col("value").alias("text"))
+    return text.select(F.regexp_extract(at, submit, 1).alias("submit"), F.coalesce(F.nullif(F.regexp_extract(at, task, 1), F.lit("")).try_cast("bigint"), F.lit(10**12)).alias("task_id"), F.col("value").alias("text"))
+
+
+def read_polygons(spark: SparkSession, path: str) -> DataFrame:
+    """(cell, ring) as write_polygons leaves them: a closed ring of at least three corners; others are skipped."""
+    rings = spark.read.json(path, schema="cell long, ring array<struct<x:double,y:double>>")
+    return rings.filter((F.size("ring") > 3) & (F.get("ring", F.lit(0)) == F.element_at("ring", -1)))
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:

@@ -2,14 +2,19 @@
 
 import itertools
 import math
+import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import colours as col
 from tessella.functions.rounding import half_even, half_up, saturate, truncate
 from tessella.operators import cells, decode, logs, spots, tiles, voxels
+from tessella.operators import nearest as nearest_module
 from tessella.operators.graph import components
+from tessella.operators.nearest import nearest, nearest_rows
 from tessella.plans.views import table
 from tessella.sources import readers, writers
 
@@ -191,9 +196,9 @@ def test_empty_tile_moves_no_offset(spark):
 
 
 def test_suffix_at_the_tolerance(spark):
-    raw = spark.createDataFrame([("g_rbRNA", 0, 0, 1, 2), ("g_ntRNA", 0, 0, 1, 1), ("h_rbRNA", 5, 0, 1, 3)], "gene_name string, x int, y int, z int, raw_order int")
-    done = spark.createDataFrame([(1, "g", 3, 0, 1), (2, "h", 0, 0, 1), (3, "g", 0, 0, 2)], "id int, gene string, x int, y int, z int")
-    assert {r["id"]: r["gene_name"] for r in cells.restore_suffix(done, raw, 5).collect()} == {1: "g_ntRNA", 2: "h", 3: "g"}
+    raw = spark.createDataFrame([(1, "g_rbRNA", 0, 0, 1, 2), (1, "g_ntRNA", 0, 0, 1, 1), (1, "h_rbRNA", 5, 0, 1, 3), (3, "k_rbRNA", 0, 0, 1, 4)], "fov int, gene_name string, x int, y int, z int, raw_order int")
+    done = spark.createDataFrame([(1, 1, "g", 3, 0, 1), (1, 2, "h", 0, 0, 1), (1, 3, "g", 0, 0, 2), (2, 4, "g", 0, 0, 1), (1, 5, "k", 0, 0, 1)], "fov int, id int, gene string, x int, y int, z int")
+    assert {r["id"]: r["gene_name"] for r in cells.restore_suffix(done, raw, 5).collect()} == {1: "g_ntRNA", 2: "h", 3: "g", 4: "g", 5: "k"}
 
 
 def test_hulls(spark):
@@ -214,8 +219,12 @@ def test_design_table(spark):
     assert logs.param_levels(10, 2, 3) == [8, 10, 12]
     full = logs.param_grid({"a": [1.0, 2.0], "b": [3.0, 4.0, 5.0]}, spark)
     assert full.count() == 6
-    some = logs.param_grid({"a": [1.0, 2.0], "b": [3.0, 4.0, 5.0]}, spark, samples=6)
-    assert some.groupBy("a").count().filter("count = 3").count() == 2
+    runs = spark.createDataFrame([(k,) for k in range(12)] + [(3,), (None,)], "run int")
+    some = {s: {r["run"]: (r["a"], r["b"]) for r in logs.level_design(runs, {"a": [1.0, 2.0], "b": [3.0, 4.0, 5.0]}, s).collect()} for s in (1, 2)}
+    for design in some.values():
+        assert set(design) == set(range(12))
+        assert sorted(a for a, _ in design.values()) == [1.0] * 6 + [2.0] * 6 and sorted(b for _, b in design.values()) == [3.0] * 4 + [4.0] * 4 + [5.0] * 4
+    assert some[1] != some[2]
 
 
 def test_sources(spark, tmp_path):
@@ -245,7 +254,8 @@ def test_sources(spark, tmp_path):
     assert [tuple(x) for x in readers.read_codebook(spark, str(tmp_path / "book/*.csv")).orderBy("row_no").collect()] == [(0, "a", "AAT"), (1, "b", "GGT")]
     hull = cells.cell_hulls(spark.createDataFrame([(1, 0, 0), (1, 1, 0), (1, 0, 1)], "cell_barcode int, x int, y int"))
     writers.write_polygons(hull, str(tmp_path / "poly"))
-    assert spark.read.json(str(tmp_path / "poly")).count() == 1
+    (tmp_path / "poly/part-more.json").write_text('{"cell":2,"ring":[{"x":0,"y":0}]}\n{"cell":3}\n')
+    assert [r["cell"] for r in readers.read_polygons(spark, str(tmp_path / "poly")).collect()] == [1]
 
 
 def test_blocks_meet_at_their_edges(spark):
@@ -273,7 +283,8 @@ def test_numbers_over_ranges(spark):
 def test_range_operators_use_equi_joins(spark):
     """No range or neighbourhood operator compares pair by pair."""
     s, vox, reads = (table(spark, SF, n) for n in ("spots", "voxels", "reads"))
-    ids = reads.select(F.col("read_id").alias("id"), F.col("gene_name").alias("gene"), "x", "y", "z")
+    reads = reads.withColumn("fov", F.col("tile"))
+    ids = reads.select("fov", F.col("read_id").alias("id"), F.col("gene_name").alias("gene"), "x", "y", "z")
     some = tiles.cells_in_box(table(spark, SF, "cells").withColumnRenamed("raw", "cell_barcode"), 0, 2000, 0, 2000)
     plans = [
         spots.count_close_pairs(s, 8), spots.extract_intensity(s, vox, (1, 1, 1), 3), cells.restore_suffix(ids, reads.withColumnRenamed("read_id", "raw_order"), 5), cells.window_spots(reads, 300, 0.1),
@@ -282,3 +293,138 @@ def test_range_operators_use_equi_joins(spark):
     for df in plans:
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_nearest_against_all_pairs(spark):
+    """Ties, bounds, blocks, negative and broken coordinates; fields and genes never meet others."""
+    rng = random.Random(8)
+    number = lambda: rng.choice([rng.randint(-15, 25), rng.randint(-15, 25) + 0.5])
+    left = [(i, rng.choice([1, 1, 2, None]), rng.choice(["g", "h", None]), float(number()), float(number())) for i in range(250)] + [(900, 1, "g", None, 1.0), (901, 1, "g", float("nan"), 1.0), (903, 1, "g", float("inf"), 1.0), (902, 3, "g", 1.0, 1.0)]
+    right = [(rng.choice([1, 1, 2, None]), rng.choice(["g", "h", None]), float(number()), float(number()), rng.randint(0, 40), f"n{i}") for i in range(300)] + [(1, "g", None, 1.0, 0, "broken"), (1, "g", float("inf"), 1.0, 0, "far")]
+    a = spark.createDataFrame(left, "id int, fov int, gene string, x double, y double")
+    b = spark.createDataFrame(right, "fov int, gene string, x double, y double, o int, name string")
+    for tolerance, strict, edge in ((5, True, 16), (5, False, 1024), (2.5, False, 10)):
+        got = {r["id"]: r["name"] for r in nearest(a, b, ["fov"], ["gene"], tolerance, ["name"], ["o", "name"], strict, edge).collect()}
+        want = {}
+        for i, fov, gene, x, y in left:
+            fit = []
+            for f, g, u, v, o, name in right:
+                if None in (fov, gene, x) or f != fov or g != gene or u is None or not math.isfinite(x):
+                    continue
+                d = (x - u) ** 2 + (y - v) ** 2
+                if d < tolerance**2 or (not strict and d == tolerance**2):
+                    fit.append((d, o, name))
+            want[i] = min(fit)[2] if fit else None
+        assert got == want and len({v for v in want.values()}) > 20
+
+
+def test_nearest_among_many_in_one_place(spark, monkeypatch):
+    """Pairs are looked at in parts; a pile of spots doesn't pass as one array."""
+    monkeypatch.setattr(nearest_module, "PAIRS", 50)
+    left = pa.table({"x": [0.0] * 30, "y": [0.0] * 30})
+    right = pa.table({"x": [1.0] * 40, "y": [0.0] * 40, "o": list(range(40, 0, -1))})
+    assert (nearest_rows(left, right, [], 5, ["o"], True) == 39).all()
+
+
+def test_box_sums_against_loops(spark):
+    rng = random.Random(9)
+    vox = {(f, r, c, rng.randint(1, 5), rng.randint(1, 90), rng.randint(1, 90)): rng.randint(1, 99) for f in (1, 2) for r in (1, 2) for c in (1, 2) for _ in range(400)}
+    at = [(f, i, rng.randint(-3, 95), rng.randint(-3, 95), rng.randint(0, 6)) for i, f in enumerate([1, 2, 3] * 40)] + [(1, 0, 40, 40, 3)]
+    df = spark.createDataFrame([(*k, v) for k, v in vox.items()], "fov int, round_no int, channel int, z int, y int, x int, value int")
+    s = spark.createDataFrame(at, "fov int, spot_id int, x int, y int, z int")
+    for box in ((1, 1, 1), (3, 3, 1), (0, 5, 2)):
+        got = sorted(tuple(r) for r in spots.extract_intensity(s, df, box, 2, 2).select("fov", "spot_id", "round_no", "sums", "sum_max", "center_max").collect())
+        want = []
+        for f, i, x, y, z in at:
+            for r in (1, 2):
+                sums = [sum(v for (g, n, k, w, q, p), v in vox.items() if (g, n, k) == (f, r, c) and abs(p - x) <= box[0] and abs(q - y) <= box[1] and abs(w - z) <= box[2]) for c in (1, 2)]
+                want.append((f, i, r, sums, max(sums), max(vox.get((f, r, c, z, y, x), 0) for c in (1, 2))))
+        assert got == sorted(want)
+
+
+def test_shift_by_slices_and_blocks(spark, monkeypatch):
+    """The transform over two exchanges against the transform of the whole volume, with ties, a missing reference and blocks of any size."""
+    rng = np.random.default_rng(5)
+    nx, ny, nz = 12, 9, 5
+    volumes = {(f, r): np.where(rng.random((nz, nx, ny)) < 0.1, rng.integers(1, 200, (nz, nx, ny)), 0) for f in (1, 2) for r in (1, 2, 3)}
+    volumes[1, 3] = np.roll(volumes[1, 1], (2, -3, 4), (0, 1, 2))
+    volumes[2, 1][:] = 0
+    volumes[2, 1][1, 2, 3] = volumes[2, 1][1, 2, 5] = 7
+    rows = [(f, r, int(z) + 1, int(y) + 1, int(x) + 1, int(v[z, x, y])) for (f, r), v in volumes.items() for z, x, y in zip(*np.nonzero(v))] + [(9, 2, 1, 1, 1, 5)]
+    merged = spark.createDataFrame(rows, "fov int, round_no int, z int, y int, x int, value int")
+    want = {(9, 2): (0, 0, 0, 0)}
+    for (f, r), v in volumes.items():
+        if r > 1:
+            score = np.rint(np.fft.irfftn(np.fft.rfftn(volumes[f, 1]) * np.conj(np.fft.rfftn(v)), v.shape))
+            z, x, y = np.unravel_index(int(score.argmax()), v.shape)
+            want[f, r] = tuple(int(d - n if d > n // 2 else d) for d, n in ((x, nx), (y, ny), (z, nz))) + (int(score.max()),)
+    for size in (7, 4096):
+        monkeypatch.setattr(voxels, "FREQUENCIES", size)
+        got = {(r["fov"], r["round_no"]): (r["dx"], r["dy"], r["dz"], r["score"]) for r in voxels.estimate_shift(merged, 1, nx, ny, nz).collect()}
+        assert got == want
+    assert want[1, 3][:3] == (3, -4, -2)
+
+
+def test_hulls_of_many_cells(spark):
+    rng = random.Random(10)
+    rows = [(c, rng.randint(0, 12), rng.randint(0, 12)) for c in range(1, 40) for _ in range(rng.choice((1, 2, 3, 9, 60)))]
+    rows += [(50, k, k * k) for k in range(-40, 40)] + [(51, k, 3) for k in range(9)] + [(52, None, 1), (52, 1, 1)] + [(53, k, abs(k % 7 - 3)) for k in range(200)]
+    df = spark.createDataFrame(rows, "cell_barcode int, x int, y int").repartition(5)
+    got = {r["cell"]: [(p["x"], p["y"]) for p in r["ring"]] for r in cells.cell_hulls(df).collect()}
+    for c in {r[0] for r in rows}:
+        points = {(x, y) for k, x, y in rows if k == c and x is not None}
+        cross = lambda a, b, p: (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
+        edge = {a: b for a in points for b in points if a != b and all(cross(a, b, p) > 0 or (cross(a, b, p) == 0 and min(a, b) <= p <= max(a, b)) for p in points)}
+        if len(edge) < 3:
+            assert c not in got
+            continue
+        ring = [min(points)]
+        while len(ring) == 1 or ring[-1] != ring[0]:
+            ring.append(edge[ring[-1]])
+        assert got[c] == ring
+
+
+def test_split_windows(spark):
+    """Own spots are bounded however dense a place is, every spot is in one window as an own one, and fields are apart."""
+    rng = random.Random(11)
+    rows = [(f, i * 10 + f, rng.choice([rng.randint(0, 999), rng.randint(100, 140)]), rng.choice([rng.randint(0, 999), rng.randint(100, 140)])) for f in (1, 2) for i in range(600)] + [(3, 7, 5, 5)]
+    df = spark.createDataFrame(rows, "fov int, id int, x int, y int")
+    windows = {(r["fov"], r["level"], r["wx"], r["wy"]): r["n"] for r in cells.quad_windows(df, 256, 20, 5).collect()}
+    assert sum(windows.values()) == len(rows)
+    own = {}
+    for f, i, x, y in rows:
+        mine = [w for w in windows if w[0] == f and x // (256 / 2 ** w[1]) == w[2] and y // (256 / 2 ** w[1]) == w[3]]
+        assert len(mine) == 1
+        own[mine[0]] = own.get(mine[0], 0) + 1
+    assert own == windows and all(n <= 20 or k[1] == 5 for k, n in own.items()) and max(k[1] for k in own) > 1
+    held = {(r["id"], r["level"], r["wx"], r["wy"]) for r in cells.split_windows(df, 256, 0.1, 20, 5).collect()}
+    want = set()
+    for f, i, x, y in rows:
+        for g, k, wx, wy in windows:
+            w = 256 / 2**k
+            m = math.ceil(w * 0.1)
+            if g == f and math.floor((x - m) / w) <= wx <= math.floor((x + m) / w) and math.floor((y - m) / w) <= wy <= math.floor((y + m) / w):
+                want.add((i, k, wx, wy))
+    assert held == want
+
+
+def test_full_windows_of_fields(spark):
+    rows = spark.createDataFrame([(1, 1, 0, 0), (1, 2, 0, 0), (2, 3, 0, 0)], "fov int, id int, wx int, wy int")
+    assert {r["id"] for r in cells.filter_small_windows(rows, 2).collect()} == {1, 2}
+
+
+def test_twins_across_seams(spark):
+    """Only neighbours in the grid meet; a corner cell may fall in two strips; a tie drops the later tile's cell."""
+    at = spark.createDataFrame([(1, 0, 0, 0, 0), (2, 1, 0, 90, 0), (3, 0, 1, 0, 90), (4, 2, 0, 180, 0), (0, 5, 5, 0, 0)], "tile int, column_index int, row_index int, x int, y int")
+    strips = {(r["old"], r["new"], r["axis"]): (r["low"], r["high"]) for r in tiles.neighbour_strips(at, 100).collect()}
+    assert strips == {(1, 2, "x"): (90, 100), (2, 4, "x"): (180, 190), (1, 3, "y"): (90, 100)}
+    some = [(1, 1, 95, 50), (2, 1, 95, 52), (1, 2, 91, 20), (2, 2, 96, 20), (1, 3, 99, 99), (3, 3, 97, 96), (2, 4, 95, 95), (1, 5, 50, 50), (2, 5, 50, 50), (4, 6, 95, 50)]
+    left = {(r["tile"], r["cell_barcode"]) for r in tiles.drop_twins(spark.createDataFrame(some, "tile int, cell_barcode int, x int, y int"), at, 100).collect()}
+    assert left == {(1, 1), (2, 2), (3, 3), (2, 4), (1, 5), (2, 5), (4, 6)}
+
+
+def test_grids_of_slides(spark):
+    rows = [(1, 1, 0, 0), (1, 2, 290, 0), (1, 3, 580, 0), (1, 4, 5000, 700), (2, 1, 290, 10), (2, 2, None, 10)]
+    got = {(r["slide"], r["tile"]): (r["column_index"], r["row_index"]) for r in tiles.logical_grid(spark.createDataFrame(rows, "slide int, tile int, x int, y int"), 300, ("slide",)).collect()}
+    # 580 is farther from the mean of 0 and 290 than 300, so it starts a group
+    assert got == {(1, 1): (0, 0), (1, 2): (0, 0), (1, 3): (1, 0), (1, 4): (2, 1), (2, 1): (0, 0), (2, 2): (None, 0)}
