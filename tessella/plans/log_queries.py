@@ -205,6 +205,20 @@ def decoding_files(c, b, s):
     return back("reads").join(scores, ["fov", "spot_id"]).join(last, ["fov", "spot_id"]).join(good, "fov")
 
 
+@query("colour_sums", sql=f"""WITH {dq._READS}, scores AS (SELECT fov, spot_id, {_SCORES} FROM calls GROUP BY fov, spot_id), wide AS (SELECT fov, spot_id, max(c3) FILTER (round_no = 5) AS last_sum FROM colour_sums GROUP BY fov, spot_id)
+  SELECT c.fov, c.spot_id, c.colorseq, s.* EXCLUDE (fov, spot_id), last_sum FROM called c JOIN scores s USING (fov, spot_id) JOIN wide USING (fov, spot_id)""")
+def bucketed_files(c):
+    """Results in bucketed tables, joined where they lie."""
+    spark, folder = c.sparkSession, shared_folder(c.sparkSession, "decoding")
+    sums = _long(c)
+    reads = d.read_calls(d.call_colours(sums.select("fov", "spot_id", "round_no", "sums")))
+    names = writers.bucketed_decoding(reads, reads, sums, folder, 5, folder.rpartition("/")[2].replace("-", "_"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    finite = [F.round(F.when(F.col(f"round{r:03d}") == float("inf"), -1.0).otherwise(F.col(f"round{r:03d}")), 6).alias(f"round{r:03d}") for r in range(1, 6)]
+    scores = spark.table(names["scores"]).select("fov", "spot_id", *finite)
+    last = spark.table(names["intensity"]).select("fov", "spot_id", F.col("round005_NeighborSum_ch3").alias("last_sum"))
+    return spark.table(names["reads"]).join(scores, ["fov", "spot_id"]).join(last, ["fov", "spot_id"])
+
+
 @query("reads", sql=f"SELECT raw AS cell_barcode, {sq._GENE} AS gene, count(*) AS total, count(*) FILTER (suffix(gene_name, '_rbRNA')) AS rb, count(*) FILTER (suffix(gene_name, '_ntRNA')) AS nt FROM reads WHERE raw <> 0 GROUP BY 1, 2")
 def count_file(reads):
     """The count matrix written and read again."""

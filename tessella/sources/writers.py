@@ -33,6 +33,19 @@ def write_decoding(points: DataFrame, scores: DataFrame, reads: DataFrame, inten
         df.write.partitionBy("fov").format(fmt).option("header", True).save(f"{path}/{name}")
 
 
+def bucketed_decoding(scores: DataFrame, reads: DataFrame, intensity: DataFrame, path: str, rounds: int, table: str, buckets: int) -> dict[str, str]:
+    """Raw scores, raw reads and intensities as tables `{table}_...` of the catalogue, bucketed and sorted by (fov, spot_id), so that later joins over a spot
+    need no exchange; the names by what they hold.
+
+    A task would write to every bucket, so rows are dealt by bucket first: a table has one file a bucket.
+    """
+    keys, names = ["fov", "spot_id"], {}
+    for name, df in (("scores", wide_scores(scores, rounds)), ("reads", reads.select("fov", "spot_id", "colorseq")), ("intensity", wide_intensity(intensity, rounds))):
+        names[name] = f"{table}_{name}"
+        df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{path}/{name}").saveAsTable(names[name])
+    return names
+
+
 def write_counts(counts: DataFrame, path: str) -> None:
     counts.write.parquet(path)
 

@@ -15,6 +15,7 @@ from tessella.operators import cells, decode, logs, spots, tiles, voxels
 from tessella.operators import nearest as nearest_module
 from tessella.operators.graph import components
 from tessella.operators.nearest import nearest, nearest_rows
+from tessella.plans import registry
 from tessella.plans.views import table
 from tessella.sources import readers, writers
 
@@ -428,3 +429,13 @@ def test_grids_of_slides(spark):
     got = {(r["slide"], r["tile"]): (r["column_index"], r["row_index"]) for r in tiles.logical_grid(spark.createDataFrame(rows, "slide int, tile int, x int, y int"), 300, ("slide",)).collect()}
     # 580 is farther from the mean of 0 and 290 than 300, so it starts a group
     assert got == {(1, 1): (0, 0), (1, 2): (0, 0), (1, 3): (1, 0), (1, 4): (2, 1), (2, 1): (0, 0), (2, 2): (None, 0)}
+
+
+def test_bucketed_tables_join_in_place(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = registry.queries()["bucketed_files"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
