@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tessella.llm import rounds
 from tessella.llm import textscan as ts
 
-MAIN, NEUTRAL, CHROME = 0, 1, 2
+MAIN, NEUTRAL, CHROME, SUSPECT = 0, 1, 2, 3
 RUN = 0
 
 #: Elements of HTML by their role.
@@ -35,20 +35,39 @@ CHROME_WORDS = frozenset(
     "signup skyscraper social sponsor sponsored subscribe toolbar widget".split()
 )
 
+#: Words that may stand beside such a word in a class without changing what it means.
+LAYOUT_WORDS = frozenset("area bar bottom box block button buttons container fixed inner item items left link links list outer panel reader row section side site slot sticky top unit user wrap wrapper".split())
+#: Elements that are text by themselves, whatever their class is called.
+TEXTS = frozenset("h1 h2 h3 h4 h5 h6 hgroup p pre blockquote figure figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What stands above reader comments, with or without their number.
+REPLIES = re.compile(r"\(?\d*\)?\s*(?:reader )?(?:comments|responses|replies)\s*\(?\d*\)?|(?:leave|post) a (?:comment|reply)", re.I)
+
 _NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
 _UNQUOTED = re.compile(r"""[^>"']*""")
 _MARKED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
 
-def _is_chrome(tag: str, attributes: str, inside: bool) -> bool:
+def _mark(tag: str, attributes: str, inside: bool) -> int:
+    """CHROME for elements that are by their name, role or class; SUSPECT where only a part of a class is such a word; else MAIN.
+
+    A class counts as a whole, that is, its name has to consist of chrome and layout words ('ad', 'cookie-bar', but not 'ad-hoc' or 'entry-header'). Headings,
+    paragraphs and the like inside an article have no class.
+    """
     if tag in CHROME_TAGS or tag == "header" and not inside:
-        return True
+        return CHROME
+    found = MAIN
     for name, *value in _MARKED.findall(attributes):
-        words = _WORDS.findall("".join(value).lower())
-        if name.lower() == "role" and any(w in CHROME_ROLES for w in words) or name.lower() != "role" and any(w in CHROME_WORDS for w in words):
-            return tag not in HOLDERS and tag not in ("body", "html")
-    return False
+        for one in "".join(value).lower().split():
+            words = _WORDS.findall(one)
+            if name.lower() == "role":
+                found = CHROME if one in CHROME_ROLES else found
+            elif tag not in HOLDERS and tag not in ("body", "html") and not (inside and tag in TEXTS):
+                hits = [w in CHROME_WORDS for w in words]
+                whole = any(hits) and all(hit or w in LAYOUT_WORDS for hit, w in zip(hits, words))
+                found = CHROME if whole else SUSPECT if any(hits) and found == MAIN else found
+    return found
 
 
 class _Tags:
@@ -99,41 +118,38 @@ class _Tags:
 
 
 class _Open:
-    """The open elements: name, inside an article, inside chrome; and how many there are of each name."""
+    """The open elements: name, inside an article, mark; and the places of each name."""
 
     def __init__(self) -> None:
-        self.stack: list[tuple[str, bool, bool]] = []
-        self.count: dict[str, int] = {}
+        self.stack: list[tuple[str, bool, int]] = []
+        self.places: dict[str, list[int]] = {}
         self.dropped: list[int] = []
         self.blocks: list[int] = []
 
-    def push(self, name: str, inside: bool, chrome: bool) -> None:
+    def push(self, name: str, inside: bool, mark: int) -> None:
         for kind, places in ((DROPPED, self.dropped), (BLOCK, self.blocks)):
             if name in kind:
                 places.append(len(self.stack))
-        self.stack.append((name, inside, chrome))
-        self.count[name] = self.count.get(name, 0) + 1
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, inside, mark))
 
     def cut(self, size: int) -> None:
         """Closes all but the outermost `size` elements."""
         while len(self.stack) > size:
-            self.count[self.stack.pop()[0]] -= 1
+            self.places[self.stack.pop()[0]].pop()
         for places in (self.dropped, self.blocks):
             while places and places[-1] >= size:
                 places.pop()
 
     def leave(self, name: str) -> None:
-        k = len(self.stack) - 1
-        while self.stack[k][0] != name:
-            k -= 1
-        self.cut(k)
+        self.cut(self.places[name][-1])
 
     def has(self, name: str) -> bool:
-        return self.count.get(name, 0) > 0
+        return bool(self.places.get(name))
 
     @property
-    def top(self) -> tuple[str, bool, bool]:
-        return self.stack[-1] if self.stack else ("", False, False)
+    def top(self) -> tuple[str, bool, int]:
+        return self.stack[-1] if self.stack else ("", False, MAIN)
 
 
 def blocks(page: str | None) -> list[tuple[int, str]]:
@@ -141,21 +157,33 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
 
     Any start or end of a block element parts blocks; br is white space. Elements that are left open end with the element
     around them, a head also with the first tag or text that belongs to the body; a cut-off tag at the end is dropped, a cut-off
-    character reference stays as it is. What DROPPED and RAW elements hold is no text and parts no blocks.
+    character reference stays as it is. What DROPPED and RAW elements hold is no text and parts no blocks. Reader comments without a class are known by
+    their place: a section or the like of an article from a heading of REPLIES on, if no more text of an article follows it.
     """
     page = page or ""
     out: list[tuple[int, str]] = []
     parts: list[str] = []
+    answers: list[list[int]] = []
+    open_answers: list[list[int]] = []
     tags, open_, at = _Tags(page), _Open(), 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, inside, chrome = open_.top
-            out.append((CHROME if chrome else MAIN if inside else NEUTRAL, text))
+            _, inside, mark = open_.top
+            out.append((CHROME if mark == CHROME else NEUTRAL if not inside else mark, text))
+
+    def done() -> list[tuple[int, str]]:
+        last = max((i for i, (kind, _) in enumerate(out) if kind in (MAIN, SUSPECT)), default=-1)
+        for _, start, end in answers:
+            if last < end:
+                out[start:end] = [(CHROME if kind in (MAIN, SUSPECT) else kind, text) for kind, text in out[start:end]]
+        return out
 
     while True:
+        while open_answers and len(open_.stack) < open_answers[-1][0]:
+            open_answers.pop()[2] = len(out)
         found = tags.next(at)
         text = page[at : found[0]] if found else page[at:]
         if open_.top[0] == "head" and text.strip():
@@ -164,17 +192,26 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
             parts.append(text)
         if not found:
             flush()
-            return out
+            for a in open_answers:
+                a[2] = len(out)
+            return done()
         _, at, closing, name, attributes = found
         if not name:
             continue
         if closing:
             if open_.has(name):
                 if name in BLOCK and not open_.dropped:
+                    before = len(out)
                     flush()
+                    if name in HEADINGS and len(out) > before and out[-1][0] == MAIN and REPLIES.fullmatch(out[-1][1]):
+                        open_.leave(name)
+                        if open_.top[0] in ("section", "div", "ol", "ul"):
+                            open_answers.append([len(open_.stack), before, 0])
+                            answers.append(open_answers[-1])
+                        continue
                 elif name in BLOCK:
                     # the element around a dropped one that was left open
-                    k = max(k for k in open_.blocks if open_.stack[k][0] == name)
+                    k = open_.places[name][-1]
                     if k < open_.dropped[0]:
                         open_.cut(k + 1)
                         flush()
@@ -198,9 +235,10 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
             continue
         if name in VOID or attributes.rstrip().endswith("/"):
             continue
-        _, inside, chrome = open_.top
+        _, inside, mark = open_.top
         inside = inside or name in HOLDERS
-        open_.push(name, inside, chrome or _is_chrome(name, attributes, inside))
+        own = _mark(name, attributes, inside)
+        open_.push(name, inside, CHROME if CHROME in (mark, own) else mark or own)
 
 
 def visible_text(page: str | None) -> str:
@@ -228,7 +266,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     runs are made of such ones, so sorting to that depth finds them all). A page without an article
     consists of its neutral blocks (no tag or class says what they are), of which boilerplate runs are cut out and the unique runs kept.
     What an article or main element holds, but for navigation, forms, notices, adverts, comments and the like in it, is main text
-    and stays whole, repeated or not: articles of one host may quote each other. With `structure` false no tag or class counts, and the suffix arrays decide every block.
+    and stays whole, repeated or not: articles of one host may quote each other. A block in it whose class only has a chrome word in its name goes if repeated runs
+    confirm that, that is, cover all of it. With `structure` false no tag or class counts, and the suffix arrays decide every block.
     Pages are dealt to bounded groups, so one host may hold any share of them; classes of equal runs of different groups meet by their
     64-bit hash.
 
@@ -281,15 +320,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             mine = gone[rows[i] : rows[i + 1]]
             outside.append(len(mine))
             covered.append(int(mine.sum()))
-            main = [t for kind, t in page if kind == MAIN]
-            if not main:
-                at = 0
-                for kind, t in page:
-                    words = [w.decode() for w in t.encode().split()]
-                    if kind == NEUTRAL:
-                        main.append(" ".join(w for w, m in zip(words, mine[at : at + len(words)]) if not m))
-                    at += len(words)
-            texts.append("\n".join(t for t in main if t))
+            texts.append("\n".join(_main_text(page, mine)))
         row = table["row"].combine_chunks().field("row")
         return pa.table([row, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(outside, pa.int64()), pa.array(covered, pa.int64())], names=["row", "text", "n_chars", "n_outside", "n_repeated"])
 
@@ -297,6 +328,24 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     return rounds.ask(dealt, answers, cut, schema)
 
 
+def _main_text(page: list[tuple[int, str]], repeated: np.ndarray) -> list[str]:
+    """The blocks of a page's article, or else the unique runs of its neutral blocks. repeated: marks of all tokens outside MAIN blocks."""
+    article = any(kind in (MAIN, SUSPECT) for kind, _ in page)
+    out, at = [], 0
+    for kind, text in page:
+        if kind == MAIN:
+            out.append(text)
+            continue
+        words = [w.decode() for w in text.encode().split()]
+        mine = repeated[at : at + len(words)]
+        at += len(words)
+        if kind == SUSPECT and not mine.all():
+            out.append(text)
+        elif kind == NEUTRAL and not article:
+            out.append(" ".join(w for w, m in zip(words, mine) if not m))
+    return [t for t in out if t]
+
+
 def _suffix_array(tokens: np.ndarray, host: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes in the order of (host, first `depth` tokens), as places in `starts`, and the class of each sorted suffix."""
     order = np.argsort(host, kind="stable")
@@ -337,13 +386,15 @@ def brute_force(rows: list[tuple], read, run_tokens: int = 8) -> list[tuple]:
         for k in range(len(words) - run_tokens + 1):
             if len(seen[(host_of(url), *words[k : k + run_tokens])]) > 1:
                 gone.update(range(k, k + run_tokens))
-        main, at = [t for kind, t in page if kind == MAIN], 0
-        if not main:
-            for kind, t in page:
-                w = t.encode().split()
-                if kind == NEUTRAL:
-                    main.append(" ".join(x.decode() for j, x in enumerate(w) if at + j not in gone))
-                at += len(w)
+        kinds = {kind for kind, _ in page}
+        main, at = [], 0
+        for kind, t in page:
+            w = [] if kind == MAIN else t.encode().split()
+            if kind == MAIN or (kind == SUSPECT and any(at + j not in gone for j in range(len(w)))):
+                main.append(t)
+            if kind == NEUTRAL and not kinds & {MAIN, SUSPECT}:
+                main.append(" ".join(x.decode() for j, x in enumerate(w) if at + j not in gone))
+            at += len(w)
         text = "\n".join(t for t in main if t)
         out.append((page_id, url, text, len(text), len(gone)))
     return out

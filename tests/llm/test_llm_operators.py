@@ -491,6 +491,44 @@ def test_html_left_open(page, text):
     assert "\n".join(t for kind, t in html_extract.blocks(page) if kind == html_extract.MAIN) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><div class='entry-header'><h1>Title</h1></div><p>body</p></article>", "Title\nbody"),
+        ("<article><h1 class='header'>Title</h1><p>body</p></article>", "Title\nbody"),
+        ("<main><div class='ad-hoc'>committee</div><p>body</p></main>", "committee\nbody"),
+        ("<main><p class='notice-of-death'>They died.</p><p id='social-contract'>Rousseau</p></main>", "They died.\nRousseau"),
+        ("<main><section id='social-contract'>Rousseau</section></main>", "Rousseau"),
+        ("<main><div class='big ad'>Buy</div><div class='cookie-bar'>ok</div><div class='ad_slot'>x</div><p>body</p></main>", "body"),
+        ("<main><p>body</p><section><h2>Comments</h2><p>nice</p><div>so nice</div></section></main>", "body"),
+        ("<main><p>body</p><div><h3>12 Comments</h3><ul><li>nice</ul></div></main><footer>f</footer>", "body"),
+        ("<main><section><h2>Comments</h2><p>on the law</p></section><p>body</p></main>", "Comments\non the law\nbody"),
+        ("<main><h2>Comments</h2><p>on the law</p></main>", "Comments\non the law"),
+        ("<article><p>a</p><section><h2>Replies</h2><p>b</p></article><article><p>c</p></article>", "a\nReplies\nb\nc"),
+    ],
+)
+def test_html_classes_and_comments(spark, page, text):
+    """A class counts as a whole and never for headings and paragraphs; comments are known by their place."""
+    found = html_extract.extract(spark.createDataFrame([(1, "http://a.b", page)], "page_id long, url string, html string"))
+    assert found.first()["text"] == text
+
+
+def test_html_suspect_class_confirmed_by_the_host(spark):
+    """A class that only has a chrome word in its name drops a block if the host's pages repeat it."""
+    word = "subscribe to our weekly letter and never miss a story again".split()
+    pages = [(k, f"http://{'a' if k < 3 else 'b'}.org/{k}", f"<article><p>own {k}</p><div class='newsletter-teaser'>{' '.join(word)}</div></article>") for k in range(4)]
+    found = {r["row"]["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert found == {0: "own 0", 1: "own 1", 2: "own 2", 3: "own 3\n" + " ".join(word)}
+
+
+def test_html_of_nested_dropped_elements():
+    from time import perf_counter
+
+    start = perf_counter()
+    assert html_extract.blocks("<article><p>a<svg>" + "<div>" * 8000 + "</div>" * 8000 + "</svg></article>") == [(html_extract.MAIN, "a")]
+    assert perf_counter() - start < 0.5
+
+
 def test_urls(spark):
     rng = random.Random(8)
     word = ["shop", "news", "farm", "win", "free", "blog", "über"]
