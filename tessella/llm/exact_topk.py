@@ -1,4 +1,4 @@
-"""Exact top-k search (operator 5): no-random-access aggregation over sorted lists, with blocks of queries passed over all rows."""
+"""Exact top-k search (operator 5): no-random-access aggregation over sorted lists, with queries that pass by every shard of the rows."""
 
 from __future__ import annotations
 
@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tessella.llm.shards import by_length, number_of_shards, pass_by
+
 #: Rows whose lists are sorted together, and queries that read them together.
 SHARD_ROWS = 4096
 BLOCK_ROWS = 512
-#: Bytes of queries that one broadcast holds; more queries pass over the rows in several blocks.
-BLOCK_BYTES = 16 << 20
+#: Bytes of rows that a task holds, some four times that with their lists.
+SHARD_BYTES = 32 << 20
 #: Whole numbers below this are exact as doubles.
 _EXACT = float(2**53)
 _LOW, _HIGH = -(2**63), 2**63 - 1
@@ -54,17 +56,17 @@ class SortedLists:
         return least, most
 
 
-def no_random_access(lists: SortedLists, queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, k: int):
-    """Yields (query number, ids, scores) of every row that can be among a query's k best ids; its own id is left out.
+def no_random_access(lists: SortedLists, queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, k: int, first: float = 1 / 16):
+    """Yields (query number, ids, scores, share of the lists read) of every row that can be among a query's k best ids; its own id is left out.
 
-    All lists are read in step. A query stops when few rows are left whose greatest possible score reaches its floor, the k-th best least score of
-    an id, here or in an earlier shard; their scores are then resolved from the components.
+    All lists are read in step, the first time to the share `first`, then each time twice as far. A query stops when few rows are left whose greatest
+    possible score reaches its floor, the k-th best least score of an id, here or in an earlier shard; their scores are then resolved from the components.
     """
     n = len(lists.x)
     active, wanted, depth = np.arange(len(queries)), np.ones(n, bool), 0
     sums = np.zeros((n, len(queries)))
     while len(active):
-        step = min(n, max(1, 2 * depth or n // 16))
+        step = min(n, max(1, 2 * depth or int(n * first)))
         up, down = np.maximum(queries[active], 0), np.minimum(queries[active], 0)
         lists.read(sums, up, down, depth, step, wanted)
         depth = step
@@ -78,7 +80,7 @@ def no_random_access(lists: SortedLists, queries: np.ndarray, query_ids: np.ndar
         done = (open_.sum(axis=0) <= 4 * k) | (depth == n)
         for i in np.flatnonzero(done):
             rows = np.flatnonzero(open_[:, i])
-            yield int(active[i]), lists.ids[rows], lists.x[rows] @ queries[active[i]]
+            yield int(active[i]), lists.ids[rows], lists.x[rows] @ queries[active[i]], depth / n
         active, sums = active[~done], sums[:, ~done]
         wanted &= open_[:, ~done].any(axis=1)
 
@@ -94,84 +96,96 @@ class Best:
 
     def add(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
         ids, scores = np.concatenate([self.ids[q], ids]), np.concatenate([self.scores[q], scores])
-        by = np.lexsort((-scores, ids))
+        # the complement turns the order without overflow
+        by = np.lexsort((~scores, ids))
         by = by[np.append(True, ids[by][1:] != ids[by][:-1])[: len(by)]]
         ids, scores = ids[by], scores[by]
-        by = np.lexsort((ids, np.negative(scores.astype(object)) if _LOW in scores else -scores))[: self.k]
+        by = np.lexsort((ids, ~scores))[: self.k]
         self.ids[q], self.scores[q] = ids[by], scores[by]
         if len(by) == self.k:
             self.floor[q] = float(self.scores[q][-1])
 
 
-def _matrix(rows: pa.Table | pa.RecordBatch, scale: int) -> np.ndarray:
-    lists = rows["x"].combine_chunks() if isinstance(rows["x"], pa.ChunkedArray) else rows["x"]
-    return np.floor(lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1) * scale)
-
-
-def _score(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, numbers: np.ndarray, best: Best) -> None:
-    """Adds what a shard's rows have for the queries; numbers: the queries' places in `best`."""
-    plain = (_EXACT / x.shape[1]) ** 0.5
-    rows, asked = np.abs(x).max(axis=1) <= plain, np.abs(queries).max(axis=1) <= plain
-    if rows.any():
-        lists = SortedLists(x[rows], ids[rows])
-        for at in np.array_split(np.flatnonzero(asked), -(-int(asked.sum()) // BLOCK_ROWS) or 1):
-            floor = best.floor[numbers[at]]
-            for i, found, scores in no_random_access(lists, queries[at], query_ids[at], floor, best.k):
-                best.add(int(numbers[at[i]]), found, scores.astype(np.int64))
+class Held:
+    """The rows of a shard by the length of their vectors, in parts of SHARD_ROWS, each with its sorted lists; rows beyond exact doubles stand apart."""
+
+    def __init__(self, scale: int) -> None:
+        self.scale = scale
+        self.rows: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.parts: dict[int, tuple[list[SortedLists], np.ndarray, list]] = {}
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        for n, part, x in by_length(batch, self.scale):
+            self.rows.setdefault(n, []).append((part["id"].to_numpy(), x))
+
+    def sorted(self, n: int) -> tuple[list[SortedLists], np.ndarray, list]:
+        """Lists of the plain rows, and ids and whole components of the others."""
+        if n in self.rows:
+            ids, x = (np.concatenate(c) for c in zip(*self.rows.pop(n)))
+            plain = np.abs(x).max(axis=1) <= _plain(n)
+            at, far = np.flatnonzero(plain), np.flatnonzero(~plain)
+            self.parts[n] = [SortedLists(x[p], ids[p]) for p in (at[a : a + SHARD_ROWS] for a in range(0, len(at), SHARD_ROWS))], ids[far], [[int(v) for v in x[i]] for i in far]
+        return self.parts.get(n, ([], np.zeros(0, np.int64), []))
+
+
+def _plain(n: int) -> float:
+    """Whole numbers up to this have inner products of n of them that are exact as doubles."""
+    return (_EXACT / n) ** 0.5
+
+
+def _best(held: Held, ids: np.ndarray, queries: np.ndarray, k: int) -> Best:
+    """The k best ids of a shard for each query."""
+    best, (parts, far_ids, far) = Best(len(ids), k), held.sorted(queries.shape[1])
+    asked = np.abs(queries).max(axis=1) <= _plain(queries.shape[1])
+    at = np.flatnonzero(asked)
+    first = 1 / 16
+    for lists in parts if len(at) else []:
+        read = []
+        floor = best.floor[at]
+        for i, found, scores, share in no_random_access(lists, queries[at], ids[at], floor, k, first):
+            best.add(int(at[i]), found, scores.astype(np.int64))
+            read.append(share)
+        # bounds cost as much as reading, so the next part is read at once as far as this one needed for most queries
+        first = float(np.median(read))
     # beyond exact doubles, pairs are scored as whole numbers of any size
-    for of, to in ((np.flatnonzero(~asked), np.arange(len(x))), (np.flatnonzero(asked), np.flatnonzero(~rows))):
-        whole = [[int(v) for v in x[j]] for j in to] if len(of) else []
-        for i in of:
-            q = [int(v) for v in queries[i]]
-            found = [(int(ids[j]), min(_HIGH, max(_LOW, sum(a * b for a, b in zip(q, row))))) for j, row in zip(to, whole) if ids[j] != query_ids[i]]
-            if found:
-                best.add(int(numbers[i]), np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64))
-
-
-def exact_topk(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, query_every: int = 100, scale: int = 1024, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    for i in range(len(ids)):
+        others = list(zip(far_ids.tolist(), far))
+        if not asked[i]:
+            others += [(int(j), [int(v) for v in x]) for lists in parts for j, x in zip(lists.ids, lists.x)]
+        q = [int(v) for v in queries[i]] if others else []
+        found = [(j, min(_HIGH, max(_LOW, sum(a * b for a, b in zip(q, x))))) for j, x in others if j != ids[i]]
+        if found:
+            best.add(i, np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64))
+    return best
+
+
+def exact_topk(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, query_every: int = 100, scale: int = 1024, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """For every query its k rows of the highest integer inner product: query_id, rank, vec_id, score.
 
     Components become floor(scale * x). Queries are the rows whose id is divisible by query_every, candidates all other rows. Vectors that
     are null, or hold null or non-finite components, and rows without an id take no part; vectors of different lengths are
     only compared with their like. Ties go to the smaller id. Of rows that repeat an id the best score counts, for queries and candidates alike, so an id is
     returned once to a query and repeated rows take no place from others. A score outside 64 bits counts as the nearest number inside. An empty table
-    gives no rows; other columns are ignored.
+    gives no rows; other columns are ignored. A vector has to fit in a task, however long.
 
-    Queries are broadcast in blocks of at most about `block_bytes`, and each block passes over the rows where they are: rows are neither copied nor
-    shuffled. A task sorts the lists of some thousand rows at a time, and a query's k-th best score so far cuts what it reads of the next ones; the task's k best
-    ids a query are all that it sends.
+    Rows lie in shards of bounded bytes, and queries pass by them in batches (see `shards`): neither goes through the driver. A shard's lists are sorted
+    once, some thousand rows at a time, and a query's k-th best score so far cuts what it reads of the next ones. The k best ids a query and
+    shard are all that tasks send, and a ranking that cuts before its shuffle merges them.
     """
-    v = F.col(vector_col).cast("array<double>")
-    good = F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    ready = vectors.filter(good).select(F.col(id_col).cast("long").alias("id"), v.alias("x"))
-    asked = ready.filter(F.col("id") % query_every == 0)
-    size = asked.agg(F.sum(F.size("x") * 8 + 8)).first()[0] or 0
-    blocks = -(-size // block_bytes)
-    schema = "query_id long, vec_id long, score long"
-    context = vectors.sparkSession.sparkContext
-    found = vectors.sparkSession.createDataFrame([], schema)
-    for b in range(blocks):
-        shared = context.broadcast(asked.filter(F.pmod(F.xxhash64("x", "id"), F.lit(blocks)) == b).toArrow())
-
-        def run(batches, shared=shared):
-            queries = shared.value
-            ids, lengths = queries["id"].to_numpy(), np.array([len(x) for x in queries["x"]])
-            by_length = {int(n): (np.flatnonzero(lengths == n), _matrix(queries.filter(pa.array(lengths == n)), scale)) for n in np.unique(lengths)}
-            best = Best(len(ids), k)
-            for batch in batches:
-                have = np.array([len(x) for x in batch["x"]], np.int64)
-                for n in np.unique(have).tolist():
-                    if n not in by_length:
-                        continue
-                    rows = batch.filter(pa.array(have == n))
-                    for a in range(0, len(rows), SHARD_ROWS):
-                        part = rows.slice(a, SHARD_ROWS)
-                        numbers, matrix = by_length[n]
-                        _score(_matrix(part, scale), part["id"].to_numpy(), matrix, ids[numbers], numbers, best)
-            owner = np.repeat(ids, [len(x) for x in best.ids])
-            yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int64()), pa.array(np.concatenate([np.zeros(0, np.int64), *best.ids])), pa.array(np.concatenate([np.zeros(0, np.int64), *best.scores]))], names=["query_id", "vec_id", "score"])
-
-        found = found.unionByName(ready.mapInArrow(run, schema))
+    v = F.col(f"`{vector_col}`").cast("array<double>")
+    good = F.col(f"`{id_col}`").isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    ready = vectors.filter(good).select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("x")).distinct()
+    shards = number_of_shards(ready, F.size("x") * 8 + 8, shard_bytes)
+
+    def ask(held: Held, batch: pa.RecordBatch):
+        for _, part, x in by_length(batch, scale):
+            for at in range(0, len(part), BLOCK_ROWS):
+                ids = part["id"].to_numpy()[at : at + BLOCK_ROWS]
+                best = _best(held, ids, x[at : at + BLOCK_ROWS], k)
+                owner = np.repeat(ids, [len(b) for b in best.ids])
+                yield pa.RecordBatch.from_pydict({"query_id": owner, "vec_id": np.concatenate([np.zeros(0, np.int64), *best.ids]), "score": np.concatenate([np.zeros(0, np.int64), *best.scores])})
+
+    found = pass_by(ready, ready.filter(F.col("id") % query_every == 0), shards, "query_id long, vec_id long, score long", lambda: Held(scale), ask)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -9,12 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessella.llm.shards import SHARD_BYTES, by_length, number_of_shards, pass_by
+
 #: Rows of a tile: anchors by candidates.
 TILE = (512, 4096)
 #: Strassen's recursion ends where a side is this short.
 LEAF = 32
-#: Bytes of candidates that a task holds; anchors pass by them in batches.
-SHARD_BYTES = 128 << 20
 _LOW, _HIGH = -(2**63), 2**63 - 1
 
 
@@ -103,7 +103,7 @@ class Candidates:
         self.codes: dict[str, int] = {}
 
     def add(self, rows: pa.RecordBatch) -> None:
-        for n, part, x in _by_length(rows):
+        for n, part, x in by_length(rows):
             labels = np.array([self.codes.setdefault(v, len(self.codes)) for v in part["label"].to_pylist()], np.int64)
             self.parts.setdefault(n, []).append((part["id"].to_numpy(), labels, x))
 
@@ -116,14 +116,6 @@ class Candidates:
                 yield ids[at:end], labels[at:end], x[at:end]
 
 
-def _by_length(rows: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
-    lengths = np.diff(rows["x"].offsets.to_numpy())
-    for n in np.unique(lengths).tolist():
-        part = rows.filter(pa.array(lengths == n))
-        whole = np.floor(part["x"].flatten().to_numpy(zero_copy_only=False)).reshape(len(part), n)
-        yield n, part, np.nan_to_num(whole)  # a product beyond doubles counts as the greatest
-
-
 Found = dict[str, np.ndarray]
 
 
@@ -154,39 +146,17 @@ def _negatives(anchors: pa.RecordBatch, x: np.ndarray, codes: np.ndarray, tiles:
     return {"anchor_id": anchors["id"].to_numpy()[row[s]], "positive_id": positive[s], "positive_score": reached[s], "negative_id": heaps.ids, "negative_score": heaps.scores}
 
 
-def _pass(candidates: DataFrame, anchors: DataFrame, shards: int, schema: str, find: Callable) -> DataFrame:
-    """What `find` gives for every batch of anchors with every shard of candidates.
+def _pass(candidates: DataFrame, anchors: DataFrame, shards: int, schema: str, find: Callable[..., Found]) -> DataFrame:
+    """What `find` gives for every batch of anchors with every shard of candidates."""
 
-    Candidates are dealt by a hash of their id and every anchor goes to all shards, behind the candidates: a task holds one shard and anchors pass by.
-    """
-    lists = "array<struct<id:bigint,score:bigint>>"
-    rows = candidates.withColumns({"positives": F.lit(None).cast(lists), "shard": F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"), "asks": F.lit(False)})
-    asked = anchors.withColumns({"shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1))), "asks": F.lit(True)})
-    if "positives" not in anchors.columns:
-        asked = asked.withColumn("positives", F.lit(None).cast(lists))
-    dealt = rows.unionByName(asked).repartitionById(shards, "shard").sortWithinPartitions("shard", "asks", "id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = None, Candidates()
-        for batch in batches:
-            key = batch["shard"].to_numpy() * 2 + batch["asks"].to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
-            for start, end in zip(cuts, cuts[1:]):
-                if start == end:
-                    continue
-                if key[start] // 2 != shard:
-                    shard, held = key[start] // 2, Candidates()
-                part = batch.slice(start, end - start)
-                if key[start] % 2 == 0:
-                    held.add(part)
-                    continue
-                for n, some, x in _by_length(part):
-                    for at in range(0, len(some), TILE[0]):
-                        here = some.slice(at, TILE[0])
-                        codes = np.array([held.codes.get(v, -1) for v in here["label"].to_pylist()], np.int64)
-                        yield pa.RecordBatch.from_pydict(find(here, x[at : at + TILE[0]], codes, held.tiles(n)))
-
-    return dealt.mapInArrow(run, schema)
+    def ask(held: Candidates, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for n, some, x in by_length(part):
+            for at in range(0, len(some), TILE[0]):
+                here = some.slice(at, TILE[0])
+                codes = np.array([held.codes.get(v, -1) for v in here["label"].to_pylist()], np.int64)
+                yield pa.RecordBatch.from_pydict(find(here, x[at : at + TILE[0]], codes, held.tiles(n)))
+
+    return pass_by(candidates, anchors, shards, schema, Candidates, ask)
 
 
 def mine_hard_negatives(
@@ -202,8 +172,7 @@ def mine_hard_negatives(
     positives, or a positive with an empty window, gives no rows, and neither does an empty table. Other columns are ignored. A vector has to fit in a task.
 
     Two passes over the candidates: the first fills a heap of positives for each anchor, the second a heap for each window that these open. Every task sends the
-    heaps of its shard only, and a ranking that cuts before its shuffle merges them. Shards are bounded in bytes, so anchors are copied as often as the
-    candidates fill a shard, or as there are cores.
+    heaps of its shard only, and a ranking that cuts before its shuffle merges them (see `shards`).
     """
     x, label = F.col(f"`{vector_col}`").cast("array<double>"), F.col(f"`{label_col}`").cast("string")
     good = F.col(f"`{id_col}`").isNotNull() & label.isNotNull() & x.isNotNull() & (F.size(x) > 0) & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
@@ -214,9 +183,7 @@ def mine_hard_negatives(
 
 
 def _mined(one: DataFrame, anchor_every: int, positives: int, negatives: int, low: int, high: int, shard_bytes: int) -> DataFrame:
-    spark = one.sparkSession
-    size = one.agg(F.sum(F.size("x") * 8 + 64)).first()[0] or 0
-    shards = max(spark.sparkContext.defaultParallelism, -(-size // shard_bytes))
+    shards = number_of_shards(one, F.size("x") * 8 + 64, shard_bytes)
     anchors = one.filter(F.col("id") % anchor_every == 0)
     pairs = _pass(one, anchors, shards, "anchor_id long, positive_id long, positive_score long", lambda a, x, codes, tiles: _positives(a, x, codes, tiles, positives))
     first = Window.partitionBy("anchor_id").orderBy(F.desc("positive_score"), "positive_id")

@@ -342,7 +342,7 @@ def test_topk(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"score": F.lit("mine"), "x": F.lit(1), "id": F.lit(2)})
     same(exact_topk.exact_topk(df), topk(rows))
     short = [r for r in rows if not r[1] or len(r[1]) < 10]
-    same(exact_topk.exact_topk(spark.createDataFrame(short, "vec_id long, embedding array<double>").repartition(5), block_bytes=80), topk(short))
+    same(exact_topk.exact_topk(spark.createDataFrame(short, "vec_id long, embedding array<double>").repartition(5), shard_bytes=800), topk(short))
 
 
 def test_topk_of_repeated_rows(spark):
@@ -354,6 +354,19 @@ def test_topk_of_repeated_rows(spark):
     same(exact_topk.exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(2)), topk(rows))
 
 
+def test_topk_of_least_scores(spark):
+    """The least 64-bit number is the worst score of an id, not the best."""
+    rows = [(0, [1.0, 0.0]), (1, [-(2.0**62), 0.0]), (1, [5.0, 0.0]), (2, [-(2.0**62), 1.0]), (3, [-(2.0**61), 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    same(exact_topk.exact_topk(df, k=2), topk(rows, k=2))
+    best = exact_topk.Best(1, 2)
+    import numpy as np
+
+    best.add(0, np.array([1, 1, 2]), np.array([-(2**63), 5, -(2**63)]))
+    best.add(0, np.array([3, 4]), np.array([-(2**63), -7]))
+    assert best.ids[0].tolist() == [1, 4] and best.scores[0].tolist() == [5, -7]
+
+
 def test_no_random_access_stops_early():
     """Reading ends before the lists do where few rows stand out."""
     import numpy as np
@@ -366,7 +379,7 @@ def test_no_random_access_stops_early():
     read = lists.read
     lists.read = lambda sums, up, down, start, stop, wanted: (deepest.append(stop), read(sums, up, down, start, stop, wanted))
     queries = np.abs(x[100:110])
-    for q, ids, scores in exact_topk.no_random_access(lists, queries, np.full(10, -1), np.full(10, -np.inf), 5):
+    for q, ids, scores, _ in exact_topk.no_random_access(lists, queries, np.full(10, -1), np.full(10, -np.inf), 5):
         want = np.argsort(-(x @ queries[q]), kind="stable")[:5]
         assert set(want) <= set(ids) and np.array_equal(scores, x[ids] @ queries[q])
     assert max(deepest) < 2000
