@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from tessella.llm import textscan as ts
 
 #: Bytes of benchmark text that one broadcast holds, as arrays of some sixty bytes a word; a larger benchmark is searched in several blocks.
 BLOCK_BYTES = 8 << 20
+#: Bytes of documents that meet one block after the other, where there are several.
+HELD_BYTES = 16 << 20
 
 WORD = np.zeros(256, bool)
 WORD[48:58] = WORD[97:123] = WORD[128:] = True
@@ -219,7 +222,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     each hit a bisection in the benchmark's own suffix array gives the longest verbatim match that begins there.
     Only words of the benchmark can be in a match, so other suffixes aren't sorted. The work is in proportion to the words, their hits and a logarithm,
     also where one word repeats throughout.
-    The benchmark is broadcast in blocks of at most about `block_bytes`, whatever its size; each block passes over the documents. One item has to fit in a block's memory.
+    The benchmark is broadcast in blocks of at most about `block_bytes`, whatever its size; executors keep them on disk, and a task has one in memory at a time, in
+    turn for every HELD_BYTES of documents, in one pass over them. The driver prepares one block at a time. One item has to fit in a block's memory.
 
     Returns (row struct of all columns of docs, n_words, hits (word intervals inside any occurrence of a window), items (ids with an
     occurring window, sorted as strings), longest (item_id, item_word, doc_word, n_words of the longest match, the first of equal ones; null without a window)).
@@ -228,20 +232,39 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """
     spark = docs.sparkSession
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start:long,end:long>>").alias("hits"), F.array().cast("array<string>").alias("items"), F.lit(None).cast("struct<item_id:string,item_word:long,doc_word:long,n_words:long>").alias("longest"))
-    ddl = out.schema
-    for items in blocks(benchmark, item_id_col, item_text_col, block_bytes):
-        shared = spark.sparkContext.broadcast(_block(items, window))
-
-        def run(batches, shared=shared):
-            block = shared.value
-            for batch in batches:
-                _, offsets = ts.text_bytes(batch["text"])
-                for a, b in ts.chunks(offsets):
-                    yield _with_block(batch.slice(a, b - a), block)
-            ts.give_back()
-
-        out = out.mapInArrow(run, ddl)
-    return out.drop("text")
+    shared = [spark.sparkContext.broadcast(_block(items, window)) for items in blocks(benchmark, item_id_col, item_text_col, block_bytes)]
+
+    def run(batches):
+        for chunks in _held(batches, HELD_BYTES if len(shared) > 1 else 0):
+            for one in shared:
+                block = _read(one) if len(shared) > 1 else one.value
+                chunks = [_with_block(c, block) for c in chunks]
+                del block
+                ts.give_back()
+            yield from chunks
+
+    return out.mapInArrow(run, out.schema).drop("text")
+
+
+def _read(shared) -> dict:
+    """The value of a broadcast, read from the executor's copy on disk and not kept as `value` would be; where there is no such copy, as with encryption, its value."""
+    path = getattr(shared, "_path", None)
+    return shared.load_from_path(path) if path else shared.value
+
+
+def _held(batches: Iterator[pa.RecordBatch], at_least: int) -> Iterator[list[pa.RecordBatch]]:
+    """Chunks of documents in lists of some bytes, so that reading a block is worth its while."""
+    out, size = [], 0
+    for batch in batches:
+        _, offsets = ts.text_bytes(batch["text"])
+        for a, b in ts.chunks(offsets):
+            out.append(batch.slice(a, b - a))
+            size += int(offsets[b] - offsets[a])
+            if size >= at_least:
+                yield out
+                out, size = [], 0
+    if out:
+        yield out
 
 
 def _with_block(batch: pa.RecordBatch, block: dict) -> pa.RecordBatch:

@@ -102,6 +102,28 @@ def test_decontamination(spark, frame, corpus):
     assert decontamination.find_overlaps(frame.limit(0), items).isEmpty()
 
 
+def test_many_benchmark_blocks_in_one_pass(spark, corpus):
+    """Twenty blocks and more are one pass over the documents, and a task holds one of them at a time."""
+    bench = [(k, t) for k, (_, t) in enumerate(corpus[:60])]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    assert len(list(decontamination.blocks(items, "item_id", "text", 300))) >= 20
+    docs = spark.createDataFrame(corpus, TEXT).repartition(3)
+    found = decontamination.find_overlaps(docs, items, block_bytes=300)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    digest = [F.col("row.doc_id"), "n_words", F.aggregate("hits", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]), F.size("items").cast("long"), F.sha2(F.array_join("items", ","), 256), F.size("hits") > 0]
+    same(found.select(*digest), decontamination.brute_force(corpus, bench))
+    reads = []
+
+    class Shared:
+        _path = "there"
+
+        def load_from_path(self, path):
+            reads.append(path)
+            return {}
+
+    assert decontamination._read(Shared()) == {} and reads == ["there"] and not hasattr(Shared(), "_value")
+
+
 def test_longest_matches(spark):
     """The longest verbatim match of every document, found by trying all."""
     rng = random.Random(12)
