@@ -80,42 +80,58 @@ def _sums(slots: np.ndarray, rows: np.ndarray, index: tuple[np.ndarray, np.ndarr
             total += np.bincount(at.ravel(), weights=signs[of].ravel(), minlength=total.size)
 
 
-def _added(table: pa.Table) -> pa.Table:
-    """The sum of a group's tables. All entries are whole numbers, so their order doesn't matter."""
-    total = np.zeros(SLOTS // BLOCKS * DIMENSIONS)
-    for b in table["sums"].to_pylist():
-        # tasks send single precision, sums are double
-        total += np.frombuffer(b, np.float32 if len(b) == 4 * (SLOTS // BLOCKS) * DIMENSIONS else np.float64)
-    return pa.table([table["block"][:1], table["leaf"][:1], pa.array([total.tobytes()], pa.binary())], names=["block", "leaf", "sums"])
+def _adder(kind: type):
+    """The sum of a group's tables of a whole-number type, as 64-bit numbers: exact, so the order of rows doesn't matter."""
+
+    def added(table: pa.Table) -> pa.Table:
+        total = np.zeros(SLOTS // BLOCKS * DIMENSIONS, np.int64)
+        for b in table["sums"]:
+            total += np.frombuffer(b.as_buffer(), kind)
+        return pa.table([table["block"][:1], table["leaf"][:1], pa.array([total.tobytes()], pa.binary())], names=["block", "leaf", "sums"])
+
+    return added
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """The word vectors of the corpus: for every slot the sum of the index vectors around it, over all documents, to unit length.
 
-    Each task sums its own documents into one table of fixed size; the tables' blocks are added in Spark in a tree, FAN of them at
-    first and FAN of the sums, so that no task reads a row from every other. The sum, SLOTS x DIMENSIONS numbers whatever the input, comes to the driver.
+    Each task sums its own documents into a table of fixed size, as 32-bit numbers, and starts another where one could overflow. The tables' blocks are added in
+    Spark in a tree that takes FAN tables of a block at a time until one is left, however many tasks there are. The sum, SLOTS x DIMENSIONS numbers whatever
+    the input, comes to the driver.
     """
     step = SLOTS // BLOCKS
+    source = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches):
         index = index_vectors()
-        total = np.zeros(SLOTS * DIMENSIONS)
+        total, terms = np.zeros(SLOTS * DIMENSIONS), 0
+        leaf = TaskContext.get().partitionId() // FAN
+
+        def table():
+            return pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([leaf] * BLOCKS, pa.int32()), pa.array([part.tobytes() for part in np.split(total.astype(np.int32), BLOCKS)], pa.binary())], names=["block", "leaf", "sums"])
+
         for batch in batches:
             data, offsets = ts.text_bytes(batch["text"])
             for a, b in ts.chunks(offsets):
                 slots, rows = _terms(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                # a term adds at most six to an entry
+                if 6 * (terms + len(slots)) >= 2**31:
+                    yield table()
+                    total[:], terms = 0, 0
                 _sums(slots, rows, index, total)
-        leaf = TaskContext.get().partitionId() // FAN
-        yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([leaf] * BLOCKS, pa.int32()), pa.array([part.tobytes() for part in np.split(total.astype(np.float32), BLOCKS)], pa.binary())], names=["block", "leaf", "sums"])
+                terms += len(slots)
+        yield table()
         ts.give_back()
 
     schema = "block int, leaf int, sums binary"
-    own = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, schema)
-    some = own.groupBy("block", "leaf").applyInArrow(_added, schema).withColumn("leaf", F.expr(f"leaf div {FAN}").cast("int"))
-    parts = some.groupBy("block", "leaf").applyInArrow(_added, schema).groupBy("block").applyInArrow(_added, schema).collect()
+    tables, leaves = source.mapInArrow(run, schema), -(-source.rdd.getNumPartitions() // FAN)
+    added = tables.groupBy("block", "leaf").applyInArrow(_adder(np.int32), schema)
+    while leaves > 1:
+        added = added.withColumn("leaf", F.expr(f"leaf div {FAN}").cast("int")).groupBy("block", "leaf").applyInArrow(_adder(np.int64), schema)
+        leaves = -(-leaves // FAN)
     out = np.zeros((SLOTS, DIMENSIONS), np.float64)
-    for r in parts:
-        out[r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(r["sums"], np.float64).reshape(step, DIMENSIONS)
+    for r in added.groupBy("block").applyInArrow(_adder(np.int64), schema).collect():
+        out[r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(r["sums"], np.int64).reshape(step, DIMENSIONS)
     return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)).astype(np.float32)
 
 

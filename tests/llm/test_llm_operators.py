@@ -596,7 +596,7 @@ def test_quality(spark):
     assert quality.score(docs.limit(3), empty).filter("score = 0.5").count() == 3
 
 
-def test_quality_of_small_fixture(spark, corpus):
+def test_quality_of_small_fixture(spark, corpus, monkeypatch):
     """Vectors, pooling and temperature against plain loops; ties, repeated rows and clashing columns."""
     import numpy as np
     import pyarrow as pa
@@ -605,6 +605,11 @@ def test_quality_of_small_fixture(spark, corpus):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(some)] + [(99, None)], TEXT).withColumns({n: F.lit("mine") for n in ("id", "y", "x", "__id", "row", "block")})
     vectors = quality.word_vectors(docs.repartition(5))
     assert np.allclose(vectors, quality.brute_vectors(some), atol=1e-6)
+    monkeypatch.setattr(quality, "FAN", 3)
+    assert np.array_equal(quality.word_vectors(docs.repartition(29)), vectors)
+    big = np.full(quality.SLOTS // quality.BLOCKS * quality.DIMENSIONS, 2**30 + 1, np.int32).tobytes()
+    table = pa.table({"block": pa.array([0] * 3, pa.int32()), "leaf": pa.array([0] * 3, pa.int32()), "sums": pa.array([big] * 3, pa.binary())})
+    assert (np.frombuffer(quality._adder(np.int32)(table)["sums"][0].as_py(), np.int64) == 3 * (2**30 + 1)).all()
     pooled = quality._pooled(pa.array([*some, None]), vectors)
     for row, text in zip(pooled, [*some, ""]):
         raw = np.frombuffer(text.encode(), np.uint8)
