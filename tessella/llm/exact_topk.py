@@ -13,6 +13,8 @@ from tessella.llm.shards import by_length, number_of_shards, pass_by
 #: Rows whose lists are sorted together, and queries that read them together.
 SHARD_ROWS = 4096
 BLOCK_ROWS = 512
+#: Share of the lists that is read first; every so many tiles so many queries try anew whether that is enough.
+FIRST, AGAIN, TRIES = 1 / 16, 16, 16
 #: Bytes of rows that a task holds, some four times that with their lists.
 SHARD_BYTES = 32 << 20
 #: Whole numbers below this are exact as doubles.
@@ -44,6 +46,10 @@ class SortedLists:
                 rows = rows[wanted[rows]]
                 sums[rows] += self.x[rows, d][:, None] * weights[None, :]
 
+    def read_all(self, up: np.ndarray, down: np.ndarray) -> np.ndarray:
+        """The sums of all lists read to their ends."""
+        return self.x @ (up + down).T
+
     def bounds(self, sums: np.ndarray, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest possible score of every (row, query) after `depth` entries of each list.
 
@@ -56,7 +62,7 @@ class SortedLists:
         return least, most
 
 
-def no_random_access(lists: SortedLists, queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, k: int, first: float = 1 / 16):
+def no_random_access(lists: SortedLists, queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, k: int, first: float = FIRST):
     """Yields (query number, ids, scores, share of the lists read) of every row that can be among a query's k best ids; its own id is left out.
 
     All lists are read in step, the first time to the share `first`, then each time twice as far. A query stops when few rows are left whose greatest
@@ -68,9 +74,13 @@ def no_random_access(lists: SortedLists, queries: np.ndarray, query_ids: np.ndar
     while len(active):
         step = min(n, max(1, 2 * depth or int(n * first)))
         up, down = np.maximum(queries[active], 0), np.minimum(queries[active], 0)
-        lists.read(sums, up, down, depth, step, wanted)
+        if step == n and not depth:
+            sums = lists.read_all(up, down)
+        else:
+            lists.read(sums, up, down, depth, step, wanted)
         depth = step
-        least, most = lists.bounds(sums, up, down, depth)
+        # at the lists' ends scores are known
+        least, most = lists.bounds(sums, up, down, depth) if depth < n else (sums.copy(), sums)
         own = lists.ids[:, None] == query_ids[active][None, :]
         least[own | ~wanted[:, None]] = -np.inf
         best = np.maximum.reduceat(least, lists.heads, axis=0)
@@ -110,7 +120,7 @@ class Held:
     """The rows of a shard by the length of their vectors, in parts of SHARD_ROWS, each with its sorted lists; rows beyond exact doubles stand apart."""
 
     def __init__(self, scale: int) -> None:
-        self.scale = scale
+        self.scale, self.share, self.tiles = scale, FIRST, 0
         self.rows: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         self.parts: dict[int, tuple[list[SortedLists], np.ndarray, list]] = {}
 
@@ -118,6 +128,15 @@ class Held:
         for n, part, x in by_length(batch, self.scale):
             self.rows.setdefault(n, []).append((part["id"].to_numpy(), x))
 
+    def turns(self, asked: np.ndarray):
+        """Queries that read a tile together, and how far at once: as far as most queries before needed, since a look at the bounds costs as much as several
+        products, but for a few that try anew now and then."""
+        cut = TRIES if self.tiles % AGAIN == 0 else 0
+        self.tiles += 1
+        for some, first in ((asked[:cut], FIRST), (asked[cut:], None)):
+            if len(some):
+                yield some, self.share if first is None else first
+
     def sorted(self, n: int) -> tuple[list[SortedLists], np.ndarray, list]:
         """Lists of the plain rows, and ids and whole components of the others."""
         if n in self.rows:
@@ -138,15 +157,13 @@ def _best(held: Held, ids: np.ndarray, queries: np.ndarray, k: int) -> Best:
     best, (parts, far_ids, far) = Best(len(ids), k), held.sorted(queries.shape[1])
     asked = np.abs(queries).max(axis=1) <= _plain(queries.shape[1])
     at = np.flatnonzero(asked)
-    first = 1 / 16
-    for lists in parts if len(at) else []:
-        read = []
-        floor = best.floor[at]
-        for i, found, scores, share in no_random_access(lists, queries[at], ids[at], floor, k, first):
-            best.add(int(at[i]), found, scores.astype(np.int64))
-            read.append(share)
-        # bounds cost as much as reading, so the next part is read at once as far as this one needed for most queries
-        first = float(np.median(read))
+    for lists in parts:
+        for some, first in held.turns(at):
+            read, floor = [], best.floor[some]
+            for i, found, scores, share in no_random_access(lists, queries[some], ids[some], floor, k, first):
+                best.add(int(some[i]), found, scores.astype(np.int64))
+                read.append(share)
+            held.share = float(np.median(read))
     # beyond exact doubles, pairs are scored as whole numbers of any size
     for i in range(len(ids)):
         others = list(zip(far_ids.tolist(), far))
