@@ -68,9 +68,9 @@ def match_cells_nuclei(cells: DataFrame, nuclei: DataFrame) -> DataFrame:
 
 
 def gene_ids(spots: DataFrame, order: str = "read_id") -> DataFrame:
-    """(gene, id): whole numbers from 1 in the order of first appearance. The running number is over one row a gene."""
-    first = spots.groupBy("gene").agg(F.min(order).alias("first"))
-    return first.select("gene", F.row_number().over(Window.orderBy("first", "gene")).alias("id"))
+    """(gene, id): whole numbers from 1 in the order of first appearance, numbered by ranges."""
+    first = numbered(spots.groupBy("gene").agg(F.min(order).alias("first")), ["first", "gene"], "at")
+    return first.select("gene", (F.col("at") + 1).cast("int").alias("id"))
 
 
 def rotate_points(points: DataFrame, degrees: float, width: int, height: int, variant: str = "clockwise") -> DataFrame:

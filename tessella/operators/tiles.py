@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.rounding import truncate
+from tessella.operators.cells import numbered
 
 
 def subtile_grid(spark: SparkSession, xy: int, n: int) -> DataFrame:
@@ -38,10 +39,12 @@ def assign_subtiles(points: DataFrame, xy: int, n: int) -> DataFrame:
 def blocks(spark: SparkSession, x: int, y: int, size: int, overlap: int, least: int = 1) -> DataFrame:
     """Overlapping blocks (x0, x1, y0, y1) of an x by y image in steps of size - overlap; blocks smaller than `least` on a side are dropped."""
     step = size - overlap
-    axis = lambda n: spark.range(-(-n // step)).select((F.col("id") * step + 1).cast("int").alias("a"), F.least(F.col("id") * step + size, F.lit(n)).cast("int").alias("b")).filter(F.col("b") - F.col("a") + 1 >= least)
-    xs, ys = axis(x), axis(y)
-    # two axes of a single image: as many rows as the image has blocks
-    return xs.select(F.col("a").alias("x0"), F.col("b").alias("x1")).crossJoin(F.broadcast(ys.select(F.col("a").alias("y0"), F.col("b").alias("y1"))))
+    across, down = -(-x // step), -(-y // step)
+    number = spark.range(across * down)
+    side = lambda k, n: (k * step + 1, F.least(k * step + size, F.lit(n)))
+    (x0, x1), (y0, y1) = side(F.floor(F.col("id") / down), x), side(F.col("id") % down, y)
+    all_ = number.select(*[c.cast("int").alias(n) for c, n in ((x0, "x0"), (x1, "x1"), (y0, "y0"), (y1, "y1"))])
+    return all_.filter((F.col("x1") - F.col("x0") + 1 >= least) & (F.col("y1") - F.col("y0") + 1 >= least))
 
 
 def owner(x: Column, y: Column, xy: int, n: int) -> Column:
@@ -109,10 +112,10 @@ def natural_key(name: Column) -> Column:
 
 
 def pair_by_rank(files: DataFrame, positions: DataFrame, offset: int = 0) -> DataFrame:
-    """Files (name) and stage positions (pos_no) zipped in natural order, `offset` positions skipped, to the shorter. Lists of one slide."""
-    f = files.withColumn("rank", F.row_number().over(Window.orderBy(natural_key(F.col("name")), "name")))
-    p = positions.withColumn("rank", F.row_number().over(Window.orderBy("pos_no")) - offset)
-    return f.join(p, "rank")
+    """Files (name) and stage positions (pos_no) zipped in natural order, `offset` positions skipped, to the shorter. Both are numbered by ranges of their order."""
+    f = numbered(files.withColumn("__key", natural_key(F.col("name"))), ["__key", "name"], "rank").drop("__key")
+    p = numbered(positions, ["pos_no"], "rank").withColumn("rank", F.col("rank") - offset)
+    return f.join(p, "rank").withColumn("rank", (F.col("rank") + 1).cast("int"))
 
 
 def drop_position_range(rows: DataFrame, first: int, last: int, column: str = "name") -> DataFrame:
