@@ -30,22 +30,30 @@ NUMBER = r"-?[0-9]+(?:\.[0-9]+)?"
 
 
 def _lines(logs: DataFrame) -> DataFrame:
-    """Adds `lines`: the lines that aren't blank, trimmed. A log is a few dozen lines, split once."""
-    return logs.withColumn("lines", F.filter(F.transform(F.split("text", "\n"), lambda x: F.trim(F.translate(x, "\r\t", "  "))), lambda x: x != ""))
+    """Adds `lines`: the lines that aren't blank, trimmed. White space goes in one pass over the text, so that no line is touched by itself."""
+    plain = F.regexp_replace(F.translate("text", "\r\t", "  "), r" *\n\s*", "\n")
+    return logs.withColumn("lines", F.split(F.trim(plain), "\n"))
 
 
-def _named(logs: DataFrame, kinds: dict[str, Callable[[Column], Column]]) -> DataFrame:
-    """Adds `lines`, and `named`: (kind, line) of the lines that have a kind, the first whose condition holds. Every line is looked at once."""
+def _holds(*phrases: str) -> Callable[[Column], Column]:
+    return lambda line: reduce(lambda a, b: a & b, [F.contains(line, F.lit(p)) for p in phrases])
+
+
+def _named(logs: DataFrame, kinds: dict[str, Callable[[Column], Column]], gates: list[str]) -> DataFrame:
+    """Adds `lines`, and `named`: (kind, line) of the lines that have a kind, the first whose condition holds. Only lines with one of the gates' phrases can have one."""
 
     def kind(line: Column) -> Column:
         return F.coalesce(*[F.when(fits(line), F.lit(k)) for k, fits in kinds.items()])
 
-    marked = F.transform("lines", lambda x: F.struct(kind(x).alias("kind"), x.alias("line")))
-    return _lines(logs).withColumn("marked", marked).withColumn("named", F.filter("marked", lambda m: m["kind"].isNotNull())).drop("marked")
+    some = F.filter("lines", lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(g)) for g in gates]))
+    return _lines(logs).withColumn("named", F.transform(some, lambda x: F.struct(kind(x).alias("kind"), x.alias("line"))))
 
 
-def _holds(*phrases: str) -> Callable[[Column], Column]:
-    return lambda line: reduce(lambda a, b: a & b, [F.contains(line, F.lit(p)) for p in phrases])
+def _with_position(rows: DataFrame, fov: Column, *columns: Column) -> DataFrame:
+    """submit, fov and the columns of the logs that name a position. A row is made once and then dropped: a filter behind would be taken to the scan, and everything
+    it needs would be computed twice."""
+    one = F.struct(F.col("submit"), fov.alias("fov"), *columns)
+    return rows.select(F.inline(F.filter(F.array(one), lambda r: r["fov"] != "")))
 
 
 def _line(kind: str) -> Column:
@@ -97,10 +105,10 @@ def _ratio(a: str, b: str) -> Column:
 def parse_decoding(logs: DataFrame) -> DataFrame:
     """One record a decoding log, ratios included (0 without a denominator); a log without a position gives none."""
     shares = {"valid": (BELOW, OF_VALID), "below": (BELOW,), "above": (ABOVE,), "d": (SEQ_D,), "f": (SEQ_F,), "end": (SEQ_END,), "book": (IN_BOOK,)}
-    kinds = {k: _holds(PERCENT, *v) for k, v in shares.items()} | {"folder": _holds(FOLDER)}
+    kinds = {k: _holds(*v) for k, v in shares.items()} | {"folder": _holds(FOLDER)}
     place = F.array_position("lines", MAX_COLOUR)
     crosstalk = F.when(place > 0, F.get("lines", place.cast("int")))
-    r = _named(logs, kinds).select("submit", _position(_folder()).alias("fov"), F.when(crosstalk.rlike("^[0-9]+$"), crosstalk).alias("x"), *[_line(k).alias(k) for k in shares]).filter("fov <> ''")
+    r = _with_position(_named(logs, kinds, [PERCENT, FOLDER]), _position(_folder()), F.when(crosstalk.rlike("^[0-9]+$"), crosstalk).alias("x"), *[_line(k).alias(k) for k in shares])
     of = {k: _share(F.col(k)) for k in shares}
     r = r.select(
         "submit", "fov", of["below"]["whole"].alias("spots"), F.coalesce(F.col("x").try_cast("bigint"), F.lit(0).cast("bigint")).alias("crosstalk"), of["below"]["part"].alias("qc"), of["valid"]["part"].alias("valid_qc"), of["valid"]["whole"].alias("valid_spots"),
@@ -114,26 +122,26 @@ def parse_decoding(logs: DataFrame) -> DataFrame:
 
 
 def parse_spot_finding(logs: DataFrame) -> DataFrame:
-    kinds = {"folder": _holds(FOLDER), "method": _holds(METHOD), "reference": _holds(REFERENCE), "threshold": _holds(THRESHOLD), "found": _holds(FOUND)}
-    r = _named(logs, kinds).select("submit", _folder().alias("fov"), *[_line(k).alias(k) for k in kinds if k != "folder"]).filter("fov <> ''")
+    phrases = {"folder": FOLDER, "method": METHOD, "reference": REFERENCE, "threshold": THRESHOLD, "found": FOUND}
+    r = _with_position(_named(logs, {k: _holds(p) for k, p in phrases.items()}, list(phrases.values())), _folder(), *[_line(k).alias(k) for k in phrases if k != "folder"])
     method = F.coalesce(F.regexp_extract(_behind(F.col("method"), METHOD), r"^\S+", 0), F.lit(""))
     return r.select("submit", "fov", method.alias("method"), _whole(_behind(F.col("reference"), REFERENCE)).alias("reference_round"), _double(_behind(F.col("threshold"), THRESHOLD)).alias("threshold"), _whole(_behind(F.col("found"), ":")).alias("spots"))
 
 
 def parse_segmentation(logs: DataFrame) -> DataFrame:
     phrases = {"stack": STACK, "raw_cells": RAW_CELLS, "raw_area": RAW_AREA, "left_area": LEFT_AREA, "share": AREA_SHARE, "left": LEFT_CELLS}
-    r = _named(logs, {k: _holds(p) for k, p in phrases.items()}).select("submit", *[_behind(_line(k), p).alias(k) for k, p in phrases.items()])
-    folders = F.filter(F.split("stack", "/"), lambda p: p.rlike("^Position[0-9]+$"))
-    out = r.select(
-        "submit", F.coalesce(F.element_at(F.when(F.size(folders) > 0, folders), -1), F.lit("")).alias("fov"), _whole(F.col("raw_cells")).alias("raw_cells"), _whole(F.col("raw_area")).alias("raw_area"),
-        _whole(F.col("left_area")).alias("filtered_area"), _double(F.col("share")).alias("reduction"), _whole(F.col("left")).alias("cells"), _whole(F.col("left"), 1).alias("removed"),
+    folders = F.filter(F.split(_behind(_line("stack"), STACK), "/"), lambda p: p.rlike("^Position[0-9]+$"))
+    fov = F.coalesce(F.element_at(F.nullif(folders, F.array().cast("array<string>")), -1), F.lit(""))
+    r = _with_position(_named(logs, {k: _holds(p) for k, p in phrases.items()}, list(phrases.values())), fov, *[_behind(_line(k), p).alias(k) for k, p in phrases.items() if k != "stack"])
+    return r.select(
+        "submit", "fov", _whole(F.col("raw_cells")).alias("raw_cells"), _whole(F.col("raw_area")).alias("raw_area"), _whole(F.col("left_area")).alias("filtered_area"),
+        _double(F.col("share")).alias("reduction"), _whole(F.col("left")).alias("cells"), _whole(F.col("left"), 1).alias("removed"),
     )
-    return out.filter("fov <> ''")
 
 
 def parse_shifts(logs: DataFrame) -> DataFrame:
     """One record for each round that a registration log reports: a line with the rounds and the time, and the next line with the shift."""
-    lined = _named(logs, {"folder": _holds(FOLDER)}).select("submit", _position(_folder()).alias("fov"), "lines").filter("fov <> ''")
+    lined = _with_position(_named(logs, {"folder": _holds(FOLDER)}, [FOLDER]), _position(_folder()), F.col("lines"))
     pairs = lined.select("submit", "fov", F.explode(F.arrays_zip(F.col("lines").alias("line"), F.expr("slice(lines, 2, size(lines))").alias("next"))).alias("p"))
     mine = pairs.filter(F.startswith("p.line", F.lit("Round")) & F.contains("p.line", F.lit(FINISHED)) & F.startswith("p.next", F.lit(SHIFTED)))
     r = mine.select("submit", "fov", _numbers(F.col("p.line")).alias("a"), _numbers(F.col("p.next")).alias("b")).filter("size(a) = 3 and size(b) = 3")
