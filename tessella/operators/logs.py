@@ -30,9 +30,9 @@ NUMBER = r"-?[0-9]+(?:\.[0-9]+)?"
 
 
 def _lines(logs: DataFrame) -> DataFrame:
-    """Adds `lines`: the lines that aren't blank, trimmed. White space goes in one pass over the text, so that no line is touched by itself."""
-    plain = F.regexp_replace(F.translate("text", "\r\t", "  "), r" *\n\s*", "\n")
-    return logs.withColumn("lines", F.split(F.trim(plain), "\n"))
+    """Adds `lines`: the lines that aren't blank, trimmed."""
+    blank = lambda text, c: F.replace(text, F.lit(c), F.lit(" "))
+    return logs.withColumn("lines", F.filter(F.transform(F.split(blank(blank(F.col("text"), "\r"), "\t"), "\n"), lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def _holds(*phrases: str) -> Callable[[Column], Column]:
