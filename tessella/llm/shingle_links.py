@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm import textscan as ts
@@ -18,10 +19,8 @@ from tessella.operators.graph import checkpointed, components, drop_folder, shar
 BANDS, BAND = 20, 4
 #: Two sets are similar if they have at least 4 / 5 of their union in common.
 PART, WHOLE = 4, 5
-#: A block of a band group has about so many nodes and bytes of shingles at most.
-BLOCK_NODES, BLOCK_BYTES = 1024, 2 << 20
-#: Shingles whose columns are multiplied at once.
-COLUMNS = 4096
+#: Rows of one shingle that are held in a task while the others pass by.
+BLOCK_ROWS = 4096
 
 _rng = np.random.default_rng(512)
 _XORS = _rng.integers(0, 2**63, BANDS * BAND, dtype=np.uint64)
@@ -59,65 +58,80 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _common(blobs: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sizes of all sets, and the numbers of shingles that each of the first ones shares with each of the others (with all if there are none)."""
-    size = np.array([len(b) // 4 for b in blobs])
-    owner = np.repeat(np.arange(len(blobs)), size)
-    _, column, count = np.unique(np.frombuffer(b"".join(blobs), np.uint32), return_inverse=True, return_counts=True)
-    shared = count > 1
-    rank = np.cumsum(shared) - 1
-    held = shared[column]
-    owner, column = owner[held], rank[column[held]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    second = first if first < len(blobs) else 0
-    out = np.zeros((first, len(blobs) - second), np.float32)
-    for low in range(0, int(shared.sum()), COLUMNS):
-        at = slice(*np.searchsorted(column, [low, low + COLUMNS]))
-        here = np.zeros((len(blobs), min(COLUMNS, int(shared.sum()) - low)), np.float32)
-        here[owner[at], column[at] - low] = 1
-        # whole numbers below 2**24 are exact in each product
-        out = out + (here[:first] @ here[second:].T).astype(np.float64)
-    return size, out
-
-
-def _forest(x: np.ndarray, y: np.ndarray, second: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """At most n edges with the components of the edges (x, second + y) over n places."""
-    y = y + second
-    root = np.arange(n)
-    while True:
-        least = np.minimum(root[x], root[y])
-        new = root.copy()
-        np.minimum.at(new, root[x], least)
-        np.minimum.at(new, root[y], least)
-        new = new[new]
-        if (new == root).all():
-            there = np.flatnonzero(root != np.arange(n))
-            return there, root[there]
-        root = new
-
-
-def _compare(table: pa.Table) -> pa.Table:
-    """Edges with the components of the similar pairs of nodes with different labels, within a block or between the two blocks of a pair of blocks."""
-    table = table.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending"), ("side", "ascending")])
-    key, i, j, side, node, label = (table[c].to_numpy() for c in ("key", "i", "j", "side", "node", "label"))
-    blobs = table["shingles"].to_pylist()
-    heads = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
-    a, b = [], []
-    for low, high in zip(heads, np.append(heads[1:], len(key))):
-        first = int((side[low:high] == 0).sum())
-        alone = i[low] == j[low]
-        if not first or not alone and first == high - low:
-            continue
-        size, common = _common(blobs[low:high], first)
-        second = 0 if alone else first
-        near = _similar(common, size[:first, None], size[None, second:]) & (label[low : low + first, None] != label[None, low + second : high])
-        x, y = _forest(*np.nonzero(near), second, high - low)
-        a.append(node[low + x])
-        b.append(node[low + y])
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-    ts.give_back()
-    return pa.table([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
+def _words(sets: DataFrame) -> DataFrame:
+    """(node, shingle): a row for each hash of each set."""
+
+    def run(batches):
+        for batch in batches:
+            blobs = batch["shingles"]
+            offsets = np.concatenate([[0], np.cumsum(pc.binary_length(blobs).to_numpy())])
+            for low, high in ts.chunks(offsets):
+                hashes = np.frombuffer(b"".join(blobs.slice(low, high - low).to_pylist()), np.int32)
+                node = np.repeat(batch["node"].to_numpy()[low:high], np.diff(offsets[low : high + 1]) // 4)
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(hashes)], names=["node", "shingle"])
+        ts.give_back()
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, shingle int")
+
+
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """(shingle, node, m, place, short): the rarest shingles of each set of m, as far as another set holds them too.
+
+    Sets are put in one order, by how many sets hold a shingle. The first shingle that two similar sets share leaves all they share
+    behind it: it is among the first fifth of both, and among the first ninth of the smaller set (short).
+    """
+    words = _words(sets)
+    counts = words.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    ranked = words.join(counts, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("ranked"))
+    m = F.col("m")
+    first = lambda part, whole: m - F.floor((m * part + whole - 1) / whole) + 1
+    ranked = ranked.join(sets.select("node", (F.octet_length("shingles") / 4).cast("long").alias("m")), "node").withColumn("alone", m - F.size("ranked"))
+    shown = F.slice("ranked", F.lit(1), F.greatest(F.lit(0), first(PART, WHOLE) - F.col("alone")).cast("int"))
+    rows = ranked.select("node", "m", "alone", F.posexplode(shown).alias("pos", "s"))
+    place = F.col("alone") + F.col("pos")
+    return rows.select("s.shingle", "node", "m", place.alias("place"), (place < first(2 * PART, PART + WHOLE)).alias("short"))
+
+
+def _may_link(x: str, y: str) -> Column:
+    """Can the set of row x and the larger one of row y be similar, if they share what follows the places of the rows at most?"""
+    left, right = F.col(f"{x}.m"), F.col(f"{y}.m")
+    behind = F.least(left - F.col(f"{x}.place"), right - F.col(f"{y}.place"))
+    larger = (left < right) | (left == right) & (F.col(f"{x}.node") < F.col(f"{y}.node"))
+    return larger & (F.col(f"{x}.label") != F.col(f"{y}.label")) & (behind * (PART + WHOLE) >= (left + right) * PART)
+
+
+def _mixed(rows: DataFrame, key: str, *more: Column) -> DataFrame:
+    """The keys whose rows have several labels."""
+    return rows.groupBy(key).agg(F.min("label").alias("low"), F.max("label").alias("high"), *more).filter("low <> high").drop("low", "high")
+
+
+def _ends(met: DataFrame, x: str, y: str) -> DataFrame:
+    """Each pair (a, b) of nodes once, a the lesser."""
+    return met.select(F.least(f"{x}.node", f"{y}.node").alias("a"), F.greatest(f"{x}.node", f"{y}.node").alias("b")).distinct()
+
+
+def _rest(labelled: DataFrame, sets: DataFrame) -> DataFrame:
+    """The similar pairs of nodes with different labels, but those that others make one component of. labelled: (node, label).
+
+    Sets meet by the shingles of their prefixes. First all meet the least of a shingle, and labels are merged; then those of
+    different labels still meet each other. Rows that are short stay in blocks of BLOCK_ROWS, the others pass by each block.
+    """
+    own = checkpointed(sets.join(labelled, "node"))
+    rows = checkpointed(_prefixes(own).join(own.select("node", "label"), "node"))
+    least = _mixed(rows, "shingle", F.min(F.struct("node", "label", "m", "place")).alias("head"))
+    met = rows.select("shingle", F.struct("node", "label", "m", "place").alias("own")).join(least, "shingle").filter(_may_link("own", "head") | _may_link("head", "own"))
+    near = checkpointed(_verified(_ends(met, "own", "head"), own))
+
+    ends = [own.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab"]
+    merged = components(near.join(ends[0], "a").join(ends[1], "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    rows = rows.join(merged.select(F.col("node").alias("label"), F.col("label").alias("new")), "label", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
+    rows = checkpointed(rows)
+    blocks = _mixed(rows, "shingle", F.ceil(F.count_if("short") / BLOCK_ROWS).cast("int").alias("blocks")).filter("blocks > 0")
+    rows = checkpointed(rows.join(blocks, "shingle"))
+    short = rows.filter("short").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).alias("x")
+    passing = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("y")
+    pairs = passing.join(short, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.block") == F.col("y.block")) & _may_link("x", "y"))
+    return near.unionByName(checkpointed(_verified(checkpointed(_ends(pairs, "x", "y")), own)))
 
 
 def links(written: DataFrame, ties: DataFrame) -> DataFrame:
@@ -125,9 +139,9 @@ def links(written: DataFrame, ties: DataFrame) -> DataFrame:
 
     written: (node, shingles, bands), any number of rows a node, all alike. shingles: the set's sorted hashes of 32 bits (in a set of m shingles two
     agree by chance with probability m² / 2**33, which moves a similarity by 1 / m).
-    First each node of a band group is compared with the group's head, the one that shares most groups with others. Then
-    components are labelled, and in each group all pairs of other nodes with different labels are compared in blocks. No rows are formed for pairs:
-    a group of n nodes sends n rows for each of its n / BLOCK_NODES blocks. Only pairs that are in one component already are left out.
+    First each node of a band group is compared with the group's head, the one that shares most groups with others, and components are labelled.
+    Nodes of groups that still hold several labels then meet by their rarest shingles (_rest), which finds all similar pairs among them: texts
+    that share a passage, and with it bands, but little else, meet nowhere. Only pairs that are in one component already are left out.
     """
     banded = written.select("node", "bands").filter("bands is not null").dropDuplicates(["node"]).select("node", F.explode("bands").alias("key"))
     banded = checkpointed(banded)
@@ -146,22 +160,7 @@ def links(written: DataFrame, ties: DataFrame) -> DataFrame:
 
     label = checkpointed(components(ties.unionByName(near)))
     # the head has met all others; of them, a group of one label is done
-    rest = checkpointed(met.filter("n > 2").select("key", "node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")).join(sets.select("node", F.octet_length("shingles").alias("bytes")), "node"))
-    counts = F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")
-    mixed = rest.groupBy("key").agg(*counts).filter("low <> high")
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_NODES, F.col("bytes") / BLOCK_BYTES)).cast("int")
-    mixed = checkpointed(mixed.select("key", blocks.alias("blocks"), "bytes"))
-    total = mixed.agg(F.sum("bytes")).first()[0]
-    if not total:
-        drop_folder(spark, folder)
-        return near
-    mine = checkpointed(rest.select("key", "node", "label").join(mixed.select("key", "blocks"), "key")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    dealt = mine.select("key", "node", "label", "blocks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other"), "side": F.when(F.col("block") > F.col("other"), 1).otherwise(0)})
-    # small groups share a task's table; each pair of blocks of a large group has one
-    bucket = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(max(1, total // BLOCK_BYTES)))).otherwise(F.xxhash64("key", "i", "j"))
-    sent = dealt.select(bucket.alias("bucket"), "key", "i", "j", "side", "node", "label").join(sets, "node").select("bucket", "key", "i", "j", "side", "node", "label", "shingles")
-    more = sent.groupBy("bucket").applyInArrow(_compare, "a long, b long")
-    more = checkpointed(more.distinct())
+    rest = checkpointed(met.filter("n > 2").select("key", "node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    more = _rest(rest.join(_mixed(rest, "key"), "key", "left_semi").select("node", "label").distinct(), sets)
     drop_folder(spark, folder)
     return near.unionByName(more)

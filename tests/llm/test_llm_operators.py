@@ -341,10 +341,61 @@ def test_blocks_of_a_large_band_group(spark, monkeypatch):
     rows = [(2 * g + k, " ".join(w + own[g][: 36 - 2 * k] + [f"e{rng.random()}"])) for g in range(25) for k in (0, 1)]
     kept, expected = kept_exactly(spark, rows)
     assert kept == expected
-    monkeypatch.setattr(shingle_links, "BLOCK_NODES", 5)
+    monkeypatch.setattr(shingle_links, "BLOCK_ROWS", 5)
     assert kept_exactly(spark, rows)[0] == expected
 
 
+def sets_of(spark, sets, bands):
+    """The table that shingle_links.links reads, of sets of numbers."""
+    import numpy as np
+
+    rows = [(k, bytearray(np.array(sorted(s), np.uint32).tobytes()), bands) for k, s in enumerate(sets)]
+    return spark.createDataFrame(rows, "node long, shingles binary, bands array<long>")
+
+
+def test_links_of_random_sets(spark, monkeypatch):
+    """Components of all similar pairs of one band group, sets of any sizes, whatever is frequent in them."""
+    rng = random.Random(11)
+    pool = [rng.sample(range(400), 400) for _ in range(3)]
+    sets = [set(rng.choice(pool)[: rng.choice([1, 2, 4, 5, 9, 10, 40, 90])]) | set(rng.sample(range(400), rng.randint(0, 12))) for _ in range(220)]
+    sets += [{5}, {5, 6}, {2**32 - 1}, {2**32 - 1, 0, 1, 2, 3}, {0, 1, 2, 3}, set(range(1000, 1009)), set(range(1001, 1010)), set(range(1000, 1010))]
+    n = len(sets)
+    ties = spark.createDataFrame([(0, 1)], "a long, b long")
+    expected = list(range(n))
+    for i, j in [(0, 1)] + [(i, j) for i in range(n) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]:
+        old, new = sorted((expected[i], expected[j]), reverse=True)
+        expected = [new if x == old else x for x in expected]
+    for block in (4096, 3):
+        monkeypatch.setattr(shingle_links, "BLOCK_ROWS", block)
+        edges = shingle_links.links(sets_of(spark, sets, [7]), ties)
+        found = dict(enumerate(range(n))) | {r["node"]: r["label"] for r in shingle_links.components(ties.unionByName(edges)).collect()}
+        assert [found[k] for k in range(n)] == expected
+    assert len(set(expected)) > 20
+
+
+def test_band_group_of_unlinked_texts_grows_in_proportion(spark, monkeypatch):
+    """Texts that share half of their shingles, all in one band: ten times the texts make ten times the rows, and links among them are found."""
+    rng = random.Random(12)
+    seen = []
+
+    def counting(df):
+        out = kept_rows(df)
+        seen.append(out.count())
+        return out
+
+    kept_rows = shingle_links.checkpointed
+    monkeypatch.setattr(shingle_links, "checkpointed", counting)
+    total = []
+    for n in (2_000, 20_000):
+        seen.clear()
+        sets = [set(range(40)) | {rng.randrange(100, 2**32) for _ in range(20)} for _ in range(n - 100)]
+        sets += [set(list(s)[:57]) | {rng.randrange(100, 2**32)} for s in sets[-100:]]
+        edges = shingle_links.links(sets_of(spark, sets, [3]), spark.createDataFrame([], "a long, b long")).collect()
+        assert {(r["a"], r["b"]) for r in edges} == {(k - 100, k) for k in range(n - 100, n)}
+        total.append(sum(seen))
+    assert total[1] < 12 * total[0]
+
+
 def topk(rows, k=10):
     """(query id, rank, id, score) by scoring every pair."""
     whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
