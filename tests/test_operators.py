@@ -439,3 +439,16 @@ def test_bucketed_tables_join_in_place(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_numbers_of_rows_beyond_64_bits(spark, tmp_path):
+    """Order keys up to 2^40: numbers are those of the SQL as far as it has any, and of one row each beyond."""
+    keys = [1, 1_048_574, 1_048_575, 1_048_576, 9_000_000, 9_000_000 + 2**21, 2**40]
+    rows = [(k, p, 1, n, 1.0, 900.25 + n) for k in keys for p in (0, 65_535, 65_536, 1_200_000) for n in (1, 7)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    exact = [(k * 8 + n) * 2**40 + p * 2**24 + round(price * 100) for k, p, _, n, _, price in rows]
+    got = [r["spot_id"] for r in table(spark, str(tmp_path), "spots").collect()]
+    assert len(set(got)) == len(rows) and all(g < 0 for g in got if g not in exact)
+    assert {g for g in got if g >= 0} == {e for e in exact if e < 2**63}
+    for name in ("clean_genes", "colour_vectors", "read_strings"):
+        assert registry.queries()[name](spark, str(tmp_path)).count() == len(rows) * (5 if name == "colour_vectors" else 1)
