@@ -13,6 +13,7 @@ from tessella.functions import colours as col
 from tessella.functions.rounding import half_even, half_up, saturate, truncate
 from tessella.operators import cells, decode, logs, spots, tiles, voxels
 from tessella.operators import nearest as nearest_module
+from tessella.operators.blocks import Block, in_groups
 from tessella.operators.graph import components
 from tessella.operators.nearest import nearest, nearest_rows
 from tessella.plans import log_queries, registry
@@ -463,3 +464,21 @@ def test_log_files_are_bounded(spark, monkeypatch):
     given = table(spark, SF, "logs").groupBy("submit", (F.col("task_id") % 20).alias("task_id")).agg(F.count(F.lit(1)).alias("logs"), F.sum(F.length("text")).alias("n_chars"))
     assert {(r["submit"], r["task_id"], r["logs"], r["n_chars"]) for r in rows} == {tuple(r) for r in given.collect()}
     assert max(r["text"].count("Method:") for r in seen[0].collect()) == 3
+
+
+def test_groups_in_batches(spark):
+    """Groups that go on over batches, null keys and keys of two columns come whole and apart, as in groupBy; blocks are cut to what is near a voxel."""
+    rows = spark.range(3000).selectExpr("if(id % 7 = 0, null, cast(id % 7 as string)) as a", "cast(id * id % 11 as int) as b", "id as v")
+
+    def added(g):
+        return pa.table({"a": g["a"][:1], "n": pa.array([len(g)], pa.int64()), "s": pa.array([sum(g["v"].to_pylist())], pa.int64())})
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        got = in_groups(rows, ["a", "b"], added, "a string, n long, s long").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")).select("a", "n", "s").collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    one = pa.table({"z": [1, 1], "y": [70, 71], "x": [3, 3], "by": [1, 1], "bx": [0, 0]})
+    assert Block(one, 2).shape == (5, 10, 9)
