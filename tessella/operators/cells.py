@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions.colours import clean_gene
 from tessella.functions.rounding import half_even, half_up, truncate
+from tessella.operators.blocks import in_groups
 from tessella.operators.graph import checkpointed
 from tessella.operators.nearest import nearest
 
@@ -242,7 +243,7 @@ def cell_hulls(reads: DataFrame, cell: str = "cell_barcode") -> DataFrame:
         return pa.table({"cell": table["cell"][:1], "ring": pa.ListArray.from_arrays(np.array([0, len(around)], np.int32), points)})
 
     partial = ready.mapInArrow(corners, "cell long, x double, y double")
-    return partial.groupBy("cell").applyInArrow(ring, "cell long, ring array<struct<x:double,y:double>>")
+    return in_groups(partial, ["cell"], ring, "cell long, ring array<struct<x:double,y:double>>")
 
 
 def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
