@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -234,16 +236,18 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], text_col: str = "t
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.columns if keep is None else keep
-    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    schema = source.select("row", F.lit(0.0).alias("score")).schema
 
-    def run(batches):
+    # only the text goes to Python and only the score comes back: the rows, which hold the text as well, wait in Spark.
+    # a filter on the score would be pushed below and have it computed twice, so Spark may not move it
+    @F.arrow_udf("double")
+    def likely(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vectors, network = shared.value
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(network.score(_pooled(batch["text"], vectors).astype(np.float64)), pa.float64())], names=["row", "score"])
+        for text in texts:
+            yield pa.array(network.score(_pooled(text, vectors).astype(np.float64)), pa.float64())
         ts.give_back()
 
-    return source.mapInArrow(run, schema)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), likely.asNondeterministic()(text).alias("score"))
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str, threshold: float = 0.3) -> DataFrame:
