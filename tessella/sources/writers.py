@@ -46,6 +46,11 @@ def bucketed_decoding(scores: DataFrame, reads: DataFrame, intensity: DataFrame,
     return names
 
 
+def write_by_position(rows: DataFrame, path: str, column: str = "at") -> None:
+    """CSV files with a header in a folder of each position. Rows are dealt by position first, so a position has one file instead of one from every task."""
+    rows.repartition(column).write.partitionBy(column).option("header", True).csv(path)
+
+
 def write_counts(counts: DataFrame, path: str) -> None:
     counts.write.parquet(path)
 

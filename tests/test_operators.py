@@ -482,3 +482,10 @@ def test_groups_in_batches(spark):
     assert sorted(map(str, got)) == sorted(map(str, want))
     one = pa.table({"z": [1, 1], "y": [70, 71], "x": [3, 3], "by": [1, 1], "bx": [0, 0]})
     assert Block(one, 2).shape == (5, 10, 9)
+
+
+def test_a_position_is_one_file(spark, tmp_path):
+    rows = spark.range(0, 400, 1, 8).selectExpr("id", "concat('Position', id % 5) as at")
+    writers.write_by_position(rows, f"{tmp_path}/out")
+    assert len(list((tmp_path / "out").glob("at=*/*.csv"))) == 5
+    assert spark.read.csv(f"{tmp_path}/out", header=True).count() == 400
