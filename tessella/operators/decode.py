@@ -96,10 +96,13 @@ def build_codebook(book: DataFrame, instrument: str = "Olympus", layout: str = "
     """(row_no, gene, barcode) from (row_no, gene, sequence): the sequence reversed and encoded, removed positions (from 1) cut out.
 
     layout: 'swap' puts what is behind the removed position first, 'plain' doesn't, 'segments' swaps the first two of the pieces and codes the last pair on its own. Of genes
-    with one barcode the later row wins; sequences that can't be encoded are left out.
+    with one barcode the later row wins; sequences that can't be encoded are left out. Each distinct sequence is encoded once, after the shuffle.
     """
-    coded = book.select("row_no", "gene", _code(F.col("sequence"), instrument, layout, remove).alias("barcode")).filter(F.col("barcode").isNotNull())
-    return coded.groupBy("barcode").agg(F.max("row_no").alias("row_no"), F.max_by("gene", "row_no").alias("gene")).select("row_no", "gene", "barcode")
+    last = [F.max("row_no").alias("row_no"), F.max_by("gene", "row_no").alias("gene")]
+    # a maximum, not the key itself: filters on the code would be moved below the shuffle, and encode every row
+    one = book.groupBy("sequence").agg(F.max("sequence").alias("same"), *last)
+    coded = one.select("row_no", "gene", _code(F.col("same"), instrument, layout, remove).alias("barcode")).filter(F.col("barcode").isNotNull())
+    return coded.groupBy("barcode").agg(*last).select("row_no", "gene", "barcode")
 
 
 def build_codebook_duo(book: DataFrame, instrument: str = "Olympus") -> DataFrame:
