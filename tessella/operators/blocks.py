@@ -48,19 +48,15 @@ class Block:
         out[tuple(slice(h, n - h) for n in self.shape)] = True
         return out
 
+    def around(self, array: np.ndarray, offset: tuple[int, int, int]) -> np.ndarray:
+        """array[p + offset] at every place p that is no halo, without a copy. No offset goes beyond the halo."""
+        h = self.halo
+        return array[tuple(slice(h + o, n - h + o) for o, n in zip(offset, self.shape))]
+
     def places(self, index: tuple[np.ndarray, ...]) -> dict[str, np.ndarray]:
         return {c: (i + f - self.halo).astype(np.int32) for c, i, f in zip(PLACE, index, self.first)}
 
 
-def moved(array: np.ndarray, offset: tuple[int, int, int]) -> np.ndarray:
-    """array[p + offset] at every place p; what lies outside is zero."""
-    out = np.zeros_like(array)
-    to = tuple(slice(max(0, -o), min(n, n - o)) for o, n in zip(offset, array.shape))
-    of = tuple(slice(max(0, o), min(n, n + o)) for o, n in zip(offset, array.shape))
-    out[to] = array[of]
-    return out
-
-
 def by_block(voxels: DataFrame, keys: list[str], columns: list[str], halo: int, fn: Callable, out: dict[str, str]) -> DataFrame:
     """Rows (keys, columns of `out`) that fn(table of a block) -> arrays by name gives, over all blocks. fn gets the halo's voxels as well."""
     reach = lambda c: F.explode(F.sequence(F.floor((F.col(c) - 1 - halo) / BLOCK), F.floor((F.col(c) - 1 + halo) / BLOCK)))
@@ -72,7 +68,7 @@ def by_block(voxels: DataFrame, keys: list[str], columns: list[str], halo: int,
     def run(table: pa.Table) -> pa.Table:
         found = fn(table)
         n = len(next(iter(found.values())))
-        own = {k: pa.array([table[k][0].as_py()] * n, table.schema.field(k).type) for k in keys}
+        own = {k: pa.repeat(table[k][0], n) for k in keys}
         return pa.table(own | {k: pa.array(v) for k, v in found.items()})
 
     return in_groups(dealt, [*keys, "by", "bx"], run, schema)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.rounding import saturate
-from tessella.operators.blocks import Block, by_block, moved
+from tessella.operators.blocks import Block, by_block
 from tessella.operators.graph import checkpointed
 from tessella.operators.nearest import blocks_near
 from tessella.operators.voxels import CHANNEL, PLACE, TOP, connected_components, convolve, log_kernel, neighbours
@@ -16,30 +16,55 @@ from tessella.operators.voxels import CHANNEL, PLACE, TOP, connected_components,
 _LEAST = np.iinfo(np.int64).min
 
 
+def _highest(block: Block, values: np.ndarray, connectivity: int) -> tuple[np.ndarray, np.ndarray]:
+    """At the places of a block that are no halo: the greatest of the neighbours' values, and where there is a neighbour."""
+    inner = tuple(n - 2 * block.halo for n in block.shape)
+    most, near = np.full(inner, _LEAST), np.zeros(inner, bool)
+    filled = np.where(block.there, values, _LEAST)
+    for o in neighbours(connectivity):
+        np.maximum(most, block.around(filled, o), out=most)
+        near |= block.around(block.there, o)
+    return most, near
+
+
 def around_max(voxels: DataFrame, keys: list[str], connectivity: int = 26, value: str = "value") -> DataFrame:
     """The voxels (keys, z, y, x, value) with `around`, the greatest value next to each; null if it has no neighbour."""
 
     def highest(table: pa.Table) -> dict[str, np.ndarray]:
         block = Block(table, 1)
         values = block.dense(table[value].to_numpy().astype(np.int64))
-        most, near = np.full(block.shape, _LEAST), np.zeros(block.shape, bool)
-        for o in neighbours(connectivity):
-            there = moved(block.there, o)
-            most = np.where(there, np.maximum(most, moved(values, o)), most)
-            near |= there
-        inside = block.there & block.inner()
-        return block.places(np.nonzero(inside)) | {value: values[inside], "around": np.ma.array(most[inside], mask=~near[inside])}
+        most, near = _highest(block, values, connectivity)
+        at = np.nonzero(block.around(block.there, (0, 0, 0)))
+        return block.places(tuple(i + 1 for i in at)) | {value: block.around(values, (0, 0, 0))[at], "around": np.ma.array(most[at], mask=~near[at])}
 
     return by_block(voxels, keys, [value], 1, highest, {"z": "int", "y": "int", "x": "int", value: "long", "around": "long"})
 
 
+def _candidates(voxels: DataFrame, keys: list[str], connectivity: int) -> DataFrame:
+    """The voxels (keys, z, y, x, value) that are alone with their value and have no greater neighbour (`flat` false), or have an equal neighbour (`flat` true), with
+    `beaten`: is a neighbour greater? All others are no maxima, and part no plateau either."""
+
+    def chosen(table: pa.Table) -> dict[str, np.ndarray]:
+        block = Block(table, 1)
+        values = block.dense(table["value"].to_numpy().astype(np.int64))
+        most, near = _highest(block, values, connectivity)
+        own, here = block.around(values, (0, 0, 0)), block.around(block.there, (0, 0, 0))
+        flat = np.zeros(own.shape, bool)
+        for o in neighbours(connectivity):
+            flat |= (block.around(values, o) == own) & block.around(block.there, o)
+        beaten = near & (most > own)
+        at = np.nonzero(here & (flat | ~beaten))
+        return block.places(tuple(i + 1 for i in at)) | {"value": own[at], "flat": flat[at], "beaten": beaten[at]}
+
+    return by_block(voxels, keys, ["value"], 1, chosen, {"z": "int", "y": "int", "x": "int", "value": "long", "flat": "boolean", "beaten": "boolean"})
+
+
 def regional_maxima(voxels: DataFrame, keys: list[str] = CHANNEL, connectivity: int = 26) -> DataFrame:
     """Voxels of plateaus without a greater neighbour, with the plateau's component. Only voxels that aren't zero can be one if any voxel is greater than zero."""
-    cells = checkpointed(around_max(voxels, keys, connectivity).withColumn("beaten", F.coalesce(F.col("around") > F.col("value"), F.lit(False))))
+    cells = checkpointed(_candidates(voxels, keys, connectivity))
     # a plateau has several voxels only where a neighbour is as great; the others are decided alone
-    flat = cells.filter("around >= value")
-    alone = cells.filter("around is null or around < value").select(*keys, *PLACE, "value")
-    joined = checkpointed(connected_components(flat, keys, connectivity, "value"))
+    alone = cells.filter("not flat").select(*keys, *PLACE, "value")
+    joined = checkpointed(connected_components(cells.filter("flat").drop("flat"), keys, connectivity, "value"))
     good = joined.groupBy("component").agg(F.max("beaten").alias("lost")).filter("not lost").select("component")
     return joined.join(good, "component", "left_semi").select(*keys, *PLACE, "value").unionByName(alone)
 

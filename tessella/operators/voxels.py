@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.rounding import saturate
-from tessella.operators.blocks import PLACE, Block, by_block, moved
+from tessella.operators.blocks import PLACE, Block, by_block
 from tessella.operators.graph import checkpointed, components
 from tessella.operators.nearest import nearest
 
@@ -215,39 +215,52 @@ def number(z, y, x):
     return (z << 42) | (y << 21) | x
 
 
-_TOP = np.int64(2**62)
+def _least(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least of 0..n-1 that each one is joined to by the edges (a, b): lesser labels spread over edges and jump to their labels' labels."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        for ends in (label[a], label[b]):
+            np.minimum.at(new, ends, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return label
 
 
 def _labelled(table: pa.Table, columns: list[str], connectivity: int, same: str | None) -> dict[str, object]:
     """The inner voxels of a block with `local`, the least voxel number of their object inside the block, and `far`, the touching voxels beyond it."""
     block = Block(table, 1)
-    inner = block.inner() & block.there
-    alike = block.dense(table[same].to_numpy()) if same else block.there
-    grid = np.ogrid[tuple(slice(f - 1, f - 1 + n) for f, n in zip(block.first, block.shape))]
-    numbers = number(*(g.astype(np.int64) for g in grid)) + np.zeros(block.shape, np.int64)
-    touch = [(o, block.there & moved(block.there, o) & (moved(alike, o) == alike)) for o in neighbours(connectivity)]
-    # the least number wins, kept as the greatest complement, so that nothing is zero
-    label = np.where(inner, _TOP - numbers, 0)
-    while True:
-        new = label
-        for o, near in touch:
-            new = np.maximum(new, np.where(near & inner, moved(label, o), 0))
-        if (new == label).all():
-            break
-        label = new
-    rows = np.flatnonzero(inner[block.index])
-    at = tuple(i[rows] for i in block.index)
-    owner, beyond = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for o, near in touch:
-        out = near & moved(block.there & ~block.inner(), o)
-        k = np.flatnonzero(out[at])
-        owner.append(k)
-        beyond.append(moved(numbers, o)[tuple(i[k] for i in at)])
-    owner, beyond = np.concatenate(owner), np.concatenate(beyond)
-    by = np.argsort(owner, kind="stable")
-    far = pa.ListArray.from_arrays(np.searchsorted(owner[by], np.arange(len(rows) + 1)).astype(np.int32), beyond[by])
+    numbers = number(*(table[c].to_numpy().astype(np.int64) for c in PLACE))
+    table, numbers = table.take(pa.array(by := np.argsort(numbers))), numbers[by]
+    index = tuple(i[by] for i in block.index)
+    alike = table[same].to_numpy() if same else None
+    # rows from 1 by their place, in the order of their numbers
+    row = np.zeros(block.shape, np.int64)
+    row[index] = np.arange(1, len(table) + 1)
+    inner = block.inner()[index]
+    rows = np.flatnonzero(inner)
+    at = tuple(i[rows] for i in index)
+    own, next_ = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for o in neighbours(connectivity):
+        near = row[tuple(i + c for i, c in zip(at, o))] - 1
+        k = np.flatnonzero(near >= 0)
+        if same:
+            k = k[alike[rows[k]] == alike[near[k]]]
+        own.append(k)
+        next_.append(near[k])
+    own, next_ = np.concatenate(own), np.concatenate(next_)
+    # of each pair inside, one direction is enough
+    inside = inner[next_]
+    once = inside & (next_ > rows[own])
+    label = _least(len(table), rows[own[once]], next_[once])[rows]
+    owner, beyond = own[~inside], numbers[next_[~inside]]
+    order = np.argsort(owner, kind="stable")
+    far = pa.ListArray.from_arrays(np.searchsorted(owner[order], np.arange(len(rows) + 1)).astype(np.int32), beyond[order])
     mine = table.take(pa.array(rows))
-    return {c: mine[c].combine_chunks() for c in columns} | {"local": _TOP - label[at], "far": far}
+    return {c: mine[c].combine_chunks() for c in columns} | {"local": numbers[label], "far": far}
 
 
 def connected_components(voxels: DataFrame, keys: list[str], connectivity: int = 26, same: str | None = None) -> DataFrame:
@@ -321,14 +334,15 @@ def convolve(voxels: DataFrame, kernel: list[tuple[tuple[int, ...], float]], nx:
                 at = np.arange(block.shape[axis]) + block.first[axis] - halo
                 clamped = np.clip(np.clip(at, 1, last[c]) - block.first[axis] + halo, 0, block.shape[axis] - 1)
                 values, there = np.take(values, clamped, axis), np.take(there, clamped, axis)
-        response, reached = np.zeros(block.shape), np.zeros(block.shape, bool)
+        inner = tuple(n - 2 * halo for n in block.shape)
+        response, reached, part = np.zeros(inner), np.zeros(inner, bool), np.empty(inner)
         for o, w in full:
-            response += w * moved(values, o)
-            reached |= moved(there, o)
-        inside = reached & block.inner()
-        places = block.places(np.nonzero(inside))
+            response += np.multiply(block.around(values, o), w, out=part)
+            reached |= block.around(there, o)
+        at = np.nonzero(reached)
+        places = block.places(tuple(i + halo for i in at))
         keep = np.all([(places[c] >= 1) & (places[c] <= last[c]) for c in PLACE], axis=0)
-        return {c: p[keep] for c, p in places.items()} | {"response": response[inside][keep]}
+        return {c: p[keep] for c, p in places.items()} | {"response": response[at][keep]}
 
     return by_block(voxels, keys, ["value"], halo, filtered, {"z": "int", "y": "int", "x": "int", "response": "double"})
 

@@ -489,3 +489,30 @@ def test_a_position_is_one_file(spark, tmp_path):
     writers.write_by_position(rows, f"{tmp_path}/out")
     assert len(list((tmp_path / "out").glob("at=*/*.csv"))) == 5
     assert spark.read.csv(f"{tmp_path}/out", header=True).count() == 400
+
+
+def test_sequences_are_encoded_once(spark):
+    """Codes are made of distinct sequences: nothing is encoded below the first shuffle, whatever is filtered or joined later."""
+    book = spark.createDataFrame([(k, f"g{k}", ("CGATGAT", "TGAATGG", "CCC")[k % 3]) for k in range(30)], "row_no long, gene string, sequence string")
+    for layout, remove in (("swap", None), ("plain", [3]), ("segments", [2, 4])):
+        coded = decode.build_codebook(book, "Olympus", layout, remove)
+        plan = coded.join(coded.select(F.col("barcode").alias("other")), F.col("barcode") == F.col("other"))._jdf.queryExecution().optimizedPlan().toString()
+        encoding = [line for line in plan.splitlines() if "lambda" in line]
+        assert encoding and all("same#" in line and "sequence#" not in line for line in encoding)
+    assert sorted(tuple(r) for r in decode.build_codebook(book).select("row_no", "gene").collect()) == [(28, "g28")]
+
+
+def test_maxima_keep_few_voxels(spark):
+    """Of a slope only the top goes on; of a plateau, with a greater neighbour or without, all of it."""
+    rows = [(1, 1, 1, 1, 1, x, x) for x in range(1, 101)] + [(1, 1, 1, 1, 9, x, 5) for x in (1, 2, 3)] + [(1, 1, 1, 1, 20, x, v) for x, v in ((1, 5), (2, 5), (3, 6))]
+    vox = spark.createDataFrame(rows, "fov int, round_no int, channel int, z int, y int, x int, value int")
+    kept = sorted((r["y"], r["x"], r["flat"], r["beaten"]) for r in spots._candidates(vox, ["fov", "round_no", "channel"], 26).collect())
+    assert kept == [(1, 100, False, False), *[(9, x, True, False) for x in (1, 2, 3)], (20, 1, True, False), (20, 2, True, True), (20, 3, False, False)]
+    assert sorted((r["y"], r["x"]) for r in spots.regional_maxima(vox).collect()) == [(1, 100), (9, 1), (9, 2), (9, 3), (20, 3)]
+
+
+def test_numbers_and_designs_use_all_partitions(spark):
+    """Small ranges are not put together in one task, and runs are dealt before they are made distinct."""
+    runs = spark.range(1000).select(F.col("id").alias("run"))
+    plan = logs.level_design(runs, {"a": [1.0, 2.0]}, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [run" in plan and "RepartitionByExpression [range" in plan
