@@ -151,6 +151,11 @@ def _pooled(column, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of 2 * DIMENSIONS numbers as the rows of a matrix, without an object for each number."""
+    return np.concatenate([np.zeros(0), *[c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]]).reshape(-1, 2 * DIMENSIONS)
+
+
 class Network:
     """One hidden layer of rectified units and a logistic output, fitted by Adam; its temperature is set on rows it did not fit."""
 
@@ -223,10 +228,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch["y"], pa.array(list(pooled), pa.list_(pa.float32()))], names=["y", "x"])
 
     table = rows.mapInArrow(run, "y int, x array<float>").toArrow()
-    x = np.array(table["x"].to_pylist(), np.float64).reshape(-1, 2 * DIMENSIONS)
-    y = table["y"].to_numpy()
+    shared.destroy()
+    x, y = _matrix(table["x"]), table["y"].to_numpy()
+    del table
     order = np.lexsort((y, *x.T[::-1]))  # the same fit in whatever order the rows arrive
-    return vectors, Network(x[order], y[order])
+    network = Network(x[order], y[order])
+    del x, y, order
+    ts.give_back()  # the driver stays on, too
+    return vectors, network
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, Network], text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

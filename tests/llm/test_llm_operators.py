@@ -761,3 +761,20 @@ def test_pipeline_of_odd_tables(spark, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             rows = checkpointed(stage(spark, checkpointed(rows), str(tmp_path)))
             assert rows.columns == table.columns
+
+
+def test_matrix_of_samples_without_objects():
+    """Chunks and no chunks alike, and no Python object for each number."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rows = np.random.default_rng(1).random((3000, 2 * quality.DIMENSIONS)).astype(np.float32)
+    column = pa.chunked_array([pa.array(list(part), pa.list_(pa.float32())) for part in np.split(rows, 3)])
+    tracemalloc.start()
+    got = quality._matrix(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.dtype == np.float64 and (got == rows).all() and peak < 3 * got.nbytes
+    assert quality._matrix(pa.chunked_array([], pa.list_(pa.float32()))).shape == (0, 2 * quality.DIMENSIONS)
