@@ -249,12 +249,14 @@ def cell_hulls(reads: DataFrame, cell: str = "cell_barcode") -> DataFrame:
 def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """Adds running numbers from 0 in the order of the columns: ranges of the order are numbered apart, and each range begins where those before it end.
 
-    Only one row a range goes through a window without a partition. The ranges are checkpointed, so that a row's range doesn't change.
+    Only one row a range goes through a window without a partition. The ranges are checkpointed, so that a row's range doesn't change. Their number is
+    that of the shuffle partitions, so that none are put together in one task, which sorts them.
     """
-    ranged = checkpointed(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = checkpointed(rows.repartitionByRange(partitions, *order).withColumn("range", F.spark_partition_id()))
     before = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     inner = F.row_number().over(Window.partitionBy("range").orderBy(*order))
-    return ranged.withColumn("inner", inner).join(before, "range").withColumn(name, F.col("before") + F.col("inner") - 1).drop("range", "inner", "before")
+    return ranged.repartition(partitions, "range").withColumn("inner", inner).join(before, "range").withColumn(name, F.col("before") + F.col("inner") - 1).drop("range", "inner", "before")
 
 
 def external_cells(rows: DataFrame, scale: float, order: str, every: int | None = None) -> DataFrame:

@@ -201,9 +201,11 @@ def level_design(runs: DataFrame, levels: dict[str, list[float]], seed: int = 0)
     names = list(levels)
     each = F.explode(F.array(*[F.lit(k) for k in range(len(names))]))
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.element_at(F.array(*map(F.lit, names)), F.col("k") + 1), F.col("run").cast("string")).cast("binary"))
-    one = runs.filter("run is not null").select("run").distinct()
+    # runs are dealt before they meet: they hardly repeat, so a task would hold all those of its input and combine nothing
+    partitions = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one = runs.filter("run is not null").select("run").repartition(partitions, "run").distinct()
     at = numbered(one.withColumn("k", each).withColumn("key", key), ["k", "key", "run"], "at")
     n = one.count()
     rank = F.col("at") - F.col("k") * n
     values = [F.max(F.when(F.col("k") == k, F.element_at(F.array(*[F.lit(float(v)) for v in levels[name]]), (rank % len(levels[name]) + 1).cast("int")))).alias(name) for k, name in enumerate(names)]
-    return at.groupBy("run").agg(*values)
+    return at.repartition(partitions, "run").groupBy("run").agg(*values)
