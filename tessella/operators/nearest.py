@@ -40,8 +40,8 @@ def _numbers(table: pa.Table, c: str) -> np.ndarray:
     return table[c].cast(pa.float64()).to_numpy()
 
 
-def _pairs(low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(left row, place in the sorted right side) of all ranges low..high (three a row), some million pairs at a time."""
+def pairs_of(low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(left row, place in the sorted right side) of all ranges low..high (a few a row), some million pairs at a time."""
     n = (high - low).sum(axis=1)
     ends = np.cumsum(n)
     start = 0
@@ -79,7 +79,7 @@ def nearest_rows(left: pa.Table, right: pa.Table, within: list[str], tolerance:
     rows = [place(lk[asks], np.clip(cy + d, 0, high_ - 1), 0) for d in (-1, 0, 1)]
     low = np.stack([np.searchsorted(codes, r + np.maximum(cx - 1, 0)) for r in rows], axis=1)
     high = np.stack([np.searchsorted(codes, r + np.minimum(cx + 1, wide - 1), "right") for r in rows], axis=1)
-    for row, at in _pairs(low, high):
+    for row, at in pairs_of(low, high):
         i, j = asks[row], there[at]
         d2 = (lx[i] - rx[j]) ** 2 + (ly[i] - ry[j]) ** 2
         near = d2 < tolerance**2 if strict else d2 <= tolerance**2

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.rounding import saturate
-from tessella.operators.blocks import Block, by_block
+from tessella.operators.blocks import Block, by_block, in_groups
 from tessella.operators.graph import checkpointed
-from tessella.operators.nearest import blocks_near
+from tessella.operators.nearest import block_of, blocks_near, pairs_of
 from tessella.operators.voxels import CHANNEL, PLACE, TOP, connected_components, convolve, log_kernel, neighbours
 
 _LEAST = np.iinfo(np.int64).min
@@ -161,16 +161,44 @@ def spots_or_find(spark, path: str, find) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def count_close_pairs(spots: DataFrame, distance: float) -> DataFrame:
-    """(fov, n): pairs at a distance above 0 and below the given one; spots meet in a grid of that width."""
-    cell = lambda c: F.floor(F.col(c) / distance)
-    at = spots.select("fov", "spot_id", "x", "y", "z", cell("x").alias("bx"), cell("y").alias("by"), cell("z").alias("bz"))
-    step = F.array(*map(F.lit, (-1, 0, 1)))
-    near = at.select("fov", F.col("spot_id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("z").alias("oz"), "bx", "by", "bz")
-    for c in ("bx", "by", "bz"):
-        near = near.withColumn("step", F.explode(step)).withColumn(c, F.col(c) + F.col("step")).drop("step")
-    d2 = (F.col("x") - F.col("ox")) ** 2 + (F.col("y") - F.col("oy")) ** 2 + (F.col("z") - F.col("oz")) ** 2
-    return at.join(near, ["fov", "bx", "by", "bz"]).filter((F.col("spot_id") < F.col("other")) & (d2 > 0) & (d2 < distance**2)).groupBy("fov").agg(F.count(F.lit(1)).alias("n"))
+def count_close_pairs(spots: DataFrame, distance: float, edge: int = 256) -> DataFrame:
+    """(fov, n): pairs of two spots at a distance above 0 and below the given one.
+
+    A pair is counted in the block of its last spot by (z, y, x). So a spot goes to its own block, and to those beside and behind it that it is within
+    the distance of: some 13 % of copies at a distance of 8. A block spans edge pixels each way.
+    """
+    edge = max(edge, 4 * distance)
+    finite = [F.abs(F.col(c).cast("double")) < float("inf") for c in "xyz"]
+    dealt = spots.select("fov", "spot_id", "x", "y", "z").dropna().filter(finite[0] & finite[1] & finite[2])
+    dealt = dealt.withColumn("bx", blocks_near("x", edge, distance)).withColumn("by", blocks_near("y", edge, distance)).withColumn("bz", F.explode(F.sequence(block_of("z", edge), F.floor((F.col("z") + distance) / edge))))
+    own = (F.col("bx") == block_of("x", edge)) & (F.col("by") == block_of("y", edge)) & (F.col("bz") == block_of("z", edge))
+    schema = spots.sparkSession.createDataFrame([], f"fov {dict(spots.dtypes)['fov']}, n long").schema
+
+    def run(table: pa.Table) -> pa.Table:
+        n = _close_pairs(*[table[c].to_numpy() for c in ("x", "y", "z", "spot_id", "own")], distance)
+        return pa.table({"fov": table["fov"].slice(0, min(n, 1)), "n": pa.array([n] if n else [], pa.int64())})
+
+    return in_groups(dealt.withColumn("own", own), ["fov", "bz", "by", "bx"], run, schema).groupBy("fov").agg(F.sum("n").alias("n"))
+
+
+def _close_pairs(x: np.ndarray, y: np.ndarray, z: np.ndarray, ids: np.ndarray, own: np.ndarray, distance: float) -> int:
+    """Pairs of an own spot and one before it by (z, y, x), of another number. Spots are sorted by cells as wide as the distance."""
+    cx, cy, cz = (np.floor((v - v.min()) / distance).astype(np.int64) + 1 for v in (x, y, z))
+    # rows and slices of cells are padded, so that what lies beside the last one is in none
+    high, wide = int(cy.max()) + 2, int(cx.max()) + 2
+    codes = (cz * high + cy) * wide + cx
+    by = np.argsort(codes, kind="stable")
+    codes, asks = codes[by], by[own[by]]
+    rows = [((cz[asks] + a) * high + cy[asks] + b) * wide + cx[asks] for a in (-1, 0) for b in (-1, 0, 1)]
+    low, top = (np.stack([np.searchsorted(codes, r + d, side) for r in rows], axis=1) for d, side in ((-1, "left"), (1, "right")))
+    n = 0
+    for row, at in pairs_of(low, top):
+        i, j = asks[row], by[at]
+        dx, dy, dz = x[j] - x[i], y[j] - y[i], z[j] - z[i]
+        d2 = np.square(dx, dtype=np.float64) + np.square(dy, dtype=np.float64) + np.square(dz, dtype=np.float64)
+        before = (dz < 0) | ((dz == 0) & ((dy < 0) | ((dy == 0) & (dx < 0))))
+        n += int(np.count_nonzero(before & (d2 > 0) & (d2 < distance**2) & (ids[i] != ids[j])))
+    return n
 
 
 def extract_intensity(spots: DataFrame, voxels: DataFrame, box: tuple[int, int, int], rounds: int, channels: int = 3, edge: int = 32) -> DataFrame:

@@ -516,3 +516,23 @@ def test_numbers_and_designs_use_all_partitions(spark):
     runs = spark.range(1000).select(F.col("id").alias("run"))
     plan = logs.level_design(runs, {"a": [1.0, 2.0]}, 1)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [run" in plan and "RepartitionByExpression [range" in plan
+
+
+def test_close_pairs_in_blocks(spark):
+    """Each pair once, across blocks and next to their edges too, and a spot goes to few blocks instead of to its 27 cells."""
+    rng = random.Random(5)
+    edges = [(f, x + dx, 250, 3) for f in (1, 2) for x in (0, 256, 512) for dx in (-8, -7, -1, 0, 1, 7)]
+    places = edges + [(1, 40, y, z) for y in (249, 255, 256, 263) for z in (249, 255, 256, 263)] + [(1 + k % 2, rng.randint(-20, 300), rng.randint(-20, 300), rng.choice([1, 2, 9, 255, 257])) for k in range(700)]
+    rows = [(f, k // 2 * 2 if k < 40 else k, x, y, z) for k, (f, x, y, z) in enumerate(places)]
+    want = {}
+    for a, b in itertools.combinations(rows, 2):
+        if a[0] == b[0] and a[1] != b[1] and 0 < math.dist(a[2:], b[2:]) < 8:
+            want[a[0]] = want.get(a[0], 0) + 1
+    empty = [(None, 1, 1, 1, 1), (None, 2, 2, 2, 2), (1, None, 0, 250, 3), (1, 9000, None, 250, 3), (3, 1, 1, 1, 1)]
+    for kind in ("int", "double"):
+        df = spark.createDataFrame(rows + empty, "fov int, spot_id long, x int, y int, z int").withColumns({c: F.col(c).cast(kind) for c in "xyz"})
+        counted = spots.count_close_pairs(df, 8)
+        assert {r["fov"]: r["n"] for r in counted.collect()} == want
+    wild = spark.createDataFrame([(1, 1, float("nan"), 0.0, 0.0), (1, 2, float("inf"), 0.0, 0.0), (1, 3, float("inf"), 1.0, 0.0)], df.schema)
+    assert {r["fov"]: r["n"] for r in spots.count_close_pairs(df.union(wild), 8).collect()} == want
+    assert "Join" not in counted._jdf.queryExecution().executedPlan().toString()
