@@ -16,7 +16,7 @@ from tessella.operators import nearest as nearest_module
 from tessella.operators.blocks import Block, in_groups
 from tessella.operators.graph import components
 from tessella.operators.nearest import nearest, nearest_rows
-from tessella.plans import log_queries, registry
+from tessella.plans import log_queries, registry, views
 from tessella.plans.views import table
 from tessella.sources import readers, writers
 
@@ -536,3 +536,16 @@ def test_close_pairs_in_blocks(spark):
     wild = spark.createDataFrame([(1, 1, float("nan"), 0.0, 0.0), (1, 2, float("inf"), 0.0, 0.0), (1, 3, float("inf"), 1.0, 0.0)], df.schema)
     assert {r["fov"]: r["n"] for r in spots.count_close_pairs(df.union(wild), 8).collect()} == want
     assert "Join" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_codes_take_one_shuffle(spark, monkeypatch):
+    """All sums over a place happen behind one shuffle, in as many tasks as the rows need: none holds its whole split."""
+    monkeypatch.setattr(views, "PLACED_ROWS", 500)
+    assert sorted(table(spark, SF, "placed_voxels").collect()) == sorted(table(spark, SF, "voxels").collect())
+    parts = -(-table(spark, SF, "lineitem").count() // 500)
+    assert parts > 4
+    for name in ("voxel_calls", "voxel_codes"):
+        df = registry.queries()[name](spark, SF)
+        above, exchange, below = df._jdf.queryExecution().executedPlan().toString().partition("Exchange hashpartitioning")
+        assert exchange and "Exchange" not in above + below and "Aggregate" in above and "Aggregate" not in below
+        assert df.rdd.getNumPartitions() == parts
