@@ -336,10 +336,10 @@ def matched_nuclei(labels):
     return c.match_cells_nuclei(flat, nuclei)
 
 
-@query("reads", sql=f"WITH f AS (SELECT {_GENE} AS gene, min(read_id) AS first FROM reads GROUP BY 1) SELECT gene, row_number() OVER (ORDER BY first, gene)::INT AS id FROM f")
+@query("ordered_reads", sql=f"WITH f AS (SELECT {_GENE} AS gene, min(read_id) AS first FROM reads GROUP BY 1) SELECT gene, row_number() OVER (ORDER BY first, gene)::INT AS id FROM f")
 def gene_numbers(reads):
     """C8."""
-    return c.gene_ids(reads.select("read_id", clean_gene(F.col("gene_name")).alias("gene")))
+    return c.gene_ids(reads.select("row_order", clean_gene(F.col("gene_name")).alias("gene")), "row_order")
 
 
 def _turned(sign: str, rule: str) -> str:
@@ -357,12 +357,12 @@ def rotated_reads(reads):
     return out
 
 
-@query("reads", sql=f"""WITH raw0 AS (SELECT read_id, tile, gene_name, {_GENE} AS gene, x, y, z FROM reads), p AS (SELECT read_id AS id, tile, gene, x + 2 AS x, y, z FROM raw0),
+@query("ordered_reads", sql=f"""WITH raw0 AS (SELECT read_id, tile, gene_name, {_GENE} AS gene, x, y, z FROM reads), p AS (SELECT read_id AS id, tile, gene, x + 2 AS x, y, z FROM raw0),
   m AS (SELECT p.id, arg_min(r.gene_name, (power(p.x - r.x, 2) + power(p.y - r.y, 2), r.read_id)) AS full_name FROM p JOIN raw0 r ON r.tile = p.tile AND r.gene = p.gene AND r.z = p.z AND power(p.x - r.x, 2) + power(p.y - r.y, 2) < 25 GROUP BY p.id)
   SELECT p.id, coalesce(full_name, p.gene) AS gene_name, full_name IS NOT NULL AS matched FROM p LEFT JOIN m USING (id)""")
 def restored_suffixes(reads):
     """C11, every field of view by itself."""
-    raw = reads.select(F.col("tile").alias("fov"), "gene_name", "x", "y", "z", F.col("read_id").alias("raw_order"))
+    raw = reads.select(F.col("tile").alias("fov"), "gene_name", "x", "y", "z", F.col("row_order").alias("raw_order"))
     done = reads.select(F.col("tile").alias("fov"), F.col("read_id").alias("id"), clean_gene(F.col("gene_name")).alias("gene"), (F.col("x") + 2).alias("x"), "y", "z")
     return c.restore_suffix(done, raw, 5).select("id", "gene_name", "matched")
 
@@ -436,23 +436,23 @@ _EXTERNAL = "WITH k AS (SELECT raw + tile * 1000 AS cell, min(read_id) AS first
 
 
 def _external(reads):
-    return reads.select("read_id", (F.col("raw") + F.col("tile") * 1000).cast("string").alias("cell"), F.when(F.col("is_noise") < 0, "True").otherwise("false").alias("is_noise"), "x", "y")
+    return reads.select("read_id", "row_order", (F.col("raw") + F.col("tile") * 1000).cast("string").alias("cell"), F.when(F.col("is_noise") < 0, "True").otherwise("false").alias("is_noise"), "x", "y")
 
 
 def _shown(cells):
     return cells.select("read_id", F.col("cell_no").cast("int").alias("cell_no"), "is_noise", F.round("x", 6).alias("x"))
 
 
-@query("reads", sql=f"{_EXTERNAL} SELECT * FROM r")
+@query("ordered_reads", sql=f"{_EXTERNAL} SELECT * FROM r")
 def external_table(reads):
     """C22."""
-    return _shown(c.external_cells(_external(reads), 0.65, "read_id"))
+    return _shown(c.external_cells(_external(reads), 0.65, "row_order"))
 
 
-@query("reads", sql=f"{_EXTERNAL} SELECT * EXCLUDE k FROM (SELECT *, row_number() OVER (ORDER BY read_id) AS k FROM r) WHERE k % 5 = 1")
+@query("ordered_reads", sql=f"{_EXTERNAL} SELECT * EXCLUDE k FROM (SELECT *, row_number() OVER (ORDER BY read_id) AS k FROM r) WHERE k % 5 = 1")
 def thinned_table(reads):
     """Every fifth row, as it is shown."""
-    return _shown(c.external_cells(_external(reads), 0.65, "read_id", every=5))
+    return _shown(c.external_cells(_external(reads), 0.65, "row_order", every=5))
 
 
 @query("reads", sql="SELECT read_id, is_noise + 1 - 1 AS is_noise FROM reads")

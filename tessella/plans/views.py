@@ -14,6 +14,8 @@ _ID = "(l_orderkey * 8 + l_linenumber) * 1099511627776 + l_partkey * 16777216 +
 #: Its value in Spark: the same up to 2^63, where the SQL above fails in both engines; a row beyond has a negative number, a hash of all that makes it a row of its own.
 _ANY_ID = f"""CASE WHEN l_orderkey * 8 + l_linenumber + (l_partkey * 16777216 + cast(round(l_extendedprice * 100) as bigint)) div 1099511627776 < 8388608 THEN {_ID}
           ELSE xxhash64(l_orderkey, l_linenumber, l_partkey, l_extendedprice) | (-9223372036854775807 - 1) END"""
+#: The SQL's number in full, for queries that go by the order of rows: hashes have none.
+_ORDER = "cast(l_orderkey * 8 + l_linenumber as decimal(38, 0)) * 1099511627776 + (l_partkey * 16777216 + cast(round(l_extendedprice * 100) as bigint))"
 _FOV = "cast(floor(l_orderkey / 2500) as int) + 1"
 _K = "(p_partkey % 61 * 12)"
 
@@ -93,10 +95,13 @@ def _names(text: str, known: tuple[str, ...]) -> list[str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, or a view derived from it."""
+    """A given table, or a view derived from it; `ordered_spots` and `ordered_reads` also have `row_order`, the order of the SQL's numbers."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    text = VIEWS[name.removeprefix("placed_")].replace(_ID, _ANY_ID)
+    text = VIEWS[name.removeprefix("placed_").removeprefix("ordered_")]
+    if name.startswith("ordered_"):
+        text = text.replace(f"SELECT {_ID} AS", f"SELECT {_ORDER} AS row_order, {_ID} AS")
+    text = text.replace(_ID, _ANY_ID)
     given = {n: table(spark, sf_dir, n) for n in _names(text, TABLES)}
     if name == "placed_voxels":
         rows = given["lineitem"]

@@ -113,10 +113,10 @@ def projected(vox):
     return v.binarize(v.max_project(vox), 40)
 
 
-@query("voxels", "spots", sql="""WITH g AS (SELECT DISTINCT fov, x, y FROM voxels WHERE round_no = 1 AND x % 4 = 0 AND y % 4 = 0 AND value > 20), m AS (SELECT g.fov, g.x, g.y, arg_min(s.intensity, (power(g.x - s.x, 2) + power(g.y - s.y, 2), s.spot_id)) AS value FROM g JOIN spots s ON s.fov = g.fov AND power(g.x - s.x, 2) + power(g.y - s.y, 2) <= 100 GROUP BY ALL) SELECT fov, x, y, value FROM g LEFT JOIN m USING (fov, x, y)""")
+@query("voxels", "ordered_spots", sql="""WITH g AS (SELECT DISTINCT fov, x, y FROM voxels WHERE round_no = 1 AND x % 4 = 0 AND y % 4 = 0 AND value > 20), m AS (SELECT g.fov, g.x, g.y, arg_min(s.intensity, (power(g.x - s.x, 2) + power(g.y - s.y, 2), s.spot_id)) AS value FROM g JOIN spots s ON s.fov = g.fov AND power(g.x - s.x, 2) + power(g.y - s.y, 2) <= 100 GROUP BY ALL) SELECT fov, x, y, value FROM g LEFT JOIN m USING (fov, x, y)""")
 def sampled_mask(vox, spots):
     """V11."""
-    return v.sample_grid_nearest(vox.filter("round_no = 1 and value > 20"), spots.select("fov", "spot_id", "x", "y", F.col("intensity").alias("value")), 4, 10)
+    return v.sample_grid_nearest(vox.filter("round_no = 1 and value > 20"), spots.select("fov", F.col("row_order").alias("spot_id"), "x", "y", F.col("intensity").alias("value")), 4, 10)
 
 
 @query("voxels", sql="""WITH m AS (SELECT fov, round_no, z, y, x, max(value) AS value FROM voxels GROUP BY ALL),
