@@ -28,9 +28,9 @@ def wide_intensity(intensity: DataFrame, rounds: int, channels: int = 3) -> Data
 
 
 def write_decoding(points: DataFrame, scores: DataFrame, reads: DataFrame, intensity: DataFrame, path: str, rounds: int, fmt: str = "parquet") -> None:
-    """Good points, raw scores, raw reads and intensities, each partitioned by fov."""
+    """Good points, raw scores, raw reads and intensities, each partitioned by fov. Rows are dealt by fov first, so a fov has one file a table instead of one from every task."""
     for name, df in (("goodPoints", points), ("scores", wide_scores(scores, rounds)), ("reads", reads.select("fov", "spot_id", "colorseq")), ("intensity", wide_intensity(intensity, rounds))):
-        df.write.partitionBy("fov").format(fmt).option("header", True).save(f"{path}/{name}")
+        df.repartition("fov").write.partitionBy("fov").format(fmt).option("header", True).save(f"{path}/{name}")
 
 
 def bucketed_decoding(scores: DataFrame, reads: DataFrame, intensity: DataFrame, path: str, rounds: int, table: str, buckets: int) -> dict[str, str]:

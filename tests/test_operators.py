@@ -491,6 +491,21 @@ def test_a_position_is_one_file(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/out", header=True).count() == 400
 
 
+def test_a_field_of_view_is_one_file_a_table(spark, tmp_path):
+    """Rows that come in many tasks don't leave a file from each of them in every field of view."""
+    spots = spark.range(0, 400, 1, 8).selectExpr("id as spot_id", "cast(id % 5 as int) as fov")
+    reads = spots.selectExpr("fov", "spot_id", "array(0.5D, 0.25D) as scores", "'12' as colorseq")
+    sums = spots.selectExpr("fov", "spot_id", "explode(array(1, 2)) as round_no", "array(1, 2, 3) as sums", "3 as sum_max", "0 as center_max")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_decoding(spots, reads, reads, sums, f"{tmp_path}/out", 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for name in ("goodPoints", "scores", "reads", "intensity"):
+        assert len(list((tmp_path / "out" / name).glob("fov=*/*.parquet"))) == 5
+        assert spark.read.parquet(f"{tmp_path}/out/{name}").count() == 400
+
+
 def test_sequences_are_encoded_once(spark):
     """Codes are made of distinct sequences: nothing is encoded below the first shuffle, whatever is filtered or joined later."""
     book = spark.createDataFrame([(k, f"g{k}", ("CGATGAT", "TGAATGG", "CCC")[k % 3]) for k in range(30)], "row_no long, gene string, sequence string")
