@@ -39,8 +39,13 @@ def read_spots(spark: SparkSession, path: str, kind: str = "own") -> DataFrame:
 
 
 def read_fov_tables(spark: SparkSession, reads_path: str, cells_path: str, reads_schema: str, cells_schema: str) -> tuple[DataFrame, DataFrame]:
-    """Reads and cell centres of every field of view that has both, by globs over the Position folders; fov comes from the path."""
-    one = lambda path, schema: spark.read.csv(path, schema=schema, header=True).withColumn("fov", _fov())
+    """Reads and cell centres of every field of view that has both. fov comes from the path, by globs over the Position folders, or from
+    a column `at` where the schema has one and files hold many positions."""
+
+    def one(path: str, schema: str) -> DataFrame:
+        rows = spark.read.csv(path, schema=schema, header=True)
+        return rows.withColumn("fov", F.regexp_extract("at", POSITION, 1)).drop("at") if "at" in rows.columns else rows.withColumn("fov", _fov())
+
     reads, cells = one(reads_path, reads_schema), one(cells_path, cells_schema)
     fovs = lambda df: df.select("fov").distinct()
     return reads.join(fovs(cells), "fov", "left_semi"), cells.join(fovs(reads), "fov", "left_semi")

@@ -51,6 +51,14 @@ def write_by_position(rows: DataFrame, path: str, column: str = "at") -> None:
     rows.repartition(column).write.partitionBy(column).option("header", True).csv(path)
 
 
+def write_together(rows: DataFrame, path: str, column: str = "at") -> None:
+    """CSV files with a header that hold many positions each, the position's name in a column: for positions of few rows, of which each would cost a file.
+
+    A position lies in one file, and there are no more files than tasks.
+    """
+    rows.repartition(column).write.option("header", True).csv(path)
+
+
 def write_counts(counts: DataFrame, path: str) -> None:
     counts.write.parquet(path)
 

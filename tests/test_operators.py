@@ -491,6 +491,21 @@ def test_a_position_is_one_file(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/out", header=True).count() == 400
 
 
+def test_small_positions_share_files(spark, tmp_path, monkeypatch):
+    """Files of `fov_tables` don't grow in number with the fields of view, and a position lies in one of them."""
+    rows = spark.range(0, 4000, 1, 8).selectExpr("concat('Position', id % 1000) as at", "cast(id as int) as x")
+    writers.write_together(rows, f"{tmp_path}/reads")
+    writers.write_together(rows.filter("x % 3 = 0 and x < 500"), f"{tmp_path}/cells")
+    files = [f.read_text().split()[1:] for f in (tmp_path / "reads").glob("*.csv")]
+    assert len(files) <= 4 and sum(map(len, files)) == 4000 and sum(len({line.split(",")[0] for line in f}) for f in files) == 1000
+    r, c = readers.read_fov_tables(spark, f"{tmp_path}/reads", f"{tmp_path}/cells", "at string, x int", "at string, x int")
+    both = {str(x) for x in range(0, 500, 3)}
+    assert r.columns == c.columns == ["fov", "x"] and {x["fov"] for x in r.collect()} == both and r.count() == 4 * len(both) and c.count() == len(both)
+    monkeypatch.setattr("tessella.plans.log_queries.shared_folder", lambda _, name: f"{tmp_path}/{name}")
+    assert registry.queries()["fov_tables"](spark, SF).count()
+    assert all(len(list((tmp_path / m / t).rglob("*.csv"))) <= 4 for m in ("clustermap", "comseg", "baysor") for t in ("reads", "cells"))
+
+
 def test_a_field_of_view_is_one_file_a_table(spark, tmp_path):
     """Rows that come in many tasks don't leave a file from each of them in every field of view."""
     spots = spark.range(0, 400, 1, 8).selectExpr("id as spot_id", "cast(id % 5 as int) as fov")
