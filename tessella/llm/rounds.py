@@ -162,7 +162,8 @@ def _written(answers: np.ndarray) -> bytes:
     return head + (b"\0" + np.packbits(answers).tobytes() if answers.dtype == bool else b"\1" + answers.astype(np.uint8).tobytes())
 
 
-def _read(blob: bytes) -> np.ndarray:
+def read(blob: bytes) -> np.ndarray:
+    """The answers of one row."""
     n, raw = int.from_bytes(blob[:4], "little"), np.frombuffer(blob, np.uint8)[5:]
     return raw if blob[4] else np.unpackbits(raw, count=n)
 
@@ -173,7 +174,7 @@ def answered(replies: pa.Table, kind: int, order: np.ndarray) -> np.ndarray:
     if not len(order):
         return out
     mine = replies.filter(pc.equal(replies["kind"], kind)).sort_by("shard")
-    found = np.concatenate([np.zeros(0, np.uint8), *(_read(b) for b in mine["bits"].to_pylist())])
+    found = np.concatenate([np.zeros(0, np.uint8), *(read(b) for b in mine["bits"].to_pylist())])
     if len(found) != len(order):
         raise RuntimeError(f"{len(found)} answers to {len(order)} keys")
     out[order] = found

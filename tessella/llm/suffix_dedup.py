@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +18,15 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 OUT_DDL = "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
 OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", _SPANS), ("kept", pa.binary())])
 
-ANCHOR, SPAN, VARIETY, SUFFIX = 0, 1, 2, 3
+ANCHOR, SPAN, VARIETY, SUFFIX, STATE = 0, 1, 2, 3, 4
 #: Answers about a minimizer: it stands in one kind of span, in several, or in so many that their strings are dealt one by one.
 MIXED, CROWDED = 1, 2
 #: More spans than these of one minimizer don't go to one shard (a megabyte of text).
 CROWD = 8192
+#: Bytes of text scanned at once, some eighty bytes of numbers each: these stay in a core's cache.
+SCAN_BYTES = 1 << 17
+#: Bytes of pieces that a shard adds to its suffix arrays at once.
+BATCH_BYTES = 1 << 20
 
 
 class SuffixArray:
@@ -96,6 +101,35 @@ def _pieces(blob: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(blob, np.uint8, offset=4 + 4 * n), ts.spread(end - size, end - length)[0]
 
 
+def strings_seen(blobs: list[bytes], length: int, batch_bytes: int = BATCH_BYTES) -> list[np.ndarray]:
+    """For every string of every blob: does it stand earlier, in an earlier blob or at an earlier start?
+
+    A batch costs a look at every level, so blobs come together in batches of bytes: their number follows the shard's text, not the groups that ask.
+    """
+    family, out = IndexFamily(length), []
+    for a, b in ts.chunks(np.cumsum([0, *map(len, blobs)]), batch_bytes):
+        texts, starts = zip(*(_pieces(x, length) for x in blobs[a:b]))
+        first = np.cumsum([0, *map(len, texts)])
+        seen = family.add(np.concatenate(texts), np.concatenate([s + at for s, at in zip(starts, first)]))
+        out += np.split(seen, np.cumsum([len(s) for s in starts])[:-1])
+    return out
+
+
+def _state(lo: np.ndarray, hi: np.ndarray, rank: np.ndarray, place: np.ndarray, shard: np.ndarray) -> bytes:
+    """A group's candidate spans as numbers of four bytes: steps of the first strings, further strings, ranks; of the first spans, places and shards."""
+    return np.concatenate([[len(lo)], np.diff(lo, prepend=0), hi - lo, rank, place, shard]).astype("<u4").tobytes()
+
+
+def _recalled(replies: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What _state wrote."""
+    (blob,) = replies.filter(pc.equal(replies["kind"], STATE))["bits"].to_pylist()
+    numbers = np.frombuffer(rounds.read(blob).tobytes(), "<u4").astype(np.int64)
+    n, rest = numbers[0], numbers[1:]
+    lo, more, rank = np.cumsum(rest[:n]), rest[n : 2 * n], rest[2 * n : 3 * n]
+    place, shard = np.split(rest[3 * n :], 2)
+    return lo, lo + more, rank, place, shard
+
+
 def suffix_array(data: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """The suffixes at the given starts in the order of their first `depth` bytes, and the class of each sorted suffix.
 
@@ -147,6 +181,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     (3) the strings of a first span are sorted only if its minimizer also stands in
     spans that differ. The text of such a span goes once to the shard of its minimizer; where more than `crowd` spans
     have one minimizer, their strings go one by one to the shards of their own hashes, so that no shard gets a crowd.
+    The text is scanned for (1) and (2) only: a group's spans whose minimizer stands elsewhere come back to it with the answers of (2).
 
     Returns one row for each input row: doc_id, n_bytes, removed (maximal byte intervals, end exclusive), kept (the
     other bytes, joined, which may split a character). Null and empty texts have no bytes; an empty table gives no rows. Extra columns are ignored.
@@ -157,27 +192,36 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups, shards = rounds.sizes(docs, text_col, group_bytes)
     dealt = rounds.by_range(docs, id_col, text_col, groups)
 
-    def scan(table: pa.Table, hashed: bool):
-        """The batch's bytes and row offsets; first and last string, minimizer and (if asked for) hash of every span."""
+    def scan(table: pa.Table):
+        """The batch's bytes and row offsets; first and last string and minimizer of every span."""
         data, offsets = ts.text_bytes(table["text"])
-        parts = [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)]]
-        for a, b in ts.chunks(offsets):
-            values = ts.BYTE_VALUES[data[offsets[a] : offsets[b]]]
-            lo, hi, key = ts.super_windows(values, offsets[a : b + 1] - offsets[a], length, gram)
-            span = ts.span_hashes(ts.prefix_sums(values), lo, hi + length) if hashed else key
-            parts.append([lo + offsets[a], hi + offsets[a], key, span])
+        parts = [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)]]
+        for a, b in ts.chunks(offsets, SCAN_BYTES):
+            lo, hi, key = ts.super_windows(ts.BYTE_VALUES[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a], length, gram)
+            parts.append([lo + offsets[a], hi + offsets[a], key])
         return data, offsets, *(np.concatenate(x) for x in zip(*parts))
 
+    def hashes(data: np.ndarray, offsets: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Hash of each span, which are in order."""
+        parts = [np.zeros(0, np.uint64)]
+        for a, b in ts.chunks(offsets, SCAN_BYTES):
+            here = slice(*np.searchsorted(lo, offsets[[a, b]]))
+            if here.start < here.stop:
+                begin, end = lo[here.start], hi[here.stop - 1] + length
+                parts.append(ts.span_hashes(ts.prefix_sums(ts.BYTE_VALUES[data[begin:end]]), lo[here] - begin, hi[here] + length - begin))
+        return np.concatenate(parts)
+
     def anchors(g: int, table: pa.Table, _) -> pa.Table:
-        return rounds.packed(g, ANCHOR, np.unique(scan(table, False)[4]), shards, 5)[0]
+        return rounds.packed(g, ANCHOR, np.unique(scan(table)[4]), shards, 5)[0]
 
     def candidates(table: pa.Table, replies: pa.Table):
-        """The scan without the spans whose minimizer stands at one place only."""
-        data, offsets, lo, hi, key, span = scan(table, True)
+        """First and last string, minimizer and hash of the spans whose minimizer stands at another place too."""
+        data, offsets, lo, hi, key = scan(table)
         found, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
         order = rounds.packed(0, ANCHOR, found, shards, 5)[1]
         keep = ((count > 1) | (rounds.answered(replies, ANCHOR, order) > 0))[inverse]
-        return data, offsets, lo[keep], hi[keep], key[keep], span[keep]
+        lo, hi, key = lo[keep], hi[keep], key[keep]
+        return lo, hi, key, hashes(data, offsets, lo, hi)
 
     def varieties(key: np.ndarray, span: np.ndarray):
         """Distinct minimizers, the place of each span's among them, and for each the least and greatest hash and the number of its spans."""
@@ -187,9 +231,15 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         np.maximum.at(most, inverse, span)
         return found, inverse, np.stack([least, most, count.astype(np.uint64)], 1)
 
-    def variety_rows(g: int, key: np.ndarray, span: np.ndarray) -> pa.Table:
-        """One entry a minimizer: its key and a digest of the spans it is in."""
-        found, _, digest = varieties(key, span)
+    def ranks(order: np.ndarray) -> np.ndarray:
+        """The place of each key's answer among the answers."""
+        out = np.empty(len(order), np.int64)
+        out[order] = np.arange(len(order))
+        return out
+
+    def variety_rows(g: int, key: np.ndarray, span: np.ndarray) -> tuple[pa.Table, np.ndarray]:
+        """One entry a minimizer: its key and a digest of the spans it is in; the place of each span's answer."""
+        found, inverse, digest = varieties(key, span)
         table, order = rounds.packed(g, VARIETY, found, shards, 8)
         # behind the keys of a shard come the digests, in the same order
         rows, at, blobs = digest[order], 0, []
@@ -197,12 +247,15 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             n = len(b) // 8
             blobs.append(b + rows[at : at + n].astype("<u8").tobytes())
             at += n
-        return table.set_column(3, "keys", pa.array(blobs, pa.binary()))
+        return table.set_column(3, "keys", pa.array(blobs, pa.binary())), ranks(order)[inverse]
 
     def spans(g: int, table: pa.Table, replies: pa.Table) -> pa.Table:
-        _, _, _, _, key, span = candidates(table, replies)
-        keep = _firsts(span)[2]
-        return pa.concat_tables([rounds.packed(g, SPAN, np.unique(span), shards, 8)[0], variety_rows(g, key[keep], span[keep])])
+        lo, hi, key, span = candidates(table, replies)
+        found, inverse, first = _firsts(span)
+        asked, order = rounds.packed(g, SPAN, found, shards, 8)
+        kinds, place = variety_rows(g, key[first], span[first])
+        state = _state(lo, hi, ranks(order)[inverse], place, rounds.shard_of(key[first], shards))
+        return pa.concat_tables([asked, kinds, rounds.asked(g, STATE, [g], [state])])
 
     def matches(table: pa.Table, replies: pa.Table):
         """Spans that are later copies, and the pieces of text to look up.
@@ -210,14 +263,14 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         pieces: first string, end, shard; those of crowded minimizers are single strings, one of each kind. strings: the starts
         that the pieces' answers are about, in the order of the answers.
         """
-        data, offsets, lo, hi, key, span = candidates(table, replies)
-        found, inverse, first = _firsts(span)
-        later = ~first | (rounds.answered(replies, SPAN, rounds.packed(0, SPAN, found, shards, 8)[1])[inverse] > 0)
-        kinds, place, _ = varieties(key[first], span[first])
-        kind = np.zeros(len(key), np.uint8)
-        kind[first] = rounds.answered(replies, VARIETY, rounds.packed(0, VARIETY, kinds, shards, 8)[1])[place]
+        data, offsets = ts.text_bytes(table["text"])
+        lo, hi, rank, place, own_shard = _recalled(replies)
+        first = _firsts(rank)[2]
+        later = ~first | (rounds.answered(replies, SPAN, np.arange(len(place)))[rank] > 0)
+        kind, home = np.zeros(len(lo), np.uint8), np.zeros(len(lo), np.int64)
+        kind[first], home[first] = rounds.answered(replies, VARIETY, np.arange(place.max(initial=-1) + 1))[place], own_shard
         open_ = ~later & (kind == MIXED)
-        piece_lo, piece_end, shard = lo[open_], hi[open_] + length, rounds.shard_of(key[open_], shards)
+        piece_lo, piece_end, shard = lo[open_], hi[open_] + length, home[open_]
         crowded = ~later & (kind == CROWDED)
         alone, _ = ts.spread(lo[crowded], hi[crowded])
         order, group = suffix_array(data, alone, length)
@@ -267,8 +320,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if kind == SPAN:
             return rounds.earlier(blobs, 8)
         if kind == SUFFIX:
-            family = IndexFamily(length)
-            return [family.add(*_pieces(b, length)) for b in blobs]
+            return strings_seen(blobs, length)
+        if kind == STATE:
+            return [np.frombuffer(b, np.uint8) for b in blobs]
         sizes = [len(b) // 32 for b in blobs]
         key, _ = rounds.unpacked([b[: 8 * n] for b, n in zip(blobs, sizes)], 8)
         digest, _ = rounds.unpacked([b[8 * n :] for b, n in zip(blobs, sizes)], 8)
@@ -281,9 +335,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     one = rounds.answer(rounds.ask(dealt, None, anchors), shard)
     two = rounds.answer(rounds.ask(dealt, one, spans), shard)
-    both = one.unionByName(two)
-    three = rounds.answer(rounds.ask(dealt, both, suffixes), shard)
-    return rounds.ask(dealt, both.unionByName(three), cut, OUT_DDL)
+    three = rounds.answer(rounds.ask(dealt, two, suffixes), shard)
+    return rounds.ask(dealt, two.unionByName(three), cut, OUT_DDL)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -182,6 +182,44 @@ def test_suffix_dedup(spark, frame, corpus):
     same(suffix_dedup.digest(suffix_dedup.suffix_dedup(spark.createDataFrame(twice, TEXT))), suffix_dedup.brute_force(twice))
 
 
+def test_a_shards_work_follows_its_text_not_the_groups_that_ask(monkeypatch):
+    """Strings of levels are looked at once a batch of bytes; every group's blob as a batch of its own would cost a look at all levels each."""
+    import numpy as np
+
+    rng, looked = random.Random(5), []
+    texts = [bytes(rng.choice(b"ab") for _ in range(60)) for _ in range(400)]
+    strings = suffix_dedup.SuffixArray.strings
+    monkeypatch.setattr(suffix_dedup.SuffixArray, "strings", lambda self: looked.append(len(self.starts)) or strings(self))
+    blob = lambda pieces: suffix_dedup._blob(np.frombuffer(b"".join(pieces), np.uint8), np.arange(len(pieces)) * 60, np.arange(1, len(pieces) + 1) * 60)
+    cost, found = [], []
+    for groups in (4, 400):
+        looked.clear()
+        each = 400 // groups
+        got = suffix_dedup.strings_seen([blob(texts[k * each : (k + 1) * each]) for k in range(groups)], 12, batch_bytes=8000)
+        assert [len(x) for x in got] == [49 * each] * groups
+        cost.append(sum(looked))
+        found.append(np.concatenate(got).tolist())
+    seen: set[bytes] = set()
+    want = []
+    for t in texts:
+        for i in range(49):
+            want.append(t[i : i + 12] in seen)
+            seen.add(t[i : i + 12])
+    assert found == [want, want] and cost[1] < 2 * cost[0]
+
+
+@pytest.mark.parametrize("n", [0, 5])
+def test_a_group_gets_back_its_candidates(n):
+    import numpy as np
+    import pyarrow as pa
+
+    lo, hi = np.arange(n) * 7, np.arange(n) * 7 + 3
+    rank, place, shard = np.arange(n) % 3, np.arange(min(n, 3)), np.full(min(n, 3), 2)
+    blob = suffix_dedup.rounds._written(np.frombuffer(suffix_dedup._state(lo, hi, rank, place, shard), np.uint8))
+    replies = pa.table({"kind": [suffix_dedup.SPAN, suffix_dedup.STATE], "bits": [b"", blob]})
+    assert all(a.tolist() == b.tolist() for a, b in zip(suffix_dedup._recalled(replies), (lo, hi, rank, place, shard), strict=True))
+
+
 def test_suffix_array_is_in_order():
     import numpy as np
 
