@@ -182,6 +182,22 @@ def test_suffix_dedup(spark, frame, corpus):
     same(suffix_dedup.digest(suffix_dedup.suffix_dedup(spark.createDataFrame(twice, TEXT))), suffix_dedup.brute_force(twice))
 
 
+def test_words_of_pages_are_not_kept_for_every_task(spark):
+    """Checkpoints hold a word once, not once for each of the sixteen tasks that have seen it (some 100 000 bytes), and no table of ours stays."""
+    from pathlib import Path
+
+    checkpointed(spark.range(1))
+    top = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    had = set(top.rglob("*"))
+    words = [a + b + c for a in "bcdfghklmnpr" for b in "aeiou" for c in ("bane", "cole", "dime", "fane", "gole", "hume", "jane", "kole", "lame", "mole", "nine", "pole", "rime", "sole", "tune", "vane")]
+    page = "<p>" + " ".join(words) + "</p>"
+    pages = spark.range(0, 64, 1, 16).selectExpr("id as page_id", "concat('http://bane.example.net/en/', id) as url", f"'{page}' as html")
+    assert url_filter.judge(pages).count() == 64
+    new = [f for f in set(top.rglob("*")) - had if f.is_file()]
+    assert 0 < sum(f.stat().st_size for f in new if f.name.startswith("part-")) < 40_000
+    assert not [f for f in new if "evidence-" in str(f)]
+
+
 def test_a_shards_work_follows_its_text_not_the_groups_that_ask(monkeypatch):
     """Strings of levels are looked at once a batch of bytes; every group's blob as a batch of its own would cost a look at all levels each."""
     import numpy as np
